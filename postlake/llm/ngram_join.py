@@ -1,8 +1,10 @@
 """Similarity join of documents' shingle sets: Jaccard similarity of at least 4/5, with a prefix tree of ordered sets.
 
-1. Every document becomes the set of its distinct shingles' hashes.  Tasks deal the hashes out by hash range, packed in
-   blocks; a shingle that two documents of a task share is sent once.  Each range tells for every document how many of
-   its shingles occur in another document.  A document with fewer than 4/5 such shingles can't be similar to any other.
+1. Every document becomes the set of its distinct shingles' hashes.  Tasks deal the lower half of the hash values out by
+   range, packed in blocks; a shingle that two documents of a task share is sent once.  Each range tells for every
+   document how many of its shingles occur in another document.  A document of n shingles with more than n / 5 that occur
+   nowhere else can't be similar to any other, and half of the values are enough to tell that of most documents; the
+   rest of the shingles of those that stay are compared in step 2.
 2. Of what is left, equal sets (by a 128-bit digest of the set) are represented by one document.  Their shingles are put
    into one global order, rarest first, and those in the first n - ceil(0.8 n) + 1 places, of which two similar sets
    must have one in common, connect sets into coarse groups.
@@ -13,7 +15,7 @@
    pair of tiles with fitting sizes is joined.
 4. Links, one for each set that a walk connects, give the components.
 
-Hashes have 64 bits; step 1 compares 32 bits and the range's, where a chance agreement only keeps a document for longer.
+Hashes have 64 bits; step 1 compares 33 bits and the range's, where a chance agreement only keeps a document for longer.
 
 Null texts and texts without words have empty sets, which are linked with nothing.  Fewer than five words are one shingle.
 Repeated rows each get their row; rows with the same id and different texts are documents of their own.
@@ -80,6 +82,7 @@ def _packed(ids: np.ndarray, owner: np.ndarray, tokens: np.ndarray, bits: int) -
 
 
 def _suffix(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """What the range doesn't say."""
     return ((tokens << _U(bits)) >> _U(32)).astype(np.uint32)
 
 
@@ -102,17 +105,19 @@ def _deal(bits: int, size: int):
                 sets = shingle_sets(texts[low:high], size)
                 own, n = ids[low:high], np.array([len(s) for s in sets])
                 tokens = np.concatenate(sets)
-                owner = np.repeat(np.arange(len(sets)), n)
+                with np.errstate(over="ignore"):
+                    sums = [np.concatenate([np.zeros(1, _U), np.cumsum(mix(tokens ^ _U(k)))]) for k in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)]
+                    ends = np.cumsum(n)
+                    digests = [(s[ends] - s[ends - n]).view(np.int64) for s in sums]
+                lower = tokens < _U(1 << 63)
+                owner = np.repeat(np.arange(len(sets)), n)[lower]
+                tokens = tokens[lower] << _U(1)
                 ordered = np.sort(tokens)
                 twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
                 shared = np.zeros(len(tokens), dtype=bool)
                 if len(twice):
                     shared = twice[np.minimum(np.searchsorted(twice, tokens), len(twice) - 1)] == tokens
-                here = np.bincount(owner[shared], minlength=len(sets))
-                with np.errstate(over="ignore"):
-                    sums = [np.concatenate([np.zeros(1, _U), np.cumsum(mix(tokens ^ _U(k)))]) for k in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)]
-                    ends = np.cumsum(n)
-                    digests = [(s[ends] - s[ends - n]).view(np.int64) for s in sums]
+                here = np.bincount(owner[~shared], minlength=len(sets))
                 rows = [(int(own[0]) % (1 << bits), 1, own.tobytes(), *(x.astype(np.int64).tobytes() for x in (here, n, *digests)))]
                 rows += [(r, 0, i.tobytes(), c.tobytes(), _suffix(t, bits).tobytes(), None, None) for r, i, c, t in _packed(own, owner[~shared], tokens[~shared], bits)]
                 r = _by_range(twice, bits)
@@ -127,28 +132,52 @@ def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
 
 
-_STATS = "rid bigint, shared bigint, n bigint, d1 bigint, d2 bigint"
+def _count_shared(bits: int):
+    """Step 1, for a range: how many shingles of documents are found elsewhere, packed by ranges of mixed ids."""
+
+    def run(table: pa.Table) -> pa.Table:
+        import pyarrow.compute as pc
+
+        part = {k: table.filter(pc.equal(table.column("kind"), k)) for k in (0, 1, 2)}
+        tokens, twice = _joined(part[0], "b", np.uint32), _joined(part[2], "b", np.uint32)
+        ids, counts = _joined(part[0], "ids", np.int64), _joined(part[0], "a", np.uint32)
+        ordered = np.sort(np.concatenate([tokens, twice]))
+        known = np.union1d(ordered[1:][ordered[1:] == ordered[:-1]], twice)
+        found = np.zeros(len(ids), dtype=np.int64)
+        if len(known) and len(tokens):
+            hit = known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
+            found = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(counts[:-1])]).astype(np.int64))
+        rows = []
+        for name, own, values in (
+            (0, ids[found > 0], [found[found > 0].astype(np.uint32)]),
+            (1, _joined(part[1], "ids", np.int64), [_joined(part[1], c, np.int64) for c in ("a", "b", "c", "d")]),
+        ):
+            where = _by_range(mix(own.view(_U)), bits)
+            order = np.argsort(where, kind="stable")
+            edges = np.searchsorted(where[order], np.arange((1 << bits) + 1))
+            for k in np.flatnonzero(np.diff(edges)).tolist():
+                at = order[edges[k] : edges[k + 1]]
+                rows.append((k, name, own[at].tobytes(), *[v[at].tobytes() for v in values], *[None] * (4 - len(values))))
+        return pa.Table.from_batches([_rows(rows)] if rows else [], schema=_BLOCK)
+
+    return run
+
+
+_STATS = "rid bigint, alone bigint, n bigint, d1 bigint, d2 bigint"
 
 
-def _count_shared(table: pa.Table) -> pa.Table:
-    """Step 1, for a range: documents with how many of their shingles here another document has."""
+def _sum_up(table: pa.Table) -> pa.Table:
+    """Step 1, for a range of ids: shingles (of the lower half) that no other document has, set size and digest."""
     import pyarrow.compute as pc
 
-    part = {k: table.filter(pc.equal(table.column("kind"), k)) for k in (0, 1, 2)}
-    tokens, twice = _joined(part[0], "b", np.uint32), _joined(part[2], "b", np.uint32)
-    ids, counts = _joined(part[0], "ids", np.int64), _joined(part[0], "a", np.uint32)
-    ordered = np.sort(np.concatenate([tokens, twice]))
-    known = np.union1d(ordered[1:][ordered[1:] == ordered[:-1]], twice)
-    found = np.zeros(len(ids), dtype=np.int64)
-    if len(known) and len(tokens):
-        hit = known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
-        found = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(counts[:-1])]).astype(np.int64))
-    some = found > 0
-    docs = [_joined(part[1], c, np.int64) for c in ("ids", "a", "b", "c", "d")]
-    zero = np.zeros(int(some.sum()), dtype=np.int64)
-    least = np.full(len(zero), np.iinfo(np.int64).min)
-    columns = [np.concatenate(x) for x in ((ids[some], docs[0]), (found[some], docs[1]), (zero, docs[2]), (least, docs[3]), (least, docs[4]))]
-    return pa.table(columns, names=["rid", "shared", "n", "d1", "d2"])
+    found, docs = (table.filter(pc.equal(table.column("kind"), k)) for k in (0, 1))
+    ids, alone, n, d1, d2 = (_joined(docs, c, np.int64) for c in ("ids", "a", "b", "c", "d"))
+    ids, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
+    alone = np.bincount(inverse, weights=alone, minlength=len(ids))
+    if len(ids):
+        at = np.searchsorted(ids, _joined(found, "ids", np.int64))
+        alone -= np.bincount(at, weights=_joined(found, "a", np.uint32), minlength=len(ids))
+    return pa.table([ids, alone.astype(np.int64), n[first], d1[first], d2[first]], names=["rid", "alone", "n", "d1", "d2"])
 
 
 def _deal_again(bits: int, size: int):
@@ -367,15 +396,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     bits = min(16, max(0, int(total // RANGE_TEXT_BYTES)).bit_length())
-    stats = rows.mapInArrow(_deal(bits, size), _BLOCK_SQL).groupBy("r").applyInArrow(_count_shared, _STATS)
-    stats = stats.groupBy("rid").agg(F.sum("shared").alias("shared"), F.max("n").alias("n"), F.max("d1").alias("d1"), F.max("d2").alias("d2"))
-    stats = stored(stats, "shingle-counts")
+    counted = rows.mapInArrow(_deal(bits, size), _BLOCK_SQL).groupBy("r").applyInArrow(_count_shared(min(bits, 12)), _BLOCK_SQL)
+    stats = stored(counted.groupBy("r").applyInArrow(_sum_up, _STATS), "shingle-counts")
 
-    left = stats.where("n > 0 and 5 * shared >= 4 * n")
+    left = stats.where("n > 0 and 5 * alone <= n")
     groups = stored(left.groupBy("n", "d1", "d2").agg(F.min("rid").alias("rep")), "equal-sets")
     shingles = groups.agg(F.sum("n")).first()[0] or 0
     bits = min(16, max(0, int(shingles // RANGE_SHINGLES)).bit_length())
-    texts = rows.join(groups.select(F.col("rep").alias("rid")), "rid")
+    texts = rows.join(groups.select(F.col("rep").alias("rid")).hint("merge"), "rid")  # one plan at every size
     texts = texts.dropDuplicates(["rid"]) if repeated else texts
     ranked = texts.mapInArrow(_deal_again(bits, size), _BLOCK_SQL).groupBy("r").applyInArrow(_ranked, "rid bigint, keys binary")
     lists = ranked.groupBy("rid").agg(F.collect_list("keys").alias("parts")).join(groups.select(F.col("rep").alias("rid"), "n"), "rid")
