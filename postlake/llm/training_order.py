@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from .shared import files, new_folder, put, stored
 
-LENGTH = 1024
-PER_SHARD = 4096
+LENGTH = 2048
+PER_SHARD = 2048
 ROUNDS = 4
 
 _U = np.uint64
@@ -72,7 +72,6 @@ def _sequences(path: str, length: int):
 
         encode, end = encoder(path)
         part, seq = TaskContext.get().partitionId(), 0
-        packer = zstandard.ZstdCompressor(level=3)
         ids: list[np.ndarray] = []
         docs: list[tuple[int | None, int]] = []  # document and where it begins
         held = 0
@@ -87,7 +86,7 @@ def _sequences(path: str, length: int):
             for k in range(whole):
                 a, b = k * length, (k + 1) * length
                 low, high = int(np.searchsorted(begins, a, side="right")) - 1, int(np.searchsorted(begins, b))
-                rows.append((part, seq, min(length, len(tokens) - a), [d for d, _ in docs[max(0, low) : high]], packer.compress(filled[a:b].tobytes())))
+                rows.append((part, seq, min(length, len(tokens) - a), [d for d, _ in docs[max(0, low) : high]], filled[a:b].tobytes()))
                 seq += 1
             if rows:
                 columns = list(zip(*rows, strict=True))
@@ -110,10 +109,14 @@ def _sequences(path: str, length: int):
 
 
 def _slots(n: int, key: int, per_shard: int):
+    """Slots of numbered sequences, whose data is packed for the shuffle."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             slots = permute(batch.column(0).to_numpy(zero_copy_only=False), n, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array((slots // per_shard).astype(np.int32)), *(batch.column(k) for k in range(1, 6))], names=["slot", "shard", "part", "seq", "n_tokens", "doc_ids", "data"])
+            packed = pa.array([packer.compress(x) for x in batch.column(5).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array((slots // per_shard).astype(np.int32)), *(batch.column(k) for k in range(1, 5)), packed], names=["slot", "shard", "part", "seq", "n_tokens", "doc_ids", "data"])
 
     return run
 
@@ -162,7 +165,7 @@ def training_shards(
     """Writes the shards; one row per sequence: slot, shard, byte_offset, part, seq, n_tokens (without filling), doc_ids."""
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "token-shards")
-    sequences = stored(docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_sequences(tokenizer_path, length), _SEQUENCES), "sequences")
+    sequences = stored(docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_sequences(tokenizer_path, length), _SEQUENCES), "sequences", "zstd")
     counts = {r.part: r.n for r in sequences.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row per task
     offsets, total = [], 0
     for part in sorted(counts):
