@@ -79,7 +79,7 @@ def log_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     """(id, log_weight) per document row, and the target's share of the labelled documents."""
     text = F.col(text_col).cast("binary").alias("text")
     target = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct().withColumn("target", F.lit(True))
-    marked = docs.select(F.col(id_col).alias("id"), text).join(target, "id", "left").select("text", "target")
+    marked = docs.select(F.col(id_col).alias("id"), text).join(target.hint("merge"), "id", "left").select("text", "target")  # one plan at every size
     counts = marked.mapInArrow(_count(buckets), "bucket bigint, other bigint, target bigint").groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("target").alias("target"))
     table = np.zeros((2, buckets))
     for row in counts.collect():  # at most one row per bucket
