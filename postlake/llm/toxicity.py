@@ -242,7 +242,7 @@ def toxicity_scores(
     held_out = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     known = labels.select(F.col(id_col).alias("id"), (F.col(label_col) == 1).alias("toxic")).where(F.col("toxic").isNotNull() & ~held_out)
-    model = learn(rows.join(known, "id"), slots)
+    model = learn(rows.join(known.hint("merge"), "id"), slots)  # one plan at every size
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)[id_col]
     found = stored(rows.mapInArrow(_score(sent), f"id {kind}, " + ", ".join(f"{f} double" for f in FEATURES)), "toxicity-features")
