@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import reference as ref
 
@@ -45,7 +46,7 @@ def _html_text(html: str | None) -> str | None:
     return "".join(p.parts)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _strip_html(html: pd.Series) -> pd.Series:
     return html.map(_html_text)
 

@@ -132,3 +132,11 @@ def load(gold: dict[str, DataFrame], silver: DataFrame, load_date: Column, loade
         "dim_date": upsert_date(gold["dim_date"], last.select(posted.alias("a"), scraped.alias("b"))), "fact_job_postings": merged.drop("_change"),
         "bridge_job_skill": replace_by_key(gold["bridge_job_skill"], links, fact, ["job_key"]), "etl_load_log": replace_by_key(gold["etl_load_log"], log, log, ["file_path"]),
     }
+
+
+def save(gold: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Writes the tables as one version (a folder that isn't there yet) and reads them back, so that a load starts from
+    files and not from the plans of earlier loads."""
+    for name, df in gold.items():
+        df.write.parquet(f"{root}/{name}")
+    return {name: df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in gold.items()}

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import ratio, share
 
-_ALL = Window.partitionBy()
 
 
 def _mean(c: str) -> Column:
@@ -26,7 +25,7 @@ def _mode(c: str) -> Column:
 def in_demand_roles(jobs: DataFrame) -> DataFrame:
     out = jobs.groupBy("category_name").agg(F.count("*").alias("postings"), F.count_distinct("company_name").alias("hiring_companies"), _mean("salary_mid").alias("avg_salary_mid"), _remote().alias("remote_postings"))
     return out.withColumns({
-        "demand_share_pct": share(F.col("postings"), F.sum("postings").over(_ALL)), "postings_per_company": ratio(F.col("postings"), F.col("hiring_companies")),
+        "demand_share_pct": share(F.col("postings"), F.sum("postings").over(Window.partitionBy())), "postings_per_company": ratio(F.col("postings"), F.col("hiring_companies")),
         "demand_rank": F.rank().over(Window.orderBy(F.desc("postings"))),
     })
 
@@ -59,7 +58,7 @@ def company_insights(jobs: DataFrame) -> DataFrame:
 def geographic_distribution(jobs: DataFrame) -> DataFrame:
     out = jobs.groupBy("region", "governorate").agg(
         F.count("*").alias("postings"), F.count_distinct("city").alias("cities"), F.count_distinct("company_name").alias("hiring_companies"), _mean("salary_mid").alias("avg_salary_mid"), _remote().alias("remote_postings"))
-    return out.withColumn("postings_share_pct", share(F.col("postings"), F.sum("postings").over(_ALL)))
+    return out.withColumn("postings_share_pct", share(F.col("postings"), F.sum("postings").over(Window.partitionBy())))
 
 
 def hiring_trends(jobs: DataFrame) -> DataFrame:
