@@ -4,14 +4,17 @@ Two models of the bytes of a word, one learnt from toxic, one from ordinary labe
 bytes, the start of the word counts as bytes) uses the class's own counts with absolute discounting; lower orders are
 shared by both classes and are estimated, as in Kneser-Ney smoothing, from the number of different words in which a
 string occurs.  A rare or unseen expression so falls back on counts that don't depend on the class.  The difference of
-the two log-likelihoods of a word, length-normalised over windows of words and over the whole text, is turned into a
-score between 0 and 1 by a logistic function fitted to labelled training documents.
+the two log-likelihoods of a word, taken for single words and length-normalised over windows of words and over the whole
+text, is turned into a score between 0 and 1 by a logistic function.
 
-Counts run over the whole texts of all training documents.  The tables that go to the executors have a fixed number of
-hash slots.  The logistic function is fitted to at most ``fit_rows`` training documents, chosen by hash.
+One training document in ``CALIBRATION``, chosen by hash, is kept from the models, and the logistic function is fitted
+to these (at most ``fit_rows`` of them): differences of documents that the models were learnt from are far too large.
+Counts run over the whole texts of all other training documents.  The tables that go to the executors have a fixed
+number of hash slots.
 
 Null and empty texts, and texts without words, have the differences 0 and get the score that follows from these.  If
-the training rows lack one of the classes, all scores are 0.  Repeated document rows each get a row; repeated labels
+the training rows lack one of the classes, all scores are 0; if only those kept from the models lack one, the function
+is fitted to all training rows.  Repeated document rows each get a row; repeated labels
 count as often as they occur.
 """
 
@@ -21,6 +24,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +39,10 @@ DISCOUNT = 0.75
 #: Words of a window.
 WINDOW = 8
 FIT_ROWS = 50_000
-FEATURES = ("peak", "peaks", "mean")
+CALIBRATION = 5
+#: Different words whose mean difference is a feature.
+TOP_WORDS = 3
+FEATURES = ("word", "words", "peak", "peaks", "mean")
 
 _U = np.uint64
 _CLASSES = byte_classes("alnum")
@@ -185,15 +192,17 @@ def learn(train: DataFrame, slots: int = SLOTS) -> SpellingModels:
 
 
 def text_features(model: SpellingModels, texts: list[bytes]) -> np.ndarray:
-    """The largest difference per word in a window, the mean of the two largest in windows that don't overlap, and the
-    difference per word of the whole text, for each text."""
+    """For each text: the largest difference of a word, the mean of the TOP_WORDS largest of different words (0 for missing
+    ones), the largest difference per word in a window, the mean of the two largest in windows that don't overlap, and
+    the difference per word of the whole text."""
     words = words_of(texts, _CLASSES)
     out = np.zeros((len(texts), len(FEATURES)))
     if not len(words.hashes):
         return out
     _, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
     data = words.buffer.tobytes().lower()
-    ratio = model.ratios([data[words.starts[i] : words.ends[i]] for i in first.tolist()])[inverse]
+    by_word = model.ratios([data[words.starts[i] : words.ends[i]] for i in first.tolist()])
+    ratio = by_word[inverse]
     total = np.concatenate([[0.0], np.cumsum(ratio)])
     for k in range(len(texts)):
         a, b = int(words.first[k]), int(words.first[k + 1])
@@ -203,7 +212,8 @@ def text_features(model: SpellingModels, texts: list[bytes]) -> np.ndarray:
         means = (total[a + size : b + 1] - total[a : b + 1 - size]) / size
         top = int(means.argmax())
         rest = np.concatenate([means[: max(0, top - size + 1)], means[top + size :]])
-        out[k] = means[top], (means[top] + (rest.max() if len(rest) else 0.0)) / 2, (total[b] - total[a]) / (b - a)
+        largest = np.sort(by_word[np.unique(inverse[a:b])])[-TOP_WORDS:]
+        out[k] = largest[-1], largest.sum() / TOP_WORDS, means[top], (means[top] + (rest.max() if len(rest) else 0.0)) / 2, (total[b] - total[a]) / (b - a)
     return out
 
 
@@ -234,6 +244,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, penalty: float
     return w, mean, scale
 
 
+def _at_most(found: DataFrame, known: DataFrame, fit_rows: int) -> pd.DataFrame:
+    """Features and labels of about ``fit_rows`` labelled documents, chosen by hash, and never more than twice as many."""
+    part = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(min(1.0, fit_rows / max(1, known.count())) * (1 << 30))
+    return found.join(known.where(part), "id").select(*FEATURES, "toxic").limit(2 * fit_rows).toPandas()
+
+
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     limit: float = 0.3, slots: int = SLOTS, fit_rows: int = FIT_ROWS,
@@ -242,13 +258,14 @@ def toxicity_scores(
     held_out = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     known = labels.select(F.col(id_col).alias("id"), (F.col(label_col) == 1).alias("toxic")).where(F.col("toxic").isNotNull() & ~held_out)
-    model = learn(rows.join(known.hint("merge"), "id"), slots)  # one plan at every size
+    kept = F.pmod(F.xxhash64("id", F.lit("calibration")), F.lit(CALIBRATION)) == 0
+    model = learn(rows.join(known.where(~kept).hint("merge"), "id"), slots)  # one plan at every size
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)[id_col]
     found = stored(rows.mapInArrow(_score(sent), f"id {kind}, " + ", ".join(f"{f} double" for f in FEATURES)), "toxicity-features")
-    n = known.count()
-    part = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(min(1.0, fit_rows / max(1, n)) * (1 << 30))
-    sample = found.join(known.where(part), "id").select(*FEATURES, "toxic").limit(2 * fit_rows).toPandas()
+    sample = _at_most(found, known.where(kept), fit_rows)
+    if sample["toxic"].nunique() < 2:
+        sample = _at_most(found, known, fit_rows)
     score = F.lit(0.0)
     if sample["toxic"].nunique() == 2:
         w, mean, scale = fit_logistic(sample[list(FEATURES)].to_numpy(), sample["toxic"].to_numpy().astype(float))
