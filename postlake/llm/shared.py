@@ -30,11 +30,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy", options: dict[str, str] | None = None) -> DataFrame:
     """Writes the rows as Parquet into the shared folder and reads them back: what follows doesn't depend on
     executors that may be lost."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**(options or {})).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

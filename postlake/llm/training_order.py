@@ -27,6 +27,8 @@ from .shared import files, new_folder, put, stored
 LENGTH = 2048
 PER_SHARD = 2048
 ROUNDS = 4
+#: The table of sequences is written once and read once: larger pages, so that matches reach further back.
+PACKED = {"parquet.compression.codec.zstd.level": "6", "parquet.page.size": str(8 << 20)}
 
 _U = np.uint64
 _SEQUENCES = "part int, seq bigint, n_tokens int, doc_ids array<bigint>, data binary"
@@ -165,7 +167,7 @@ def training_shards(
     """Writes the shards; one row per sequence: slot, shard, byte_offset, part, seq, n_tokens (without filling), doc_ids."""
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "token-shards")
-    sequences = stored(docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_sequences(tokenizer_path, length), _SEQUENCES), "sequences", "zstd")
+    sequences = stored(docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_sequences(tokenizer_path, length), _SEQUENCES), "sequences", "zstd", PACKED)
     counts = {r.part: r.n for r in sequences.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row per task
     offsets, total = [], 0
     for part in sorted(counts):
