@@ -11,8 +11,11 @@
 3. Each coarse group goes into a prefix tree of its ordered sets.  A set is looked up by walking down the tree: the
    overlap with a path is counted once for all sets that share it, and a subtree is left when what remains of the set
    and of the longest set below can't reach the overlap needed, when no set below has a fitting size, or when all sets
-   below are already connected to it.  Groups over ``tile_bytes`` are cut by set size and hash into tiles, and every
-   pair of tiles with fitting sizes is joined.
+   below are already connected to it.
+   A group over ``tile_bytes`` is first dealt out by hash into single trees, ``SPREADS`` times over, which is work in
+   proportion to the group and already connects most copies of a text.  Of its shingles then only those count that sets
+   of different components share; the groups that these form are smaller or none.  What still is over ``tile_bytes`` is
+   cut by set size and hash into tiles, and every pair of tiles with fitting sizes is joined.
 4. Links, one for each set that a walk connects, give the components.
 
 Hashes have 64 bits; step 1 compares 33 bits and the range's, where a chance agreement only keeps a document for longer.
@@ -25,10 +28,11 @@ Rows without an id take part; a component without any id has a null component_id
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -40,8 +44,12 @@ WORDS = 5
 RANGE_TEXT_BYTES = 16 << 20
 #: Shingles per hash range of step 2.
 RANGE_SHINGLES = 1 << 21
-#: Bytes of ordered sets in one tree.
+#: Bytes of ordered sets and nodes in one tree.
 TILE_BYTES = 16 << 20
+#: Bytes of a set's nodes.
+NODE_BYTES = 1024
+#: Times that a group over TILE_BYTES is dealt out by hash before pairs of tiles are joined.
+SPREADS = 2
 
 _U = np.uint64
 _SPACE = byte_classes("space")
@@ -314,13 +322,14 @@ class PrefixTree:
         return out
 
 
-def tree_links(ids: list[int], sets: list[np.ndarray], sizes: list[int], sides: list[int] | None = None) -> list[tuple[int, int]]:
+def tree_links(ids: list[int], sets: list[np.ndarray], sizes: list[int], sides: list[int] | None = None, labels: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that connect what is similar: enough of them for the components.  With ``sides``, sets of one side aren't
-    compared with each other."""
-    if len(ids) < 2:
+    compared with each other; with ``labels``, sets of one label count as connected."""
+    label = np.unique(ids if labels is None else labels, return_inverse=True)[1]
+    if len(ids) < 2 or not label.any():
         return []
     tree = PrefixTree(sets, np.array(sizes))
-    label = np.arange(len(ids))  # by leaf
+    label = label[tree.order]  # by leaf
     side = np.array(sides)[tree.order] if sides is not None else None
     new = np.ones(len(ids), dtype=bool)
     names = np.array(ids)[tree.order]
@@ -345,32 +354,72 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> Iterator[pa.RecordBatch]:
         if len(held) > 1:
-            ids, sizes, sets, sides = zip(*held, strict=True)
-            links = tree_links(list(ids), list(sets), list(sizes), list(sides) if len(set(sides)) > 1 else None)
+            ids, sizes, sets, sides, labels = map(list, zip(*held, strict=True))
+            links = tree_links(ids, sets, sizes, sides if len(set(sides)) > 1 else None, labels)
             if links:
                 a, b = zip(*links, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     for batch in batches:
-        for own, rid, n, keys, side in zip(*(batch.column(c).to_pylist() for c in ("block", "rid", "n", "keys", "side")), strict=True):
+        for own, rid, n, keys, side, label in zip(*(batch.column(c).to_pylist() for c in ("block", "rid", "n", "keys", "side", "label")), strict=True):
             if own != block:
                 yield from flush()
                 block, held = own, []
-            held.append((rid, n, np.frombuffer(keys, dtype=np.uint64), side))
+            held.append((rid, n, np.frombuffer(keys, dtype=np.uint64), side, label))
     yield from flush()
 
 
+def _weight() -> Column:
+    return F.sum(F.octet_length("keys") + NODE_BYTES)
+
+
+def _by_weight(sets: DataFrame, tile_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(sets of groups that fit one tree, the other groups with what they weigh)"""
+    held = sets.groupBy("coarse").agg(_weight().alias("held"))
+    return sets.join(held.where(F.col("held") <= tile_bytes).select("coarse"), "coarse"), held.where(F.col("held") > tile_bytes)
+
+
+def _coarse(prefixes: DataFrame) -> DataFrame:
+    """(rid, coarse) for ``prefixes`` with rid, key and label: groups connected by keys that several labels share."""
+    spans = prefixes.groupBy("key").agg(F.min("rid").alias("low"), F.min("label").alias("first"), F.max("label").alias("last")).where("first < last").select("key", "low")
+    stars = components(prefixes.join(spans, "key").select(F.col("rid").alias("a"), F.col("low").alias("b")))
+    return stars.select(F.col("a").alias("rid"), F.col("b").alias("coarse")).unionByName(stars.select(F.col("b").alias("rid"), F.col("b").alias("coarse")).distinct())
+
+
+def _linked(blocks: DataFrame) -> DataFrame:
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.repartition(tasks, "block").sortWithinPartitions("block").mapInArrow(_trees, "a bigint, b bigint")
+
+
+def set_links(sets: DataFrame, prefixes: DataFrame, tile_bytes: int) -> DataFrame:
+    """Links (a, b) that give the components of ``sets`` (rid, n, keys), whose ``prefixes`` have rid and key."""
+    alone = F.col("rid").alias("label")
+    grouped = sets.select("*", alone).join(_coarse(prefixes.select("*", alone)), "rid")
+    small, over = _by_weight(grouped, tile_bytes)
+    if over.isEmpty():
+        return _linked(_blocks(grouped, tile_bytes))
+    large = stored(grouped.join(over, "coarse"), "large-groups")
+    links = []
+    for seed in range(SPREADS):
+        tile = F.pmod(F.xxhash64(F.lit(seed), F.col("rid")), F.ceil(F.col("held") / tile_bytes))
+        links.append(_linked(large.select(F.concat_ws("/", F.col("coarse").cast("string"), tile.cast("string")).alias("block"), "rid", "n", "keys", F.lit(0).alias("side"), "label")))
+    known = components(reduce(DataFrame.unionByName, links))
+    labels = large.select("rid").join(known.select(F.col("a").alias("rid"), F.col("b").alias("centre")), "rid", "left").select("rid", F.coalesce("centre", "rid").alias("label"))
+    labels = stored(labels, "known-labels")
+    rest = large.drop("coarse", "held", "label").join(labels, "rid").join(_coarse(prefixes.join(labels, "rid")), "rid")
+    fitting = small.select(F.col("coarse").cast("string").alias("block"), "rid", "n", "keys", F.lit(0).alias("side"), "label")
+    return known.select("a", "b").unionByName(_linked(fitting.unionByName(_blocks(rest, tile_bytes).withColumn("block", F.concat(F.lit("again/"), "block")))))
+
+
 def _blocks(sets: DataFrame, tile_bytes: int) -> DataFrame:
-    """``sets`` has rid, n, keys and the coarse group; the result has a block and a side for each tree a set goes to."""
+    """``sets`` has rid, n, keys, label and the coarse group; the result has a block and a side for each tree a set goes to."""
     sets = sets.withColumn("band", F.floor(F.log(1.25, F.col("n").cast("double")) + 1e-9))
-    held = sets.groupBy("coarse").agg(F.sum(F.octet_length("keys")).alias("held"))
-    small = sets.join(held.where(F.col("held") <= tile_bytes).select("coarse"), "coarse")
-    small = small.select(F.col("coarse").cast("string").alias("block"), "rid", "n", "keys", F.lit(0).alias("side"))
-    over = held.where(F.col("held") > tile_bytes)
+    small, over = _by_weight(sets, tile_bytes)
+    small = small.select(F.col("coarse").cast("string").alias("block"), "rid", "n", "keys", F.lit(0).alias("side"), "label")
     if over.isEmpty():
         return small
     large = sets.join(over.select("coarse"), "coarse")
-    tiles = stored(large.groupBy("coarse", "band").agg(F.ceil(F.sum(F.octet_length("keys")) / (tile_bytes / 2)).cast("int").alias("k")), "tiles")
+    tiles = stored(large.groupBy("coarse", "band").agg(F.ceil(_weight() / (tile_bytes / 2)).cast("int").alias("k")), "tiles")
     near = tiles.select("coarse", (F.col("band") + 1).alias("band"), F.col("k").alias("k_below"))
     far = tiles.select("coarse", (F.col("band") - 1).alias("band"), F.col("k").alias("k_above"))
     plan = tiles.join(near, ["coarse", "band"], "left").join(far, ["coarse", "band"], "left").na.fill(0, ["k_below", "k_above"])
@@ -382,14 +431,12 @@ def _blocks(sets: DataFrame, tile_bytes: int) -> DataFrame:
     within = F.transform(upto("k"), lambda j: F.struct(name(band, F.least(tile, j), band, F.greatest(tile, j)).alias("block"), (tile > j).cast("int").alias("side")))
     above = F.transform(upto("k_above"), lambda j: F.struct(name(band, tile, band + 1, j).alias("block"), F.lit(0).alias("side")))
     below = F.transform(upto("k_below"), lambda j: F.struct(name(band - 1, j, band, tile).alias("block"), F.lit(1).alias("side")))
-    spread = dealt.withColumn("to", F.explode(F.concat(within, above, below))).select("to.block", "rid", "n", "keys", "to.side")
+    spread = dealt.withColumn("to", F.explode(F.concat(within, above, below))).select("to.block", "rid", "n", "keys", "to.side", "label")
     return small.unionByName(spread)
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """One row per document row: ``id_col``, n_shingles, component_id (the least id that links lead to)."""
-    spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     repeated = not docs.groupBy(id_col).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull()).isEmpty()
     rid = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("none")), F.col(text_col)) if repeated else F.col(id_col).cast("long")
     rows = docs.select(rid.alias("rid"), F.col(text_col).cast("binary").alias("text"))
@@ -410,11 +457,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = stored(lists.select("rid", "n", "parts").mapInArrow(_ordered, "rid bigint, n bigint, keys binary"), "ordered-sets")
 
     prefixes = stored(sets.mapInArrow(_prefixes, "rid bigint, key bigint"), "prefixes")
-    lowest = prefixes.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high")).where("low < high").select("key", "low")
-    coarse = components(prefixes.join(lowest, "key").select(F.col("rid").alias("a"), F.col("low").alias("b")))
-    member = coarse.select(F.col("a").alias("rid"), F.col("b").alias("coarse")).unionByName(coarse.select(F.col("b").alias("rid"), F.col("b").alias("coarse")).distinct())
-    blocks = _blocks(sets.join(member, "rid"), tile_bytes).repartition(tasks, "block").sortWithinPartitions("block")
-    linked = components(blocks.mapInArrow(_trees, "a bigint, b bigint"))
+    linked = components(set_links(sets, prefixes, tile_bytes))
 
     labels = groups.join(linked.select(F.col("a").alias("rep"), F.col("b").alias("label")), "rep", "left").select("n", "d1", "d2", F.coalesce("label", "rep").alias("label"))
     out = stats.join(labels, ["n", "d1", "d2"], "left").select("rid", F.col("n").alias("n_shingles"), F.coalesce("label", "rid").alias("label"))

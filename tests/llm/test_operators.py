@@ -53,6 +53,30 @@ def test_join_against_brute_force(spark, tile_bytes):
     assert [(r.n_shingles, r.component_id) for r in got] == brute_components(texts)
 
 
+@pytest.mark.parametrize("tile_bytes", [6000, 40_000])
+def test_large_groups_in_small_tiles(spark, tile_bytes):
+    """Copies that drift away from one text: neighbours are similar, the ends aren't; tiles hold a few sets each."""
+    rng = np.random.default_rng(11)
+    texts = []
+    for start in range(3):
+        words = [f"g{start}x{k}" for k in range(90)]
+        for step in range(25):
+            texts.append(" ".join(words))
+            words[int(rng.integers(90))] = f"new{start}y{step}"
+            if step == 12:
+                words[20:50] = [f"cut{start}z{k}" for k in range(30)]
+    order = rng.permutation(len(texts))
+    texts = [texts[k] for k in order]
+    got = ngram_join.similar_components(table(spark, texts), tile_bytes=tile_bytes).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id) for r in got] == brute_components(texts)
+
+
+def test_labels_count_as_connected():
+    sets = [np.arange(20, dtype=np.uint64) + np.uint64(k) for k in range(3)]
+    assert ngram_join.tree_links([1, 2, 3], sets, [20] * 3, labels=[1, 1, 1]) == []
+    assert {frozenset(x) for x in ngram_join.tree_links([1, 2, 3], sets, [20] * 3, labels=[1, 1, 3])} & {frozenset((1, 3)), frozenset((2, 3))}
+
+
 def test_tree_finds_all_links():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 60, size=int(rng.integers(20, 60))).astype(np.uint64)) for _ in range(60)]
