@@ -15,7 +15,9 @@ from . import reference as ref
 from .functions import parse, text
 from .operators import clean, contract, load, quality, scd
 from .plans import marts, serving
+from .sources import files as file_source
 from .sources import pages as page_source
+from .streaming import incremental
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -374,13 +376,13 @@ _VERSIONS = """v AS (SELECT *, CAST(sum(CASE WHEN prev IS DISTINCT FROM event_ty
 @query(f"WITH {_VERSIONS} SELECT user_id, version, any_value(event_type) AS event_type, version = max(version) OVER (PARTITION BY user_id) AS is_current FROM v GROUP BY user_id, version")
 def scd2_dimension(s, d):
     rows = _table(s, d, "events").select("user_id", "event_type", "ts", "event_id")
-    dim, _ = scd.scd2_dimension(rows, "user_id", "event_type", ["ts", "event_id"], F.lit("2024-02-01").cast("date"))
+    dim, _ = scd.scd2_dimension(rows, "user_id", "event_type", ["ts", "event_id"], F.lit("2024-02-01").cast("date"), part=F.to_date("ts"))
     return dim.select("user_id", "version", "event_type", "is_current")
 
 
 @query(f"WITH {_VERSIONS} SELECT event_id, version FROM v")
 def scd2_fact_versions(s, d):
-    return scd.versions(_table(s, d, "events").select("user_id", "event_type", "ts", "event_id"), "user_id", "event_type", ["ts", "event_id"]).select("event_id", "version")
+    return scd.versions(_table(s, d, "events").select("user_id", "event_type", "ts", "event_id"), "user_id", "event_type", ["ts", "event_id"], F.to_date("ts")).select("event_id", "version")
 
 
 @query("""SELECT c_custkey, c_mktsegment, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to, is_current FROM (
@@ -490,3 +492,48 @@ def parse_embedded_json(s, d):
 def parse_listing_pages(s, d):
     """Adverts of stored pages, as an example of a selector table."""
     return page_source.parse_listing_pages(_table(s, d, "pages"), "ads", {"ads": {"card": "ad", "title": "ad"}}).select("page_id", "ordinal", "title")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CAST(i AS INT) AS _ordinal, o_orderkey % 10 = 7 AS _broken, o_orderpriority AS title, 'src' || CAST(o_orderkey % 4 AS VARCHAR) AS source, '2024-01-02' AS _date "
+       "FROM (SELECT *, unnest([0, 1]) AS i FROM orders WHERE o_orderkey % 10 <> 7) UNION ALL "
+       "SELECT NULL, NULL, TRUE, NULL, 'src' || CAST(o_orderkey % 4 AS VARCHAR), '2024-01-02' FROM orders WHERE o_orderkey % 10 = 7")
+def parse_bronze(s, d):
+    """A raw file of two records per order; every tenth is cut off."""
+    key = F.col("o_orderkey").cast("string")
+    record = F.struct(key.alias("job_id"), F.col("o_orderpriority").alias("title"))
+    value = F.to_json(F.array(record, record))
+    value = F.when(F.col("o_orderkey") % 10 == 7, "[{").otherwise(value)
+    path = F.concat(F.lit("raw/src"), (F.col("o_orderkey") % 4).cast("string"), F.lit("/2024-01-02/jobs_"), key, F.lit(".json"))
+    return file_source.parse_bronze(_table(s, d, "orders").select(value.alias("value"), path.alias("_file"))).select("job_id", "_ordinal", "_broken", "title", "source", "_date")
+
+
+@query("SELECT o_orderkey, o_orderpriority AS _file FROM orders WHERE o_orderpriority NOT IN (SELECT o_orderpriority FROM orders WHERE o_orderpriority < '3')")
+def new_files_only(s, d):
+    rows = _table(s, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("_file"))
+    log = rows.where(F.col("_file") < "3").select(F.col("_file").alias("file_path"))
+    return file_source.new_files_only(rows, log).select("o_orderkey", "_file")
+
+
+@query("SELECT o_orderpriority AS _file, count(*) AS records, count(*) FILTER (o_totalprice > 100000) AS valid, count(*) FILTER (NOT o_totalprice > 100000) AS quarantined FROM orders GROUP BY ROLLUP (o_orderpriority)")
+def run_report(s, d):
+    return file_source.run_report(_table(s, d, "orders").select(F.col("o_orderpriority").alias("_file"), (F.col("o_totalprice") > 100000).alias("is_valid")))
+
+
+@query("WITH dim AS (SELECT DISTINCT lower(p_type) AS skill_name FROM part WHERE p_partkey % 50 = 0) SELECT skill_name FROM dim UNION ALL "
+       "SELECT DISTINCT p_type FROM part WHERE lower(p_type) NOT IN (SELECT skill_name FROM dim)")
+def upsert_dim_skill(s, d):
+    part = _table(s, d, "part")
+    dim = part.where("p_partkey % 50 = 0").select(F.lower("p_type").alias("skill_name")).distinct()
+    return load.upsert_skill(dim, part.select(F.array("p_type").alias("skills")))
+
+
+@query("SELECT DISTINCT event_type AS source, CAST(user_id AS VARCHAR) AS job_id FROM events")
+def stream_drop_seen(s, d):
+    """Ids per source over two incremental runs of the file source, the second with the files that came after the first."""
+    events = _table(s, d, "events").select(F.col("event_type").alias("source"), F.col("user_id").cast("string").alias("job_id"), (F.col("event_id") % 2).alias("run"))
+    root = file_source.scratch(s, "stream")
+    for run in (0, 1):
+        events.where(F.col("run") == run).drop("run").write.mode("append").parquet(f"{root}/in")
+        fresh = s.readStream.schema("source string, job_id string").parquet(f"{root}/in")
+        incremental.run_available(incremental.drop_seen_stream(fresh), f"{root}/state", lambda df, n: df.write.mode("overwrite").parquet(f"{root}/out/batch={n}"))
+    return s.read.parquet(f"{root}/out").select("source", "job_id")

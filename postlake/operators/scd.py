@@ -6,27 +6,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def versions(rows: DataFrame, key: str, tracked: str, order: list[str]) -> DataFrame:
-    """Rows with ``version``, counted from 1 per key: a row whose tracked value differs from the one before opens the next."""
-    w = Window.partitionBy(key).orderBy(*order)
-    changed = (F.row_number().over(w) == 1) | ~F.col(tracked).eqNullSafe(F.lag(tracked).over(w))
-    return rows.withColumn("_changed", changed.cast("int")).withColumn("version", F.sum("_changed").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("_changed")
+def _numbered(rows: DataFrame, key: str, tracked: str, order: list[str], part: Column, base: Column) -> DataFrame:
+    """Rows with ``version`` (from the key's base on), ``_changed`` (1 where a version opens) and ``_last`` (the key's last
+    version).  ``part`` never falls along ``order``: windows run over the rows of a key and a part, and then over one row
+    per key and part, so that the rows of a frequent key are not one task's."""
+    inside = Window.partitionBy(key, "_part").orderBy(*order)
+    changed = (F.row_number().over(inside) > 1) & ~F.col(tracked).eqNullSafe(F.lag(tracked).over(inside))
+    marked = rows.withColumn("_part", part).withColumn("_inner", changed.cast("int")).withColumn("_begins", F.row_number().over(inside) == 1)
+    at = F.struct(*order)
+    parts = marked.groupBy(key, "_part").agg(
+        F.min_by(tracked, at).alias("_first"), F.max_by(tracked, at).alias("_end"), F.sum("_inner").alias("_within"), F.max(base).alias("_base"),
+    )
+    across, every = Window.partitionBy(key).orderBy("_part"), Window.partitionBy(key)
+    opens = (F.row_number().over(across) == 1) | ~F.col("_first").eqNullSafe(F.lag("_end").over(across))
+    parts = parts.withColumn("_opens", opens.cast("int")).withColumn("_upto", F.sum(F.col("_opens") + F.col("_within")).over(across) + F.greatest(F.max("_base").over(every) - 1, F.lit(0)))
+    parts = parts.select(F.col(key).alias("_k"), F.col("_part").alias("_p"), "_opens", (F.col("_upto") - F.col("_within")).alias("_start"), F.max("_upto").over(every).cast("int").alias("_last"))
+    joined = marked.join(parts, marked[key].eqNullSafe(parts["_k"]) & marked["_part"].eqNullSafe(parts["_p"]))
+    upto = F.sum("_inner").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    out = joined.withColumn("version", (F.col("_start") + upto).cast("int")).withColumn("_changed", F.when(F.col("_begins"), F.col("_opens")).otherwise(F.col("_inner")))
+    return out.drop("_part", "_inner", "_begins", "_k", "_p", "_opens", "_start")
+
+
+def versions(rows: DataFrame, key: str, tracked: str, order: list[str], part: Column | None = None) -> DataFrame:
+    """Rows with ``version``, counted from 1 per key: a row whose tracked value differs from the one before opens the next.
+    ``part`` (else the first column of ``order``) must not fall along ``order``, such as the day of a time."""
+    return _numbered(rows, key, tracked, order, F.col(order[0]) if part is None else part, F.lit(0)).drop("_changed", "_last")
 
 
-def scd2_dimension(rows: DataFrame, key: str, tracked: str, order: list[str], load_date: Column, current: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def scd2_dimension(
+    rows: DataFrame, key: str, tracked: str, order: list[str], load_date: Column, current: DataFrame | None = None, part: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(dimension, rows with their version).  ``current`` has key, tracked, valid_from, valid_to, is_current, version of earlier
-    loads.  Versions that this load closes and opens get ``load_date``."""
-    incoming = rows.select(key, tracked, F.struct(*order).alias("_at"), F.lit(1).alias("_new"), F.lit(0).alias("_base"), F.lit(None).cast("date").alias("_from"))
+    loads.  Versions that this load closes and opens get ``load_date``.  ``part`` is as in ``versions``."""
+    part = F.col(order[0]) if part is None else part
+    incoming = rows.select(key, tracked, F.struct(*order).alias("_at"), part.alias("_of"), F.lit(1).alias("_new"), F.lit(0).alias("_base"), F.lit(None).cast("date").alias("_from"))
     if current is not None:
-        last = current.where("is_current").select(key, tracked, F.lit(None).cast(incoming.schema["_at"].dataType).alias("_at"), F.lit(0).alias("_new"), F.col("version").alias("_base"), F.col("valid_from").alias("_from"))
+        none = lambda c: F.lit(None).cast(incoming.schema[c].dataType).alias(c)
+        last = current.where("is_current").select(key, tracked, none("_at"), none("_of"), F.lit(0).alias("_new"), F.col("version").alias("_base"), F.col("valid_from").alias("_from"))
         incoming = incoming.unionByName(last)
-    w = Window.partitionBy(key).orderBy("_new", "_at")
-    marked = incoming.withColumn("_changed", ((F.row_number().over(w) == 1) | ~F.col(tracked).eqNullSafe(F.lag(tracked).over(w))).cast("int"))
-    marked = marked.withColumn("version", (F.sum("_changed").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.greatest(F.max("_base").over(Window.partitionBy(key)) - 1, F.lit(0))).cast("int"))
-    first = marked.where("_changed = 1").withColumn("_next", F.lead(tracked).over(Window.partitionBy(key).orderBy("version")))
-    following = F.lead("version").over(Window.partitionBy(key).orderBy("version"))
-    dim = first.withColumn("_following", following).select(
-        key, tracked, F.coalesce("_from", load_date).alias("valid_from"), F.when(F.col("_following").isNotNull(), load_date).alias("valid_to"), F.col("_following").isNull().alias("is_current"), "version",
+    marked = _numbered(incoming, key, tracked, ["_new", "_at"], F.struct("_new", "_of"), F.col("_base"))
+    ends = F.col("version") < F.col("_last")
+    dim = marked.where("_changed = 1").select(
+        key, tracked, F.coalesce("_from", load_date).alias("valid_from"), F.when(ends, load_date).alias("valid_to"), (~ends).alias("is_current"), "version",
     )
     if current is not None:
         dim = current.where("not is_current").select(*dim.columns).unionByName(dim).unionByName(

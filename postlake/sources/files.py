@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +14,13 @@ from .. import reference as ref
 RECORD = T.StructType([T.StructField(c, T.StringType()) for c in ref.CONTRACT_FIELDS])
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder's name in the folder that the cluster shares (``spark.checkpoint.dir``); a temporary one where that is
+    unset, as in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}" if shared else f"{tempfile.mkdtemp(prefix='spark-scratch-')}/{label}"
+
+
 def scan_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Raw records of root/<source>/<date>/*.json with source, _date, _file and _ordinal; a broken file gives a row whose
     ``_broken`` is true and whose fields are null."""

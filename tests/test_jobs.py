@@ -127,3 +127,23 @@ def test_contract(spark):
     assert (row.title, row.company, row.location, row.salary, len(df.columns)) == ("Dev", "N/A", "N/A", "", 13)
     seen = contract.add_seen(df, df.select("source", "job_id").limit(0))
     assert contract.drop_seen(df, seen).count() == 0 and contract.drop_seen(df, seen, incremental=False).count() == 1
+
+
+def test_versions_over_parts(spark):
+    """A frequent key, a null key and null values against a walk over the rows; a load that goes on from the last version."""
+    rows = [(("hot" if k % 4 else None) if k % 3 else "b", ["x", None, "y", "x"][(k * k // 7) % 4], k // 9, k) for k in range(120)]
+    df = spark.createDataFrame(rows, "company string, raw string, file int, n int")
+    want, last = {}, {"hot": (1, "x")}
+    counts = {"hot": 1}
+    for company, raw, _, n in rows:
+        if company not in last or last[company][1] != raw:
+            counts[company] = counts.get(company, 0) + 1
+            last[company] = (counts[company], raw)
+        want[n] = counts[company]
+    old = spark.createDataFrame([("hot", "x", None, None, True, 1)], "company string, raw string, valid_from date, valid_to date, is_current boolean, version int")
+    dim, keyed = scd.scd2_dimension(df, "company", "raw", ["file", "n"], as_of(), old)
+    assert {r.n: r.version for r in keyed.where("company is not null").collect()} == {n: v for n, v in want.items() if rows[n][0] is not None}
+    assert {r.company: r.version for r in dim.where("is_current").collect()} == counts
+    assert dim.count() == sum(counts.values())
+    plain = {r.n: r.version for r in scd.versions(df.where("company is null"), "company", "raw", ["file", "n"]).collect()}
+    assert plain == {n: v for n, v in want.items() if rows[n][0] is None}
