@@ -519,11 +519,11 @@ def run_report(s, d):
     return file_source.run_report(_table(s, d, "orders").select(F.col("o_orderpriority").alias("_file"), (F.col("o_totalprice") > 100000).alias("is_valid")))
 
 
-@query("WITH dim AS (SELECT DISTINCT lower(p_type) AS skill_name FROM part WHERE p_partkey % 50 = 0) SELECT skill_name FROM dim UNION ALL "
+@query("WITH dim AS (SELECT DISTINCT lower(p_type) AS skill_name FROM part WHERE p_type < 'M') SELECT skill_name FROM dim UNION ALL "
        "SELECT DISTINCT p_type FROM part WHERE lower(p_type) NOT IN (SELECT skill_name FROM dim)")
 def upsert_dim_skill(s, d):
     part = _table(s, d, "part")
-    dim = part.where("p_partkey % 50 = 0").select(F.lower("p_type").alias("skill_name")).distinct()
+    dim = part.where("p_type < 'M'").select(F.lower("p_type").alias("skill_name")).distinct()
     return load.upsert_skill(dim, part.select(F.array("p_type").alias("skills")))
 
 
