@@ -7,6 +7,10 @@ along the page and split into two clusters by an iterated threshold.  The region
 else the body) whose lines hold most of the smoothed ratio above the threshold; all its lines are returned, the short
 ones too, because a paragraph of one word is still a paragraph.
 
+A class or id that names a notice drops its element, unless an article or main opens in it or it holds more than half
+of the page's text: then it is a wrapper such as "layout has-sidebar".  A head ends with its end tag, with <body> or with
+the first content that no head can hold.
+
 Null and empty pages give an empty text.  Unclosed elements end with their parents.  Nothing is capped.
 """
 
@@ -31,6 +35,8 @@ _NOTICE = frozenset(
     "menu nav navbar navigation navigational breadcrumb breadcrumbs footer masthead toolbar pagination pager share sharing social newsletter subscribe "
     "subscription related recommended comments comment disqus replies respond login signup widget".split()
 )
+#: What a head can hold; anything else ends it.
+_HEAD = frozenset("base link meta title style script noscript template".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 #: End tags that a start tag implies: a new item or cell ends the last one, a block ends a paragraph.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
@@ -38,13 +44,16 @@ _SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Collects [container, text parts, tags] for each line of a page."""
+    """Collects [container, text parts, tags, notice] for each line of a page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, skipped, container
+        self.stack: list[tuple[str, bool, int, int]] = []  # tag, skipped, container, notice
+        self.at: dict[str, list[int]] = {}  # places in the stack by tag
         self.lines: list[list] = []
         self.kinds: list[str] = ["body"]
+        self.notices: list[int] = [0]  # the notice around each notice; 0 is none
+        self.holding: set[int] = set()  # notices in which an article or main opens
         self.open: list | None = None
         self.tags = 0
 
@@ -54,37 +63,53 @@ class Lines(HTMLParser):
             self.tags = 0
         self.open = None
 
-    def _state(self) -> tuple[bool, int]:
-        return self.stack[-1][1:] if self.stack else (False, 0)
+    def _state(self) -> tuple[bool, int, int]:
+        return self.stack[-1][1:] if self.stack else (False, 0, 0)
+
+    def _cut(self, place: int) -> None:
+        """Ends the elements from this place of the stack on."""
+        while len(self.stack) > place:
+            self.at[self.stack.pop()[0]].pop()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
+        if self.at.get("head") and (tag == "body" or (self.stack[-1][0] == "head" and tag not in _HEAD)):
+            self._break()
+            self._cut(self.at["head"][-1])
         if tag in _BLOCK:
             self._break()
             ends = _CLOSES.get(tag, {"p"})
             if self.stack and self.stack[-1][0] in ends:
-                self.stack.pop()
+                self._cut(len(self.stack) - 1)
         if tag in _VOID:
             if tag == "br":
                 self.handle_data(" ")
             return
-        skipped, container = self._state()
+        skipped, container, notice = self._state()
         if tag in ("article", "main", "section", "body") and not skipped:
             self.kinds.append(tag)
             container = len(self.kinds) - 1 if tag != "section" else container
-        skipped = skipped or tag in _SKIP or (tag == "header" and not self._in("article")) or self._is_notice(tag, dict(attrs))
-        if len(self.stack) < 10_000:
-            self.stack.append((tag, skipped, container))
+            around = notice
+            while tag in ("article", "main") and around and around not in self.holding:
+                self.holding.add(around)
+                around = self.notices[around]
+        skipped = skipped or tag in _SKIP or (tag == "header" and not self.at.get("article")) or self._is_hidden(tag, dict(attrs))
+        if not skipped and self._is_notice(tag, dict(attrs)):
+            self.notices.append(notice)
+            notice = len(self.notices) - 1
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, skipped, container, notice))
 
-    def _in(self, tag: str) -> bool:
-        return any(t == tag for t, _, _ in self.stack)
+    @staticmethod
+    def _is_hidden(tag: str, attrs: dict) -> bool:
+        if tag in ("html", "body", "article", "main"):
+            return False
+        return (attrs.get("role") or "").lower() in _ROLES or attrs.get("hidden", "no") != "no" or (attrs.get("aria-hidden") or "") == "true"
 
     @staticmethod
     def _is_notice(tag: str, attrs: dict) -> bool:
         if tag in ("html", "body", "article", "main"):
             return False
-        if (attrs.get("role") or "").lower() in _ROLES or attrs.get("hidden", "no") != "no" or (attrs.get("aria-hidden") or "") == "true":
-            return True
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
         return bool(names.strip()) and any(w in _NOTICE for w in re.split(r"[^a-z]+", names))
 
@@ -92,26 +117,42 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in _BLOCK:
             self._break()
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                break
-            if self.stack[k][0] in ("article", "body", "table") and tag not in ("article", "main", "body", "html", "table"):
-                break
+        if not self.at.get(tag):
+            return
+        place = self.at[tag][-1]
+        walls = () if tag in ("article", "main", "body", "html", "table") else ("article", "body", "table")
+        if all(not self.at.get(w) or self.at[w][-1] < place for w in walls):
+            self._cut(place)
 
     def handle_data(self, data: str) -> None:
-        skipped, container = self._state()
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self._cut(len(self.stack) - 1)
+        skipped, container, notice = self._state()
         if skipped or not data:
             return
         if self.open is None:
             if not data.strip():
                 return
-            self.open = [container, [], 0]
+            self.open = [container, [], 0, notice]
             self.lines.append(self.open)
         self.open[1].append(data)
         self.open[2] += self.tags
         self.tags = 0
 
+    def page_lines(self) -> list[tuple[int, str, int]]:
+        """Container, text and tags of the lines that no notice drops."""
+        made = [(line, text) for line in self.lines if (text := _SPACE.sub(" ", "".join(line[1])).strip())]
+        held = [0] * len(self.notices)
+        for line, text in made:
+            held[line[3]] += len(text)
+        total = sum(held)
+        for k in range(len(held) - 1, 0, -1):  # a notice has a larger number than the one around it
+            held[self.notices[k]] += held[k]
+        dropped = [False]
+        for k in range(1, len(held)):
+            dropped.append(dropped[self.notices[k]] or (k not in self.holding and 2 * held[k] <= total))
+        return [(line[0], text, line[2]) for line, text in made if not dropped[line[3]]]
+
 
 def smoothed(values: list[float], sigma: float = 2.0) -> list[float]:
     """Gaussian smoothing; at the ends the weights that remain are scaled to one."""
@@ -146,7 +187,7 @@ def main_text(html: str | None, sigma: float = 2.0) -> str:
     parser = Lines()
     parser.feed(html)
     parser.close()
-    lines = [(c, text, tags) for c, parts, tags in parser.lines if (text := _SPACE.sub(" ", "".join(parts)).strip())]
+    lines = parser.page_lines()
     if not lines:
         return ""
     ratios = smoothed([len(text) / max(1, tags) for _, text, tags in lines], sigma)

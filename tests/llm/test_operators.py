@@ -120,6 +120,18 @@ def test_main_text():
     assert html_text.main_text(None) == html_text.main_text("") == ""
 
 
+def test_main_text_of_wrapped_pages():
+    article = "<article><h1>Title</h1><p>Some words of the article.</p></article>"
+    for names in ("layout has-sidebar", "no-sidebar", "widget-area", "page-with-menu"):
+        assert html_text.main_text(f'<body><div class="{names}">{article}<div class="sidebar">side</div></div></body>') == "Title\nSome words of the article."
+        assert html_text.main_text(f'<body><div class="{names}"><p>Some words of the page.</p></div><div class="ad">buy</div></body>') == "Some words of the page."
+    for head in ("<head><title>t</title><body>", "<head><meta charset=x><title>t</title>", "<html><head><style>b{}</style><body class=x>"):
+        assert html_text.main_text(head + article) == "Title\nSome words of the article."
+    assert html_text.main_text("<head><title>t</title>Plain words.") == "Plain words."
+    deep = "<b>" * 12_000 + "<aside>side</aside><nav>menu</nav><script>x</script>"
+    assert html_text.main_text(f"<body><article><p>Before.</p><div>{deep}</div><p>After.</p></article>") == "Before.\nAfter."
+
+
 def test_permutation_and_shards(spark):
     for n in (1, 2, 7, 1000):
         assert sorted(training_order.permute(np.arange(n), n, 5).tolist()) == list(range(n))
