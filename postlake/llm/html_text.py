@@ -3,9 +3,14 @@
 The standard library's parser turns a page into lines: text between block-level tags, each with the tags met in it.
 Elements that never hold article text (menus, headers, footers, forms, scripts, elements whose class or id names an
 advert, a notice, a side bar or reader comments) give no lines.  A line's ratio is its characters to its tags; ratios are smoothed with a Gaussian
-along the page and split into two clusters by an iterated threshold.  The region is the container (article, main, or
-else the body) whose lines hold most of the smoothed ratio above the threshold; all its lines are returned, the short
-ones too, because a paragraph of one word is still a paragraph.
+along the page and split into two clusters by an iterated threshold.
+
+The container is an article or main if there is one with text (the one with most text in the high cluster, also if that
+is none), else the body.  Inside an article, all lines are kept except runs of at least LINK_RUN link lines (most of
+their text is in links) whose smoothed ratios are low: a paragraph of one word is still a paragraph.  In a body, the
+lines of the high cluster that aren't link lines of a low ratio of their own form regions; a region grows over the
+paragraphs, headings, items and cells beside it, and two of them over what lies between them if no link line does; what
+lies in none is dropped.  If nothing is high but links, they stay.
 
 A class or id that names a notice drops its element, unless an article or main opens in it or it holds more than half
 of the page's text: then it is a wrapper such as "layout has-sidebar".  A head ends with its end tag, with <body> or with
@@ -40,11 +45,15 @@ _HEAD = frozenset("base link meta title style script noscript template".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 #: End tags that a start tag implies: a new item or cell ends the last one, a block ends a paragraph.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
+#: Blocks over which a region of a body grows.
+_TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt td th figcaption caption".split())
+#: Link lines in a row that are a list of links inside an article.
+LINK_RUN = 3
 _SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Collects [container, text parts, tags, notice] for each line of a page."""
+    """Collects [container, text parts, tags, notice, block, characters in links] for each line of a page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -56,6 +65,7 @@ class Lines(HTMLParser):
         self.holding: set[int] = set()  # notices in which an article or main opens
         self.open: list | None = None
         self.tags = 0
+        self.link = False
 
     def _break(self) -> None:
         if self.open is not None:
@@ -81,6 +91,8 @@ class Lines(HTMLParser):
             ends = _CLOSES.get(tag, {"p"})
             if self.stack and self.stack[-1][0] in ends:
                 self._cut(len(self.stack) - 1)
+        if tag == "a":
+            self.link = any(name == "href" for name, _ in attrs)
         if tag in _VOID:
             if tag == "br":
                 self.handle_data(" ")
@@ -88,7 +100,7 @@ class Lines(HTMLParser):
         skipped, container, notice = self._state()
         if tag in ("article", "main", "section", "body") and not skipped:
             self.kinds.append(tag)
-            container = len(self.kinds) - 1 if tag != "section" else container
+            container = {"section": container, "body": 0}.get(tag, len(self.kinds) - 1)
             around = notice
             while tag in ("article", "main") and around and around not in self.holding:
                 self.holding.add(around)
@@ -117,6 +129,8 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in _BLOCK:
             self._break()
+        if tag in _BLOCK or tag == "a":
+            self.link = False
         if not self.at.get(tag):
             return
         place = self.at[tag][-1]
@@ -133,14 +147,16 @@ class Lines(HTMLParser):
         if self.open is None:
             if not data.strip():
                 return
-            self.open = [container, [], 0, notice]
+            block = next((t for t, *_ in reversed(self.stack[-8:]) if t in _BLOCK), "")
+            self.open = [container, [], 0, notice, block, 0]
             self.lines.append(self.open)
         self.open[1].append(data)
+        self.open[5] += len(data.strip()) if self.link else 0
         self.open[2] += self.tags
         self.tags = 0
 
-    def page_lines(self) -> list[tuple[int, str, int]]:
-        """Container, text and tags of the lines that no notice drops."""
+    def page_lines(self) -> list[tuple[int, str, int, str, bool]]:
+        """Container, text, tags, block and whether most of it is links, of the lines that no notice drops."""
         made = [(line, text) for line in self.lines if (text := _SPACE.sub(" ", "".join(line[1])).strip())]
         held = [0] * len(self.notices)
         for line, text in made:
@@ -151,7 +167,7 @@ class Lines(HTMLParser):
         dropped = [False]
         for k in range(1, len(held)):
             dropped.append(dropped[self.notices[k]] or (k not in self.holding and 2 * held[k] <= total))
-        return [(line[0], text, line[2]) for line, text in made if not dropped[line[3]]]
+        return [(line[0], text, line[2], line[4], 2 * line[5] > len(text)) for line, text in made if not dropped[line[3]]]
 
 
 def smoothed(values: list[float], sigma: float = 2.0) -> list[float]:
@@ -190,16 +206,51 @@ def main_text(html: str | None, sigma: float = 2.0) -> str:
     lines = parser.page_lines()
     if not lines:
         return ""
-    ratios = smoothed([len(text) / max(1, tags) for _, text, tags in lines], sigma)
+    own = [len(text) / max(1, tags) for _, text, tags, _, _ in lines]
+    ratios = smoothed(own, sigma)
     limit = threshold(ratios)
-    weight: dict[int, float] = {}
-    for (container, text, _), ratio in zip(lines, ratios, strict=True):
-        if ratio >= limit:
-            weight[container] = weight.get(container, 0.0) + len(text)
-    kinds = parser.kinds
-    named = {c for c in weight if kinds[c] in ("article", "main")}
-    best = max(named or set(weight), key=lambda c: (weight[c], -c))
-    return "\n".join(text for container, text, _ in lines if container == best)
+    high = [ratio >= limit for ratio in ratios]
+    weight: dict[int, list[int]] = {}
+    for (container, text, *_), above in zip(lines, high, strict=True):
+        have = weight.setdefault(container, [0, 0])
+        have[0] += len(text) * above
+        have[1] += len(text)
+    named = [c for c in weight if parser.kinds[c] != "body"]
+    best = max(named or weight, key=lambda c: (weight[c], -c))
+    inside = [k for k, line in enumerate(lines) if line[0] == best]
+    links = [lines[k][4] for k in inside]
+    if named:
+        kept = _without_link_runs(links, [high[k] for k in inside])
+    else:
+        core = [high[k] and not (link and own[k] < limit) for k, link in zip(inside, links, strict=True)]
+        kept = _regions(core, [lines[k][3] in _TEXT_BLOCKS and not link for k, link in zip(inside, links, strict=True)], links)
+    return "\n".join(lines[k][1] for k, keep in zip(inside, kept, strict=True) if keep or not any(kept))
+
+
+def _without_link_runs(links: list[bool], high: list[bool]) -> list[bool]:
+    """Which lines stay when runs of at least LINK_RUN low link lines go."""
+    kept = [True] * len(links)
+    begin = 0
+    for k in range(len(links) + 1):
+        if k == len(links) or not links[k] or high[k]:
+            if k - begin >= LINK_RUN:
+                kept[begin:k] = [False] * (k - begin)
+            begin = k + 1
+    return kept
+
+
+def _regions(core: list[bool], text: list[bool], links: list[bool]) -> list[bool]:
+    """The core lines, the text lines that join them without a gap, and gaps without link lines."""
+    kept = list(core)
+    for order in (range(1, len(kept)), range(len(kept) - 2, -1, -1)):
+        for k in order:
+            kept[k] = kept[k] or (text[k] and kept[k - order.step])
+    last = None
+    for k in [k for k, keep in enumerate(kept) if keep]:
+        if last is not None and not any(links[last + 1 : k]):
+            kept[last:k] = [True] * (k - last)
+        last = k
+    return kept
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", sigma: float = 2.0) -> DataFrame:

@@ -132,6 +132,28 @@ def test_main_text_of_wrapped_pages():
     assert html_text.main_text(f"<body><article><p>Before.</p><div>{deep}</div><p>After.</p></article>") == "Before.\nAfter."
 
 
+def test_main_text_by_ratios():
+    menu = "".join(f'<div><a href="/{k}">Link {k}</a></div>' for k in range(8))
+    plain = "".join(f"<div><span>Item</span> <span>{k}</span></div>" for k in range(8))
+    texts = ["A title", *(f"Paragraph {k} has " + "quite a few words " * 12 + "in it." for k in range(4)), "Short.", "The last of them " * 15 + "ends."]
+    body = f"<h2>{texts[0]}</h2>" + "".join(f"<p>{t}</p>" for t in texts[1:])
+    for page in (f"<body><div>{menu}</div><div>{body}</div><div>{menu}</div></body>", f"{plain}{menu}<div>{body}</div>{menu}{plain}", f"<body>{body}</body>"):
+        got = html_text.main_text(page, 0.5).split("\n")
+        assert got == texts
+        got = html_text.main_text(page).split("\n")
+        assert [t for t in got if t in texts] == texts and not any(t.startswith("Link") for t in got)
+    alone = "lonely words " * 15 + "end."
+    page = f"<body>{plain}<div>{alone}</div>{plain}{menu}{body}</body>"
+    assert html_text.main_text(page, 0.5).split("\n") == [alone, *texts] and alone not in html_text.main_text(page, 4.0)
+    assert html_text.main_text(f"<body>{menu}<div>{alone}</div><div>Few.</div><div>{alone}</div>{menu}</body>", 0.5).split("\n") == [alone, "Few.", alone]
+    assert html_text.threshold([1.0, 1.0, 9.0, 9.0]) == 5.0
+    long = "".join(f"<div>{'unmarked block of text ' * 40}</div>" for _ in range(9))
+    short = "<article><h1>Title</h1><p>Few <b>words</b>.</p><p>Be.</p></article>"
+    assert html_text.main_text(f"<body>{short}{menu}{menu}{long}</body>") == "Title\nFew words.\nBe."
+    assert html_text.main_text(f"<body><article>{body}{menu}{menu}</article></body>").split("\n")[: len(texts)] == texts
+    assert html_text.main_text(f"<body><article>{body}{menu}{menu}</article></body>", 0.5).split("\n") == texts
+
+
 def test_permutation_and_shards(spark):
     for n in (1, 2, 7, 1000):
         assert sorted(training_order.permute(np.arange(n), n, 5).tolist()) == list(range(n))
