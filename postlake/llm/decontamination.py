@@ -5,7 +5,8 @@ consecutive words of an item; an item of fewer words, but not none, is one windo
 sent to the executors in blocks of bounded size; one pass over the documents' rolling hashes finds possible hits for a
 block, and each is verified word by word.  Documents are never shuffled.
 
-Null and empty texts have no words: nothing is hit.  Repeated item ids count once.  Repeated document rows each get their
+Null and empty texts have no words: nothing is hit.  Repeated item ids count once.  Items without an id hit like others:
+together they are one item in n_items, the null in hit_items, and add no name to items_sha256.  Repeated document rows each get their
 own result row.  An empty benchmark hits nothing.  Other columns of the documents are kept as they are; result columns
 replace columns of the same name.
 """
@@ -33,8 +34,8 @@ _SPAN = "array<struct<start:bigint,end:bigint>>"
 class WindowSet:
     """Hashes of benchmark windows by length, with the words to verify a hit."""
 
-    def __init__(self, items: list[tuple[str, str | None]], size: int):
-        found: dict[int, dict[int, list[tuple[bytes, str]]]] = defaultdict(lambda: defaultdict(list))
+    def __init__(self, items: list[tuple[str | None, str | None]], size: int):
+        found: dict[int, dict[int, list[tuple[bytes, str | None]]]] = defaultdict(lambda: defaultdict(list))
         texts = [(t or "").encode() for _, t in items]
         words = words_of(texts, byte_classes("alnum"))
         for k, (item, _) in enumerate(items):
@@ -50,11 +51,11 @@ class WindowSet:
                     found[n][h].append(entry)
         self.sizes = {n: (np.array(sorted(by), dtype=np.uint64), dict(by)) for n, by in found.items()}
 
-    def hits(self, texts: list[bytes]) -> tuple[np.ndarray, dict[int, list[tuple[int, int]]], dict[int, set[str]]]:
+    def hits(self, texts: list[bytes]) -> tuple[np.ndarray, dict[int, list[tuple[int, int]]], dict[int, set[str | None]]]:
         """Words per text, and of texts with hits the word ranges and the items."""
         words = words_of(texts, byte_classes("alnum"))
         ranges: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        items: dict[int, set[str]] = defaultdict(set)
+        items: dict[int, set[str | None]] = defaultdict(set)
         for n, (known, by) in self.sizes.items():
             hashes, at = window_hashes(words, n)
             place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
@@ -94,7 +95,7 @@ def _scan(windows: WindowSet, schema: pa.Schema, text_col: str):
                 for k, more in ranges.items():
                     old = [(x["start"], x["end"]) for x in spans[a + k] or []]
                     spans[a + k] = [{"start": s, "end": e} for s, e in merged(old + more)]
-                    found[a + k] = sorted({*(found[a + k] or []), *items[k]})
+                    found[a + k] = sorted({*(found[a + k] or []), *items[k]}, key=lambda x: (x is None, x or ""))
             new = {"n_words": n_words, "hit_spans": spans, "hit_items": found}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name).cast(f.type) for f in schema],
@@ -112,14 +113,14 @@ def contamination(
     contaminated.  The benchmark is read in as many blocks as its size asks for, each within ``block_bytes``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item is not null")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-2 * total // block_bytes) if total > block_bytes else 1)
     made = ["n_words", "hit_spans", "hit_items", "n_hit", "n_items", "items_sha256", "contaminated"]
     out = docs.drop(*made).withColumns({"n_words": F.lit(0).cast("long"), "hit_spans": F.lit(None).cast(_SPAN), "hit_items": F.lit(None).cast("array<string>")})
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out.schema])
     for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).collect()
+        block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
         windows = WindowSet([(r.item, r.text) for r in block], size)
         out = out.mapInArrow(_scan(windows, to_arrow_schema(schema), text_col), schema)
     n_hit = F.aggregate(F.coalesce("hit_spans", F.array().cast(_SPAN)), F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlake.llm import queries
+from postlake.llm.decontamination import contamination
 
 CLASHING = ("rid", "id", "key", "n", "part", "label", "bucket", "kept", "target", "score", "mix_topic", "selected", "word", "block", "slot", "component_id", "contaminated")
 COUNTED = {"op5_training_order", "pipeline"}
@@ -59,6 +60,24 @@ def test_nulls_and_clashing_columns(spark, filled, name):
         assert len(rows) == (5 if name in ("op1_warc", "op2_html_extraction") else 10)
 
 
+def test_benchmark_items_without_id(spark, filled, tmp_path):
+    import duckdb
+
+    got = [r for r in queries.QUERIES["op9_decontamination"](spark, filled).collect() if r.doc_id is None]
+    assert sorted((r.n_words, r.n_hit, r.n_items, r.contaminated) for r in got) == [(0, 0, 0, False), (3, 3, 1, True)]
+    items = [(None, "no id here"), (None, "other words here"), (7, "no id here"), (8, None)]
+    docs = [(1, "so no id here"), (2, "other words here, no id here"), (3, "nothing"), (4, "other words here"), (5, None)]
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = sorted(con.execute(queries.ORACLE_SQL["op9_decontamination"]).fetchall())
+    assert sorted(tuple(r) for r in queries.QUERIES["op9_decontamination"](spark, str(tmp_path)).collect()) == want
+    made = contamination(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/benchmark.parquet"), block_bytes=1)
+    assert sorted(tuple(r) for r in made.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()) == want
+
+
 def test_stages_return_the_columns_of_documents(spark, filled):
     pipeline = importlib.import_module("corpus_pipeline")
     docs = spark.read.parquet(f"{filled}/documents.parquet")
