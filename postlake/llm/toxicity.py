@@ -9,8 +9,9 @@ text, is turned into a score between 0 and 1 by a logistic function.
 
 One training document in ``CALIBRATION``, chosen by hash, is kept from the models, and the logistic function is fitted
 to these (at most ``fit_rows`` of them): differences of documents that the models were learnt from are far too large.
-Counts run over the whole texts of all other training documents.  The tables that go to the executors have a fixed
-number of hash slots.
+Counts run over the whole texts of all other training documents.  The tables that go to the executors hold every
+string that was counted under the string itself, so they grow with the number of different strings and none shares
+another's counts.
 
 Null and empty texts, and texts without words, have the differences 0 and get the score that follows from these.  If
 the training rows lack one of the classes, all scores are 0; if only those kept from the models lack one, the function
@@ -30,11 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stored
-from .words import byte_classes, chunks, mix, words_of
+from .words import byte_classes, chunks, words_of
 
 ORDER = 6
-#: Slots of each table of the models, a power of two.
-SLOTS = 1 << 20
 DISCOUNT = 0.75
 #: Words of a window.
 WINDOW = 8
@@ -77,10 +76,6 @@ def tail(grams: np.ndarray, order: int) -> np.ndarray:
     return grams & _U((1 << (8 * order)) - 1)
 
 
-def slot(values: np.ndarray, slots: int) -> np.ndarray:
-    return (mix(values + _U(0x632BE59BD9B4E019)) & _U(slots - 1)).astype(np.int64)
-
-
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words with their numbers in toxic and in ordinary texts."""
     held: list[Counter] = [Counter(), Counter()]
@@ -126,69 +121,75 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), order, dtype=np.int32)), pa.array(own.view(np.int64)), pa.array(t), pa.array(o)], names=["order", "gram", "toxic", "ordinary"])
 
 
-def _slots_of(slots: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            order = batch.column(0).to_numpy()
-            gram = batch.column(1).to_numpy().view(_U)
-            toxic, ordinary = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(order), pa.array(slot(gram, slots)), pa.array(slot(gram >> _U(8), slots)), pa.array(toxic), pa.array(ordinary)], names=["order", "slot", "context", "toxic", "ordinary"])
+class Table:
+    """Numbers by string: the strings in order, and a row of numbers for each kind of number."""
 
-    return run
+    def __init__(self, keys: np.ndarray, *rows: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.rows = keys[order], [row[order] for row in rows]
+
+    def __call__(self, keys: np.ndarray) -> list[np.ndarray]:
+        """The numbers of these strings, 0 for unknown ones."""
+        if not len(self.keys):
+            return [np.zeros(len(keys), dtype=np.int64) for _ in self.rows]
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = self.keys[at] == keys
+        return [np.where(known, row[at], 0) for row in self.rows]
 
 
 class SpellingModels:
-    """Counts by slot: ``top`` and ``context`` by class, ``kinds`` (different continuations of a context) by class, and
-    the shared ``low``, ``low_context`` and ``low_kinds`` for each lower order."""
+    """``top`` has the counts of strings of ORDER bytes in ordinary and in toxic texts; ``context`` those of their contexts
+    and the numbers of different continuations, by class.  ``low`` and ``low_context`` have for each lower order the
+    counts of strings, and the counts and continuations of contexts."""
 
-    def __init__(self, slots: int = SLOTS):
-        self.slots = slots
-        self.top, self.context, self.kinds = (np.zeros((2, slots), dtype=np.float32) for _ in range(3))
-        self.low, self.low_context, self.low_kinds = (np.zeros((ORDER, slots), dtype=np.float32) for _ in range(3))
+    def __init__(self, top: Table, context: Table, low: dict[int, Table], low_context: dict[int, Table]):
+        self.top, self.context, self.low, self.low_context = top, context, low, low_context
 
     def ratios(self, words: list[bytes]) -> np.ndarray:
         """log p(word | toxic) - log p(word | ordinary)."""
-        grams, word = spelled(words)
+        every, word = spelled(words)
+        grams, inverse = np.unique(every, return_inverse=True)
         shared = np.full(len(grams), 1 / 256)
         for order in range(1, ORDER):
             g = tail(grams, order)
-            at, ctx = slot(g, self.slots), slot(g >> _U(8), self.slots)
-            n = np.maximum(self.low_context[order][ctx], 1e-9)
-            known = self.low_context[order][ctx] > 0
-            own = np.maximum(self.low[order][at] - DISCOUNT, 0) / n + DISCOUNT * np.minimum(self.low_kinds[order][ctx], n) / n * shared
-            shared = np.where(known, own, shared)
+            (count,), (n, kinds) = self.low[order](g), self.low_context[order](g >> _U(8))
+            some = np.maximum(n, 1)
+            own = np.maximum(count - DISCOUNT, 0) / some + DISCOUNT * kinds / some * shared
+            shared = np.where(n > 0, own, shared)
         logs = []
-        at, ctx = slot(grams, self.slots), slot(grams >> _U(8), self.slots)
+        counts, contexts = self.top(grams), self.context(grams >> _U(8))
         for kind in (0, 1):
-            n = np.maximum(self.context[kind][ctx], 1e-9)
-            own = np.maximum(self.top[kind][at] - DISCOUNT, 0) / n + DISCOUNT * np.minimum(self.kinds[kind][ctx], n) / n * shared
-            logs.append(np.log(np.where(self.context[kind][ctx] > 0, np.maximum(own, 1e-12), np.maximum(shared, 1e-12))))
-        return np.bincount(word, weights=logs[1] - logs[0], minlength=len(words))
+            n, kinds = contexts[kind], contexts[2 + kind]
+            some = np.maximum(n, 1)
+            own = np.maximum(counts[kind] - DISCOUNT, 0) / some + DISCOUNT * kinds / some * shared
+            logs.append(np.log(np.where(n > 0, np.maximum(own, 1e-12), np.maximum(shared, 1e-12))))
+        return np.bincount(word, weights=(logs[1] - logs[0])[inverse], minlength=len(words))
 
 
-def learn(train: DataFrame, slots: int = SLOTS) -> SpellingModels:
+def learn(train: DataFrame) -> SpellingModels:
     """``train`` has text (binary) and toxic (boolean)."""
     words = train.select("text", "toxic").mapInArrow(_word_counts, "word binary, toxic bigint, ordinary bigint")
     words = stored(words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "words")
     grams = words.mapInArrow(_gram_counts, "order int, gram bigint, toxic bigint, ordinary bigint")
-    grams = grams.groupBy("order", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    placed = stored(grams.mapInArrow(_slots_of(slots), "order int, slot bigint, context bigint, toxic bigint, ordinary bigint"), "grams")
-    model = SpellingModels(slots)
-    # Neither result has more rows than there are slots in all tables.
-    for batch in placed.groupBy("order", "slot").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o")).toArrow().to_batches(100_000):
-        order, at, t, o = (batch.column(k).to_numpy() for k in range(4))
-        high = order == ORDER
-        model.top[1][at[high]], model.top[0][at[high]] = t[high], o[high]
-        model.low[order[~high], at[~high]] = t[~high]
-    sums = placed.groupBy("order", "context").agg(F.sum("toxic"), F.sum("ordinary"), F.count_if(F.col("toxic") > 0), F.count_if(F.col("ordinary") > 0))
-    for batch in sums.toArrow().to_batches(100_000):
-        order, at, t, o, kt, ko = (batch.column(k).to_numpy() for k in range(6))
-        high = order == ORDER
-        model.context[1][at[high]], model.context[0][at[high]] = t[high], o[high]
-        model.kinds[1][at[high]], model.kinds[0][at[high]] = kt[high], ko[high]
-        low = (order[~high], at[~high])
-        model.low_context[low], model.low_kinds[low] = t[~high], kt[~high]
-    return model
+    grams = stored(grams.groupBy("order", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "grams")
+    sums = grams.groupBy("order", F.shiftrightunsigned("gram", 8).alias("gram")).agg(
+        F.sum("ordinary"), F.sum("toxic"), F.count_if(F.col("ordinary") > 0), F.count_if(F.col("toxic") > 0)
+    )
+
+    def columns(df: DataFrame) -> list[np.ndarray]:
+        return [c.to_numpy() for c in df.toArrow().columns]
+
+    order, gram, ordinary, toxic = columns(grams.select("order", "gram", "ordinary", "toxic"))
+    of, context, n_ordinary, n_toxic, kinds_ordinary, kinds_toxic = columns(sums)
+    gram, context = gram.view(_U), context.view(_U)
+    low, low_context = {}, {}
+    for k in range(1, ORDER):
+        own, held = order == k, of == k
+        low[k] = Table(gram[own], toxic[own])
+        low_context[k] = Table(context[held], n_toxic[held], kinds_toxic[held])
+    own, held = order == ORDER, of == ORDER
+    by_class = (n_ordinary[held], n_toxic[held], kinds_ordinary[held], kinds_toxic[held])
+    return SpellingModels(Table(gram[own], ordinary[own], toxic[own]), Table(context[held], *by_class), low, low_context)
 
 
 def text_features(model: SpellingModels, texts: list[bytes]) -> np.ndarray:
@@ -252,14 +253,15 @@ def _at_most(found: DataFrame, known: DataFrame, fit_rows: int) -> pd.DataFrame:
 
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    limit: float = 0.3, slots: int = SLOTS, fit_rows: int = FIT_ROWS,
+    limit: float = 0.3, slots: int | None = None, fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
-    """One row per document: ``id_col``, held_out, score, predicted.  Labels of held-out documents aren't used."""
+    """One row per document: ``id_col``, held_out, score, predicted.  Labels of held-out documents aren't used.  ``slots``
+    has no effect: the models aren't hashed any more."""
     held_out = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     known = labels.select(F.col(id_col).alias("id"), (F.col(label_col) == 1).alias("toxic")).where(F.col("toxic").isNotNull() & ~held_out)
     kept = F.pmod(F.xxhash64("id", F.lit("calibration")), F.lit(CALIBRATION)) == 0
-    model = learn(rows.join(known.where(~kept).hint("merge"), "id"), slots)  # one plan at every size
+    model = learn(rows.join(known.where(~kept).hint("merge"), "id"))  # one plan at every size
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)[id_col]
     found = stored(rows.mapInArrow(_score(sent), f"id {kind}, " + ", ".join(f"{f} double" for f in FEATURES)), "toxicity-features")

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import math
 import re
 from collections import Counter
 
@@ -9,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from postlake.llm import decontamination, exact_dedup, html_text, mixing, ngram_join, resampling, token_counts, training_order, warc
+from postlake.llm import decontamination, exact_dedup, html_text, mixing, ngram_join, resampling, token_counts, toxicity, training_order, warc
 
 
 def table(spark, texts, first=0):
@@ -201,6 +202,49 @@ def test_resampling(spark):
     assert resampling.cut_of_largest(keys, 100) is None
 
 
+def test_spelling_models_by_brute_force(spark):
+    texts = [(b"a vile grommish troll troll", True), (b"plain words about weather, vile weather", False), (b"x", True), (b"words", False)]
+    model = toxicity.learn(spark.createDataFrame(texts, "text binary, toxic boolean"))
+    order, discount = toxicity.ORDER, toxicity.DISCOUNT
+    top, words = Counter(), {}
+    for text, toxic in texts:
+        for w in re.findall(rb"[a-z]+", text):
+            words.setdefault(w, []).append(toxic)
+    strings = lambda w, n: [(b"\0" * (n - 1) + w)[k : k + n] for k in range(len(w))]
+    for w, kinds in words.items():
+        for g in strings(w, order):
+            top.update((toxic, g) for toxic in kinds)
+    low = Counter(g for w in words for n in range(1, order) for g in strings(w, n))
+
+    def estimate(counts, g, below):
+        after = [c for h, c in counts.items() if len(h) == len(g) and h[:-1] == g[:-1]]
+        if not after:
+            return below
+        return (max(counts[g] - discount, 0) + discount * len(after) * below) / sum(after)
+
+    def log_p(w, toxic):
+        total = 0.0
+        own = Counter({g: c for (kind, g), c in top.items() if kind == toxic})
+        for g in strings(w, order):
+            p = 1 / 256
+            for n in range(1, order):
+                p = estimate(low, g[-n:], p)
+            total += math.log(max(estimate(own, g, p), 1e-12))
+        return total
+
+    asked = [b"troll", b"weather", b"vile", b"grom", b"unknown", b"x", b"q"]
+    assert model.ratios(asked) == pytest.approx([log_p(w, True) - log_p(w, False) for w in asked])
+
+
+def test_toxicity_does_not_depend_on_slots(spark):
+    rng = np.random.default_rng(3)
+    made = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(400)]
+    texts = [" ".join(rng.choice(made[:300], 12)) + (f" {made[300 + k % 100]}" if k % 5 == 0 else "") for k in range(300)]
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(300)], "doc_id long, toxic int")
+    got = [{r.doc_id: r.score for r in toxicity.toxicity_scores(table(spark, texts), labels, slots=n).collect()} for n in (16, 1 << 20)]
+    assert got[0] == pytest.approx(got[1])
+
+
 def test_mixing_against_numpy(spark):
     rng = np.random.default_rng(1)
     rows = [(k, "w " * int(rng.integers(1, 9)), f"s{rng.integers(3)}", f"l{rng.integers(2)}", f"t{rng.integers(2)}") for k in range(300)]
