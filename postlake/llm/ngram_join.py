@@ -437,6 +437,17 @@ def _blocks(sets: DataFrame, tile_bytes: int) -> DataFrame:
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """One row per document row: ``id_col``, n_shingles, component_id (the least id that links lead to)."""
+    rid, out, repeated = _labelled(docs, id_col, text_col, size, tile_bytes)
+    if not repeated:
+        return out.select(F.col("rid").cast(dict(docs.dtypes)[id_col]).alias(id_col), "n_shingles", F.col("label").cast(dict(docs.dtypes)[id_col]).alias("component_id"))
+    out = docs.select(F.col(id_col), rid.alias("rid")).join(stored(out, "labels"), "rid")
+    least = out.groupBy("label").agg(F.min(id_col).alias("component_id"))
+    return out.join(least, "label").select(id_col, "n_shingles", "component_id")
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, size: int, tile_bytes: int) -> tuple[Column, DataFrame, bool]:
+    """The key of rows, a row of rid, n_shingles and label for each key, and whether keys are hashes of id and text because
+    ids are repeated or null; else a key is the id, and a label the least id."""
     repeated = not docs.groupBy(id_col).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull()).isEmpty()
     rid = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("none")), F.col(text_col)) if repeated else F.col(id_col).cast("long")
     rows = docs.select(rid.alias("rid"), F.col(text_col).cast("binary").alias("text"))
@@ -461,15 +472,18 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     labels = groups.join(linked.select(F.col("a").alias("rep"), F.col("b").alias("label")), "rep", "left").select("n", "d1", "d2", F.coalesce("label", "rep").alias("label"))
     out = stats.join(labels, ["n", "d1", "d2"], "left").select("rid", F.col("n").alias("n_shingles"), F.coalesce("label", "rid").alias("label"))
-    if not repeated:
-        return out.select(F.col("rid").cast(dict(docs.dtypes)[id_col]).alias(id_col), "n_shingles", F.col("label").cast(dict(docs.dtypes)[id_col]).alias("component_id"))
-    out = docs.select(F.col(id_col), rid.alias("rid")).join(stored(out, "labels"), "rid")
-    least = out.groupBy("label").agg(F.min(id_col).alias("component_id"))
-    return out.join(least, "label").select(id_col, "n_shingles", "component_id")
+    return rid, out, repeated
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose id is the least of their component, with their columns; of rows that share that id, all stay."""
-    found = similar_components(docs, id_col, text_col)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_kept"]), "left_semi")
+    """One row of each component, with its columns: the one with the least id (null is the last), then the least hash of id
+    and text; of rows with equal id and text, any one."""
+    rid, out, repeated = _labelled(docs, id_col, text_col, WORDS, TILE_BYTES)
+    key = "_key_of_row"
+    if not repeated:
+        keep = out.where("rid = label").select(F.col("rid").alias(key))
+        return docs.join(keep, rid == keep[key], "left_semi")
+    rows = docs.withColumn(key, rid).dropDuplicates([key])
+    found = rows.select(F.col(id_col).alias("id"), F.col(key).alias("rid")).join(stored(out, "labels"), "rid")
+    keep = found.groupBy("label").agg(F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("least")).select(F.col("least.rid").alias(key))
+    return rows.join(keep, key, "left_semi").select(*[rows[c] for c in docs.columns])

@@ -88,6 +88,18 @@ def test_tree_finds_all_links():
         assert {int(tree.order[leaf]) for leaf in tree.partners(s, len(s), flags)} == want
 
 
+def test_one_row_of_each_component(spark):
+    near, other = " ".join(f"w{k}" for k in range(60)), " ".join(f"v{k}" for k in range(60))
+    rows = [(1, near), (1, near), (2, near + " end"), (2, other), (None, "start " + near), (None, "null id"), (None, "null id"), (3, None), (3, None), (None, None), (4, other + " end"), (4, near + " stop"), (5, "alone")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, place int")
+    got = ngram_join.one_of_each(docs)
+    assert got.columns == docs.columns
+    want = [(1, near), (2, other), (None, "null id"), (3, None), (None, None), (5, "alone")]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    once = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    assert sorted(r.doc_id for r in ngram_join.one_of_each(once).collect())[0] == 1
+
+
 def test_exact_groups(spark):
     texts = [None, "", "a", "A", "a ", "a", "b" * 5000, "b" * 5000] + ["hot"] * 50 + [f"t{k}" for k in range(200)]
     got = {r.doc_id: r for r in exact_dedup.exact_groups(table(spark, texts), bucket_bytes=200).collect()}
