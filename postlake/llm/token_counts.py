@@ -4,9 +4,10 @@ A count belongs to the digest of a content and the digest of the tokenizer (its
 are reduced to digests; those without a stored count are misses, of which each distinct content is encoded once, and the
 counts are appended to the cache before they are joined to the documents.
 
-Texts are encoded by the tokenizer's own library.  Every normaliser, splitting rule and special token of the tokenizers
-that are read here works inside runs of text without white space, so a text's count is the sum over its runs; a task
-keeps the counts of runs that it has met and encodes each new one once.  ``whole=True`` encodes whole texts instead.
+Texts are encoded by the tokenizer's own library.  Where the tokenizer's file says that white space is removed before
+words are split (its first rule keeps the matches of WORDS only), a text's count is the sum over its runs without white
+space; a task keeps the counts of runs that it has met and encodes each new one once.  For all other tokenizers, and with
+``whole=True``, whole texts are encoded.
 
 Null texts count as empty: 0 bytes, 0 tokens.  Repeated rows each get a row.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import importlib.metadata
+import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +28,9 @@ from .shared import new_folder
 #: Runs whose counts a task keeps; when there are more, it starts anew.
 MEMO_RUNS = 400_000
 
+#: A splitting rule whose matches hold no white space.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 _MISS = "digest binary, text string"
 
 
@@ -55,6 +60,16 @@ def batch_counter(path: str) -> Callable[[list[str]], list[int]]:
     return lambda texts: [len(x.ids) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def removes_space(path: str) -> bool:
+    """Whether the tokenizer's file is known to remove white space before it splits words."""
+    if path.endswith(".model"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        rule = json.load(f).get("pre_tokenizer") or {}
+    first = (rule.get("pretokenizers") or [{}])[0] if rule.get("type") == "Sequence" else rule
+    return first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"] and first["pattern"].get("Regex") == WORDS
+
+
 class RunCounter:
     """Counts of texts as sums over their runs between spaces, tabs and line ends."""
 
@@ -92,7 +107,7 @@ def _local_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _encode(path: str, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = batch_counter(path)
-        count = count if whole or path.endswith(".model") else RunCounter(count)
+        count = RunCounter(count) if not whole and removes_space(path) else count
         seen: set[bytes] = set()
         for batch in batches:
             out: dict[bytes, int] = {}

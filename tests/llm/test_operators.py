@@ -202,6 +202,14 @@ def test_token_counts(spark, tmp_path):
     assert spark.read.parquet(cache).count() == 6  # distinct contents; null and empty are one
 
 
+def test_token_counts_of_a_tokenizer_that_keeps_space(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert token_counts.removes_space(public_tokenizers.path("word_bpe_49k.json")) and not token_counts.removes_space(path)
+    texts = ["a word  and\n\nmore\ttext", " ", "", "end of it "]
+    got = token_counts.token_counts(table(spark, texts), path).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in got] == token_counts.batch_counter(path)(texts)
+
+
 def test_resampling(spark):
     texts = [f"good plain words number {k}" for k in range(60)] + ["bad### stuff### %d###" % k for k in range(20)] + [None, ""]
     labels = spark.createDataFrame([(k, int(k < 60)) for k in range(80)], "doc_id long, quality int")
