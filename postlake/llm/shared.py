@@ -14,10 +14,13 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where that is unset (local tests), a temporary folder of this driver."""
+    """The folder in ``spark.checkpoint.dir``.  Only where that is unset and the master is local, so that driver and
+    executors are one process, a temporary folder; on a cluster it must be set."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known:
         return known.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir isn't set: intermediate tables need a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="spark-shared-")
@@ -38,8 +41,16 @@ def stored(df: DataFrame, label: str, compression: str = "snappy", options: dict
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(spark: SparkSession, n_bytes: int, at_most: int = 64 << 20) -> int:
+    """Tasks among which so many bytes are dealt: as many as the session's shuffles have, and more where a task would get
+    over ``at_most`` bytes."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // at_most))
+
+
 def files(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a folder or file, as tasks open it."""
+    """File system and path of a folder or file, as tasks open it.  Hadoop's names of object stores are pyarrow's s3 and abfs."""
+    scheme, sep, rest = uri.partition("://")
+    uri = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme) + sep + rest
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), os.path.abspath(uri)
     return pafs.FileSystem.from_uri(uri.replace("file:/", "file:///") if uri.startswith("file:/") and not uri.startswith("file://") else uri)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import new_folder
+from .shared import shared_dir, tasks_for
 
 #: Runs whose counts a task keeps; when there are more, it starts anew.
 MEMO_RUNS = 400_000
@@ -126,13 +126,16 @@ def token_counts(
     limit: int = 2048, whole: bool = False,
 ) -> DataFrame:
     """One row per document: ``id_col``, n_bytes, n_tokens, over_limit.  ``cache_path`` is a folder that stays between
-    runs; without it, the cache lasts as long as the shared folder."""
+    runs; without it, the cache is in the shared folder under the tokenizer's digest."""
     spark = docs.sparkSession
     version = tokenizer_digest(tokenizer_path)
-    cache_path = cache_path or new_folder(spark, "token-count-cache")
+    cache_path = cache_path or f"{shared_dir(spark)}/token-counts-{version}"
     schema = "digest binary, n_tokens bigint, tokenizer string"
     spark.createDataFrame([], schema).write.mode("append").parquet(cache_path)
-    cache = lambda: spark.read.schema(schema).parquet(cache_path).where(F.col("tokenizer") == version)
+
+    def cache() -> DataFrame:
+        stored = spark.read.schema(schema).parquet(cache_path).where(F.col("tokenizer") == version)
+        return stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
@@ -140,9 +143,9 @@ def token_counts(
     misses = keyed.select("digest", "text")
     if not old.isEmpty():
         misses = misses.join(old.select("digest"), "digest", "left_anti")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    misses = misses.mapInArrow(_local_firsts, _MISS).repartition(tasks, "digest")
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    misses = misses.mapInArrow(_local_firsts, _MISS).repartition(tasks_for(spark, total), "digest")
     counted = misses.mapInArrow(_encode(tokenizer_path, whole), "digest binary, n_tokens bigint")
     counted.withColumn("tokenizer", F.lit(version)).write.mode("append").parquet(cache_path)
     rows = keyed.select(id_col, "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return rows.join(cache().select("digest", "n_tokens"), "digest").select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return rows.join(cache(), "digest").select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -291,3 +291,22 @@ def test_contamination_in_blocks(spark):
         assert got[1].items_sha256 == hashlib.sha256(b"10").hexdigest()
     assert [r.text for r in decontamination.decontaminate(docs, items, "spans").orderBy("doc_id").collect()][0] == "x ! y"
     assert [r.doc_id for r in decontamination.decontaminate(docs, items).orderBy("doc_id").collect()] == [2, 3]
+
+
+def test_token_counts_take_each_stored_digest_once(spark, tmp_path):
+    path, cache = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "cache")
+    docs = table(spark, ["one two", "one two", None, "three"])
+    first = token_counts.token_counts(docs, path, cache).orderBy("doc_id").collect()
+    twice = spark.read.parquet(cache).collect()
+    spark.createDataFrame(twice, "digest binary, n_tokens bigint, tokenizer string").write.mode("append").parquet(cache)
+    assert token_counts.token_counts(docs, path, cache).orderBy("doc_id").collect() == first
+    assert spark.read.parquet(cache).count() == 2 * len(twice)  # nothing was encoded again
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_token_counts_equal_the_library_on_whole_documents(spark, small, name):
+    path = public_tokenizers.path(name)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    want = dict(zip(texts, token_counts.batch_counter(path)(list(texts.values())), strict=True))
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, path).collect()} == want
