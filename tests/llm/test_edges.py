@@ -74,7 +74,7 @@ def test_benchmark_items_without_id(spark, filled, tmp_path):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
     want = sorted(con.execute(queries.ORACLE_SQL["op9_decontamination"]).fetchall())
     assert sorted(tuple(r) for r in queries.QUERIES["op9_decontamination"](spark, str(tmp_path)).collect()) == want
-    made = contamination(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/benchmark.parquet"), block_bytes=1)
+    made = contamination(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/benchmark.parquet"), broadcast_bytes=1)
     assert sorted(tuple(r) for r in made.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()) == want
 
 

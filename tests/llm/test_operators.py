@@ -285,8 +285,8 @@ def test_mixing_against_numpy(spark):
 def test_contamination_in_blocks(spark):
     items = spark.createDataFrame([(1, "A b c d e f g h i j k"), (10, "short one"), (2, None), (3, "")], "item_id long, text string")
     docs = table(spark, ["x A-b c d e f g h i J k! y", "a short one", None, "a b c d e f g h i", "short, ONE short one"])
-    for block in (1, 1 << 20):
-        got = decontamination.contamination(docs, items, block_bytes=block).orderBy("doc_id").collect()
+    for limit in (1, 1 << 20):
+        got = decontamination.contamination(docs, items, broadcast_bytes=limit).orderBy("doc_id").collect()
         assert [(r.n_words, r.n_hit, r.n_items) for r in got] == [(13, 11, 1), (3, 2, 1), (0, 0, 0), (9, 0, 0), (4, 4, 1)]
         assert got[1].items_sha256 == hashlib.sha256(b"10").hexdigest()
     assert [r.text for r in decontamination.decontaminate(docs, items, "spans").orderBy("doc_id").collect()][0] == "x ! y"
@@ -310,3 +310,29 @@ def test_token_counts_equal_the_library_on_whole_documents(spark, small, name):
     texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
     want = dict(zip(texts, token_counts.batch_counter(path)(list(texts.values())), strict=True))
     assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, path).collect()} == want
+
+
+def test_large_benchmarks_are_joined(spark):
+    """Both ways on a benchmark with repeated and null ids and items of many lengths, against a plain search."""
+    rng = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(30)]
+    items = [(None if k % 7 == 0 else k % 20, " ".join(rng.choice(words, int(rng.integers(1, 40))))) for k in range(60)]
+    texts = [" ".join(rng.choice(words, 50)) for _ in range(20)] + [f"x {t} y {u}" for (_, t), (_, u) in zip(items, items[1:], strict=False)]
+    docs = table(spark, texts)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = []
+    for k, t in enumerate(texts):
+        own, hit, named = t.split(), set(), set()
+        for item, u in items:
+            other = u.split()
+            n = min(10, len(other))
+            for g in {tuple(other[i : i + n]) for i in range(len(other) - n + 1)}:
+                for i in range(len(own) - n + 1):
+                    if tuple(own[i : i + n]) == g:
+                        hit.update(range(i, i + n))
+                        named.add(item)
+        names = ",".join(sorted(str(i) for i in named if i is not None))
+        want.append((k, len(own), len(hit), len(named), hashlib.sha256(names.encode()).hexdigest(), bool(hit)))
+    for limit in (1, 1 << 20):
+        got = decontamination.contamination(docs, benchmark, broadcast_bytes=limit).orderBy("doc_id")
+        assert [tuple(r) for r in got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()] == want
