@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from postlake.llm import decontamination, exact_dedup, html_text, mixing, ngram_join, resampling, token_counts, toxicity, training_order, warc
 
@@ -336,3 +337,11 @@ def test_large_benchmarks_are_joined(spark):
     for limit in (1, 1 << 20):
         got = decontamination.contamination(docs, benchmark, broadcast_bytes=limit).orderBy("doc_id")
         assert [tuple(r) for r in got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()] == want
+
+
+def test_exact_groups_of_many_small_rows(spark):
+    """A million rows without text: tables are flushed by their ids, and ids may be strings."""
+    docs = spark.range(1_000_000).select(F.concat(F.lit("u-"), F.format_string("%07d", "id")).alias("doc_id"), F.when(F.col("id") % 2 == 0, "").alias("text"))
+    got = exact_dedup.exact_groups(docs, table_bytes=1 << 20, bucket_bytes=1 << 20)
+    row = got.groupBy("keep_id", "group_size", "text_sha256").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).collect()
+    assert [tuple(r) for r in row] == [("u-0999999", 1_000_000, hashlib.sha256(b"").hexdigest(), 1_000_000, 1)]
