@@ -6,9 +6,13 @@ the labels call good.  Raw model: all documents.  Both are counts over ``buckets
 gathered over whole texts.  A document's log weight is the sum of log(target/raw) over its features; it gets
 log weight + Gumbel noise as its key, and the k largest keys are selected.  k, unless given, is the number of documents
 that the models expect to belong to the target: the sum of min(1, share * weight), where share is the target's share of
-the labelled documents.
+the labelled documents.  Which documents are good is told to the tasks that read texts by a broadcast of their ids, as
+long as these are at most ``broadcast_rows``; texts are not shuffled.
 
-Null and empty texts have no features: log weight 0.  Documents that tie with the last selected one in key and id are
+Null and empty texts have no features: log weight 0.  Texts of any length are counted and weighed whole.  Repeated rows
+each count and get a row; their noise, and so their key, is the same.  Rows without an id are never in the target and
+share their noise.  A label that occurs twice counts once in the target model.  An empty table gives no rows.  Other
+columns, also those named like the ones made here, are not looked at.  Documents that tie with the last selected one in key and id are
 selected too.  The noise depends on the id and the seed only.  Without labelled target rows nothing can be told apart:
 all weights are 0.
 """
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored, uniform
+from .shared import BROADCAST_ROWS, attached, stored, uniform
 from .words import byte_classes, chunks, mix, words_of
 
 BUCKETS = 10_000
@@ -75,11 +79,11 @@ def _weigh(table: np.ndarray, buckets: int):
     return run
 
 
-def log_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", buckets: int = BUCKETS) -> tuple[DataFrame, float]:
+def log_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", buckets: int = BUCKETS, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, float]:
     """(id, log_weight) per document row, and the target's share of the labelled documents."""
     text = F.col(text_col).cast("binary").alias("text")
-    target = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct().withColumn("target", F.lit(True))
-    marked = docs.select(F.col(id_col).alias("id"), text).join(target.hint("merge"), "id", "left").select("text", "target")  # one plan at every size
+    target = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("target", F.lit(True))
+    marked = attached(docs.select(F.col(id_col).alias("id"), text), target, "id", "left", broadcast_rows).select("text", "target")
     counts = marked.mapInArrow(_count(buckets), "bucket bigint, other bigint, target bigint").groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("target").alias("target"))
     table = np.zeros((2, buckets))
     for row in counts.collect():  # at most one row per bucket

@@ -41,6 +41,16 @@ def stored(df: DataFrame, label: str, compression: str = "snappy", options: dict
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of two short columns that a broadcast may have.
+BROADCAST_ROWS = 4_000_000
+
+
+def attached(rows: DataFrame, marks: DataFrame, key: str, how: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` joined with a table of marks (key and a short column).  Up to ``limit`` marks are broadcast, so that rows
+    with their texts stay where they are; more are joined by sorting both."""
+    return rows.join(marks.hint("broadcast" if marks.count() <= limit else "merge"), key, how)
+
+
 def tasks_for(spark: SparkSession, n_bytes: int, at_most: int = 64 << 20) -> int:
     """Tasks among which so many bytes are dealt: as many as the session's shuffles have, and more where a task would get
     over ``at_most`` bytes."""

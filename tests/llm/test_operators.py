@@ -345,3 +345,29 @@ def test_exact_groups_of_many_small_rows(spark):
     got = exact_dedup.exact_groups(docs, table_bytes=1 << 20, bucket_bytes=1 << 20)
     row = got.groupBy("keep_id", "group_size", "text_sha256").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).collect()
     assert [tuple(r) for r in row] == [("u-0999999", 1_000_000, hashlib.sha256(b"").hexdigest(), 1_000_000, 1)]
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_importance_weights_by_brute_force(spark, limit):
+    """Counts over all texts, add-one smoothing and sums of logs, with and without a broadcast of the target's ids."""
+    rng = np.random.default_rng(4)
+    words = ["alpha", "beta", "Gamma", "###", "delta", "x1", "a-b"]
+    texts = [" ".join(rng.choice(words, int(rng.integers(0, 30)))) for _ in range(60)] + [None, "same same same"]
+    good = {k for k in range(0, 60, 3)}
+    labels = spark.createDataFrame([(k, int(k in good)) for k in range(0, 60, 2)] + [(k, 1) for k in good] + [(None, 1), (4, None)], "doc_id long, quality int")
+    target = {r.doc_id for r in labels.where("quality = 1").collect()}
+    buckets = 50
+
+    def parts(text):
+        return resampling.features([(text or "").encode()], buckets)[0].tolist()
+
+    counts = np.ones((2, buckets))
+    for k, t in enumerate(texts):
+        for b in parts(t):
+            counts[0][b] += 1
+            counts[1][b] += k in target
+    logs = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    weights, share = resampling.log_weights(table(spark, texts), labels, buckets=buckets, broadcast_rows=limit)
+    assert {r.id: r.log_weight for r in weights.collect()} == pytest.approx({k: sum(logs[b] for b in parts(t)) for k, t in enumerate(texts)})
+    known = [r.quality for r in labels.where("quality is not null").collect()]
+    assert share == pytest.approx(sum(known) / len(known))
