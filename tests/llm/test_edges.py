@@ -92,10 +92,10 @@ def test_toxicity_without_held_out_labels(spark):
     texts = [f"plain words about item {k} and weather" + (f" {bad[k % 3]}" if k % 5 == 0 else "") for k in range(400)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(400)], "doc_id long, toxic int")
-    got = {r.doc_id: r for r in toxicity_scores(docs, labels, slots=1 << 14).collect()}
+    got = {r.doc_id: r for r in toxicity_scores(docs, labels).collect()}
     held = {k for k in range(400) if zlib.crc32(str(k).encode()) % 4 == 2}
     assert {k for k, r in got.items() if r.held_out} == held
     assert all(got[k].predicted == int(k % 5 == 0) for k in held)
     turned = labels.withColumn("toxic", F.when(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    again = {r.doc_id: r.score for r in toxicity_scores(docs, turned, slots=1 << 14).collect()}
+    again = {r.doc_id: r.score for r in toxicity_scores(docs, turned).collect()}
     assert again == pytest.approx({k: r.score for k, r in got.items()})

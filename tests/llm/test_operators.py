@@ -224,8 +224,10 @@ def test_resampling(spark):
 
 
 def test_spelling_models_by_brute_force(spark):
+    """Kneser-Ney probabilities from plain counts: the top order by class, lower ones by the different bytes before."""
     texts = [(b"a vile grommish troll troll", True), (b"plain words about weather, vile weather", False), (b"x", True), (b"words", False)]
-    model = toxicity.learn(spark.createDataFrame(texts, "text binary, toxic boolean"))
+    counts = toxicity.learn(spark.createDataFrame(texts, "text binary, toxic boolean"))
+    model = counts.models()
     order, discount = toxicity.ORDER, toxicity.DISCOUNT
     top, words = Counter(), {}
     for text, toxic in texts:
@@ -235,7 +237,7 @@ def test_spelling_models_by_brute_force(spark):
     for w, kinds in words.items():
         for g in strings(w, order):
             top.update((toxic, g) for toxic in kinds)
-    low = Counter(g for w in words for n in range(1, order) for g in strings(w, n))
+    low = Counter(g[1:] for n in range(1, order) for g in {x for w in words for x in strings(w, n + 1)})
 
     def estimate(counts, g, below):
         after = [c for h, c in counts.items() if len(h) == len(g) and h[:-1] == g[:-1]]
@@ -253,17 +255,29 @@ def test_spelling_models_by_brute_force(spark):
             total += math.log(max(estimate(own, g, p), 1e-12))
         return total
 
+    seen = {g[:-1] for g in low if len(g) == 3}  # shared probabilities after a known context sum to one
+    for h in sorted(seen)[:5]:
+        p = [1 / 256] * 256
+        for n in range(1, 4):
+            p = [estimate(low, (h + bytes([b]))[-n:], p[b]) for b in range(256)]
+        assert sum(p) == pytest.approx(1.0)
     asked = [b"troll", b"weather", b"vile", b"grom", b"unknown", b"x", b"q"]
-    assert model.ratios(asked) == pytest.approx([log_p(w, True) - log_p(w, False) for w in asked])
+    want = [log_p(w, True) - log_p(w, False) for w in asked]
+    assert model.ratios(asked) == pytest.approx(want)
+    joined = {bytes(r.word): r.ratio for r in toxicity.word_ratios(counts, spark.createDataFrame([(w,) for w in asked], "word binary")).collect()}
+    assert [joined[w] for w in asked] == pytest.approx(want)
 
 
-def test_toxicity_does_not_depend_on_slots(spark):
+def test_toxicity_by_broadcast_and_by_joins(spark):
     rng = np.random.default_rng(3)
     made = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(400)]
-    texts = [" ".join(rng.choice(made[:300], 12)) + (f" {made[300 + k % 100]}" if k % 5 == 0 else "") for k in range(300)]
-    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(300)], "doc_id long, toxic int")
-    got = [{r.doc_id: r.score for r in toxicity.toxicity_scores(table(spark, texts), labels, slots=n).collect()} for n in (16, 1 << 20)]
-    assert got[0] == pytest.approx(got[1])
+    texts = [" ".join(rng.choice(made[:300], 12)) + (f" {made[300 + k % 100]}" if k % 5 == 0 else "") for k in range(300)] + [None, "", "..."]
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(300)] + [(None, 1), (7, None)], "doc_id long, toxic int")
+    docs = table(spark, texts).unionByName(table(spark, texts[:3]))  # repeated rows
+    ways = ({}, {"model_strings": 0}, {"broadcast_rows": 0})
+    got = [sorted((r.doc_id, r.held_out, round(r.score, 9), r.predicted) for r in toxicity.toxicity_scores(docs, labels, **w).collect()) for w in ways]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 306
+    assert len({s for k, _, s, _ in got[0] if k >= 300}) == 1
 
 
 def test_mixing_against_numpy(spark):
