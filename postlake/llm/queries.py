@@ -11,6 +11,7 @@ from .html_text import extract_main_text
 from .mixing import calibrated
 from .ngram_join import similar_components
 from .resampling import importance_resample
+from .shared import new_folder
 from .token_counts import token_counts
 from .toxicity import toxicity_scores
 from .training_order import training_shards
@@ -48,8 +49,8 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of documents."""
-    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    """Token counts of documents, from an empty cache: a run doesn't depend on the runs before it."""
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), new_folder(spark, "token-counts"))
 
 
 def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import shared_dir, tasks_for
+from .shared import attached, shared_dir, stored, tasks_for
 
 #: Runs whose counts a task keeps; when there are more, it starts anew.
 MEMO_RUNS = 400_000
@@ -134,15 +134,16 @@ def token_counts(
     spark.createDataFrame([], schema).write.mode("append").parquet(cache_path)
 
     def cache() -> DataFrame:
-        stored = spark.read.schema(schema).parquet(cache_path).where(F.col("tokenizer") == version)
-        return stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+        known = spark.read.schema(schema).parquet(cache_path).where(F.col("tokenizer") == version)
+        return known.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
     old = cache()
     misses = keyed.select("digest", "text")
     if not old.isEmpty():
-        misses = misses.join(old.select("digest"), "digest", "left_anti")
+        missing = stored(misses.select("digest").distinct().join(old.select("digest"), "digest", "left_anti"), "missing-digests")
+        misses = attached(misses, missing, "digest", "left_semi")  # with few misses, texts stay where they are
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     misses = misses.mapInArrow(_local_firsts, _MISS).repartition(tasks_for(spark, total), "digest")
     counted = misses.mapInArrow(_encode(tokenizer_path, whole), "digest binary, n_tokens bigint")
