@@ -2,25 +2,29 @@
 
 The standard library's parser turns a page into lines: text between block-level tags, each with the tags met in it.
 Elements that never hold article text (menus, headers, footers, forms, scripts, elements whose class or id names an
-advert, a notice, a side bar or reader comments) give no lines.  A line's ratio is its characters to its tags; ratios are smoothed with a Gaussian
-along the page and split into two clusters by an iterated threshold.
-
-The container is an article or main if there is one with text (the one with most text in the high cluster, also if that
-is none), else the body.  Inside an article, all lines are kept except runs of at least LINK_RUN link lines (most of
-their text is in links) whose smoothed ratios are low: a paragraph of one word is still a paragraph.  In a body, the
-lines of the high cluster that aren't link lines of a low ratio of their own form regions; a region grows over the
-paragraphs, headings, items and cells beside it, and two of them over what lies between them if no link line does; what
-lies in none is dropped.  If nothing is high but links, they stay.
-
-A class or id that names a notice drops its element, unless an article or main opens in it or it holds more than half
-of the page's text: then it is a wrapper such as "layout has-sidebar".  A head ends with its end tag, with <body> or with
+advert, a notice, a side bar or reader comments) give no lines.  A line's ratio is its characters to its tags; ratios are
+smoothed with a Gaussian along the page and split into two clusters by an iterated threshold.
+
+Lines of the high cluster are content, unless they are link lines (most of their text is in links) of a low ratio of
+their own.  On a page with articles or mains, each of these that holds a content line, or another line of a high ratio
+of its own, is content as a whole (if none does, the one with most text), but for runs of at least LINK_RUN low link lines; lines of a main around such an article
+follow the rule for bodies.  On other pages, and there, content lines form regions: a region grows over the paragraphs,
+headings, items and cells beside it, and two of them over what lies between them if no link line does; what lies in none
+is dropped.  If nothing is high but links, they stay.  Ties in text go to the earlier container.
+
+A class or id is a notice if it consists of words that name one and of words of layout ("left-sidebar", but neither
+"with-sidebar" nor "related-work").  Such an element is dropped, unless it holds more than half of the page's text, or
+an article or main while none lies elsewhere: then it is a wrapper.  A head ends with its end tag, with <body> or with
 the first content that no head can hold.
 
-Null and empty pages give an empty text.  Unclosed elements end with their parents.  Nothing is capped.
+Null and empty pages give an empty text.  Pages of any length and depth are read whole; unclosed elements end with their
+parents; nothing is capped.  Repeated rows each get a row, an empty table gives none.  Other columns stay; text and n_chars
+replace columns of these names.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections.abc import Iterator
@@ -40,6 +44,12 @@ _NOTICE = frozenset(
     "menu nav navbar navigation navigational breadcrumb breadcrumbs footer masthead toolbar pagination pager share sharing social newsletter subscribe "
     "subscription related recommended comments comment disqus replies respond login signup widget".split()
 )
+#: Words of layout that may stand beside those of a notice in one class or id.
+_LAYOUT = frozenset(
+    "a area article articles bar block body bottom box button buttons center col column component container content desktop element entry fixed foot global group head header icon icons "
+    "id inner item items js layer left line link links list main mobile module news outer page panel post posts primary right row secondary section side site slot small sticky stories story "
+    "text the title toggle top unit view wide wp wrap wrapper".split()
+)
 #: What a head can hold; anything else ends it.
 _HEAD = frozenset("base link meta title style script noscript template".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
@@ -50,6 +60,14 @@ _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt td th figc
 #: Link lines in a row that are a list of links inside an article.
 LINK_RUN = 3
 _SPACE = re.compile(r"\s+")
+_HUMP = re.compile(r"([a-z])([A-Z])")
+
+
+@functools.lru_cache(1 << 16)
+def names_notice(name: str) -> bool:
+    """Whether a class or id consists of words of notices and of layout."""
+    words = [w for w in re.split(r"[^a-z]+", _HUMP.sub(r"\1-\2", name).lower()) if w]
+    return any(w in _NOTICE for w in words) and all(w in _NOTICE or w in _LAYOUT for w in words)
 
 
 class Lines(HTMLParser):
@@ -60,7 +78,7 @@ class Lines(HTMLParser):
         self.stack: list[tuple[str, bool, int, int]] = []  # tag, skipped, container, notice
         self.at: dict[str, list[int]] = {}  # places in the stack by tag
         self.lines: list[list] = []
-        self.kinds: list[str] = ["body"]
+        self.around: list[int] = [0]  # the container around each container; the body is 0
         self.notices: list[int] = [0]  # the notice around each notice; 0 is none
         self.holding: set[int] = set()  # notices in which an article or main opens
         self.open: list | None = None
@@ -98,17 +116,20 @@ class Lines(HTMLParser):
                 self.handle_data(" ")
             return
         skipped, container, notice = self._state()
-        if tag in ("article", "main", "section", "body") and not skipped:
-            self.kinds.append(tag)
-            container = {"section": container, "body": 0}.get(tag, len(self.kinds) - 1)
-            around = notice
-            while tag in ("article", "main") and around and around not in self.holding:
-                self.holding.add(around)
-                around = self.notices[around]
+        if tag in ("article", "main") and not skipped:
+            self.around.append(container)
+            container = len(self.around) - 1
+        elif tag == "body":
+            container = 0
         skipped = skipped or tag in _SKIP or (tag == "header" and not self.at.get("article")) or self._is_hidden(tag, dict(attrs))
         if not skipped and self._is_notice(tag, dict(attrs)):
             self.notices.append(notice)
             notice = len(self.notices) - 1
+        elif tag in ("article", "main"):
+            at = notice
+            while at and not skipped and at not in self.holding:
+                self.holding.add(at)
+                at = self.notices[at]
         self.at.setdefault(tag, []).append(len(self.stack))
         self.stack.append((tag, skipped, container, notice))
 
@@ -120,10 +141,9 @@ class Lines(HTMLParser):
 
     @staticmethod
     def _is_notice(tag: str, attrs: dict) -> bool:
-        if tag in ("html", "body", "article", "main"):
+        if tag in ("html", "body", "main"):
             return False
-        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
-        return bool(names.strip()) and any(w in _NOTICE for w in re.split(r"[^a-z]+", names))
+        return any(names_notice(name) for name in (attrs.get("class") or "").split() + (attrs.get("id") or "").split())
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -164,10 +184,17 @@ class Lines(HTMLParser):
         total = sum(held)
         for k in range(len(held) - 1, 0, -1):  # a notice has a larger number than the one around it
             held[self.notices[k]] += held[k]
-        dropped = [False]
-        for k in range(1, len(held)):
-            dropped.append(dropped[self.notices[k]] or (k not in self.holding and 2 * held[k] <= total))
-        return [(line[0], text, line[2], line[4], 2 * line[5] > len(text)) for line, text in made if not dropped[line[3]]]
+
+        def left(wrappers: set[int]) -> list:
+            dropped = [False]
+            for k in range(1, len(held)):
+                dropped.append(dropped[self.notices[k]] or (k not in wrappers and 2 * held[k] <= total))
+            return [(line, text) for line, text in made if not dropped[line[3]]]
+
+        kept = left(set())
+        if self.holding and not any(line[0] for line, _ in kept):
+            kept = left(self.holding)
+        return [(line[0], text, line[2], line[4], 2 * line[5] > len(text)) for line, text in kept]
 
 
 def smoothed(values: list[float], sigma: float = 2.0) -> list[float]:
@@ -210,23 +237,38 @@ def main_text(html: str | None, sigma: float = 2.0) -> str:
     ratios = smoothed(own, sigma)
     limit = threshold(ratios)
     high = [ratio >= limit for ratio in ratios]
-    weight: dict[int, list[int]] = {}
-    for (container, text, *_), above in zip(lines, high, strict=True):
-        have = weight.setdefault(container, [0, 0])
-        have[0] += len(text) * above
-        have[1] += len(text)
-    named = [c for c in weight if parser.kinds[c] != "body"]
-    best = max(named or weight, key=lambda c: (weight[c], -c))
-    inside = [k for k, line in enumerate(lines) if line[0] == best]
-    links = [lines[k][4] for k in inside]
+    links = [link for *_, link in lines]
+    core = [h and not (link and ratio < limit) for h, link, ratio in zip(high, links, own, strict=True)]
+    text = [block in _TEXT_BLOCKS and not link for _, _, _, block, link in lines]
+    named = {c for c, *_ in lines if c}
     if named:
-        kept = _without_link_runs(links, [high[k] for k in inside])
+        dense = [c or (ratio >= limit and not link) for c, ratio, link in zip(core, own, links, strict=True)]
+        chosen = {line[0] for line, yes in zip(lines, dense, strict=True) if yes and line[0]} or {max(named, key=lambda c: (sum(len(line[1]) for line in lines if line[0] == c), -c))}
+        beside = _beside(chosen, named, parser.around)
+        inside = [k for k, line in enumerate(lines) if line[0] in chosen | beside]
+        free = [lines[k][0] in beside for k in inside]
+        begun = _without_link_runs([links[k] for k in inside], [high[k] for k in inside])
+        begun = [core[k] if f else keep for f, keep, k in zip(free, begun, inside, strict=True)]
+        kept = _regions(begun, [f and text[k] for f, k in zip(free, inside, strict=True)], [links[k] for k in inside], free)
     else:
-        core = [high[k] and not (link and own[k] < limit) for k, link in zip(inside, links, strict=True)]
-        kept = _regions(core, [lines[k][3] in _TEXT_BLOCKS and not link for k, link in zip(inside, links, strict=True)], links)
+        inside, kept = range(len(lines)), _regions(core, text, links)
     return "\n".join(lines[k][1] for k, keep in zip(inside, kept, strict=True) if keep or not any(kept))
 
 
+def _beside(chosen: set[int], named: set[int], around: list[int]) -> set[int]:
+    """The articles and mains around the chosen ones, and those in them that aren't chosen."""
+    out: set[int] = set()
+    for c in chosen:
+        while c := around[c]:
+            out.add(c)
+    for c in named - chosen:
+        at = c
+        while at and at not in chosen:
+            at = around[at]
+        out |= {c} if at else set()
+    return out
+
+
 def _without_link_runs(links: list[bool], high: list[bool]) -> list[bool]:
     """Which lines stay when runs of at least LINK_RUN low link lines go."""
     kept = [True] * len(links)
@@ -239,8 +281,9 @@ def _without_link_runs(links: list[bool], high: list[bool]) -> list[bool]:
     return kept
 
 
-def _regions(core: list[bool], text: list[bool], links: list[bool]) -> list[bool]:
-    """The core lines, the text lines that join them without a gap, and gaps without link lines."""
+def _regions(core: list[bool], text: list[bool], links: list[bool], free: list[bool] | None = None) -> list[bool]:
+    """The core lines, the text lines that join them without a gap, and gaps without link lines; of lines that aren't
+    ``free`` only the core."""
     kept = list(core)
     for order in (range(1, len(kept)), range(len(kept) - 2, -1, -1)):
         for k in order:
@@ -248,7 +291,8 @@ def _regions(core: list[bool], text: list[bool], links: list[bool]) -> list[bool
     last = None
     for k in [k for k, keep in enumerate(kept) if keep]:
         if last is not None and not any(links[last + 1 : k]):
-            kept[last:k] = [True] * (k - last)
+            for j in range(last + 1, k):
+                kept[j] = kept[j] or free is None or free[j]
         last = k
     return kept
 

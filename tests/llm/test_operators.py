@@ -385,3 +385,59 @@ def test_importance_weights_by_brute_force(spark, limit):
     assert {r.id: r.log_weight for r in weights.collect()} == pytest.approx({k: sum(logs[b] for b in parts(t)) for k, t in enumerate(texts)})
     known = [r.quality for r in labels.where("quality is not null").collect()]
     assert share == pytest.approx(sum(known) / len(known))
+
+
+def test_main_text_of_several_containers():
+    words = "several words of a paragraph that goes on " * 4 + "end."
+    assert html_text.main_text(f"<main><h1>Title</h1><article><p>{words}</p></article></main>") == f"Title\n{words}"
+    two = f"<body><article><h1>One</h1><p>{words}</p></article><article><h1>Two</h1><p>{words}</p></article></body>"
+    assert html_text.main_text(two) == f"One\n{words}\nTwo\n{words}"
+    menu = "".join(f'<div><a href="/{k}">Link {k}</a></div>' for k in range(6))
+    assert html_text.main_text(f"<body><div>Home News Sport</div>{menu}<div><p>{words}</p><p>Short.</p></div>{menu}</body>", 0.5) == f"{words}\nShort."
+    assert html_text.main_text(f'<article><p>{words}</p><section class="comments"><article class="comment-body"><p>{words}</p></article></section></article>') == words
+    assert html_text.main_text(f'<main><article><p>{words}</p></article><div id="comments"><article><p>{words} me</p></article></div></main>') == words
+    for name in ("layout with-sidebar", "related-work", "has-menu", "ad-free", "adjacent"):
+        assert html_text.main_text(f'<article><p>{words}</p><div class="{name}"><p>Few.</p></div></article>') == f"{words}\nFew."
+    for name in ("left-sidebar", "cookie-notice", "adBanner", "x share", "post-comments", "ad_slot-3"):
+        assert html_text.main_text(f'<article><p>{words}</p><div class="{name}"><p>Few.</p></div></article>') == words
+    deep = "<b>" * 10_001
+    assert html_text.main_text(f"<article>{deep}text<nav>MENU LEAK</nav></article>") == "text"
+
+
+def test_ratios_smoothing_and_threshold_by_brute_force():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 9, 60):
+        values = rng.gamma(1.0, 20.0, n)
+        for sigma in (0.5, 2.0, 4.0):
+            got = html_text.smoothed(values.tolist(), sigma)
+            reach = math.ceil(3 * sigma)
+            for i in range(n):
+                w = {j: math.exp(-((i - j) ** 2) / (2 * sigma**2)) for j in range(n) if abs(i - j) <= reach}
+                assert got[i] == pytest.approx(sum(w[j] * values[j] for j in w) / sum(w.values()))
+        t = html_text.threshold(values.tolist(), 1000)
+        if n > 1:
+            low, high = values[values < t], values[values >= t]
+            assert t == pytest.approx((low.mean() + high.mean()) / 2)
+    page = "<body><div><p>ab <b>cd</b> ef</p><p>x<a href=/>link</a></p><ul><li>y</li></ul></div></body>"
+    parser = html_text.Lines()
+    parser.feed(page)
+    parser.close()
+    events = re.findall(r"<(/?)(\w+)[^>]*>|([^<]+)", page)
+    want, tags, line = [], 0, None
+    for end, tag, data in events:  # a block's tag begins a line; tags before a line's first text are that line's
+        if tag:
+            tags += 1
+            if tag in html_text._BLOCK:
+                if line:
+                    line[1] += tags
+                    tags = 0
+                line = None
+        elif line is None:
+            line = [data, tags]
+            want.append(line)
+            tags = 0
+        else:
+            line[0] += data
+            line[1] += tags
+            tags = 0
+    assert [(text, n) for _, text, n, _, _ in parser.page_lines()] == [(t.strip(), n) for t, n in want]
