@@ -1,28 +1,34 @@
 """Similarity join of documents' shingle sets: Jaccard similarity of at least 4/5, with a prefix tree of ordered sets.
 
-1. Every document becomes the set of its distinct shingles' hashes.  Tasks deal the lower half of the hash values out by
-   range, packed in blocks; a shingle that two documents of a task share is sent once.  Each range tells for every
+1. Every document becomes the set of its distinct shingles' 64-bit hashes.  Tasks deal the lower half of the hash values
+   out by range, packed in blocks; a shingle that two documents of a task share is sent once.  Each range tells for every
    document how many of its shingles occur in another document.  A document of n shingles with more than n / 5 that occur
-   nowhere else can't be similar to any other, and half of the values are enough to tell that of most documents; the
-   rest of the shingles of those that stay are compared in step 2.
-2. Of what is left, equal sets (by a 128-bit digest of the set) are represented by one document.  Their shingles are put
-   into one global order, rarest first, and those in the first n - ceil(0.8 n) + 1 places, of which two similar sets
-   must have one in common, connect sets into coarse groups.
-3. Each coarse group goes into a prefix tree of its ordered sets.  A set is looked up by walking down the tree: the
-   overlap with a path is counted once for all sets that share it, and a subtree is left when what remains of the set
-   and of the longest set below can't reach the overlap needed, when no set below has a fitting size, or when all sets
-   below are already connected to it.
+   nowhere else can't be similar to any other, and half of the values are enough to tell that of most documents.  (Here 33
+   bits and the range's are compared; a chance agreement only keeps a document for longer.)
+2. Of what is left, equal sets (by a 128-bit digest of the set) are represented by one document.  Their shingles get one
+   global order, rarest first, ties by hash.  Shingles that are frequent within tasks are counted by partial aggregates and
+   told to all tasks (there are at most HOT_SHINGLES of them); the others are counted in ranges of hash values, so that no
+   range holds the documents of a passage that a third of all documents share.  Frequencies over 65,535 count as that,
+   which changes the order of shingles and nothing else.
+3. Two similar sets have a shingle in common among the first n - ceil(0.8 n) + 1 of each.  Sets that these connect form
+   coarse groups, so that each set is sent once.  A coarse group goes into a prefix tree of its ordered sets.  For a set,
+   lists of the first shingles name the sets that share COMMON of them (sets that are connected to it already are left
+   out), and these are looked up by walking down the tree: the overlap with a path is counted once for all sets that share
+   it, and a subtree is left when what remains of the set and of the longest set below can't reach the overlap needed or
+   no set below has a fitting size.
    A group over ``tile_bytes`` is first dealt out by hash into single trees, ``SPREADS`` times over, which is work in
    proportion to the group and already connects most copies of a text.  Of its shingles then only those count that sets
    of different components share; the groups that these form are smaller or none.  What still is over ``tile_bytes`` is
-   cut by set size and hash into tiles, and every pair of tiles with fitting sizes is joined.
+   dealt by these shingles: a set goes to the parts of its own.  A part over ``tile_bytes`` is cut by set size and hash
+   into tiles, and every pair of tiles with fitting sizes is joined.
 4. Links, one for each set that a walk connects, give the components.
 
-Hashes have 64 bits; step 1 compares 33 bits and the range's, where a chance agreement only keeps a document for longer.
-
 Null texts and texts without words have empty sets, which are linked with nothing.  Fewer than five words are one shingle.
-Repeated rows each get their row; rows with the same id and different texts are documents of their own.
-Rows without an id take part; a component without any id has a null component_id.
+Texts of any length are read whole.  Repeated rows each get their row; rows with the same id and different texts are
+documents of their own.  Rows without an id take part; a component without any id has a null component_id.  Of ids that
+aren't whole numbers the least is the first in their type's order.  An empty table gives no rows.  Where ids are repeated,
+null or not whole numbers, rows are told apart by a 64-bit hash of id and text.  Other columns, also those named like the
+ones made here, are not looked at; ``one_of_each`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -36,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stored
+from .shared import attached, stored, tasks_for
 from .words import byte_classes, chunks, mix, window_hashes, words_of
 
 WORDS = 5
@@ -44,14 +50,20 @@ WORDS = 5
 RANGE_TEXT_BYTES = 16 << 20
 #: Shingles per hash range of step 2.
 RANGE_SHINGLES = 1 << 21
+#: Shingles that are counted by partial aggregates, at most; each is in more than 32,768 documents.
+HOT_SHINGLES, HOT_DOCUMENTS, HOT_IN_CHUNK = 500_000, 32_768, 8
+#: First shingles of which two sets must share this many (or all that they need) to be looked up.  The next number counts
+#: where the one before leaves more than FEW sets.
+COMMON, FEW = (4, 16, 64), 16
 #: Bytes of ordered sets and nodes in one tree.
-TILE_BYTES = 16 << 20
+TILE_BYTES = 4 << 20
 #: Bytes of a set's nodes.
 NODE_BYTES = 1024
 #: Times that a group over TILE_BYTES is dealt out by hash before pairs of tiles are joined.
 SPREADS = 2
 
 _U = np.uint64
+_SET = ("rid", "n", "keys", "often")
 _SPACE = byte_classes("space")
 
 
@@ -188,17 +200,44 @@ def _sum_up(table: pa.Table) -> pa.Table:
     return pa.table([ids, alone.astype(np.int64), n[first], d1[first], d2[first]], names=["rid", "alone", "n", "d1", "d2"])
 
 
-def _deal_again(bits: int, size: int):
-    """Step 2: all shingles of the documents that are left."""
+def _frequent(size: int):
+    """Step 2: shingles that several documents of a chunk have, with their numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x or b"" for x in batch.column(1).to_pylist()]
+            for low, high in chunks(texts, 2 << 20):
+                tokens, n = np.unique(np.concatenate(shingle_sets(texts[low:high], size)), return_counts=True)
+                often = n >= HOT_IN_CHUNK
+                if often.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["token", "n"])
+
+    return run
+
+
+def _deal_again(bits: int, size: int, hot):
+    """Step 2: all shingles of the documents that are left; frequent ones with their numbers, past the ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, numbers = hot.value
         for batch in batches:
             ids = batch.column(0).to_numpy()
             texts = [x or b"" for x in batch.column(1).to_pylist()]
             for low, high in chunks(texts, 2 << 20):
                 sets = shingle_sets(texts[low:high], size)
+                own, tokens = ids[low:high], np.concatenate(sets)
                 owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                rows = [(r, 0, i.tobytes(), c.tobytes(), t.tobytes(), None, None) for r, i, c, t in _packed(ids[low:high], owner, np.concatenate(sets), bits)]
+                rows = []
+                if len(frequent) and len(tokens):
+                    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+                    known = frequent[at] == tokens
+                    begins = np.flatnonzero(np.diff(owner[known], prepend=-1))
+                    if len(begins):
+                        held = np.diff(np.append(begins, int(known.sum()))).astype(np.uint32)
+                        part = (1 << bits) + int(own[0]) % (1 << bits)
+                        rows.append((part, 1, own[owner[known][begins]].tobytes(), held.tobytes(), tokens[known].tobytes(), numbers[at[known]].tobytes(), None))
+                    owner, tokens = owner[~known], tokens[~known]
+                rows += [(r, 0, i.tobytes(), c.tobytes(), t.tobytes(), None, None) for r, i, c, t in _packed(own, owner, tokens, bits)]
                 if rows:
                     yield _rows(rows)
 
@@ -206,20 +245,30 @@ def _deal_again(bits: int, size: int):
 
 
 def _ranked(table: pa.Table) -> pa.Table:
-    """Step 2, for a range: each document's shingles that another has too, as numbers whose order is the global one."""
-    ids, counts, tokens = _joined(table, "ids", np.int64), _joined(table, "a", np.uint32), _joined(table, "b", np.uint64)
-    order = np.argsort(tokens)
-    ordered = tokens[order]
-    begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, dtype=np.int64)
-    lengths = np.diff(np.append(begins, len(ordered)))
-    often = np.empty(len(tokens), dtype=np.uint64)
-    often[order] = np.repeat(np.minimum(lengths, 65535), lengths).astype(np.uint64)
-    keys = (often << _U(48)) | (tokens >> _U(16))
-    keep = often > 1
-    ends = np.cumsum(counts)
-    blobs = [keys[a:b][keep[a:b]].tobytes() for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
-    some = [k for k, x in enumerate(blobs) if x]
-    return pa.table([pa.array(ids[some], pa.int64()), pa.array([blobs[k] for k in some], pa.binary())], names=["rid", "keys"])
+    """Step 2, for a range: each document's shingles that another has too, with the numbers of documents that have them."""
+    import pyarrow.compute as pc
+
+    out = {"rid": [], "keys": [], "often": []}
+    for kind in (0, 1):
+        part = table.filter(pc.equal(table.column("kind"), kind))
+        ids, counts, tokens = _joined(part, "ids", np.int64), _joined(part, "a", np.uint32), _joined(part, "b", np.uint64)
+        if kind == 0:
+            order = np.argsort(tokens)
+            ordered = tokens[order]
+            begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, dtype=np.int64)
+            lengths = np.diff(np.append(begins, len(ordered)))
+            often = np.empty(len(tokens), dtype=np.uint16)
+            often[order] = np.repeat(np.minimum(lengths, 65535), lengths).astype(np.uint16)
+        else:
+            often = _joined(part, "c", np.uint16)
+        ends = np.cumsum(counts)
+        for rid, a, b in zip(ids.tolist(), (ends - counts).tolist(), ends.tolist(), strict=True):
+            keep = often[a:b] > 1
+            if keep.any():
+                out["rid"].append(rid)
+                out["keys"].append(tokens[a:b][keep].tobytes())
+                out["often"].append(often[a:b][keep].tobytes())
+    return pa.table([pa.array(out["rid"], pa.int64()), pa.array(out["keys"], pa.binary()), pa.array(out["often"], pa.binary())], names=["rid", "keys", "often"])
 
 
 def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,11 +276,13 @@ def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for rid, n, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            keys = np.sort(np.frombuffer(b"".join(parts), dtype=np.uint64))
+            keys = np.frombuffer(b"".join(p["keys"] for p in parts), dtype=np.uint64)
+            often = np.frombuffer(b"".join(p["often"] for p in parts), dtype=np.uint16)
             if 5 * len(keys) >= 4 * n:
-                rows.append((rid, n, keys.tobytes()))
+                order = np.lexsort((keys, often))
+                rows.append((rid, n, keys[order].tobytes(), often[order].tobytes()))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["rid", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["rid", "n", "keys", "often"])
 
 
 def prefix_length(n: int) -> int:
@@ -256,7 +307,9 @@ class PrefixTree:
     def __init__(self, sets: list[np.ndarray], sizes: np.ndarray):
         order = sorted(range(len(sets)), key=lambda k: sets[k].byteswap().tobytes())
         self.order, self.sets, self.sizes = np.array(order, dtype=np.int64), [sets[k] for k in order], sizes[order]
+        self.lengths = np.array([len(s) for s in self.sets], dtype=np.int64)
         self.nodes: list[tuple[int, int, int, int, list[int]]] = []  # first and last depth, first and last leaf, children
+        self.begins: list[np.ndarray] = []  # first leaves of the children
         self.least, self.most, self.longest = [], [], []
         common = [0] * (len(sets) + 1)
         for k in range(1, len(sets)):
@@ -289,21 +342,23 @@ class PrefixTree:
 
     def _node(self, low: int, high: int, first: int, last: int, children: list[int]) -> int:
         self.nodes.append((low, high, first, last, children))
+        self.begins.append(np.array([self.nodes[c][2] for c in children], dtype=np.int64))
         own = self.sizes[first : last + 1]
         self.least.append(int(own.min()))
         self.most.append(int(own.max()))
-        self.longest.append(max(len(s) for s in self.sets[first : last + 1]))
+        self.longest.append(int(self.lengths[first : last + 1].max()))
         return len(self.nodes) - 1
 
     def partners(self, keys: np.ndarray, n: int, wanted: np.ndarray) -> list[int]:
-        """Leaves among the wanted ones (a flag per leaf) that are similar to a set of n shingles with these keys."""
-        count = np.concatenate([[0], np.cumsum(wanted)])
+        """Leaves among the wanted ones (in order, or a flag per leaf) that are similar to a set of n shingles with these
+        keys.  Only paths to wanted leaves are walked."""
+        leaves = np.flatnonzero(wanted) if wanted.dtype == bool else wanted
         out: list[int] = []
-        todo = [(self.root, 0)]
+        todo = [(self.root, 0, leaves)] if len(leaves) else []
         while todo:
-            k, overlap = todo.pop()
+            k, overlap, asked = todo.pop()
             low, high, first, last, children = self.nodes[k]
-            if count[last + 1] == count[first] or 5 * self.most[k] < 4 * n or 4 * self.least[k] > 5 * n:
+            if 5 * self.most[k] < 4 * n or 4 * self.least[k] > 5 * n:
                 continue
             rest = len(keys)
             if high > low:
@@ -313,64 +368,128 @@ class PrefixTree:
                 rest = len(keys) - int(at[-1])
             if 9 * (overlap + min(rest, self.longest[k] - high)) < 4 * (n + self.least[k]):
                 continue
-            leaf = first
-            while leaf <= last and len(self.sets[leaf]) == high:
-                if wanted[leaf] and 9 * overlap >= 4 * (n + int(self.sizes[leaf])):
-                    out.append(leaf)
-                leaf += 1
-            todo += [(c, overlap) for c in children]
+            end = int(self.begins[k][0]) if children else last + 1  # sets that end here come before the children's
+            split = int(np.searchsorted(asked, end))
+            out += [leaf for leaf in asked[:split].tolist() if 9 * overlap >= 4 * (n + int(self.sizes[leaf]))]
+            asked = asked[split:]
+            if len(asked):
+                child = np.searchsorted(self.begins[k], asked, side="right") - 1
+                edges = np.flatnonzero(np.diff(child, prepend=-1)).tolist()
+                todo += [(children[child[a]], overlap, asked[a:b]) for a, b in zip(edges, [*edges[1:], len(asked)], strict=True)]
         return out
 
 
+class FirstShingles:
+    """Lists of the sets that have a shingle among their first ones, so many that two similar sets share ``common`` of them
+    (or as many as they need to have in common, if that is less)."""
+
+    def __init__(self, tree: PrefixTree, common: int):
+        self.sizes, self.need, self.common = tree.sizes, -(-4 * tree.sizes // 5), common
+        ends = np.clip(tree.lengths - self.need + common, 0, None)  # shingles of no other set come first and aren't there
+        self.first = [s[:e] for s, e in zip(tree.sets, ends.tolist(), strict=True)]
+        self.owner = np.repeat(np.arange(len(self.first)), [len(s) for s in self.first])
+        self.tokens = np.concatenate(self.first)
+
+    def list_up(self, new: np.ndarray, label: np.ndarray) -> None:
+        """Lists of the new sets, without shingles of sets of one label only."""
+        left = new[self.owner]
+        self.tokens, self.owner = self.tokens[left], self.owner[left]
+        order = np.argsort(self.tokens, kind="stable")
+        tokens, owner = self.tokens[order], self.owner[order]
+        begins = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, dtype=np.int64)
+        several = np.zeros(0, dtype=bool)
+        if len(begins):
+            several = np.minimum.reduceat(label[owner], begins) != np.maximum.reduceat(label[owner], begins)
+        keep = np.repeat(several, np.diff(np.append(begins, len(tokens))))
+        self.tokens, self.owner = tokens[keep], owner[keep]
+        self.begins = np.flatnonzero(np.concatenate([[True], self.tokens[1:] != self.tokens[:-1]])) if len(self.tokens) else np.zeros(0, dtype=np.int64)
+        self.known, self.ends = self.tokens[self.begins], np.append(self.begins[1:], len(self.tokens))
+
+    def candidates(self, leaf: int) -> np.ndarray:
+        """Leaves of fitting size that share enough of the first shingles."""
+        if not len(self.known):
+            return np.zeros(0, dtype=np.int64)
+        own = self.first[leaf]
+        at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
+        at = at[self.known[at] == own]
+        if not len(at):
+            return np.zeros(0, dtype=np.int64)
+        counts = np.bincount(np.concatenate([self.owner[a:b] for a, b in zip(self.begins[at].tolist(), self.ends[at].tolist(), strict=True)]))
+        found = np.flatnonzero(counts)
+        n, size, need = counts[found], self.sizes[leaf], np.maximum(self.need[found], self.need[leaf])
+        fits = (n >= np.minimum(self.common, need)) & (5 * self.sizes[found] >= 4 * size) & (4 * self.sizes[found] <= 5 * size)
+        return found[fits]
+
+
 def tree_links(ids: list[int], sets: list[np.ndarray], sizes: list[int], sides: list[int] | None = None, labels: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that connect what is similar: enough of them for the components.  With ``sides``, sets of one side aren't
     compared with each other; with ``labels``, sets of one label count as connected."""
     label = np.unique(ids if labels is None else labels, return_inverse=True)[1]
     if len(ids) < 2 or not label.any():
         return []
-    tree = PrefixTree(sets, np.array(sizes))
+    tree = PrefixTree(sets, np.array(sizes, dtype=np.int64))
     label = label[tree.order]  # by leaf
     side = np.array(sides)[tree.order] if sides is not None else None
     new = np.ones(len(ids), dtype=bool)
     names = np.array(ids)[tree.order]
-    links = []
-    for leaf in np.argsort(names, kind="stable").tolist():
+    lists, links, due = [FirstShingles(tree, COMMON[0])], [], 0
+    for done, leaf in enumerate(np.argsort(names, kind="stable").tolist()):
+        if done == due:  # what is connected by now needn't be listed any more
+            for level in lists:
+                level.list_up(new, label)
+            due = max(1, min(2 * due, due + max(64, len(ids) // 16)))
+            if not len(lists[0].known):
+                break
         new[leaf] = False
-        wanted = new & (label != label[leaf])
-        if side is not None:
-            wanted &= side != side[leaf]
-        if not wanted.any():
-            continue
-        found = tree.partners(tree.sets[leaf], int(tree.sizes[leaf]), wanted)
+        for k, common in enumerate(COMMON):
+            if k == len(lists):
+                lists.append(FirstShingles(tree, common))
+                lists[k].list_up(new | (np.arange(len(new)) == leaf), label)
+            asked = lists[k].candidates(leaf)
+            asked = asked[new[asked] & (label[asked] != label[leaf])]
+            if side is not None:
+                asked = asked[side[asked] != side[leaf]]
+            if len(asked) <= FEW:
+                break
+        found = tree.partners(tree.sets[leaf], int(tree.sizes[leaf]), asked)
         if found:
             links += [(int(names[leaf]), int(names[f])) for f in found]
             label[np.isin(label, label[found])] = label[leaf]
     return links
 
 
+def ordered_numbers(sets: list[np.ndarray], often: list[np.ndarray]) -> list[np.ndarray]:
+    """The sets with each shingle as its place in the order, by frequency and hash, of all shingles that are here."""
+    tokens, numbers = np.concatenate(sets), np.concatenate(often)
+    order = np.lexsort((tokens, numbers))
+    rank = np.empty(len(tokens), dtype=np.uint32)
+    rank[order] = np.cumsum(np.concatenate([[False], tokens[order][1:] != tokens[order][:-1]]))
+    return np.split(rank, np.cumsum([len(s) for s in sets])[:-1])
+
+
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 3: rows come block by block."""
     block, held = None, []
 
     def flush() -> Iterator[pa.RecordBatch]:
         if len(held) > 1:
-            ids, sizes, sets, sides, labels = map(list, zip(*held, strict=True))
-            links = tree_links(ids, sets, sizes, sides if len(set(sides)) > 1 else None, labels)
+            ids, sizes, keys, often, sides, labels = map(list, zip(*held, strict=True))
+            links = tree_links(ids, ordered_numbers(keys, often), sizes, sides if len(set(sides)) > 1 else None, labels)
             if links:
                 a, b = zip(*links, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     for batch in batches:
-        for own, rid, n, keys, side, label in zip(*(batch.column(c).to_pylist() for c in ("block", "rid", "n", "keys", "side", "label")), strict=True):
+        for own, rid, n, keys, often, side, label in zip(*(batch.column(c).to_pylist() for c in ("block", *_SET, "side", "label")), strict=True):
             if own != block:
                 yield from flush()
                 block, held = own, []
-            held.append((rid, n, np.frombuffer(keys, dtype=np.uint64), side, label))
+            held.append((rid, n, np.frombuffer(keys, dtype=np.uint64), np.frombuffer(often, dtype=np.uint16), side, label))
     yield from flush()
 
 
 def _weight() -> Column:
-    return F.sum(F.octet_length("keys") + NODE_BYTES)
+    return F.sum(F.octet_length("keys") + F.octet_length("often") + NODE_BYTES)
 
 
 def _by_weight(sets: DataFrame, tile_bytes: int) -> tuple[DataFrame, DataFrame]:
@@ -379,43 +498,69 @@ def _by_weight(sets: DataFrame, tile_bytes: int) -> tuple[DataFrame, DataFrame]:
     return sets.join(held.where(F.col("held") <= tile_bytes).select("coarse"), "coarse"), held.where(F.col("held") > tile_bytes)
 
 
+def _between(prefixes: DataFrame) -> DataFrame:
+    """(key, low): the keys that sets of several labels share, with the least of all sets that have it."""
+    return prefixes.groupBy("key").agg(F.min("rid").alias("low"), F.min("label").alias("first"), F.max("label").alias("last")).where("first < last").select("key", "low")
+
+
 def _coarse(prefixes: DataFrame) -> DataFrame:
     """(rid, coarse) for ``prefixes`` with rid, key and label: groups connected by keys that several labels share."""
-    spans = prefixes.groupBy("key").agg(F.min("rid").alias("low"), F.min("label").alias("first"), F.max("label").alias("last")).where("first < last").select("key", "low")
-    stars = components(prefixes.join(spans, "key").select(F.col("rid").alias("a"), F.col("low").alias("b")))
+    stars = components(prefixes.join(_between(prefixes), "key").select(F.col("rid").alias("a"), F.col("low").alias("b")))
     return stars.select(F.col("a").alias("rid"), F.col("b").alias("coarse")).unionByName(stars.select(F.col("b").alias("rid"), F.col("b").alias("coarse")).distinct())
 
 
 def _linked(blocks: DataFrame) -> DataFrame:
-    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return blocks.repartition(tasks, "block").sortWithinPartitions("block").mapInArrow(_trees, "a bigint, b bigint")
+    blocks = stored(blocks, "blocks", "zstd")
+    total = blocks.agg(F.sum(F.octet_length("keys") + NODE_BYTES)).first()[0] or 0
+    return blocks.repartition(tasks_for(blocks.sparkSession, total), "block").sortWithinPartitions("block").mapInArrow(_trees, "a bigint, b bigint")
+
+
+def _as_block(name: Column) -> list[Column]:
+    return [name.alias("block"), *[F.col(c) for c in _SET], F.lit(0).alias("side"), F.col("label")]
 
 
 def set_links(sets: DataFrame, prefixes: DataFrame, tile_bytes: int) -> DataFrame:
-    """Links (a, b) that give the components of ``sets`` (rid, n, keys), whose ``prefixes`` have rid and key."""
+    """Links (a, b) that give the components of ``sets`` (rid, n, keys, often), whose ``prefixes`` have rid and key."""
     alone = F.col("rid").alias("label")
     grouped = sets.select("*", alone).join(_coarse(prefixes.select("*", alone)), "rid")
     small, over = _by_weight(grouped, tile_bytes)
+    fitting = small.select(*_as_block(F.col("coarse").cast("string")))
     if over.isEmpty():
-        return _linked(_blocks(grouped, tile_bytes))
+        return _linked(fitting)
     large = stored(grouped.join(over, "coarse"), "large-groups")
     links = []
     for seed in range(SPREADS):
         tile = F.pmod(F.xxhash64(F.lit(seed), F.col("rid")), F.ceil(F.col("held") / tile_bytes))
-        links.append(_linked(large.select(F.concat_ws("/", F.col("coarse").cast("string"), tile.cast("string")).alias("block"), "rid", "n", "keys", F.lit(0).alias("side"), "label")))
+        links.append(_linked(large.select(*_as_block(F.concat_ws("/", F.col("coarse").cast("string"), tile.cast("string"))))))
     known = components(reduce(DataFrame.unionByName, links))
     labels = large.select("rid").join(known.select(F.col("a").alias("rid"), F.col("b").alias("centre")), "rid", "left").select("rid", F.coalesce("centre", "rid").alias("label"))
     labels = stored(labels, "known-labels")
-    rest = large.drop("coarse", "held", "label").join(labels, "rid").join(_coarse(prefixes.join(labels, "rid")), "rid")
-    fitting = small.select(F.col("coarse").cast("string").alias("block"), "rid", "n", "keys", F.lit(0).alias("side"), "label")
-    return known.select("a", "b").unionByName(_linked(fitting.unionByName(_blocks(rest, tile_bytes).withColumn("block", F.concat(F.lit("again/"), "block")))))
+    marked = prefixes.join(labels, "rid")
+    rest = large.drop("coarse", "held", "label").join(labels, "rid").join(_coarse(marked), "rid")
+    small, over = _by_weight(rest, tile_bytes)
+    blocks = small.select(*_as_block(F.concat(F.lit("again/"), F.col("coarse").cast("string"))))
+    if not over.isEmpty():
+        blocks = blocks.unionByName(_blocks(_by_key(rest.join(over, "coarse"), marked, tile_bytes), tile_bytes))
+    return known.select("a", "b").unionByName(_linked(fitting.unionByName(blocks)))
+
+
+def _by_key(large: DataFrame, prefixes: DataFrame, tile_bytes: int) -> DataFrame:
+    """Groups that are still too large, dealt by the keys that sets of different labels share: a set goes to the parts of
+    its own keys, so sets that share one meet."""
+    parts = F.ceil(2 * F.col("held") / tile_bytes)
+    sizes = large.select("rid", "coarse", parts.alias("parts"))
+    own = prefixes.join(_between(prefixes).select("key"), "key").select("rid", "key").join(sizes, "rid")
+    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("string")
+    own = own.select("rid", F.concat_ws("/", F.lit("key"), F.col("coarse").cast("string"), part).alias("coarse")).distinct()
+    return stored(own.join(large.select(*_SET, "label"), "rid"), "key-parts", "zstd")
 
 
 def _blocks(sets: DataFrame, tile_bytes: int) -> DataFrame:
-    """``sets`` has rid, n, keys, label and the coarse group; the result has a block and a side for each tree a set goes to."""
+    """``sets`` has rid, n, keys, often, label and the coarse group; the result has a block and a side for each tree a set
+    goes to."""
     sets = sets.withColumn("band", F.floor(F.log(1.25, F.col("n").cast("double")) + 1e-9))
     small, over = _by_weight(sets, tile_bytes)
-    small = small.select(F.col("coarse").cast("string").alias("block"), "rid", "n", "keys", F.lit(0).alias("side"), "label")
+    small = small.select(*_as_block(F.col("coarse").cast("string")))
     if over.isEmpty():
         return small
     large = sets.join(over.select("coarse"), "coarse")
@@ -431,7 +576,7 @@ def _blocks(sets: DataFrame, tile_bytes: int) -> DataFrame:
     within = F.transform(upto("k"), lambda j: F.struct(name(band, F.least(tile, j), band, F.greatest(tile, j)).alias("block"), (tile > j).cast("int").alias("side")))
     above = F.transform(upto("k_above"), lambda j: F.struct(name(band, tile, band + 1, j).alias("block"), F.lit(0).alias("side")))
     below = F.transform(upto("k_below"), lambda j: F.struct(name(band - 1, j, band, tile).alias("block"), F.lit(1).alias("side")))
-    spread = dealt.withColumn("to", F.explode(F.concat(within, above, below))).select("to.block", "rid", "n", "keys", "to.side", "label")
+    spread = dealt.withColumn("to", F.explode(F.concat(within, above, below))).select("to.block", *_SET, "to.side", "label")
     return small.unionByName(spread)
 
 
@@ -447,8 +592,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, size: int, tile_bytes: int) -> tuple[Column, DataFrame, bool]:
     """The key of rows, a row of rid, n_shingles and label for each key, and whether keys are hashes of id and text because
-    ids are repeated or null; else a key is the id, and a label the least id."""
-    repeated = not docs.groupBy(id_col).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull()).isEmpty()
+    ids are repeated, null or no whole numbers; else a key is the id, and a label the least id."""
+    whole = docs.schema[id_col].dataType.typeName() in ("long", "integer", "short", "byte")
+    repeated = not whole or not docs.groupBy(id_col).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull()).isEmpty()
     rid = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("none")), F.col(text_col)) if repeated else F.col(id_col).cast("long")
     rows = docs.select(rid.alias("rid"), F.col(text_col).cast("binary").alias("text"))
 
@@ -461,11 +607,15 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, size: int, tile_bytes
     groups = stored(left.groupBy("n", "d1", "d2").agg(F.min("rid").alias("rep")), "equal-sets")
     shingles = groups.agg(F.sum("n")).first()[0] or 0
     bits = min(16, max(0, int(shingles // RANGE_SHINGLES)).bit_length())
-    texts = rows.join(groups.select(F.col("rep").alias("rid")).hint("merge"), "rid")  # one plan at every size
-    texts = texts.dropDuplicates(["rid"]) if repeated else texts
-    ranked = texts.mapInArrow(_deal_again(bits, size), _BLOCK_SQL).groupBy("r").applyInArrow(_ranked, "rid bigint, keys binary")
-    lists = ranked.groupBy("rid").agg(F.collect_list("keys").alias("parts")).join(groups.select(F.col("rep").alias("rid"), "n"), "rid")
-    sets = stored(lists.select("rid", "n", "parts").mapInArrow(_ordered, "rid bigint, n bigint, keys binary"), "ordered-sets")
+    texts = attached(rows, groups.select(F.col("rep").alias("rid")), "rid", "left_semi")
+    texts = stored(texts.dropDuplicates(["rid"]) if repeated else texts, "similar-texts", "zstd")
+    least = max(HOT_DOCUMENTS, shingles // HOT_SHINGLES)
+    hot = texts.mapInArrow(_frequent(size), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > least).toArrow()
+    order = np.argsort(hot.column("token").to_numpy().view(_U))
+    sent = docs.sparkSession.sparkContext.broadcast((hot.column("token").to_numpy().view(_U)[order], np.minimum(hot.column("n").to_numpy(), 65535).astype(np.uint16)[order]))
+    ranked = texts.mapInArrow(_deal_again(bits, size, sent), _BLOCK_SQL).groupBy("r").applyInArrow(_ranked, "rid bigint, keys binary, often binary")
+    lists = ranked.groupBy("rid").agg(F.collect_list(F.struct("keys", "often")).alias("parts")).join(groups.select(F.col("rep").alias("rid"), "n"), "rid")
+    sets = stored(lists.select("rid", "n", "parts").mapInArrow(_ordered, "rid bigint, n bigint, keys binary, often binary"), "ordered-sets")
 
     prefixes = stored(sets.mapInArrow(_prefixes, "rid bigint, key bigint"), "prefixes")
     linked = components(set_links(sets, prefixes, tile_bytes))

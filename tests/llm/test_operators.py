@@ -441,3 +441,48 @@ def test_ratios_smoothing_and_threshold_by_brute_force():
             line[1] += tags
             tags = 0
     assert [(text, n) for _, text, n, _, _ in parser.page_lines()] == [(t.strip(), n) for t, n in want]
+
+
+@pytest.mark.parametrize("kind", ["pool", "dense", "mixed"])
+def test_tree_links_by_brute_force(kind):
+    """Components of random sets: unlike ones that share first shingles, ones drawn from few shingles, and near copies."""
+    rng = np.random.default_rng(9)
+    sets, sizes = [], []
+    for k in range(150):
+        n = int(rng.integers(1, 70))
+        if kind == "pool":
+            s = np.concatenate([rng.integers(0, 12, 3), 1000 + rng.integers(0, 1 << 20, n)])
+        elif kind == "dense":
+            s = rng.integers(0, 60, n)
+        else:
+            s = sets[int(rng.integers(len(sets)))].copy() if k % 3 and sets else rng.integers(0, 400, n)
+            s[rng.random(len(s)) < 0.06] = 500 + k
+        sets.append(np.unique(s).astype(np.uint32))
+        sizes.append(len(sets[-1]) + int(rng.integers(0, 3)))  # some shingles of no other set
+    label = list(range(150))
+    for i in range(150):
+        for j in range(i):
+            if 9 * len(np.intersect1d(sets[i], sets[j])) >= 4 * (sizes[i] + sizes[j]):
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    got = list(range(150))
+    links = ngram_join.tree_links(list(range(150)), sets, sizes)
+    for i, j in links:
+        assert 9 * len(np.intersect1d(sets[i], sets[j])) >= 4 * (sizes[i] + sizes[j])
+        a, b = sorted((got[i], got[j]))
+        got = [a if x == b else x for x in got]
+    assert got == label
+
+
+def test_join_of_frequent_shingles_and_string_ids(spark, monkeypatch):
+    """Shingles past the ranges, groups dealt by keys, and ids that aren't numbers."""
+    monkeypatch.setattr(ngram_join, "HOT_DOCUMENTS", 3)
+    monkeypatch.setattr(ngram_join, "HOT_IN_CHUNK", 2)
+    texts = near_copies() + ["a passage of ten words that very many documents have " + " ".join(f"q{k}x{i}" for i in range(k)) for k in range(30)]
+    want = brute_components(texts)
+    for tile_bytes in (1 << 22, 4000):
+        got = ngram_join.similar_components(table(spark, texts), tile_bytes=tile_bytes).orderBy("doc_id").collect()
+        assert [(r.n_shingles, r.component_id) for r in got] == want
+    named = table(spark, texts).withColumn("doc_id", F.format_string("u-%03d", "doc_id"))
+    got = ngram_join.similar_components(named).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id) for r in got] == [(n, f"u-{c:03d}") for n, c in want]
