@@ -148,5 +148,6 @@ def token_counts(
     misses = misses.mapInArrow(_local_firsts, _MISS).repartition(tasks_for(spark, total), "digest")
     counted = misses.mapInArrow(_encode(tokenizer_path, whole), "digest binary, n_tokens bigint")
     counted.withColumn("tokenizer", F.lit(version)).write.mode("append").parquet(cache_path)
+    counts = stored(cache(), "token-counts-of-digests")  # as a table, so that AQE can split a digest that many documents have
     rows = keyed.select(id_col, "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return rows.join(cache(), "digest").select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return rows.join(counts, "digest").select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
