@@ -5,10 +5,20 @@ them so that one marginal meets its target, until all three do.  The raked weigh
 of its documents; rates times the largest factor that keeps all of them below one (or a given share of all tokens) are
 the documents' probabilities, and a document is sampled if a number made of its id and the seed is below its probability.
 
-Targets, unless given, are the marginals' own shares to the power ``temper``, scaled to one.  The topic is the text's
-form (``topic_of``) unless a column is named.  Missing values of the three dimensions are a value of their own.  Null and empty
-texts have no tokens; a cell without tokens keeps the rate 1 (before the common factor), as does a value that the given
-targets don't mention: it keeps its share.  Repeated rows share their fate, because the draw depends on the id and the seed.
+Targets are tables of a dimension's values and shares; without one, they are the marginal's own shares to the power
+``temper``, scaled to one.  Targets that no weights of the cells that there are can meet don't converge; the weights of
+the last sweep are then used and mix_converged is false in every row.
+
+The topic is a column, if one is named, else learnt: words of at least seven letters that are in 0.05 to 20 % of the
+documents are ranked by residual IDF, which is high for words that occur often where they occur at all, and a text's topic
+is the first of the ``topics`` best that it contains.  Counts are made over all whole texts; documents are then read once
+more, for their tokens and topics.
+
+Missing values of the three dimensions are a value of their own.  Null and empty texts have no tokens and no topic; texts of
+any length are counted whole.  A cell without tokens keeps the rate 1 (before the common factor), as does a value that the
+given targets don't mention: it keeps its share.  Of words of equal rank the first in order comes first.  Repeated rows
+share their fate, because the draw depends on the id and the seed; so do all rows without an id that are of one cell.  An
+empty table gives no rows.  Other columns stay as they are; columns of the made names are replaced.
 """
 
 from __future__ import annotations
@@ -21,18 +31,38 @@ from .shared import stored, uniform
 DIMENSIONS = ("source", "lang", "topic")
 #: Cells that are raked in one task; more are raked by windows over several.
 ONE_TASK_CELLS = 100_000
+#: Words that stand for topics.
+TOPICS = 24
 
 _NONE = "\u0000none"
 
 
-def topic_of(text: Column) -> Column:
-    """The form of a text: empty, table, marked (runs of signs), loud (capitals), long or short prose."""
-    size = F.length(text)
-    capitals = size - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    return (
-        F.when(F.coalesce(size, F.lit(0)) == 0, "empty").when(text.contains(" | "), "table").when(text.rlike(r"[#$%&*]{3}"), "marked")
-        .when(capitals > 0.3 * size, "loud").when(size >= 3000, "long").otherwise("short")
-    )
+def _long_words(text: Column) -> Column:
+    """Runs of at least seven letters (a-z and whatever isn't ASCII), lower-cased."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"([^\x00-\x60\x7B-\x7F]{7,})"), 1)
+
+
+def topic_words(docs: DataFrame, text_col: str = "text", topics: int = TOPICS, least: float = 0.0005, most: float = 0.2) -> list[str]:
+    """The words with the highest residual IDF, log(1 - exp(-occurrences / documents)) - log(share of documents)."""
+    words = docs.select(F.coalesce(_long_words(F.col(text_col)), F.array().cast("array<string>")).alias("w"))
+    # An occurrence is a word; a document of it is the word with a blank before it; a document is an empty string.
+    marks = F.concat(F.array(F.lit("")), "w", F.transform(F.array_distinct("w"), lambda x: F.concat(F.lit(" "), x)))
+    counts = words.select(F.explode(marks).alias("m")).groupBy("m").agg(F.count("*").alias("n"))
+    counts = counts.groupBy(F.ltrim("m").alias("word")).agg(F.max(F.when(F.col("m").startswith(" "), F.col("n"))).alias("df"), F.max(F.when(~F.col("m").startswith(" "), F.col("n"))).alias("cf"))
+    counts = stored(counts, "word-counts")
+    total = counts.where("word = ''").agg(F.max("cf")).first()[0] or 0
+    if not total:
+        return []
+    rank = F.log(1 - F.exp(-F.col("cf") / float(total))) - F.log(F.col("df") / float(total))
+    found = counts.where((F.col("df") >= max(2.0, least * total)) & (F.col("df") <= most * total) & (F.col("word") != ""))
+    return [r.word for r in found.orderBy(F.desc(rank), "word").limit(topics).collect()]
+
+
+def topic_of(text: Column, words: list[str]) -> Column:
+    """The first of the words that the text contains."""
+    if not words:
+        return F.lit(None).cast("string")
+    return F.get(F.array_intersect(F.array(*[F.lit(w) for w in words]), _long_words(text)), F.lit(0))
 
 
 def tokens_of(text: Column) -> Column:
@@ -55,13 +85,13 @@ def with_targets(cells: DataFrame, targets: dict[str, DataFrame] | None, temper:
     return cells
 
 
-def rake(cells: DataFrame, sweeps: int = 60, tolerance: float = 1e-7, at_once: int = 6) -> DataFrame:
-    """``cells`` has the dimensions, tokens and t_<dimension>; the result has weight, a share of 1."""
+def rake(cells: DataFrame, sweeps: int = 60, tolerance: float = 1e-7, at_once: int = 6) -> tuple[DataFrame, bool]:
+    """``cells`` has the dimensions, tokens and t_<dimension>; (the cells with weight, a share of 1; whether all marginals
+    are within ``tolerance`` of their targets)."""
     cells = stored(cells, "cells")
-    if cells.count() <= ONE_TASK_CELLS:
-        cells = cells.coalesce(1)
+    few = cells.count() <= ONE_TASK_CELLS
     everything = Window.partitionBy()
-    out = cells.withColumn("weight", F.col("tokens") / F.sum("tokens").over(everything))
+    out = (cells.coalesce(1) if few else cells).withColumn("weight", F.col("tokens") / F.sum("tokens").over(everything))
     for _ in range(0, sweeps, at_once):
         for _ in range(at_once):
             for d in DIMENSIONS:
@@ -72,25 +102,29 @@ def rake(cells: DataFrame, sweeps: int = 60, tolerance: float = 1e-7, at_once: i
         gap = out.agg(F.max("gap")).first()[0]
         out = out.drop("gap")
         if gap is None or gap < tolerance:
-            break
-        out = out.coalesce(1) if out.count() <= ONE_TASK_CELLS else out
-    return out
+            return out, True
+        out = out.coalesce(1) if few else out
+    return out, False
+
+
+MADE = ("mix_topic", "mix_tokens", "mix_rate", "mix_probability", "mix_sampled", "mix_converged")
 
 
 def calibrated(
     docs: DataFrame, targets: dict[str, DataFrame] | None = None, temper: float = 0.9, share: float | None = None, seed: int = 11,
-    id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None,
+    id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None, topics: int = TOPICS, columns: list[str] | None = None,
 ) -> DataFrame:
-    """All document rows with mix_topic, mix_tokens, mix_rate, mix_probability and mix_sampled; columns of these names
-    are replaced."""
-    made = ["mix_topic", "mix_tokens", "mix_rate", "mix_probability", "mix_sampled", "mix_source", "mix_lang"]
-    topic = F.col(topic_col) if topic_col else topic_of(F.col(text_col))
-    keyed = docs.drop(*[m for m in made if m != topic_col]).withColumns({
-        "mix_source": F.coalesce(F.col("source").cast("string"), F.lit(_NONE)), "mix_lang": F.coalesce(F.col("lang").cast("string"), F.lit(_NONE)),
-        "mix_topic": F.coalesce(topic.cast("string"), F.lit(_NONE)), "mix_tokens": tokens_of(F.col(text_col)),
-    })
+    """All document rows with mix_topic, mix_tokens, mix_rate, mix_probability, mix_sampled and mix_converged.  ``targets``
+    has a table for source, lang or topic, with the column of that name and share.  ``columns`` names the documents' columns
+    that are returned, else all are."""
+    kept = [c for c in (docs.columns if columns is None else columns) if c not in MADE]
+    topic = F.col(topic_col) if topic_col else topic_of(F.col(text_col), topic_words(docs, text_col, topics))
+    dimensions = {"mix_source": F.col("source"), "mix_lang": F.col("lang"), "mix_topic": topic}
+    made = [F.coalesce(c.cast("string"), F.lit(_NONE)).alias(n) for n, c in dimensions.items()]
+    draw = uniform(F.coalesce(F.col(id_col).cast("string"), F.lit("")), seed=seed).alias("mix_draw")
+    keyed = stored(docs.select(*[F.col(c) for c in kept], *made, tokens_of(F.col(text_col)).alias("mix_tokens"), draw), "tokens-and-topics")
     cells = keyed.groupBy(*[F.col(f"mix_{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("mix_tokens").alias("tokens"))
-    raked = rake(with_targets(stored(cells, "token-cells"), targets, temper))
+    raked, converged = rake(with_targets(stored(cells, "token-cells"), targets, temper))
     total = raked.agg(F.sum("tokens")).first()[0] or 0
     rates = raked.select(*[F.col(d).alias(f"mix_{d}") for d in DIMENSIONS], "tokens", F.when(F.col("tokens") > 0, F.col("weight") * total / F.col("tokens")).otherwise(1.0).alias("mix_rate"))
     rates = stored(rates, "rates")
@@ -99,8 +133,8 @@ def calibrated(
     if rates.count() <= ONE_TASK_CELLS:
         cell_rates = F.broadcast(cell_rates)
     out = keyed.join(cell_rates, [f"mix_{d}" for d in DIMENSIONS], "left").withColumn("mix_probability", F.least(F.lit(1.0), F.col("mix_rate") * factor))
-    out = out.withColumn("mix_sampled", uniform(F.coalesce(F.col(id_col).cast("string"), F.lit("")), seed=seed) < F.col("mix_probability"))
-    return out.select(*[c for c in docs.columns if c not in made], "mix_topic", "mix_tokens", "mix_rate", "mix_probability", "mix_sampled")
+    out = out.withColumns({"mix_sampled": F.col("mix_draw") < F.col("mix_probability"), "mix_converged": F.lit(converged)})
+    return out.select(*kept, *MADE)
 
 
 def _factor(rates: DataFrame, share: float | None, total: int) -> float:

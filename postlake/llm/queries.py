@@ -58,10 +58,15 @@ def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their sampling probabilities after raking."""
-    docs = _table(spark, sf_dir, "documents")
-    return calibrated(docs).select("doc_id", "source", "lang", "mix_topic", "mix_tokens", "mix_rate", "mix_probability", "mix_sampled")
+#: Shares of tokens by language; other languages keep theirs, before all are scaled to one.
+LANGUAGES = (("en", 0.55), ("de", 0.15), ("es", 0.15), ("fr", 0.15))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str, languages: tuple[tuple[str, float], ...] = LANGUAGES, temper: float = 0.7) -> DataFrame:
+    """Documents with their sampling probabilities after raking: given shares of languages, tempered ones of sources and
+    learnt topics."""
+    targets = {"lang": spark.createDataFrame(list(languages), "lang string, share double")}
+    return calibrated(_table(spark, sf_dir, "documents"), targets, temper, columns=["doc_id", "source", "lang"])
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

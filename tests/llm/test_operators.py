@@ -486,3 +486,63 @@ def test_join_of_frequent_shingles_and_string_ids(spark, monkeypatch):
     named = table(spark, texts).withColumn("doc_id", F.format_string("u-%03d", "doc_id"))
     got = ngram_join.similar_components(named).orderBy("doc_id").collect()
     assert [(r.n_shingles, r.component_id) for r in got] == [(n, f"u-{c:03d}") for n, c in want]
+
+
+def rake_plainly(rows, goals, sweeps=500):
+    """Probabilities of (source, lang, topic, tokens) rows, by raking cells one after the other."""
+    cells = Counter()
+    for *cell, n in rows:
+        cells[tuple(cell)] += n
+    total = sum(cells.values())
+    weight = {c: n / total for c, n in cells.items()}
+    for _ in range(sweeps):
+        for d, goal in enumerate(goals):
+            held = Counter()
+            for c, w in weight.items():
+                held[c[d]] += w
+            weight = {c: w * goal[c[d]] / held[c[d]] if held[c[d]] > 0 else 0.0 for c, w in weight.items()}
+    rate = {c: weight[c] * total / n if n else 1.0 for c, n in cells.items()}
+    top = max(rate.values())
+    return [min(1.0, rate[tuple(cell)] / top) for *cell, _ in rows]
+
+
+def test_all_probabilities_of_mixing_by_brute_force(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, "w " * int(rng.integers(0, 9)), f"s{rng.integers(3)}", ["x", "y", None][int(rng.integers(3))], f"t{rng.integers(4)}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic string")
+    none = mixing._NONE
+    plain = [(s, l or none, t, len(x.split())) for _, x, s, l, t in rows]
+    own = [Counter() for _ in range(3)]
+    for *cell, n in plain:
+        for d in range(3):
+            own[d][cell[d]] += n
+    total = sum(own[0].values())
+    given = {"x": 0.7, "y": 0.2}  # null isn't mentioned: it keeps its share
+    langs = {v: given.get(v, n / total) for v, n in own[1].items()}
+    goals = [{v: (n / total) ** 0.5 for v, n in own[0].items()}, langs, {v: (n / total) ** 0.5 for v, n in own[2].items()}]
+    goals = [{v: g / sum(goal.values()) for v, g in goal.items()} for goal in goals]
+    targets = {"lang": spark.createDataFrame(list(given.items()), "lang string, share double")}
+    got = mixing.calibrated(docs, targets, temper=0.5, topic_col="topic").orderBy("doc_id").collect()
+    assert [r.mix_probability for r in got] == pytest.approx(rake_plainly(plain, goals), abs=1e-5)
+    assert all(r.mix_converged for r in got)
+    impossible = {"source": spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, share double"), "lang": spark.createDataFrame([("x", 0.9), ("y", 0.1)], "lang string, share double")}
+    two = spark.createDataFrame([(1, "w w", "a", "x"), (2, "w w", "b", "y")], "doc_id long, text string, source string, lang string")
+    assert [r.mix_converged for r in mixing.calibrated(two, impossible).collect()] == [False, False]
+
+
+def test_topics_by_brute_force(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = ["rainfall", "mountain", "harbours", "Symphony", "ordinary", "strasse", "größerer"]
+    texts = [" ".join([vocabulary[k % 4]] * int(rng.integers(3, 9)) + list(rng.choice(vocabulary[4:], 3)) + ["short", "x1234567y"]) for k in range(60)] + [None, "", "tiny words"]
+    find = lambda t: re.findall(r"[^\x00-\x60\x7B-\x7F]{7,}", (t or "").lower())
+    cf, df = Counter(), Counter()
+    for t in texts:
+        cf.update(find(t))
+        df.update(set(find(t)))
+    n = len(texts)
+    rank = {w: math.log(1 - math.exp(-cf[w] / n)) - math.log(df[w] / n) for w in df if 2 <= df[w] <= 0.5 * n}
+    want = sorted(rank, key=lambda w: (-rank[w], w))[:3]
+    docs = table(spark, texts)
+    assert mixing.topic_words(docs, topics=3, most=0.5) == want
+    got = docs.select(mixing.topic_of(F.col("text"), want)).collect()
+    assert [r[0] for r in got] == [next((w for w in want if w in find(t)), None) for t in texts]
