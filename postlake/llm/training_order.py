@@ -7,7 +7,12 @@ is taken once and any slot can be computed without a table.  Sequences are dealt
 as shards of ``per_shard`` slots of fixed stride (``length`` little-endian 16-bit ids), so slot s is at a known place of
 a known file and reading can resume anywhere.
 
-Null and empty texts give an end token only.  No documents give no shards.  Repeated rows are encoded each time.
+A sequence's number, and so the order of training, depends on how Spark splits the documents' files into tasks: the same
+files under the same session settings give the same shards, another split gives another order of the same tokens.
+
+Null and empty texts give an end token only; texts of any length are encoded whole and cut.  No documents give no shards.
+Repeated rows are encoded each time.  Ids may be null and of any type.  A vocabulary that 16 bits don't hold is refused.
+Other columns, also those named like the ones made here, are not looked at.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .shared import files, new_folder, put, stored
 
@@ -31,7 +37,11 @@ ROUNDS = 4
 PACKED = {"parquet.compression.codec.zstd.level": "6", "parquet.page.size": str(8 << 20)}
 
 _U = np.uint64
-_SEQUENCES = "part int, seq bigint, n_tokens int, doc_ids array<bigint>, data binary"
+
+def _columns(kind: str, *names: str) -> str:
+    """A schema of these columns, for ids of a kind."""
+    known = {"part": "int", "seq": "bigint", "n_tokens": "int", "doc_ids": f"array<{kind}>", "data": "binary", "slot": "bigint", "shard": "int", "byte_offset": "bigint"}
+    return ", ".join(f"{n} {known[n]}" for n in names)
 
 
 def permute(index: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -65,17 +75,19 @@ def encoder(path: str):
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    if len(ranks) >= 1 << 16:
+        raise ValueError(f"{len(ranks)} ids and an end token don't fit into 16 bits")
     return encoding.encode_ordinary, len(ranks)
 
 
-def _sequences(path: str, length: int):
+def _sequences(path: str, length: int, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encode, end = encoder(path)
         part, seq = TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
-        docs: list[tuple[int | None, int]] = []  # document and where it begins
+        docs: list[tuple[object, int]] = []  # document and where it begins
         held = 0
 
         def cut(last: bool) -> Iterator[pa.RecordBatch]:
@@ -92,7 +104,7 @@ def _sequences(path: str, length: int):
                 seq += 1
             if rows:
                 columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()), strict=True)], names=["part", "seq", "n_tokens", "doc_ids", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int32(), pa.list_(kind), pa.binary()), strict=True)], names=["part", "seq", "n_tokens", "doc_ids", "data"])
             done = whole * length
             ids = [tokens[done:]] if done < len(tokens) else []
             held = max(0, len(tokens) - done)
@@ -167,20 +179,24 @@ def training_shards(
     """Writes the shards; one row per sequence: slot, shard, byte_offset, part, seq, n_tokens (without filling), doc_ids."""
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "token-shards")
-    sequences = stored(docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_sequences(tokenizer_path, length), _SEQUENCES), "sequences", "zstd", PACKED)
+    kind = docs.schema[id_col].dataType
+    encoder(tokenizer_path)  # a vocabulary that doesn't fit is refused here, not in a task
+    made = docs.select(id_col, text_col).mapInArrow(_sequences(tokenizer_path, length, to_arrow_type(kind)), _columns(kind.simpleString(), "part", "seq", "n_tokens", "doc_ids", "data"))
+    sequences = stored(made, "sequences", "zstd", PACKED)
     counts = {r.part: r.n for r in sequences.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row per task
     offsets, total = [], 0
     for part in sorted(counts):
         offsets.append((part, total))
         total += counts[part]
-    schema = "slot bigint, shard int, part int, seq bigint, n_tokens int, doc_ids array<bigint>, data binary"
+    schema = _columns(kind.simpleString(), "slot", "shard", "part", "seq", "n_tokens", "doc_ids", "data")
+    index = _columns(kind.simpleString(), "slot", "shard", "byte_offset", "part", "seq", "n_tokens", "doc_ids")
     if not total:
-        return spark.createDataFrame([], "slot bigint, shard int, byte_offset bigint, part int, seq bigint, n_tokens int, doc_ids array<bigint>")
+        return spark.createDataFrame([], index).withColumn("folder", F.lit(folder))
     starts = spark.createDataFrame(offsets, T.StructType([T.StructField("part", T.IntegerType()), T.StructField("start", T.LongType())]))
     numbered = sequences.join(F.broadcast(starts), "part").select((F.col("start") + F.col("seq")).alias("number"), "part", "seq", "n_tokens", "doc_ids", "data")
     tasks = max(1, min(-(-total // per_shard), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     dealt = numbered.mapInArrow(_slots(total, key, per_shard), schema).repartition(tasks, "shard").sortWithinPartitions("slot")
-    return stored(dealt.mapInArrow(_write(folder, length, per_shard), "slot bigint, shard int, byte_offset bigint, part int, seq bigint, n_tokens int, doc_ids array<bigint>"), "shard-index").withColumn("folder", F.lit(folder))
+    return stored(dealt.mapInArrow(_write(folder, length, per_shard), index), "shard-index").withColumn("folder", F.lit(folder))
 
 
 def read_from(folder: str, slot: int, count: int, length: int = LENGTH, per_shard: int = PER_SHARD) -> Iterator[np.ndarray]:

@@ -6,18 +6,24 @@ bounded number of the archive's first payloads.  Of records with equal payloads
 smallest id is a response and the others revisit it without a body; equal ids of equal payloads are all responses.
 
 Reading: the dictionary is loaded from the skippable frame (plain or itself compressed), each further frame is decoded
-by itself, its record's version line, named fields and lengths are checked, and a response's body must have the digest
-that its header states.  A broken archive raises ArchiveError; nothing is skipped.
-
-A null payload is empty.  Tables without rows give no archives.  A null id is written as ``none`` and read back as null.
+by itself, its record's version line, named fields and lengths are checked, a response's body must have the digest that
+its header states, and what a revisit refers to must be a response with its digest.  A broken archive raises ArchiveError
+(a revisit of nothing an error of the job); nothing is skipped.
+
+A null payload is empty.  Payloads of any length are one frame.  Tables without rows give no archives.  Ids are numbers or
+strings; a null id is written as ``none`` and read back as null.  Rows that are repeated give a record each; where their
+payload is one that others revisit, all of them are responses.  Other columns, also those named like the ones made here,
+are not looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
 import io
+import re
 import struct
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -35,38 +41,60 @@ DICTIONARY_BYTES = 64 << 10
 #: Payloads, and bytes of each, that a dictionary is trained on.
 SAMPLES, SAMPLE_BYTES = 256, 4096
 
-_INDEX = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string"
+_INDEX = "page_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, url string"
+#: Fields that a head has once.
+_SINGLE = frozenset("warc-type warc-record-id warc-date content-length warc-payload-digest warc-refers-to warc-target-uri".split())
+_NUMBER = re.compile("[0-9]{1,18}")
 
 
 class ArchiveError(ValueError):
     """The bytes aren't the archive that they should be."""
 
 
-def record(page_id: int | None, url: str | None, kind: str, payload: bytes, digest: str, n_bytes: int, refers_to: int | None) -> bytes:
+def _urn(page_id: int | str | None) -> str:
+    """Numbers as they are; strings quoted, behind ``s-``."""
+    return f"<urn:page:{'none' if page_id is None else page_id if isinstance(page_id, int) else 's-' + quote(page_id, safe='')}>"
+
+
+def record(page_id: int | str | None, url: str | None, kind: str, payload: bytes, digest: str, n_bytes: int, refers_to: int | str | None) -> bytes:
     """A response or revisit record; the block is an HTTP head, with the payload in a response."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n_bytes}\r\n\r\n".encode()
     block = http + (payload if kind == "response" else b"")
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'none' if page_id is None else page_id}>", "WARC-Date: 1970-01-01T00:00:00Z"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_urn(page_id)}", "WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
         head.append("WARC-Target-URI: " + url.replace("\r", " ").replace("\n", " "))
     head.append(f"WARC-Payload-Digest: sha256:{digest}")
     if kind == "revisit":
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_urn(refers_to)}"]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def fields(head: bytes) -> dict[str, str]:
-    """Named fields of a head, names in lower case."""
+    """Named fields of a head, names in lower case; values of a repeated name are joined by commas."""
     out: dict[str, str] = {}
     for line in head.split(b"\r\n"):
         name, colon, value = line.partition(b":")
-        if not colon or not name or name != name.strip():
+        if not colon or not name or name != name.strip() or not name.isascii():
             raise ArchiveError(f"not a named field: {line[:80]!r}")
-        out[name.decode("ascii").lower()] = value.strip().decode()
+        key = name.decode("ascii").lower()
+        if key in out and key in _SINGLE:
+            raise ArchiveError(f"{key} is repeated")
+        try:
+            text = value.strip().decode()
+        except UnicodeDecodeError as e:
+            raise ArchiveError(f"{key} isn't UTF-8") from e
+        out[key] = f"{out[key]}, {text}" if key in out else text
     return out
 
 
+def _length(named: dict[str, str]) -> int:
+    value = named.get("content-length", "")
+    if not _NUMBER.fullmatch(value):
+        raise ArchiveError(f"not a length: {value!r}")
+    return int(value)
+
+
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     """Named fields and block of a record that fills a whole frame."""
     version, eol, rest = data.partition(b"\r\n")
@@ -79,9 +107,7 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in named:
             raise ArchiveError(f"no {name}")
-    if not named["content-length"].isdigit():
-        raise ArchiveError(f"not a length: {named['content-length']}")
-    n = int(named["content-length"])
+    n = _length(named)
     if len(body) != n + 4 or body[n:] != b"\r\n\r\n":
         raise ArchiveError(f"the block has {len(body) - 4} bytes, its head says {n}")
     return named, body[:n]
@@ -153,12 +179,13 @@ def records(stream, piece: int = 64 << 10) -> Iterator[bytes]:
         yield b"".join(parts)
 
 
-def _id(urn: str | None) -> int | None:
-    if urn is None:
+def _id(urn: str | None) -> int | str | None:
+    if urn is None or urn == "<urn:page:none>":
         return None
-    if not (urn.startswith("<urn:page:") and urn.endswith(">")):
+    name = urn[10:-1]
+    if not (urn.startswith("<urn:page:") and urn.endswith(">")) or not (name.startswith("s-") or re.fullmatch("-?[0-9]+", name)):
         raise ArchiveError(f"not a record id of ours: {urn}")
-    return None if urn[10:-1] == "none" else int(urn[10:-1])
+    return unquote(name[2:]) if name.startswith("s-") else int(name)
 
 
 def read_record(data: bytes) -> tuple:
@@ -169,11 +196,11 @@ def read_record(data: bytes) -> tuple:
     status, _, lines = http.partition(b"\r\n")
     if kind not in ("response", "revisit") or not end or not status.startswith(b"HTTP/1.") or not digest.startswith("sha256:"):
         raise ArchiveError(f"not a response or revisit: {kind}")
-    n = int(fields(lines).get("content-length", "-1"))
+    n = _length(fields(lines))
     if kind == "response" and (len(payload) != n or hashlib.sha256(payload).hexdigest() != digest[7:]):
         raise ArchiveError("the payload isn't the one that the head describes")
-    if kind == "revisit" and payload:
-        raise ArchiveError("a revisit has a payload")
+    if kind == "revisit" and (payload or "warc-refers-to" not in named):
+        raise ArchiveError("a revisit has a payload, or refers to nothing")
     return _id(named["warc-record-id"]), n, digest[7:], kind, _id(named.get("warc-refers-to")), named.get("warc-target-uri")
 
 
@@ -212,7 +239,8 @@ def _write(folder: str, archive_bytes: int):
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
+    name = lambda x: None if x is None else str(x)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -223,7 +251,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, seen = [], 0
             with fs.open_input_stream(path, compression=None) as stream:
                 for data in records(stream):
-                    rows.append(read_record(data))
+                    page, *rest, refers_to, url = read_record(data)
+                    rows.append((name(page), *rest, name(refers_to), url))
                     seen += 1
                     if len(rows) == 2000:
                         yield batch_of(rows)
@@ -238,7 +267,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = 100
     """Writes a record per page; the manifest: uri and n_records of each archive."""
     folder = folder or new_folder(pages.sparkSession, "warc")
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"payload_digest": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")})
     first = rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
     first = first.where("n > 1").drop("n")
@@ -248,10 +277,15 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = 100
     return stored(marked.drop("first_id").mapInArrow(_write(folder, archive_bytes), "uri string, n_records bigint"), "warc-manifest")
 
 
-def read_archives(manifest: DataFrame) -> DataFrame:
-    """One row per record of the archives that the manifest names."""
+def read_archives(manifest: DataFrame, id_type: str = "bigint") -> DataFrame:
+    """One row per record of the archives that the manifest names; ids as the type that they had."""
     tasks = max(1, 2 * int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return manifest.select("uri", "n_records").repartition(tasks).mapInArrow(_read, _INDEX)
+    index = stored(manifest.select("uri", "n_records").repartition(tasks).mapInArrow(_read, _INDEX), "warc-index")
+    known = index.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", F.lit(True).alias("_known")).where("refers_to is not null").distinct()
+    revisits = index.where("record_type = 'revisit'").join(known, ["refers_to", "payload_digest"], "left")
+    checked = F.when(F.col("_known"), F.col("refers_to")).otherwise(F.raise_error(F.concat(F.lit("no response with the digest of the revisit "), F.coalesce("page_id", F.lit("none")))).cast("string"))
+    out = index.where("record_type <> 'revisit'").unionByName(revisits.withColumn("refers_to", checked).drop("_known"))
+    return out.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def archive_bytes_of(rows: list[tuple]) -> bytes:

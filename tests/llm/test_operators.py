@@ -546,3 +546,32 @@ def test_topics_by_brute_force(spark):
     assert mixing.topic_words(docs, topics=3, most=0.5) == want
     got = docs.select(mixing.topic_of(F.col("text"), want)).collect()
     assert [r[0] for r in got] == [next((w for w in want if w in find(t)), None) for t in texts]
+
+
+def test_archives_refuse_what_does_not_fit(spark, tmp_path):
+    digest = hashlib.sha256(b"x" * 200).hexdigest()
+    whole = warc.record(1, "u", "revisit", b"", digest, 200, 2)
+    assert warc.read_record(whole) == (1, 200, digest, "revisit", 2, "u")
+    broken = [
+        whole.replace(b"Content-Length: 200", b"X-Length: 200"), whole.replace(b"Content-Length: 200", b"Content-Length: -20"), whole.replace(b"Content-Length: 200", "Content-Length: \u00b2\u00b2".encode()[:19]),
+        whole.replace(b"WARC-Date", "WARC-D\u00e4te".encode()), whole.replace(b"WARC-Target-URI: u", b"WARC-Target-URI: \xff"), whole.replace(b"WARC-Target-URI: u", b"WARC-Type: response"),
+        whole.replace(b"<urn:page:1>", b"<urn:uuid:1>"), whole.replace(b"WARC-Refers-To", b"WARC-Elsewhere"),
+    ]
+    for data in broken:
+        with pytest.raises(warc.ArchiveError):
+            warc.read_record(data)
+    uri = str(tmp_path / "lone.warc.zst")
+    with open(uri, "wb") as f:
+        f.write(warc.archive_bytes_of([(1, "u", "revisit", b"", digest, 200, 2)]))
+    with pytest.raises(Exception, match="no response with the digest of the revisit 1"):
+        warc.read_archives(spark.createDataFrame([(uri, 1)], "uri string, n_records bigint")).collect()
+
+
+def test_string_ids(spark):
+    pages = spark.createDataFrame([("b/1", "u", "p" * 150), ("a none", "u", "p" * 150), (None, "u", "p" * 150), ("none", None, "x")], "page_id string, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archives(warc.write_archives(pages), "string").collect()}
+    assert got == {"a none": ("response", None), "b/1": ("revisit", "a none"), None: ("revisit", "a none"), "none": ("response", None)}
+    docs = spark.createDataFrame([("u-1", "one two"), ("u-2", "one two"), (None, "three")], "doc_id string, text string")
+    assert {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup.exact_groups(docs).collect()} == {("u-1", "u-2", False), ("u-2", "u-2", True), (None, None, True)}
+    rows = training_order.training_shards(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), length=4).collect()
+    assert {d for r in rows for d in r.doc_ids} == {"u-1", "u-2", None}
