@@ -10,8 +10,9 @@ from .shared import stored
 
 def _are_stars(edges: DataFrame) -> bool:
     """Every node has one centre and no centre has one."""
-    centres = edges.select(F.col("b").alias("a")).distinct()
-    return edges.groupBy("a").count().where("count > 1").isEmpty() and edges.join(centres, "a", "left_semi").isEmpty()
+    ends = edges.select("a", F.lit(1).alias("centres"), F.lit(0).alias("is_centre")).unionByName(edges.select(F.col("b").alias("a"), F.lit(0).alias("centres"), F.lit(1).alias("is_centre")))
+    nodes = ends.groupBy("a").agg(F.sum("centres").alias("centres"), F.max("is_centre").alias("is_centre"))
+    return nodes.where("centres > 1 or (centres = 1 and is_centre = 1)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
