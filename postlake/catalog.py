@@ -1,8 +1,9 @@
 """Queries of the library over the driver's tables, and their SQL.
 
-``orders`` with customer, nation and region stand for postings: company is the customer, governorate the nation, city and
-employment type the market segment, category the priority, work mode the status; titles go round a fixed list.  Line items
-stand for the skills of postings, events for versions, runs and arrivals.
+``orders`` with customer, nation and region stand for postings, as a star schema: company is the customer, governorate the
+nation, city and employment type the market segment, category the priority, work mode the status; titles go round a fixed
+list.  Line items stand for the skills of postings, events for versions, runs and arrivals.  The queries of raw and cleaned
+records, models and loads are in ``catalog_layers``.
 """
 
 from __future__ import annotations
@@ -13,10 +14,9 @@ from pyspark.sql import types as T
 
 from . import reference as ref
 from .functions import parse, text
-from .operators import clean, contract, load, quality, scd
-from .plans import marts, serving
+from .operators import contract, load, quality, scd
+from .plans import marts, models, serving
 from .sources import files as file_source
-from .sources import pages as page_source
 from .streaming import incremental
 
 
@@ -30,21 +30,39 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(kinds[type(f.dataType)]).alias(f.name) if type(f.dataType) in kinds else F.col(f.name) for f in df.schema])
 
 
-def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def star_schema(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables as a star schema: a fact per order, with the dimensions that the orders name."""
     o, c, n, r = (_table(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region"))
-    df = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey).join(F.broadcast(r), n.n_regionkey == r.r_regionkey)  # 25 and 5 rows
-    title = F.element_at(F.array(*[F.lit(t) for t in ref.TITLES]), (F.col("o_orderkey") % len(ref.TITLES)).cast("int") + 1)
-    price = F.col("o_totalprice").cast("decimal(12,2)")
-    df = df.withColumns({
-        "job_key": F.col("o_orderkey"), "title": title, "company_name": F.col("c_name"), "governorate": F.col("n_name"), "region": F.col("r_name"), "city": F.col("c_mktsegment"), "category_name": F.col("o_orderpriority"),
-        "work_mode": F.col("o_orderstatus"), "employment_type": F.col("c_mktsegment"), "is_remote": F.col("o_orderstatus") == "F", "salary_min": F.when(F.col("o_orderkey") % 3 != 0, price),
-        "salary_max": F.when(F.col("o_orderkey") % 7 != 0, (F.when(F.col("o_orderkey") % 3 != 0, price) * F.lit("1.2").cast("decimal(2,1)")).cast("decimal(12,2)")),
-        "salary_currency": F.when(F.col("o_orderkey") % 11 == 0, "USD").otherwise("EGP"), "posted_date": F.col("o_orderdate").cast("date"),
-    })
-    return df.withColumns({
-        "salary_mid": parse.salary_mid(F.col("salary_min"), F.col("salary_max")), "seniority": text.seniority(F.col("title")), "posted_year": F.year("posted_date"), "posted_month": F.month("posted_date"),
-        "posted_month_name": F.date_format("posted_date", "MMMM"),
-    }).select("job_key", "title", "company_name", "governorate", "region", "city", "category_name", "work_mode", "employment_type", "is_remote", "salary_min", "salary_max", "salary_mid", "salary_currency", "seniority", "posted_date", "posted_year", "posted_month", "posted_month_name")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(12,2)")
+    title = F.element_at(F.array(*[F.lit(t) for t in ref.TITLES]), (key % len(ref.TITLES)).cast("int") + 1)
+    places = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select("c_custkey", "c_name", "c_mktsegment", "n_name")  # 25 nations
+    salary_min = F.when(key % 3 != 0, price)
+    salary_max = F.when(key % 7 != 0, (salary_min * F.lit("1.2").cast("decimal(2,1)")).cast("decimal(12,2)"))
+    none = lambda kind: F.lit(None).cast(kind)
+    fact = o.join(places, o.o_custkey == places.c_custkey).select(
+        key.alias("job_key"), F.md5(key.cast("string")).alias("job_hash"), key.cast("string").alias("source_job_id"), F.concat(F.lit("src"), (key % 4).cast("string")).alias("source_name"), F.col("c_name").alias("company_clean"),
+        F.lit(1).alias("company_version"), load.surrogate_key(F.col("c_mktsegment"), F.col("n_name")).alias("location_key"), F.col("o_orderpriority").alias("category_name"), F.col("o_orderdate").cast("date").alias("posted_date"),
+        F.col("o_orderdate").cast("date").alias("scraped_date"), title.alias("title_raw"), title.alias("title_clean"), salary_min.alias("salary_min"), salary_max.alias("salary_max"),
+        F.when(key % 11 == 0, "USD").otherwise("EGP").alias("salary_currency"), none("string").alias("salary_period"), (key % 10).cast("short").alias("experience_years_min"), none("short").alias("experience_years_max"),
+        F.when(key % 5 != 0, F.col("o_orderstatus") == "F").alias("is_remote"), F.when(key % 13 != 0, F.col("o_orderstatus")).alias("work_mode"), F.when(key % 17 != 0, F.col("c_mktsegment")).alias("employment_type"),
+        F.concat(F.lit("https://x/"), key.cast("string")).alias("job_url"), F.lit("run").alias("run_id"), F.col("o_orderdate").cast("timestamp").alias("first_seen_at"), F.col("o_orderdate").cast("timestamp").alias("last_loaded_at"),
+    )
+    names = places.select(F.col("c_mktsegment").alias("location_city"), F.col("n_name").alias("location_gov")).distinct()
+    return {
+        "fact_job_postings": fact, "ref_governorate": n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_name").alias("governorate"), F.col("r_name").alias("region")),
+        "dim_company": c.select(F.col("c_name").alias("company_clean"), F.upper("c_name").alias("company_raw"), F.lit(1).alias("version"), F.lit("2024-01-01").cast("date").alias("valid_from"), none("date").alias("valid_to"), F.lit(True).alias("is_current")),
+        "dim_location": names.withColumn("location_key", load.surrogate_key(F.col("location_city"), F.col("location_gov"))),
+        "dim_source": spark.createDataFrame([(f"src{k}", f"Source {k}", f"https://src{k}") for k in range(4)], "source_name string, display_name string, base_url string"),
+        "dim_job_category": o.select(F.col("o_orderpriority").alias("category_name")).distinct().withColumn("category_key", F.substring("category_name", 1, 1).cast("int")),
+        "dim_date": load.upsert_date(None, o.select(F.col("o_orderdate").cast("date").alias("d"))),
+        "dim_skill": _table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("skill_name")).agg(F.min("p_type").alias("skill_category")),
+        "bridge_job_skill": _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("job_key"), "l_partkey").join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select("job_key", F.col("p_brand").alias("skill_name")).distinct(),
+    }
+
+
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched postings of the star schema."""
+    return models.int_job_enriched(star_schema(spark, sf_dir)).withColumn("title", F.col("title_clean"))
 
 
 def job_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,9 +76,10 @@ _TITLE_LIST = "[" + ", ".join("'" + t + "'" for t in ref.TITLES) + "]"
 _SENIORITY_SQL = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(lower(title), {w!r})' for w in words)} THEN {name!r}" for name, words in ref.SENIORITIES) + " ELSE 'Unspecified' END"
 
 POSTINGS = f"""
-    p0 AS (SELECT o_orderkey AS job_key, {_TITLE_LIST}[o_orderkey % 30 + 1] AS title, c_name AS company_name, n_name AS governorate, r_name AS region, c_mktsegment AS city, o_orderpriority AS category_name,
-        o_orderstatus AS work_mode, c_mktsegment AS employment_type, o_orderstatus = 'F' AS is_remote, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS salary_min,
-        CASE WHEN o_orderkey % 11 = 0 THEN 'USD' ELSE 'EGP' END AS salary_currency, CAST(o_orderdate AS DATE) AS posted_date
+    p0 AS (SELECT o_orderkey AS job_key, {_TITLE_LIST}[o_orderkey % {len(ref.TITLES)} + 1] AS title, c_name AS company_name, n_name AS governorate, r_name AS region, c_mktsegment AS city, o_orderpriority AS category_name,
+        CASE WHEN o_orderkey % 13 <> 0 THEN o_orderstatus ELSE 'on-site' END AS work_mode, CASE WHEN o_orderkey % 17 <> 0 THEN c_mktsegment ELSE 'full-time' END AS employment_type,
+        o_orderkey % 5 <> 0 AND o_orderstatus = 'F' AS is_remote, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS salary_min,
+        CASE WHEN o_orderkey % 11 = 0 THEN 'USD' ELSE 'EGP' END AS salary_currency, CAST(o_orderdate AS DATE) AS posted_date, CAST(o_orderkey % 10 AS SMALLINT) AS experience_years_min
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
     p1 AS (SELECT *, CASE WHEN job_key % 7 <> 0 THEN CAST(salary_min * 1.2 AS DECIMAL(12,2)) END AS salary_max, {_SENIORITY_SQL} AS seniority FROM p0),
     postings AS (SELECT *, CASE WHEN salary_min IS NOT NULL AND salary_max IS NOT NULL THEN CAST(round(CAST(salary_min + salary_max AS DECIMAL(18,3)) * 0.5, 2) AS DECIMAL(14,2)) ELSE coalesce(salary_min, salary_max) END AS salary_mid,
@@ -174,7 +193,7 @@ def rollup_salary_by_category(s, d):
 _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
-@query(f"WITH {POSTINGS} SELECT posted_year AS year, posted_month AS month, " + ", ".join(f"CAST(nullif(count_if(category_name = '{p}'), 0) AS BIGINT) AS \"{p}\"" for p in _PRIORITIES) + " FROM postings GROUP BY 1, 2")
+@query(f"WITH {POSTINGS} SELECT posted_year AS year, posted_month AS month, left(any_value(posted_month_name), 3) || ' ' || CAST(posted_year AS VARCHAR) AS label, " + ", ".join(f"CAST(nullif(count_if(category_name = '{p}'), 0) AS BIGINT) AS \"{p}\"" for p in _PRIORITIES) + " FROM postings GROUP BY 1, 2")
 def rollup_trend_pivot(s, d):
     return serving.trend_pivot(_mart("hiring_trends", s, d), _PRIORITIES)
 
@@ -222,12 +241,12 @@ def text_clean(s, d):
     return _table(s, d, "documents").select("doc_id", text.clean_text(F.col("text"), html=False).alias("cleaned"))
 
 
-_LABELLED = "CASE doc_id % 4 WHEN 0 THEN 'Urgent Hiring: Remote ' WHEN 1 THEN 'Senior (A) [x] ' WHEN 2 THEN 'HYBRID immediate ' ELSE '' END || left(text, 60)"
+_LABELLED = "CASE doc_id % 4 WHEN 0 THEN 'Urgent Hiring: Remote ' WHEN 1 THEN 'Senior (A) [x] ' WHEN 2 THEN 'HYBRID immediate ' ELSE '' END || text"
 
 
 def _labelled(s, d):
     head = F.when(F.col("doc_id") % 4 == 0, "Urgent Hiring: Remote ").when(F.col("doc_id") % 4 == 1, "Senior (A) [x] ").when(F.col("doc_id") % 4 == 2, "HYBRID immediate ").otherwise("")
-    return _table(s, d, "documents").select("doc_id", F.concat(head, F.substring("text", 1, 60)).alias("t"))
+    return _table(s, d, "documents").select("doc_id", F.concat(head, "text").alias("t"))
 
 
 def _noise_sql(c: str) -> str:
@@ -397,22 +416,22 @@ def snapshot(s, d):
 
 _UPSERT = """SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, coalesce(n.status, o.status) AS status, coalesce(o.first_seen, n.first_seen) AS first_seen,
     CASE WHEN o.o_orderkey IS NULL THEN 'inserted' WHEN n.o_orderkey IS NULL THEN 'kept' ELSE 'updated' END AS _change
-    FROM (SELECT o_orderkey, 'old' || o_orderstatus AS status, 1 AS first_seen FROM orders WHERE o_orderkey % 2 = 0) o FULL JOIN (SELECT o_orderkey, o_orderstatus AS status, 2 AS first_seen FROM orders WHERE o_orderkey % 3 = 0) n ON o.o_orderkey = n.o_orderkey"""
+    FROM (SELECT o_orderkey, 'old' || o_orderstatus AS status, 1 AS first_seen FROM orders WHERE o_orderkey % 3 <> 1) o FULL JOIN (SELECT o_orderkey, o_orderstatus AS status, 2 AS first_seen FROM orders WHERE o_orderkey % 3 <> 0) n ON o.o_orderkey = n.o_orderkey"""
 
 
 @query(_UPSERT)
 def upsert_fact(s, d):
     o = _table(s, d, "orders")
-    old = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.concat(F.lit("old"), "o_orderstatus").alias("status"), F.lit(1).alias("first_seen"))
-    new = o.where("o_orderkey % 3 = 0").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.lit(2).alias("first_seen"))
+    old = o.where("o_orderkey % 3 <> 1").select("o_orderkey", F.concat(F.lit("old"), "o_orderstatus").alias("status"), F.lit(1).alias("first_seen"))
+    new = o.where("o_orderkey % 3 <> 0").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.lit(2).alias("first_seen"))
     return load.upsert_fact(old, new, "o_orderkey", ("first_seen",))
 
 
-@query("SELECT l_orderkey, l_partkey FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_orderkey % 2 = 0 AND l_orderkey % 3 <> 0 UNION ALL SELECT DISTINCT l_orderkey, l_partkey + 1 FROM lineitem WHERE l_orderkey % 3 = 0)")
+@query("SELECT l_orderkey, l_partkey FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_orderkey % 3 = 0 UNION ALL SELECT DISTINCT l_orderkey, l_partkey + 1 FROM lineitem WHERE l_orderkey % 3 <> 0)")
 def replace_by_key(s, d):
     links = _table(s, d, "lineitem").select("l_orderkey", "l_partkey")
-    new = links.where("l_orderkey % 3 = 0").select("l_orderkey", (F.col("l_partkey") + 1).alias("l_partkey"))
-    return load.replace_by_key(links.where("l_orderkey % 2 = 0").distinct(), new, new, ["l_orderkey"])
+    new = links.where("l_orderkey % 3 <> 0").select("l_orderkey", (F.col("l_partkey") + 1).alias("l_partkey"))
+    return load.replace_by_key(links.where("l_orderkey % 3 <> 1").distinct(), new, new, ["l_orderkey"])
 
 
 @query("SELECT DISTINCT c_mktsegment, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -431,9 +450,10 @@ def quality_unique(s, d):
     return quality.not_unique(_table(s, d, "orders"), "o_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey <> 3)")
 def quality_relationships(s, d):
-    return quality.orphans(_table(s, d, "customer"), "c_custkey", _table(s, d, "orders"), "o_custkey").select("c_custkey")
+    """Orders of customers that a dimension without one nation lacks."""
+    return quality.orphans(_table(s, d, "orders"), "o_custkey", _table(s, d, "customer").where("c_nationkey <> 3"), "c_custkey").select("o_orderkey", "o_custkey")
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')")
@@ -465,33 +485,7 @@ def quality_validate_row(s, d):
     return rows.select("o_orderkey", F.array_join(quality.validation_errors(F.lit("1996-01-01").cast("date")), "|").alias("errors"))
 
 
-# The whole cleaning projection and pages.
-
-
-@query(f"WITH {POSTINGS} SELECT job_key, CASE WHEN job_key % 3 <> 0 THEN CAST(job_key AS DOUBLE) END AS salary_min, governorate_of AS location_gov, {_rules_sql('lower(title)', ref.EMPLOYMENT_TYPES, repr('full-time'))} AS employment_type, "
-       "strftime(posted_date, '%Y-%m-%d') AS posted_at FROM (SELECT *, CASE WHEN job_key % 2 = 0 THEN 'Cairo' ELSE 'Egypt' END AS governorate_of FROM postings)")
-def clean_records(s, d):
-    p = postings(s, d)
-    raw = p.select("job_key", F.col("job_key").cast("string").alias("job_id"), "title", F.col("company_name").alias("company"), F.when(F.col("job_key") % 2 == 0, "Maadi, Cairo").otherwise("Port Said").alias("location"),
-        F.when(F.col("job_key") % 3 != 0, F.concat(F.lit("EGP "), F.col("job_key").cast("string"))).otherwise("").alias("salary"), F.lit("").alias("description"), F.lit("").alias("experience"), F.lit("").alias("posted_at_raw"), F.lit("").alias("industry"),
-        F.lit("https://x").alias("job_url"), F.lit("src").alias("source"), F.date_format("posted_date", "yyyy-MM-dd'T'00:00:00").alias("scraped_at"), F.lit("run").alias("run_id"))
-    out = clean.clean_records(raw, html=False)
-    return out.select(F.col("job_id").cast("long").alias("job_key"), "salary_min", "location_gov", "employment_type", "posted_at")
-
-
-@query("SELECT o_orderkey AS page_id, CAST(0 AS INT) AS ordinal, 'Job ' || o_orderpriority AS title, 'C' || CAST(o_custkey AS VARCHAR) AS company, o_orderstatus AS location FROM orders")
-def parse_embedded_json(s, d):
-    body = F.to_json(F.struct(F.struct(F.struct(F.array(F.struct(
-        F.concat(F.lit("Job "), "o_orderpriority").alias("title"), F.struct(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("name")).alias("company"), F.struct(F.col("o_orderstatus").alias("city")).alias("location"),
-    )).alias("jobs")).alias("pageProps")).alias("props")))
-    pages = _table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), F.concat(F.lit('<html><script id="__NEXT_DATA__" type="application/json">'), body, F.lit("</script></html>")).alias("html"))
-    return page_source.parse_embedded_json(pages).select("page_id", "ordinal", "title", "company", "location")
-
-
-@query()
-def parse_listing_pages(s, d):
-    """Adverts of stored pages, as an example of a selector table."""
-    return page_source.parse_listing_pages(_table(s, d, "pages"), "ads", {"ads": {"card": "ad", "title": "ad"}}).select("page_id", "ordinal", "title")
+# Files and streams.
 
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CAST(i AS INT) AS _ordinal, o_orderkey % 10 = 7 AS _broken, o_orderpriority AS title, 'src' || CAST(o_orderkey % 4 AS VARCHAR) AS source, '2024-01-02' AS _date "

@@ -80,12 +80,21 @@ def job_hash(title: Column, company: Column, city: Column) -> Column:
     return F.md5(F.concat_ws("|", *[F.lower(strip(F.coalesce(c, F.lit("")))) for c in (title, company, city)]))
 
 
+def bound(c: Column, f) -> Column:
+    """f of the column's value, which is made once however often f uses it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def first_match(c: Column, rules, default: Column) -> Column:
     """The name of the first rule of which a word occurs in the string."""
-    out = default
-    for name, words in reversed(list(rules)):
-        out = F.when(functools.reduce(lambda a, b: a | b, [c.contains(w) for w in words]), F.lit(name)).otherwise(out)
-    return out
+
+    def choose(x: Column) -> Column:
+        out = default
+        for name, words in reversed(list(rules)):
+            out = F.when(functools.reduce(lambda a, b: a | b, [x.contains(w) for w in words]), F.lit(name)).otherwise(out)
+        return out
+
+    return bound(c, choose)
 
 
 def joined_lower(*texts: Column) -> Column:
@@ -95,12 +104,15 @@ def joined_lower(*texts: Column) -> Column:
 
 def normalize_location(c: Column) -> Column:
     """struct(city, governorate)."""
-    low = F.lower(c)
     pair = lambda city, gov: F.struct(F.lit(city).alias("city"), F.lit(gov).alias("governorate"))
-    out = pair("Unknown", "Egypt")
-    for word, city, gov in reversed(ref.LOCATIONS):
-        out = F.when(low.contains(word), pair(city, gov)).otherwise(out)
-    return out
+
+    def choose(low: Column) -> Column:
+        out = pair("Unknown", "Egypt")
+        for word, city, gov in reversed(ref.LOCATIONS):
+            out = F.when(low.contains(word), pair(city, gov)).otherwise(out)
+        return out
+
+    return bound(F.lower(c), choose)
 
 
 def word_pattern(word: str, open_ended: bool = False) -> str:
@@ -112,17 +124,21 @@ def skill_pattern(words: tuple[str, ...]) -> str:
     return "|".join(word_pattern(w, w in ref.OPEN_ENDED) for w in words)
 
 
+def _named(blob: Column, patterns: list[tuple[str, str]]) -> Column:
+    """The names whose pattern occurs.  Most texts name few skills: one search for any of them comes first."""
+    found = lambda x: F.array_compact(F.array(*[F.when(x.rlike(p), F.lit(n)) for n, p in patterns]))
+    some = "|".join(p for _, p in patterns)
+    return bound(blob, lambda x: F.when(x.rlike(some), found(x)).otherwise(F.array().cast("array<string>")))
+
+
 def extract_skills(*texts: Column) -> Column:
     """Skills named in the texts, in the lexicon's order."""
-    blob = joined_lower(*texts)
-    found = F.array(*[F.when(blob.rlike(skill_pattern(words)), F.lit(name)) for name, _, words in ref.SKILLS])
-    return F.array_compact(found)
+    return _named(joined_lower(*texts), [(name, skill_pattern(words)) for name, _, words in ref.SKILLS])
 
 
 def detect_skills_in_title(title: Column, names: list[str]) -> Column:
     """Names of a dimension that occur as words of a title."""
-    low = F.lower(title)
-    return F.array_compact(F.array(*[F.when(low.rlike(word_pattern(n) if n.lower() not in ref.OPEN_ENDED else word_pattern(n)), F.lit(n)) for n in names]))
+    return _named(F.lower(F.coalesce(title, F.lit(""))), [(n, word_pattern(n)) for n in names])
 
 
 def classify_work_mode(*texts: Column) -> Column:
@@ -173,10 +189,11 @@ def is_tech(title: Column, industry: Column) -> Column:
 
 def categorize(title: Column) -> Column:
     """The category with most keywords in the title; the earlier of equals; Other if none."""
-    low = F.lower(F.coalesce(title, F.lit("")))
-    scored = [
-        F.struct(functools.reduce(lambda a, b: a + b, [low.contains(w).cast("int") for w in words]).alias("score"), F.lit(-k).alias("rank"), F.lit(name).alias("name"))
-        for k, (name, words) in enumerate(ref.CATEGORIES) if words
-    ]
-    best = F.array_max(F.array(*scored))
-    return F.when(best["score"] > 0, best["name"]).otherwise("Other")
+    rules = [(k, name, words) for k, (name, words) in enumerate(ref.CATEGORIES) if words]
+
+    def choose(low: Column) -> Column:
+        score = lambda words: functools.reduce(lambda a, b: a + b, [low.contains(w).cast("int") for w in words])
+        best = F.array_max(F.array(*[F.struct(score(words).alias("score"), F.lit(-k).alias("rank"), F.lit(name).alias("name")) for k, name, words in rules]))
+        return bound(best, lambda x: F.when(x["score"] > 0, x["name"]).otherwise("Other"))
+
+    return bound(F.lower(F.coalesce(title, F.lit(""))), choose)

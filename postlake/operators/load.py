@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import reference as ref
 from ..functions import parse, text
+from ..sources.files import scratch
 from .contract import keep_last
 from .scd import scd2_dimension
 
@@ -83,6 +84,21 @@ def dedupe_last_wins(rows: DataFrame) -> DataFrame:
     return keep_last(rows.where(F.length("job_hash") > 0), ["job_hash"], ["_file", "_ordinal"])
 
 
+def skills_of(df: DataFrame, names: list[str]) -> Column:
+    """Skills of standardised rows: those listed in an array or between | signs, where an empty list is none; where the
+    column is missing, those of ``names`` that the title names."""
+    detected = text.detect_skills_in_title(F.col("title_clean"), names)
+    if df.schema["skills"].dataType.typeName() != "string":
+        return F.coalesce("skills", detected)
+    return F.when(F.col("skills").isNull(), detected).otherwise(text.split_skills(F.col("skills")))
+
+
+def skill_links(skills: DataFrame, dim: DataFrame) -> DataFrame:
+    """(job_key, skill_name) for rows of job_key and skills, in the dimension's spelling, whatever the row's case."""
+    links = skills.select("job_key", F.lower(F.explode("skills")).alias("_low")).distinct()
+    return links.join(dim.select("skill_name", F.lower("skill_name").alias("_low")), "_low").select("job_key", "skill_name").distinct()
+
+
 def empty_gold(spark) -> dict[str, DataFrame]:
     """A star schema with the seeds only."""
     seeds = ref.seed_reference(spark)
@@ -100,37 +116,48 @@ def empty_gold(spark) -> dict[str, DataFrame]:
     }
 
 
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """Written once and read back, as several tables are made of it."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load(gold: dict[str, DataFrame], silver: DataFrame, load_date: Column, loaded_at: Column, reload: bool = False) -> dict[str, DataFrame]:
-    """One load of standardised rows with _file and _ordinal; files in the load log are skipped unless ``reload``."""
+    """One load of standardised rows with _file and _ordinal (typed, or strings as CSV files have them); files in the load
+    log are skipped unless ``reload``."""
     rows = require_columns(silver)
     if not reload:
         rows = rows.join(gold["etl_load_log"].select(F.col("file_path").alias("_file")), "_file", "left_anti")
     rows = rows.where(F.length("job_hash") > 0).withColumns({
         "company_clean": parse.clean_str(F.col("company_clean"), "Unknown"), "company_raw": F.coalesce(parse.clean_str(F.col("company_raw")), parse.clean_str(F.col("company_clean"), "Unknown")),
         "location_city": parse.clean_str(F.col("location_city"), "Unknown"), "location_gov": parse.clean_str(F.col("location_gov"), "Egypt"),
-        "title_clean": F.coalesce(parse.clean_str(F.col("title_clean")), F.col("title_raw")), "skills": F.coalesce("skills", text.detect_skills_in_title(F.col("title_clean"), [s[0] for s in ref.SKILLS])),
+        "title_clean": F.coalesce(parse.clean_str(F.col("title_clean")), F.col("title_raw")),
     })
     company, versioned = scd2_dimension(rows, "company_clean", "company_raw", ["_file", "_ordinal"], load_date, gold["dim_company"])
     last = dedupe_last_wins(versioned)
+    last = _kept(last.withColumn("skills", skills_of(last, [n for n, *_ in ref.SKILLS])).withColumn("job_key", surrogate_key(F.col("job_hash"))), "load-last-rows")
     locations, governorates = upsert_location(gold["dim_location"], gold["ref_governorate"], last)
+    skills = upsert_skill(gold["dim_skill"], last)
     posted, scraped = parse.date_of(F.col("posted_at")), parse.date_of(F.col("scraped_at"))
     fact = last.select(
-        surrogate_key(F.col("job_hash")).alias("job_key"), "job_hash", F.col("job_id").alias("source_job_id"), text.normalize_source(F.col("source")).alias("source_name"), "company_clean", F.col("version").alias("company_version"),
+        "job_key", "job_hash", F.col("job_id").alias("source_job_id"), text.normalize_source(F.col("source")).alias("source_name"), "company_clean", F.col("version").alias("company_version"),
         surrogate_key(F.col("location_city"), F.col("location_gov")).alias("location_key"), text.categorize(F.col("title_clean")).alias("category_name"), posted.alias("posted_date"), scraped.alias("scraped_date"),
-        "title_raw", "title_clean", parse.to_num(F.col("salary_min")).cast("decimal(12,2)").alias("salary_min"), parse.to_num(F.col("salary_max")).cast("decimal(12,2)").alias("salary_max"), "salary_currency", "salary_period",
+        "title_raw", "title_clean", parse.to_num(F.col("salary_min")).cast("decimal(12,2)").alias("salary_min"), parse.to_num(F.col("salary_max")).cast("decimal(12,2)").alias("salary_max"),
+        parse.clean_str(F.col("salary_currency")).alias("salary_currency"), parse.clean_str(F.col("salary_period")).alias("salary_period"),
         parse.to_int(F.col("experience_years_min")).cast("short").alias("experience_years_min"), parse.to_int(F.col("experience_years_max")).cast("short").alias("experience_years_max"), parse.to_bool(F.col("is_remote")).alias("is_remote"),
-        "work_mode", "employment_type", "job_url", "run_id", loaded_at.alias("first_seen_at"), loaded_at.alias("last_loaded_at"),
+        parse.clean_str(F.col("work_mode")).alias("work_mode"), parse.clean_str(F.col("employment_type")).alias("employment_type"), "job_url", "run_id", loaded_at.alias("first_seen_at"), loaded_at.alias("last_loaded_at"),
     )
-    merged = upsert_fact(gold["fact_job_postings"], fact)
-    links = last.select(surrogate_key(F.col("job_hash")).alias("job_key"), F.explode("skills").alias("skill_name"))
+    merged = _kept(upsert_fact(gold["fact_job_postings"], fact), "load-merged-rows")
+    links = skill_links(last, skills)
     changes = merged.where("_change <> 'kept'").select("job_hash", "_change")
     log = rows.groupBy(F.col("_file").alias("file_path")).agg(F.count("*").alias("rows_in_file"))
     per_file = last.select(F.col("_file").alias("file_path"), "job_hash").join(changes, "job_hash").groupBy("file_path").agg(F.count_if(F.col("_change") == "inserted").alias("rows_inserted"), F.count_if(F.col("_change") == "updated").alias("rows_updated"))
     log = log.join(per_file, "file_path", "left").na.fill(0, ["rows_inserted", "rows_updated"]).withColumn("loaded_at", loaded_at)
     return {
-        **gold, "ref_governorate": governorates, "dim_source": upsert_source(gold["dim_source"], last), "dim_location": locations, "dim_company": company, "dim_skill": upsert_skill(gold["dim_skill"], last),
+        **gold, "ref_governorate": governorates, "dim_source": upsert_source(gold["dim_source"], last), "dim_location": locations, "dim_company": company, "dim_skill": skills,
         "dim_date": upsert_date(gold["dim_date"], last.select(posted.alias("a"), scraped.alias("b"))), "fact_job_postings": merged.drop("_change"),
-        "bridge_job_skill": replace_by_key(gold["bridge_job_skill"], links, fact, ["job_key"]), "etl_load_log": replace_by_key(gold["etl_load_log"], log, log, ["file_path"]),
+        "bridge_job_skill": replace_by_key(gold["bridge_job_skill"], links, last, ["job_key"]), "etl_load_log": replace_by_key(gold["etl_load_log"], log, log, ["file_path"]),
     }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import month_label
 from .marts import ORDERS, sort_keys
 
 
@@ -74,13 +75,16 @@ def top_skills(skills: DataFrame, n: int = 15) -> DataFrame:
 
 
 def salary_by_category(salary: DataFrame, n: int = 12) -> DataFrame:
-    """Unweighted mean of the groups' means, a null counted as 0."""
+    """The n largest unweighted means of the groups' means, a null counted as 0; Other is moved to the end."""
     out = salary.groupBy("category_name").agg((F.sum(F.coalesce(F.col("avg_salary_mid").cast("double"), F.lit(0.0))) / F.count("*")).alias("mean"))
-    return out.select("category_name", F.round("mean", 0).alias("avg_salary")).orderBy(F.desc("avg_salary"), "category_name").limit(n)
+    top = out.select("category_name", F.round("mean", 0).alias("avg_salary")).orderBy(F.desc("avg_salary"), "category_name").limit(n)
+    return other_last(top, "category_name", F.desc("avg_salary"), F.asc("category_name"))
 
 
 def trend_pivot(trends: DataFrame, categories: list[str]) -> DataFrame:
-    return trends.groupBy("year", "month").pivot("category_name", categories).agg(F.sum("postings"))
+    """A row per month in order of time, with its label, and a column per category."""
+    made = trends.groupBy("year", "month", "month_name").pivot("category_name", categories).agg(F.sum("postings"))
+    return made.select("year", "month", month_label(F.col("month_name"), F.col("year")).alias("label"), *[F.col(f"`{c}`") for c in categories]).orderBy("year", "month")
 
 
 def overview_kpis(roles: DataFrame, breakdown: DataFrame) -> DataFrame:
@@ -108,3 +112,12 @@ def layer_volumes(layers: dict[str, DataFrame]) -> DataFrame:
         row = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("layer"), "n_rows")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def source_volumes(layers: dict[str, DataFrame], column: str = "source") -> DataFrame:
+    """Rows per layer and source."""
+    out = None
+    for name, df in layers.items():
+        row = df.groupBy(F.col(column).alias("source")).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("layer"), "source", "n_rows")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -15,9 +15,11 @@ RECORD = T.StructType([T.StructField(c, T.StringType()) for c in ref.CONTRACT_FI
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder's name in the folder that the cluster shares (``spark.checkpoint.dir``); a temporary one where that is
-    unset, as in tests."""
+    """A new folder's name in the folder that the cluster shares (``spark.checkpoint.dir``).  Only where that is unset and
+    the master is local, as in tests, a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir isn't set: intermediate tables need a folder that all executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}" if shared else f"{tempfile.mkdtemp(prefix='spark-scratch-')}/{label}"
 
 
@@ -35,11 +37,18 @@ def parse_bronze(files: DataFrame) -> DataFrame:
     return rows.withColumns({"_source_dir": F.regexp_extract("_file", r"/([^/]+)/([^/]+)/[^/]+$", 1), "_date": F.regexp_extract("_file", r"/([^/]+)/([^/]+)/[^/]+$", 2)}).withColumn("source", F.coalesce("source", "_source_dir")).drop("_source_dir")
 
 
-def scan_silver_csv(spark: SparkSession, root: str, columns: list[str]) -> DataFrame:
-    """All columns as strings, empty ones stay empty; a byte order mark before the header is ignored."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("nullValue", "\u0000").option("emptyValue", "").option("multiLine", True).option("escape", '"').csv(root)
-    return df.withColumn("_file", F.col("_metadata.file_path")).na.fill("", columns)
+def scan_silver_csv(spark: SparkSession, root: str, needed: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of root/**/*.csv with _file and _ordinal (their order in the file); all columns are strings, and empty ones stay
+    empty.  Names come from the header, without a byte order mark; files of one call have the same header.  Raises if one
+    of the needed columns is missing."""
+    options = {"header": True, "recursiveFileLookup": True, "pathGlobFilter": "*.csv", "nullValue": "\u0000", "emptyValue": "", "multiLine": True, "escape": '"'}
+    df = spark.read.options(**options).csv(root)
+    names = [c.lstrip("\ufeff") for c in df.columns]
+    if missing := sorted(set(needed) - set(names)):
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    df = spark.read.schema(schema).options(**options, enforceSchema=True).csv(root)
+    return df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_ordinal", F.monotonically_increasing_id()).na.fill("", names)
 
 
 def new_files_only(rows: DataFrame, log: DataFrame, reload: bool = False) -> DataFrame:
@@ -62,8 +71,24 @@ def run_report(checked: DataFrame, file_col: str = "_file", valid_col: str = "is
     return checked.rollup(file_col).agg(F.count("*").alias("records"), F.count_if(F.col(valid_col)).alias("valid"), F.count_if(~F.col(valid_col)).alias("quarantined"))
 
 
-def ingestion_log(df: DataFrame, at) -> DataFrame:
-    return df.groupBy("source", "run_id").agg(F.count("*").alias("records")).select(at.alias("timestamp"), "source", "run_id", F.when(F.col("records") > 0, "ok").otherwise("empty").alias("status"), "records")
+def ingestion_log(records: DataFrame, runs: DataFrame, at) -> DataFrame:
+    """A line per run, also per run without records.  ``runs`` has source, run_id, output, and skipped and error: a run's
+    reason for not having run, and for having failed; ``records`` are what was written."""
+    counts = records.groupBy("source", "run_id").agg(F.count("*").alias("records"))
+    out = runs.join(counts, ["source", "run_id"], "left").withColumn("records", F.coalesce("records", F.lit(0)))
+    status = F.when(F.col("error").isNotNull(), "error").when(F.col("skipped").isNotNull(), "skipped").when(F.col("records") > 0, "ok").otherwise("empty")
+    return out.select(
+        at.alias("timestamp"), "source", "run_id", status.alias("status"), "records", F.when(F.col("records") > 0, F.col("output")).alias("output"), F.coalesce("error", "skipped", F.lit("")).alias("detail"),
+    )
+
+
+def append_ingestion_log(log: DataFrame, path: str) -> None:
+    log.write.mode("append").json(path)
+
+
+def write_run_report(checked: DataFrame, path: str, file_col: str = "_file", valid_col: str = "is_valid") -> None:
+    """The report as JSON lines: one per file, and one without a file for all of them."""
+    run_report(checked, file_col, valid_col).coalesce(1).write.mode("overwrite").json(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

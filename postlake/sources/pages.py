@@ -2,111 +2,213 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
-from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Per source: class of a card, and of the elements that hold its fields.
-SELECTORS = {
-    "default": {"card": "job-card", "title": "job-title", "company": "company", "location": "location", "salary": "salary", "description": "description", "experience": "experience", "posted_at_raw": "posted"},
-}
+from ..functions.text import is_tech
+from ..operators.contract import format_salary
 
-SECTIONS = ("job description", "job requirements", "skills and tools")
+# Addresses, classes and headings of the sites' pages.
 
-_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_FIELDS = ("title", "company", "location", "salary", "description", "experience", "posted_at_raw", "job_url")
+BASE_URLS = {"wuzzuf": "https://wuzzuf.net", "bayt": "https://www.bayt.com", "forasna": "https://forasna.com", "jobzella": "https://www.jobzella.com"}
+
+#: Lists of a page that belong together by position.
+WUZZUF = {"title": "h2.css-193uk2c", "company": "a.css-ipsyv7", "location": "span.css-16x61xq"}
+
+BAYT = {
+    "card": "li.has-pointer-d", "title": "h2 a", "company": ("div.job-company-location-wrapper >a", "div.job-company-location-wrapper >b"), "location": "div.t-mute.t-small a.t-mute",
+    "description": "div.jb-descr", "salary": "dt.jb-label-salary", "experience": "dt.jb-label-careerlevel", "posted_at_raw": "div.jb-date span",
+}
+
+FORASNA = {
+    "card": ".result-wrp", "title": ("h2.job-title a span", "h2.job-title a"), "link": "h2.job-title a", "company": ("span.company-name a span", "span.company-name a", "span.company-name"),
+    "location": (".company-meta span.location-desktop span", ".location-mobile span.location span"), "detail": "div.job-details", "detail_title": "span.job-details__title", "salary": "الراتب",
+}
 
+SECTIONS = ("Job Description", "Job Requirements", "Skills And Tools")
 
-class _Cards(HTMLParser):
-    """Cards with their fields: text of elements by class, and the first link."""
+FIELDS = ("title", "company", "location", "salary", "description", "experience", "posted_at_raw", "job_url")
 
-    def __init__(self, select: dict[str, str]):
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_UNREAD = frozenset("script style template".split())
+#: Elements that a start tag of their kind ends.
+_ENDS = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}}
+
+
+class Element:
+    """An element of a page: tag, classes, attributes, and texts and elements in it."""
+
+    def __init__(self, tag: str, attrs: dict[str, str | None], parent: Element | None):
+        self.tag, self.attrs, self.parent, self.inside = tag, attrs, parent, []
+        self.classes = frozenset((attrs.get("class") or "").split())
+
+    def elements(self) -> Iterator[Element]:
+        """All elements in it, in page order."""
+        todo = [x for x in reversed(self.inside) if isinstance(x, Element)]
+        while todo:
+            e = todo.pop()
+            yield e
+            todo += [x for x in reversed(e.inside) if isinstance(x, Element)]
+
+    def text(self, between: str = "") -> str:
+        """The texts in it, each trimmed, without blank ones."""
+        parts, todo = [], list(reversed(self.inside))
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                parts.append(x.strip())
+            elif x.tag not in _UNREAD:
+                todo += reversed(x.inside)
+        return between.join(p for p in parts if p)
+
+    def matches(self, step: str) -> bool:
+        tag, *classes = step.lstrip(">").split(".")
+        return tag in ("", self.tag) and self.classes.issuperset(classes)
+
+    def all(self, path: str, within: Element | None = None) -> list[Element]:
+        """Elements in it at a path of tags and classes, each within the one before (directly, if it begins with >)."""
+        steps = path.split()
+
+        def fits(e: Element | None, k: int) -> bool:
+            if not e.matches(steps[k]):
+                return False
+            if k == 0:
+                return True
+            above = e.parent
+            while above is not None and above is not self:
+                if fits(above, k - 1):
+                    return True
+                above = None if steps[k].startswith(">") else above.parent
+            return False
+
+        return [e for e in self.elements() if fits(e, len(steps) - 1)]
+
+    def first(self, paths: str | tuple[str, ...]) -> Element | None:
+        """The first element at the first path that has one."""
+        for path in (paths,) if isinstance(paths, str) else paths:
+            if found := self.all(path):
+                return found[0]
+        return None
+
+
+class _Tree(HTMLParser):
+    def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.select, self.depth, self.card_depth, self.cards, self.open = select, 0, None, [], []
+        self.root = self.at = Element("", {}, None)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        classes = set((dict(attrs).get("class") or "").split())
+        if self.at.tag in _ENDS.get(tag, ()):
+            self.at = self.at.parent
+        e = Element(tag, dict(attrs), self.at)
+        self.at.inside.append(e)
         if tag not in _VOID:
-            self.depth += 1
-        if self.card_depth is None and self.select["card"] in classes:
-            self.card_depth = self.depth
-            self.cards.append({})
-        if self.card_depth is not None:
-            if tag == "a" and "job_url" not in self.cards[-1] and dict(attrs).get("href"):
-                self.cards[-1]["job_url"] = dict(attrs)["href"]
-            if tag not in _VOID:
-                self.open += [(f, self.depth) for f, c in self.select.items() if f != "card" and c in classes]
+            self.at = e
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in _VOID:
-            return
-        self.open = [(f, d) for f, d in self.open if d < self.depth]
-        if self.card_depth is not None and self.depth <= self.card_depth:
-            self.card_depth, self.open = None, []
-        self.depth = max(0, self.depth - 1)
+        e = self.at
+        while e is not self.root and e.tag != tag:
+            e = e.parent
+        if e is not self.root:
+            self.at = e.parent
 
     def handle_data(self, data: str) -> None:
-        if self.card_depth is not None:
-            for f, _ in self.open:
-                self.cards[-1][f] = self.cards[-1].get(f, "") + data
+        self.at.inside.append(data)
 
 
-class _Sections(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.heading, self.taking, self.skip, self.title, self.parts = False, False, False, "", []
+def page_of(html: str | None) -> Element:
+    p = _Tree()
+    p.feed(html or "")
+    p.close()
+    return p.root
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ("h2", "h3", "h4"):
-            self.heading, self.taking, self.title = True, False, ""
-        self.skip = self.skip or tag in ("style", "script")
 
-    def handle_endtag(self, tag: str) -> None:
-        if tag in ("h2", "h3", "h4"):
-            self.heading, self.taking = False, " ".join(self.title.lower().split()) in SECTIONS
-        if tag in ("style", "script"):
-            self.skip = False
+def _text(e: Element | None, between: str = "") -> str:
+    return e.text(between) if e is not None else ""
 
-    def handle_data(self, data: str) -> None:
-        if self.heading:
-            self.title += data
-        elif self.taking and not self.skip and data.strip():
-            self.parts.append(" ".join(data.split()))
 
+def _absolute(href: str | None, base: str, default: str = "") -> str:
+    return default if not href else href if href.startswith("http") else base + href
 
-def sections_of(html: str | None, limit: int = 2500) -> str:
-    p = _Sections()
-    p.feed(html or "")
-    return " ".join(p.parts)[:limit]
 
+def wuzzuf_records(page: Element) -> list[dict[str, str]]:
+    """Titles with the company and the location at the same place of their own lists."""
+    companies, locations = page.all(WUZZUF["company"]), page.all(WUZZUF["location"])
+    out = []
+    for k, title in enumerate(page.all(WUZZUF["title"])):
+        link = title.first("a")
+        href = link.attrs.get("href") if link is not None else None
+        out.append({
+            "title": title.text(), "company": companies[k].text() if k < len(companies) else "", "location": locations[k].text() if k < len(locations) else "",
+            "job_url": BASE_URLS["wuzzuf"] + href if href else "",
+        })
+    return out
 
-def cards_of(html: str | None, url: str | None, select: dict[str, str]) -> list[dict[str, str]]:
-    """Cards that have a title."""
-    p = _Cards(select)
-    p.feed(html or "")
+
+def bayt_records(page: Element) -> list[dict[str, str]]:
     out = []
-    for card in p.cards:
-        row = {f: " ".join(card.get(f, "").split()) for f in _FIELDS}
-        if row["title"]:
-            row["job_url"] = urljoin(url or "", row["job_url"]) if row["job_url"] else ""
-            out.append(row)
+    for card in page.all(BAYT["card"]):
+        title = card.first(BAYT["title"])
+        if title is not None and not title.attrs.get("href"):
+            continue  # such a card fails
+        out.append({
+            "title": _text(title), "company": _text(card.first(BAYT["company"])), "location": ", ".join(x.text() for x in card.all(BAYT["location"])),
+            "description": _text(card.first(BAYT["description"]), " ").replace("Summary:", "").strip(), "salary": _text(card.first(BAYT["salary"])),
+            "experience": _text(card.first(BAYT["experience"])).replace(" · ", " - "), "posted_at_raw": _text(card.first(BAYT["posted_at_raw"])),
+            "job_url": _absolute(title.attrs.get("href") if title is not None else None, BASE_URLS["bayt"]),
+        })
     return out
 
 
-def parse_listing_pages(pages: DataFrame, source: str = "default", selectors: dict[str, dict[str, str]] = SELECTORS) -> DataFrame:
-    """A row per card of each page (page_id, url, html)."""
-    select = selectors[source]
+def forasna_records(page: Element) -> list[dict[str, str]]:
+    out = []
+    for card in page.all(FORASNA["card"]):
+        link = card.first(FORASNA["link"])
+        salary = ""
+        for detail in card.all(FORASNA["detail"]):
+            name = detail.first(FORASNA["detail_title"])
+            if name is not None and FORASNA["salary"] in name.text():
+                salary = next((x.text() for x in detail.all("span") if "job-details__title" not in x.classes), "")
+                break
+        out.append({
+            "title": _text(card.first(FORASNA["title"])), "company": _text(card.first(FORASNA["company"])), "location": _text(card.first(FORASNA["location"])), "salary": salary,
+            "job_url": _absolute(link.attrs.get("href") if link is not None else None, BASE_URLS["forasna"], BASE_URLS["forasna"]),
+        })
+    return out
+
+
+PARSERS: dict[str, Callable[[Element], list[dict[str, str]]]] = {"wuzzuf": wuzzuf_records, "bayt": bayt_records, "forasna": forasna_records}
+
+
+def parse_listing_pages(pages: DataFrame, source: str) -> DataFrame:
+    """A row per posting of each listing page (page_id, html) of a source, with the contract's text fields."""
+    parse = PARSERS[source]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [{"page_id": p, "ordinal": k, **card} for p, u, h in zip(frame.page_id, frame.url, frame.html, strict=True) for k, card in enumerate(cards_of(h, u, select))]
-            yield pd.DataFrame(rows, columns=["page_id", "ordinal", *_FIELDS])
+            rows = [{"page_id": p, "ordinal": k, **{f: record.get(f, "") for f in FIELDS}} for p, h in zip(frame.page_id, frame.html, strict=True) for k, record in enumerate(parse(page_of(h)))]
+            yield pd.DataFrame(rows, columns=["page_id", "ordinal", *FIELDS])
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id bigint, ordinal int, " + ", ".join(f"{f} string" for f in _FIELDS))
+    out = pages.select("page_id", "html").mapInPandas(run, "page_id bigint, ordinal int, " + ", ".join(f"{f} string" for f in FIELDS))
+    return out.withColumn("source", F.lit(source))
+
+
+def sections_of(html: str | None, limit: int = 2500) -> str:
+    """Texts of the elements that follow a heading of SECTIONS beside it, up to the next heading beside it."""
+    parts = []
+    for heading in page_of(html).elements():
+        if heading.tag not in ("h2", "h3", "h4") or heading.text() not in SECTIONS:
+            continue
+        beside = [x for x in heading.parent.inside if isinstance(x, Element)]
+        for e in beside[next(k for k, x in enumerate(beside) if x is heading) + 1 :]:
+            if e.tag in ("h2", "h3", "h4"):
+                break
+            if e.tag not in _UNREAD and (text := e.text(" ")):
+                parts.append(text)
+    return " ".join(parts)[:limit]
 
 
 def extract_sections(pages: DataFrame, limit: int = 2500) -> DataFrame:
@@ -119,14 +221,20 @@ def extract_sections(pages: DataFrame, limit: int = 2500) -> DataFrame:
     return pages.select("page_id", "html").mapInPandas(run, "page_id bigint, sections string")
 
 
-_EMBEDDED = "props struct<pageProps: struct<jobs: array<struct<title: string, company: struct<name: string>, location: struct<city: string>, industry: string, url: string, posted: string>>>>"
+_NAME = "struct<name: string>"
+_EMBEDDED = (
+    f"props struct<pageProps: struct<jobs: array<struct<position: {_NAME}, jobRole: {_NAME}, company: struct<title: string>, location: string, min_salary: string, max_salary: string, currency: string>>>>"
+)
 
 
-def parse_embedded_json(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """A row per job in the page's __NEXT_DATA__ script; pages without it give none."""
+def parse_embedded_json(pages: DataFrame, html_col: str = "html", tech_only: bool = True) -> DataFrame:
+    """A row per (technical) job in the page's __NEXT_DATA__ script; pages without it give none."""
     body = F.regexp_extract(html_col, r'(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1)
     jobs = F.from_json(body, _EMBEDDED)["props"]["pageProps"]["jobs"]
-    return pages.select("page_id", F.posexplode(jobs).alias("ordinal", "j")).select(
-        "page_id", "ordinal", F.col("j.title").alias("title"), F.col("j.company.name").alias("company"), F.col("j.location.city").alias("location"),
-        F.col("j.industry").alias("industry"), F.col("j.url").alias("job_url"), F.col("j.posted").alias("posted_at_raw"),
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    out = pages.select("page_id", F.posexplode(jobs).alias("ordinal", "j")).select(
+        "page_id", "ordinal", text("j.position.name").alias("title"), text("j.company.title").alias("company"), text("j.location").alias("location"),
+        format_salary(F.col("j.min_salary"), F.col("j.max_salary"), F.col("j.currency"), F.lit("")).alias("salary"), text("j.jobRole.name").alias("industry"),
+        F.lit(BASE_URLS["jobzella"]).alias("job_url"), F.lit("jobzella").alias("source"),
     )
+    return out.where(is_tech(F.col("title"), F.col("industry"))) if tech_only else out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import clean_records
 from ..operators.contract import contract_violations, to_contract
 from ..operators.quality import quality_gate
-from ..sources.files import parse_bronze
+from ..sources.files import parse_bronze, write_run_report
 
 
 def stream_bronze(spark: SparkSession, root: str) -> DataFrame:
@@ -30,21 +30,30 @@ def run_available(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
 
 
 def clean_batch(raw: DataFrame, as_of) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(valid, quarantined, rejected) of raw records."""
+    """(valid, quarantined, rejected) of raw records.  Each record is in one of the three; a broken file is one rejected
+    record.  Rejected ones have clean_error: what breaks the contract, or can't be read."""
+    broken = raw.where("_broken").select("source", "_file", F.lit("the file isn't an array of records").alias("clean_error"))
     records = to_contract(raw.where("not _broken"))
-    records = records.where(F.size(contract_violations(records)) == 0)
-    cleaned = clean_records(records)
+    records = records.withColumn("_violations", F.array_join(contract_violations(records), "|"))
+    breaches = records.where("_violations <> ''").select("*", F.col("_violations").alias("clean_error")).drop("_violations")
+    cleaned = clean_records(records.where("_violations = ''").drop("_violations"))
     valid, failed = quality_gate(cleaned.where("clean_error is null").drop("clean_error"), as_of)
-    return valid, failed, cleaned.where("clean_error is not null")
+    rejected = cleaned.where("clean_error is not null").unionByName(breaches, allowMissingColumns=True).unionByName(broken, allowMissingColumns=True)
+    return valid, failed, rejected.select(*cleaned.columns)
 
 
-def incremental_clean(spark: SparkSession, raw: str, silver: str, quarantine: str, rejects: str, checkpoint: str, as_of) -> None:
-    """New raw files to standardised rows.  A batch writes under its number, so that a repeated batch replaces itself."""
+def incremental_clean(spark: SparkSession, raw: str, silver: str, quarantine: str, rejects: str, checkpoint: str, as_of, report: str | None = None) -> None:
+    """New raw files to standardised rows, with a report of each batch.  A batch writes under its number, so that a repeated
+    batch replaces itself."""
 
     def handle(batch: DataFrame, number: int) -> None:
         batch.persist()
-        for df, root in zip(clean_batch(batch, as_of), (silver, quarantine, rejects), strict=True):
+        parts = clean_batch(batch, as_of)
+        for df, root in zip(parts, (silver, quarantine, rejects), strict=True):
             df.write.mode("overwrite").parquet(f"{root}/batch={number}")
+        if report:
+            valid, failed, rejected = (df.select("_file", F.lit(k == 0).alias("is_valid")) for k, df in enumerate(parts))
+            write_run_report(valid.unionByName(failed).unionByName(rejected), f"{report}/batch={number}")
         batch.unpersist()
 
     run_available(stream_bronze(spark, raw), checkpoint, handle)
