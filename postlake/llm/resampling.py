@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import BROADCAST_ROWS, attached, stored, uniform
 from .words import byte_classes, chunks, mix, words_of
@@ -67,6 +68,8 @@ def _count(buckets: int):
 
 
 def _weigh(table: np.ndarray, buckets: int):
+    """Log weights of id, text and further columns; the text goes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or b"" for x in batch.column(1).to_pylist()]
@@ -74,13 +77,15 @@ def _weigh(table: np.ndarray, buckets: int):
             for a, b in chunks(texts):
                 at, doc = features(texts[a:b], buckets)
                 out[a:b] = np.bincount(doc, weights=table[at], minlength=b - a)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=["id", "log_weight"])
+            kept = range(2, batch.num_columns)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out), *(batch.column(k) for k in kept)], names=["id", "log_weight", *(batch.schema.names[k] for k in kept)])
 
     return run
 
 
-def log_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", buckets: int = BUCKETS, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, float]:
-    """(id, log_weight) per document row, and the target's share of the labelled documents."""
+def log_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", buckets: int = BUCKETS, broadcast_rows: int = BROADCAST_ROWS, whole: bool = False) -> tuple[DataFrame, float]:
+    """(id, log_weight) per document row, with ``whole`` also the row as a struct named row, and the target's share of the
+    labelled documents."""
     text = F.col(text_col).cast("binary").alias("text")
     target = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("target", F.lit(True))
     marked = attached(docs.select(F.col(id_col).alias("id"), text), target, "id", "left", broadcast_rows).select("text", "target")
@@ -91,7 +96,9 @@ def log_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     known = labels.agg(F.count_if(F.col(label_col) == 1).alias("good"), F.count(label_col).alias("all")).first()
     model = table + 1
     ratio = np.log(model[1] / model[1].sum()) - np.log(model[0] / model[0].sum()) if table[1].any() else np.zeros(buckets)
-    weights = docs.select(F.col(id_col).alias("id"), text).mapInArrow(_weigh(ratio, buckets), f"id {dict(docs.dtypes)[id_col]}, log_weight double")
+    rows = docs.select(F.col(id_col).alias("id"), text, *([F.struct(*docs.columns).alias("row")] if whole else []))
+    schema = T.StructType([rows.schema["id"], T.StructField("log_weight", T.DoubleType()), *rows.schema.fields[2:]])
+    weights = rows.mapInArrow(_weigh(ratio, buckets), schema)
     return weights, (known.good / known.all if known.all else 1.0)
 
 
@@ -127,17 +134,30 @@ def cut_of_largest(keys: DataFrame, k: int, bins: int = 1000, few: int = 5000) -
     raise AssertionError("the k-th key is inside the last bin")
 
 
-def importance_resample(
-    docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "quality", buckets: int = BUCKETS,
-) -> DataFrame:
-    """One row per document row: ``id_col``, log_weight, key, selected."""
-    weights, share = log_weights(docs, labels, id_col, text_col, label_col, buckets)
+def _resampled(docs: DataFrame, labels: DataFrame, k: int | None, seed: int, whole: bool, *args) -> DataFrame:
+    """log_weights with key and selected."""
+    weights, share = log_weights(docs, labels, *args, whole=whole)
     noise = -F.log(-F.log(uniform(F.coalesce(F.col("id").cast("string"), F.lit("")), seed=seed)))
     keyed = stored(weights.withColumn("key", F.col("log_weight") + noise), "importance-keys")
     if k is None:
         expected = F.least(F.lit(1.0), share * F.exp(F.least(F.col("log_weight"), F.lit(700.0))))
         k = round(keyed.agg(F.sum(expected)).first()[0] or 0)
-    cut = cut_of_largest(keyed, k)
+    cut = cut_of_largest(keyed.select("id", "key"), k)
     chosen = F.lit(True) if cut is None else (F.col("key") > cut[0]) | ((F.col("key") == cut[0]) & F.coalesce(F.col("id") >= F.lit(cut[1]), F.lit(cut[1] is None)))
-    return keyed.select(F.col("id").alias(id_col), "log_weight", "key", chosen.alias("selected"))
+    return keyed.withColumn("selected", chosen)
+
+
+def importance_resample(
+    docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
+    label_col: str = "quality", buckets: int = BUCKETS,
+) -> DataFrame:
+    """One row per document row: ``id_col``, log_weight, key, selected."""
+    return _resampled(docs, labels, k, seed, False, id_col, text_col, label_col, buckets).select(F.col("id").alias(id_col), "log_weight", "key", "selected")
+
+
+def selected_rows(
+    docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
+    label_col: str = "quality", buckets: int = BUCKETS,
+) -> DataFrame:
+    """The document rows that are selected, with their columns; each row is judged by its own text."""
+    return _resampled(docs, labels, k, seed, True, id_col, text_col, label_col, buckets).where("selected").select("row.*")
