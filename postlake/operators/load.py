@@ -95,7 +95,7 @@ def skills_of(df: DataFrame, names: list[str]) -> Column:
 
 def skill_links(skills: DataFrame, dim: DataFrame) -> DataFrame:
     """(job_key, skill_name) for rows of job_key and skills, in the dimension's spelling, whatever the row's case."""
-    links = skills.select("job_key", F.lower(F.explode("skills")).alias("_low")).distinct()
+    links = skills.select("job_key", F.explode("skills").alias("skill")).select("job_key", F.lower("skill").alias("_low")).distinct()
     return links.join(dim.select("skill_name", F.lower("skill_name").alias("_low")), "_low").select("job_key", "skill_name").distinct()
 
 

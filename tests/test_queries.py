@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from postlake import catalog
+from postlake import catalog, catalog_layers  # noqa: F401  (adds its queries to the catalog)
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
