@@ -89,10 +89,10 @@ def first_match(c: Column, rules, default: Column) -> Column:
     """The name of the first rule of which a word occurs in the string."""
 
     def choose(x: Column) -> Column:
-        out = default
-        for name, words in reversed(list(rules)):
-            out = F.when(functools.reduce(lambda a, b: a | b, [x.contains(w) for w in words]), F.lit(name)).otherwise(out)
-        return out
+        out = F
+        for name, words in rules:
+            out = out.when(functools.reduce(lambda a, b: a | b, [x.contains(w) for w in words]), F.lit(name))
+        return out.otherwise(default)
 
     return bound(c, choose)
 
@@ -107,10 +107,10 @@ def normalize_location(c: Column) -> Column:
     pair = lambda city, gov: F.struct(F.lit(city).alias("city"), F.lit(gov).alias("governorate"))
 
     def choose(low: Column) -> Column:
-        out = pair("Unknown", "Egypt")
-        for word, city, gov in reversed(ref.LOCATIONS):
-            out = F.when(low.contains(word), pair(city, gov)).otherwise(out)
-        return out
+        out = F
+        for word, city, gov in ref.LOCATIONS:
+            out = out.when(low.contains(word), pair(city, gov))
+        return out.otherwise(pair("Unknown", "Egypt"))
 
     return bound(F.lower(c), choose)
 
@@ -124,21 +124,21 @@ def skill_pattern(words: tuple[str, ...]) -> str:
     return "|".join(word_pattern(w, w in ref.OPEN_ENDED) for w in words)
 
 
-def _named(blob: Column, patterns: list[tuple[str, str]]) -> Column:
-    """The names whose pattern occurs.  Most texts name few skills: one search for any of them comes first."""
-    found = lambda x: F.array_compact(F.array(*[F.when(x.rlike(p), F.lit(n)) for n, p in patterns]))
-    some = "|".join(p for _, p in patterns)
-    return bound(blob, lambda x: F.when(x.rlike(some), found(x)).otherwise(F.array().cast("array<string>")))
+def _named(blob: Column, names: list[tuple[str, tuple[str, ...], str]]) -> Column:
+    """The names of which a pattern occurs.  Most texts name few skills: a pattern is searched for only where one of its
+    words occurs at all."""
+    has = lambda x, words: functools.reduce(lambda a, b: a | b, [x.contains(w.lower()) for w in words])
+    return bound(blob, lambda x: F.array_compact(F.array(*[F.when(has(x, words), F.when(x.rlike(p), F.lit(n))) for n, words, p in names])))
 
 
 def extract_skills(*texts: Column) -> Column:
     """Skills named in the texts, in the lexicon's order."""
-    return _named(joined_lower(*texts), [(name, skill_pattern(words)) for name, _, words in ref.SKILLS])
+    return _named(joined_lower(*texts), [(name, words, skill_pattern(words)) for name, _, words in ref.SKILLS])
 
 
 def detect_skills_in_title(title: Column, names: list[str]) -> Column:
     """Names of a dimension that occur as words of a title."""
-    return _named(F.lower(F.coalesce(title, F.lit(""))), [(n, word_pattern(n)) for n in names])
+    return _named(F.lower(F.coalesce(title, F.lit(""))), [(n, (n,), word_pattern(n)) for n in names])
 
 
 def classify_work_mode(*texts: Column) -> Column:

@@ -36,7 +36,7 @@ def test_bronze_to_marts(spark, tmp_path):
     assert bronze.where("_broken").count() == 1
     valid, failed, rejected = incremental.clean_batch(bronze, as_of())
     assert [r.job_id for r in valid.collect()] == ["1"]
-    assert [r.job_id for r in rejected.collect()] == ["2"]
+    assert sorted((r.job_id or "", r.clean_error) for r in rejected.collect()) == [("", "the file isn't an array of records"), ("2", "salary isn't a number"), ("3", "record has neither title nor company")]
     assert {r.job_id: r.validation_errors for r in failed.collect()} == {"4": "Invalid job_url format"}
     row = valid.first()
     assert (row.title_clean, row.location_gov, row.posted_at, row.skills, row.salary_min, row.experience_years_min) == ("Senior Data Engineer", "Cairo", "2026-06-05", ["Python", "SQL"], 10000.0, 3)
@@ -107,10 +107,15 @@ def test_validation_messages(spark):
 
 
 def test_pages(spark):
-    html = '<div class="job-card"><a href="/j/1"><h2 class="job-title">Dev &amp; Ops</h2></a><span class="company">Acme</span></div><div class="job-card"><p>none</p></div><h2>Job Description</h2><style>x</style><p>Do things</p><h3>Other</h3><p>no</p>'
-    df = spark.createDataFrame([(1, "https://a.b/list", html), (2, None, None)], "page_id long, url string, html string")
-    assert [(r.title, r.company, r.job_url) for r in pages.parse_listing_pages(df).collect()] == [("Dev & Ops", "Acme", "https://a.b/j/1")]
-    assert [r.sections for r in pages.extract_sections(df).orderBy("page_id").collect()] == ["Do things", ""]
+    listing = '<h2 class="css-193uk2c"><a href="/j/1">Dev &amp; Ops</a></h2><h2 class="css-193uk2c">Second</h2><a class="css-ipsyv7"> Acme </a>'
+    df = spark.createDataFrame([(1, listing), (2, None), (3, "<p>none")], "page_id long, html string")
+    got = pages.parse_listing_pages(df, "wuzzuf").orderBy("page_id", "ordinal").collect()
+    assert [(r.title, r.company, r.location, r.job_url, r.source) for r in got] == [("Dev & Ops", "Acme", "", "https://wuzzuf.net/j/1", "wuzzuf"), ("Second", "", "", "", "wuzzuf")]
+    assert pages.parse_listing_pages(df, "bayt").count() == pages.parse_listing_pages(df, "forasna").count() == 0
+    html = "<h2>Job Description</h2><style>x</style><p>Do <b>things</b></p><h3>Other</h3><p>no</p><div><h4> Skills And Tools </h4><ul><li>a<li>b</ul></div><p>nor this</p><h2>JOB REQUIREMENTS</h2><p>no</p>"
+    df = spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")
+    assert [r.sections for r in pages.extract_sections(df).orderBy("page_id").collect()] == ["Do things a b", ""]
+    assert len(pages.sections_of("<h2>Job Description</h2><p>" + "x" * 3000)) == 2500
 
 
 def test_paging_bounds(spark):
@@ -147,3 +152,39 @@ def test_versions_over_parts(spark):
     assert dim.count() == sum(counts.values())
     plain = {r.n: r.version for r in scd.versions(df.where("company is null"), "company", "raw", ["file", "n"]).collect()}
     assert plain == {n: v for n, v in want.items() if rows[n][0] is None}
+
+
+def test_csv_rows_and_spelling_of_skills(spark, tmp_path):
+    """CSV rows, with a byte order mark: an empty list of skills is none, a missing column means those of the title."""
+    names = ["job_id", "job_hash", "title_raw", "title_clean", "company_raw", "company_clean", "location_raw", "location_city", "location_gov", "salary_min", "salary_max", "salary_currency", "experience_years_min", "experience_years_max",
+             "is_remote", "source", "job_url", "scraped_at", "posted_at", "run_id"]
+    row = ["1", "h1", "Python Dev", "Python Dev", "Acme", "Acme", "x", "Cairo", "Cairo", "5", "", "EGP", "2.0", "", "true", "s", "https://x", "2024-01-02", "2024-01-01", "r"]
+    day, at = F.lit("2024-01-03").cast("date"), F.lit("2024-01-03 00:00:00").cast("timestamp")
+    for folder, more, value in (("listed", ["skills"], "PYTHON|python| Zig |zig"), ("empty", ["skills"], ""), ("missing", [], None)):
+        (tmp_path / folder).mkdir()
+        line = ",".join([*row, *([value] if more else [])])
+        (tmp_path / folder / "a.csv").write_text("\ufeff" + ",".join([*names, *more]) + "\n" + line + "\n", encoding="utf-8")
+        silver = files.scan_silver_csv(spark, str(tmp_path / folder), tuple(names))
+        gold = load.load(load.empty_gold(spark), silver, day, at)
+        want = {"listed": ["Python", "Zig"], "empty": [], "missing": ["Python"]}[folder]
+        assert sorted(r.skill_name for r in gold["bridge_job_skill"].collect()) == want
+        assert gold["bridge_job_skill"].join(gold["dim_skill"], "skill_name").count() == len(want)
+        fact = gold["fact_job_postings"].first()
+        assert (float(fact.salary_min), fact.salary_max, fact.experience_years_min, fact.is_remote, fact.category_name) == (5.0, None, 2, True, "Other")
+    with pytest.raises(ValueError, match="missing columns: nothing"):
+        files.scan_silver_csv(spark, str(tmp_path / "listed"), ("nothing",))
+
+
+def test_run_log(spark):
+    runs = spark.createDataFrame([("a", "1", "out", None, None), ("a", "2", "out", None, None), ("b", "3", None, "switched off", None), ("c", "4", None, None, "timeout")], "source string, run_id string, output string, skipped string, error string")
+    records = spark.createDataFrame([("a", "1"), ("a", "1")], "source string, run_id string")
+    got = {r.run_id: (r.status, r.records, r.output, r.detail) for r in files.ingestion_log(records, runs, F.lit("t")).collect()}
+    assert got == {"1": ("ok", 2, "out", ""), "2": ("empty", 0, None, ""), "3": ("skipped", 0, None, "switched off"), "4": ("error", 0, None, "timeout")}
+
+
+def test_reports_of_batches(spark, tmp_path):
+    raw, out = tmp_path / "raw", {k: str(tmp_path / k) for k in ("silver", "quarantine", "rejects", "checkpoint", "report")}
+    write(raw, "a.json", [record(), record(job_id="2", job_url="ftp://x"), record(job_id="3", salary="1.2.3")])
+    incremental.incremental_clean(spark, str(raw), out["silver"], out["quarantine"], out["rejects"], out["checkpoint"], as_of(), out["report"])
+    got = {r._file is None: (r.records, r.valid, r.quarantined) for r in spark.read.schema("_file string, records bigint, valid bigint, quarantined bigint").json(f"{out['report']}/batch=0").collect()}
+    assert got == {True: (3, 1, 2), False: (3, 1, 2)}
