@@ -1,12 +1,15 @@
 """Nulls, empty tables, repeated rows and clashing columns, for each operator and each stage of the pipeline."""
 
+import hashlib
 import importlib
 import zlib
+from collections import Counter
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from postlake.llm import queries
+from postlake.llm import queries, token_counts, training_order
 from postlake.llm.decontamination import contamination
 
 CLASHING = ("rid", "id", "key", "n", "part", "label", "bucket", "kept", "target", "score", "mix_topic", "selected", "word", "block", "slot", "component_id", "contaminated")
@@ -60,6 +63,36 @@ def test_nulls_and_clashing_columns(spark, filled, name):
         assert len(rows) == (5 if name in ("op1_warc", "op2_html_extraction") else 10)
 
 
+def test_values_of_edges(spark, filled):
+    """What each case of ``documents`` and ``pages`` gives, not only that it gives a row."""
+    run = lambda name, *columns: Counter(tuple(r) for r in queries.QUERIES[name](spark, filled).select(*columns).collect())
+    big = "<p>x" * 50
+    pages = run("op1_warc", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert pages == Counter([(1, 14, digest("<p>One two</p>"), "response", None)] * 2 + [(k, 0, digest(""), "response", None) for k in (2, 3)] + [(None, 200, digest(big), "response", None)])
+    assert run("op2_html_extraction", "page_id", "text", "n_chars") == Counter([(1, "One two", 7)] * 2 + [(2, "", 0), (3, "", 0), (None, "\n".join("x" * 50), 99)])
+    assert run("op3_ngram_jaccard_join", "doc_id", "n_shingles", "component_id") == Counter(
+        [(1, 56, 1), (2, 56, 1), (2, 56, 1), (7, 57, 1), (3, 0, 3), (4, 0, 4), (5, 1, 5), (None, 1, None), (None, 0, None), (6, 1, 6)])
+    assert run("op4_exact_dedup", "doc_id", "keep_id", "group_size", "kept") == Counter(
+        [(1, 2, 3, False), (2, 2, 3, True), (2, 2, 3, True), (3, 4, 3, False), (4, 4, 3, True), (None, 4, 3, False), (5, 5, 1, True), (None, None, 1, True), (6, 6, 1, True), (7, 7, 1, True)])
+    texts = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{filled}/documents.parquet").collect()]
+    tokens = token_counts.batch_counter(public_tokenizers.path("word_bpe_49k.json"))([t for _, t in texts])
+    assert run("op6_token_counts", "doc_id", "n_bytes", "n_tokens", "over_limit") == Counter((i, len(t.encode()), n, n > 2048) for (i, t), n in zip(texts, tokens, strict=True))
+    encode, _ = training_order.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    shards = queries.QUERIES["op5_training_order"](spark, filled).collect()
+    assert sum(r.n_tokens for r in shards) == sum(len(encode(t)) + 1 for _, t in texts) and {d for r in shards for d in r.doc_ids} == {i for i, _ in texts}
+    weights = queries.QUERIES["op7_quality_resampling"](spark, filled).collect()
+    assert sum(r.log_weight == 0 for r in weights) >= 3 and len({r.key for r in weights if r.doc_id == 2}) == 1
+    mixed = queries.QUERIES["op8_mixing"](spark, filled).collect()
+    assert Counter((r.doc_id, r.mix_tokens) for r in mixed) == Counter((i, len(t.split())) for i, t in texts)
+    assert all(0 < r.mix_probability <= 1 for r in mixed) and len({r.mix_sampled for r in mixed if r.doc_id == 2}) == 1
+    hits = run("op9_decontamination", "doc_id", "n_words", "n_hit", "n_items", "contaminated")
+    assert hits == Counter([(1, 60, 11, 1, True), (2, 60, 11, 1, True), (2, 60, 11, 1, True), (7, 61, 11, 1, True), (3, 0, 0, 0, False), (4, 0, 0, 0, False), (None, 0, 0, 0, False), (5, 200_000, 0, 0, False), (None, 3, 3, 1, True), (6, 5, 0, 0, False)])
+    scores = queries.QUERIES["op10_toxicity"](spark, filled).collect()
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in scores)
+    assert len({r.score for r in scores if r.doc_id in (3, 4)}) == 1 and len({r.score for r in scores if r.doc_id == 2}) == 1
+
+
 def test_benchmark_items_without_id(spark, filled, tmp_path):
     import duckdb
 
