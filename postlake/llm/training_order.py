@@ -194,8 +194,10 @@ def training_shards(
         return spark.createDataFrame([], index).withColumn("folder", F.lit(folder))
     starts = spark.createDataFrame(offsets, T.StructType([T.StructField("part", T.IntegerType()), T.StructField("start", T.LongType())]))
     numbered = sequences.join(F.broadcast(starts), "part").select((F.col("start") + F.col("seq")).alias("number"), "part", "seq", "n_tokens", "doc_ids", "data")
-    tasks = max(1, min(-(-total // per_shard), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = numbered.mapInArrow(_slots(total, key, per_shard), schema).repartition(tasks, "shard").sortWithinPartitions("slot")
+    shards = -(-total // per_shard)
+    tasks = min(shards, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    task = F.floor(F.col("shard").cast("long") * tasks / shards).cast("int")  # a range of shards each
+    dealt = numbered.mapInArrow(_slots(total, key, per_shard), schema).repartitionById(tasks, task).sortWithinPartitions("slot")
     return stored(dealt.mapInArrow(_write(folder, length, per_shard), index), "shard-index").withColumn("folder", F.lit(folder))
 
 
