@@ -175,6 +175,10 @@ def test_csv_rows_and_spelling_of_skills(spark, tmp_path):
         files.scan_silver_csv(spark, str(tmp_path / "listed"), ("nothing",))
 
 
+def test_preview(spark):
+    assert files.preview(spark.range(30)).count() == 10 and files.preview(spark.range(3), 5).count() == 3
+
+
 def test_run_log(spark):
     runs = spark.createDataFrame([("a", "1", "out", None, None), ("a", "2", "out", None, None), ("b", "3", None, "switched off", None), ("c", "4", None, None, "timeout")], "source string, run_id string, output string, skipped string, error string")
     records = spark.createDataFrame([("a", "1"), ("a", "1")], "source string, run_id string")
