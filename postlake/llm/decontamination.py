@@ -143,7 +143,7 @@ def _candidates(sent, sizes: list[int], schema: pa.Schema, text_col: str):
     """Adds a key of the row, n_words and the windows that the map lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, task, k = np.unpackbits(sent.value), uuid.uuid4().hex, 0
+        bits, task, k = sent.value, uuid.uuid4().hex, 0
         for batch in batches:
             texts = [x or b"" for x in batch.column(text_col).cast(pa.binary()).to_pylist()]
             found: list[list] = [[] for _ in texts]
@@ -151,7 +151,8 @@ def _candidates(sent, sizes: list[int], schema: pa.Schema, text_col: str):
                 words = words_of(texts[a:b], _ALNUM)
                 for n in sizes:
                     hashes, at = window_hashes(words, n)
-                    for i in at[bits[_slots(hashes)] > 0].tolist():
+                    slots = _slots(hashes)
+                    for i in at[((bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1) > 0].tolist():
                         doc = int(words.doc[i])
                         found[a + doc].append({"begin": i - int(words.first[doc]), "n": n, "gram": b" ".join(words.raw(i, i + n))})
             rows = [f"{task}-{k + j}" for j in range(len(texts))]
