@@ -1,13 +1,15 @@
-"""The ten operators as queries over the tables of a folder, and their SQL where there is such."""
+"""The operators as queries over the tables of a folder, and their SQL where there is such."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .decontamination import contamination
 from .exact_dedup import exact_groups
 from .html_text import extract_main_text
+from .merkle import merkle_manifest
 from .mixing import calibrated
 from .ngram_join import similar_components
 from .resampling import importance_resample
@@ -80,6 +82,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of documents; half of them are checked after their line ends were taken out."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return merkle_manifest(_table(spark, sf_dir, "documents"), tampered, F.replace("text", F.lit("\n"), F.lit("")))[0]
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py one after the other."""
     import corpus_pipeline
@@ -87,7 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_html_extraction, op3_ngram_jaccard_join, op4_exact_dedup, op5_training_order, op6_token_counts, op7_quality_resampling, op8_mixing, op9_decontamination, op10_toxicity, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_html_extraction, op3_ngram_jaccard_join, op4_exact_dedup, op5_training_order, op6_token_counts, op7_quality_resampling, op8_mixing, op9_decontamination, op10_toxicity, op11_merkle_manifest, pipeline)}
 
 ORACLE_SQL = {
     "op1_warc": """
@@ -138,4 +146,49 @@ ORACLE_SQL = {
         SELECT dw.doc_id, CAST(len(dw.words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
                sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM dw LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_merkle_manifest": r"""
+        WITH RECURSIVE
+        fields AS (
+            SELECT doc_id, source, text,
+                   list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)], lambda x: CASE WHEN x IS NULL THEN '-' ELSE octet_length(encode(x)) || ':' || x END) AS head
+            FROM documents),
+        seeds AS (SELECT unnest(range(256)) AS b),
+        steps(b, k, v) AS (SELECT b, 0, b FROM seeds UNION ALL SELECT b, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM steps WHERE k < 8),
+        crc_table AS (SELECT list(v ORDER BY b) AS t FROM steps WHERE k = 8),
+        crc AS (
+            SELECT doc_id, xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                   lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1])), 4294967295) AS crc
+            FROM documents, crc_table),
+        leaves AS (
+            SELECT doc_id, source, sha256(array_to_string(head, '') || CASE WHEN text IS NULL THEN '-' ELSE octet_length(encode(text)) || ':' || text END) AS leaf,
+                   sha256(array_to_string(head, '') || CASE WHEN text IS NULL THEN '-' WHEN crc % 2 = 0 THEN octet_length(encode(replace(text, chr(10), ''))) || ':' || replace(text, chr(10), '')
+                          ELSE octet_length(encode(text)) || ':' || text END) AS checked
+            FROM fields JOIN crc USING (doc_id)),
+        levels(source, k, nodes) AS (
+            SELECT source, 0, list(leaf ORDER BY doc_id) FROM leaves GROUP BY source
+            UNION ALL
+            SELECT source, k + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], ''))) FROM levels WHERE len(nodes) > 1),
+        subroots AS (SELECT source, nodes[1] AS subroot FROM levels WHERE len(nodes) = 1),
+        tops(k, nodes) AS (
+            SELECT 0, list(subroot ORDER BY source NULLS FIRST) FROM subroots
+            UNION ALL
+            SELECT k + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], ''))) FROM tops WHERE len(nodes) > 1),
+        root AS (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1),
+        heights AS (SELECT source, max(k) AS h FROM levels GROUP BY source),
+        every AS (
+            SELECT source, k, nodes FROM levels WHERE len(nodes) > 1
+            UNION ALL SELECT s.source, h.h + t.k, t.nodes FROM (SELECT source FROM subroots) s JOIN heights h ON h.source IS NOT DISTINCT FROM s.source, tops t WHERE len(t.nodes) > 1),
+        ranks AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM subroots),
+        steps_of AS (
+            SELECT l.doc_id, e.k, e.nodes, CASE WHEN e.k < h.h THEN l.i // CAST(pow(3, e.k) AS BIGINT) ELSE r.place // CAST(pow(3, e.k - h.h) AS BIGINT) END AS j
+            FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i FROM leaves) l
+            JOIN heights h ON h.source IS NOT DISTINCT FROM l.source JOIN ranks r ON r.source IS NOT DISTINCT FROM l.source JOIN every e ON e.source IS NOT DISTINCT FROM l.source),
+        sides AS (SELECT doc_id, k, array_to_string(nodes[j - j % 3 + 1:j], '') AS lhs, array_to_string(nodes[j + 2:j - j % 3 + 3], '') AS rhs FROM steps_of),
+        paths AS (SELECT doc_id, list({'l': lhs, 'r': rhs} ORDER BY k) AS path, string_agg(lhs || rhs, '' ORDER BY k) AS joined FROM sides GROUP BY doc_id),
+        folds(doc_id, k, h) AS (
+            SELECT doc_id, 0, checked FROM leaves
+            UNION ALL SELECT f.doc_id, f.k + 1, sha256(path[f.k + 1].l || f.h || path[f.k + 1].r) FROM folds f JOIN paths p ON p.doc_id = f.doc_id WHERE f.k < len(path))
+        SELECT l.doc_id, l.leaf, s.subroot, root.root, sha256(coalesce(p.joined, '')) AS proof_sha256, f.h AS folded_root, f.h = root.root AS verified
+        FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source LEFT JOIN paths p ON p.doc_id = l.doc_id
+        JOIN folds f ON f.doc_id = l.doc_id AND f.k = coalesce(len(p.path), 0), root""",
 }
