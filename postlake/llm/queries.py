@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contamination
+from .divergence import source_divergence
 from .exact_dedup import exact_groups
 from .html_text import extract_main_text
 from .merkle import merkle_manifest
 from .mixing import calibrated
 from .ngram_join import similar_components
+from .pieces import piece_digests
 from .resampling import importance_resample
 from .shared import new_folder
 from .token_counts import token_counts
@@ -88,6 +90,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(_table(spark, sf_dir, "documents"), tampered, F.replace("text", F.lit("\n"), F.lit("")))[0]
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of documents' ids and of what these decode to."""
+    return piece_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of each language against each other, and their foremost terms."""
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py one after the other."""
     import corpus_pipeline
@@ -95,7 +107,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_html_extraction, op3_ngram_jaccard_join, op4_exact_dedup, op5_training_order, op6_token_counts, op7_quality_resampling, op8_mixing, op9_decontamination, op10_toxicity, op11_merkle_manifest, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_html_extraction, op3_ngram_jaccard_join, op4_exact_dedup, op5_training_order, op6_token_counts, op7_quality_resampling, op8_mixing, op9_decontamination, op10_toxicity, op11_merkle_manifest, op12_sentencepiece, op13_source_divergence, pipeline)}
 
 ORACLE_SQL = {
     "op1_warc": """
@@ -191,4 +203,27 @@ ORACLE_SQL = {
         SELECT l.doc_id, l.leaf, s.subroot, root.root, sha256(coalesce(p.joined, '')) AS proof_sha256, f.h AS folded_root, f.h = root.root AS verified
         FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source LEFT JOIN paths p ON p.doc_id = l.doc_id
         JOIN folds f ON f.doc_id = l.doc_id AND f.k = coalesce(len(p.path), 0), root""",
+    "op13_source_divergence": r"""
+        WITH docs AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        words AS (SELECT doc_id, lang, source, unnest(list_filter(string_split_regex(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term FROM docs),
+        kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 30),
+        sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        groups AS (SELECT DISTINCT lang, source FROM docs),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+        shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0) + 5 * s.v)::HUGEINT AS p,
+                   1 + (1000000000::HUGEINT * (k.n + 5)) // (s.total + 5 * s.v)::HUGEINT AS q
+            FROM groups g JOIN kept k ON k.lang = g.lang JOIN sizes s ON s.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+            LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(CAST(sum(abs(x.p - y.p)) AS BIGINT), 0) AS value
+            FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+            LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            GROUP BY a.lang, a.source, b.source),
+        terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM shares WHERE n > 0 AND p > q)
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM pairs
+        UNION ALL
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM terms QUALIFY rank <= 50""",
 }
