@@ -93,23 +93,27 @@ def _merged(parts: list[pa.Table]) -> pa.Table:
     return pa.table({**{c: a.dictionary.take(out.column(c)) for c, a in coded.items()}, "n": out.column("n_sum"), "docs": out.column("docs_sum")})
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of lang, source and text to counts; a task adds up what it has until that is much."""
-    held, rows, least = [], 0, 0
-    for batch in batches:
-        lang, source, text = batch.columns
-        for a, b in _ranges(pc.binary_length(text).to_numpy(zero_copy_only=False), PART):
-            part = count_terms(lang.slice(a, b - a), source.slice(a, b - a), text.slice(a, b - a))
-            held.append(part)
-            rows += part.num_rows
-            if rows > HELD:
-                held = [_merged(held)]
-                rows = least = held[0].num_rows
-                if least > HELD // 2:  # mostly different terms: pass them on
+def _counter(limit: int):
+    """Batches of lang, source and text to counts; a task adds up what it has, and passes it on when that is much."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            lang, source, text = batch.columns
+            for a, b in _ranges(pc.binary_length(text).to_numpy(zero_copy_only=False), PART):
+                part = count_terms(lang.slice(a, b - a), source.slice(a, b - a), text.slice(a, b - a))
+                held.append(part)
+                rows += part.num_rows
+                if rows > limit:
+                    held = [_merged(held)]
+                    rows = held[0].num_rows
+                if rows > limit // 2 and len(held) == 1:  # adding up didn't help much
                     yield from held[0].cast(_SCHEMA).to_batches()
                     held, rows = [], 0
-    if held:
-        yield from _merged(held).cast(_SCHEMA).to_batches()
+        if held:
+            yield from _merged(held).cast(_SCHEMA).to_batches()
+
+    return run
 
 
 _SCHEMA = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
@@ -131,7 +135,7 @@ def shares(n: np.ndarray, total: np.ndarray) -> np.ndarray:
 _PARTIAL = "part string, lang string, source string, item string, value bigint"
 
 
-def _shard(top: int):
+def _shard(top: int, cells: int):
     """(lang, shard) with counts (source, term, n, in_lang) and groups (source, total: N + 5 V of the group, lang_total) to the
     shard's sums of each pair of sources, the lesser one first, and each source's foremost terms."""
 
@@ -148,7 +152,7 @@ def _shard(top: int):
             code, n, in_lang = coded.indices.to_numpy(), counts.column("n").to_numpy(), counts.column("in_lang").to_numpy()
             order = np.argsort(code, kind="stable")
             where, code, n, in_lang = where[order], code[order], n[order], in_lang[order]
-            n_terms, width = len(coded.dictionary), max(CELLS // size, 1)
+            n_terms, width = len(coded.dictionary), max(cells // size, 1)
             for low in range(0, n_terms, width):
                 high = min(low + width, n_terms)
                 a, b = np.searchsorted(code, [low, high])
@@ -176,11 +180,11 @@ def _shard(top: int):
     return run
 
 
-def source_divergence(docs: DataFrame, least: int = 30, top: int = 50, shard_rows: int = SHARD) -> DataFrame:
+def source_divergence(docs: DataFrame, least: int = 30, top: int = 50, shard_rows: int = SHARD, cells: int = CELLS, held_rows: int = HELD) -> DataFrame:
     """lang, source, part (pair or term), item, value and rank.  ``pair``: each other source of the language with the summed
     differences of shares; ``term``: the ``top`` terms whose share in the group is most above that in the language."""
     full = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counts = stored(full.mapInArrow(_count, _COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "term-counts")
+    counts = stored(full.mapInArrow(_counter(held_rows), _COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "term-counts")
     kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("in_lang"), F.sum("docs").alias("_docs")).where(F.col("_docs") >= least).drop("_docs")
     kept = stored(counts.drop("docs").join(kept, ["lang", "term"]), "kept-terms")
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("_n"))
@@ -192,7 +196,7 @@ def source_divergence(docs: DataFrame, least: int = 30, top: int = 50, shard_row
     dealt = kept.join(groups.groupBy("lang").agg(F.max("_shards").alias("_of")), "lang").withColumn("shard", F.pmod(F.xxhash64("term"), F.col("_of")).cast("int"))
     dealt = dealt.select("lang", "source", "term", "n", "in_lang", "shard")
     copies = groups.select(F.col("lang").alias("lang_"), F.col("source").alias("source_"), "total", "lang_total", F.explode(F.sequence(F.lit(0), F.col("_shards") - 1)).alias("shard_")).toDF("lang", "source", "total", "lang_total", "shard")
-    partial = dealt.groupBy("lang", "shard").cogroup(copies.groupBy("lang", "shard")).applyInArrow(_shard(top), _PARTIAL)
+    partial = dealt.groupBy("lang", "shard").cogroup(copies.groupBy("lang", "shard")).applyInArrow(_shard(top, cells), _PARTIAL)
     partial = stored(partial, "term-shards")
     sums = partial.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     ends = F.explode(F.array(F.struct("source", "item"), F.struct(F.col("item").alias("source"), F.col("source").alias("item")))).alias("e")

@@ -3,10 +3,10 @@
 A leaf is the hash of a row's fields, each as its length and value.  While a level has several nodes, every three
 consecutive ones (the last run may have fewer, even one) become their hash.
 
-Builders take aligned runs of ``BLOCK`` (a power of three) nodes of one tree and append what they make in the order in
+Builders take aligned runs of ``3 ** LEVELS`` nodes of one tree and append what they make in the order in
 which nodes are completed, which is postorder.  Where a node stands in such a log follows from the sizes of subtrees
 alone (``position``), so siblings are read by their address and no pointers are stored.  Roots of builders' runs are the
-input of the next stratum; a tree of n leaves has about log(n) / log(BLOCK) strata.  Proofs go the other way: the path of
+input of the next stratum; a tree of n leaves has about log3(n) / LEVELS strata.  Proofs go the other way: the path of
 a run's root is made once and handed down to what lies below it.  A task holds one run of one stratum at a time, whatever
 a source's share of the rows.
 
@@ -23,6 +23,7 @@ besides the five are not read, whatever their names.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,9 +35,8 @@ from .shared import new_folder, stored, tasks_for
 
 ARITY = 3
 
-#: Levels that a builder makes of its run, and nodes in a run.
+#: Levels that a builder makes of its run of ARITY ** LEVELS nodes.
 LEVELS = 6
-BLOCK = ARITY**LEVELS
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -170,14 +170,19 @@ def numbered(rows: DataFrame, order: list[str], label: str, n_bytes: int) -> Dat
 _LOG = "tree string, block bigint, first bigint, n_leaves int, last boolean, nodes binary"
 
 
-def _builder(stratum: int):
+def _top(n: int, last: bool, levels: int) -> int:
+    """Levels above a run of n nodes: a tree's last run ends with its root."""
+    return height(n) if last else levels
+
+
+def _builder(stratum: int, levels: int):
     """A builder's run: nodes (index, leaf, n: nodes of the whole tree in this stratum) to a segment of the log."""
 
     def run(key: tuple, nodes: pa.Table) -> pa.Table:
         nodes = nodes.sort_by("index")
         n, of_tree, block = nodes.num_rows, nodes.column("n")[0].as_py(), key[1].as_py()
-        last, begin = of_tree <= BLOCK, block * BLOCK
-        log = grow([x.hex() for x in nodes.column("leaf").to_pylist()], height(n) if last else LEVELS)
+        last, begin = of_tree <= ARITY**levels, block * ARITY**levels
+        log = grow([x.hex() for x in nodes.column("leaf").to_pylist()], _top(n, last, levels))
         # Nodes that are complete before the run's first leaf.
         first = sum(begin // ARITY**m for m in range(height(of_tree) + 1)) if stratum == 0 else None
         return pa.table({"tree": [key[0].as_py()], "block": [block], "first": pa.array([first], pa.int64()), "n_leaves": pa.array([n], pa.int32()), "last": [last], "nodes": [log]})
@@ -187,11 +192,12 @@ def _builder(stratum: int):
 
 @dataclass
 class Manifest:
-    """The log's folder, and the strata that it has."""
+    """The log's folder, the strata that it has and the levels of a run."""
 
     spark: SparkSession
     folder: str
     strata: int
+    levels: int
 
     def log(self, stratum: int) -> DataFrame:
         return self.spark.read.schema(_LOG).parquet(f"{self.folder}/stratum={stratum}")
@@ -205,37 +211,40 @@ class Manifest:
         return out
 
 
-def build(leaves: DataFrame, counts: DataFrame, label: str) -> Manifest:
+def build(leaves: DataFrame, counts: DataFrame, label: str, levels: int = LEVELS) -> Manifest:
     """The log of trees.  ``leaves`` has tree, index and leaf, ``counts`` the number of leaves (n) per tree."""
-    spark, folder, stratum = leaves.sparkSession, new_folder(leaves.sparkSession, label), 0
+    spark, folder, stratum, block = leaves.sparkSession, new_folder(leaves.sparkSession, label), 0, ARITY**levels
     most = counts.agg(F.max("n")).first()[0] or 0
     nodes = leaves.select("tree", "index", "leaf").join(counts, "tree")
     while True:
-        runs = nodes.groupBy("tree", F.expr(f"index div {BLOCK}").alias("block"))
-        runs.applyInArrow(_builder(stratum), _LOG).write.parquet(f"{folder}/stratum={stratum}")
+        runs = nodes.groupBy("tree", F.expr(f"index div {block}").alias("block"))
+        runs.applyInArrow(_builder(stratum, levels), _LOG).write.parquet(f"{folder}/stratum={stratum}")
         stratum += 1
-        manifest = Manifest(spark, folder, stratum)
-        if most <= BLOCK:
+        manifest = Manifest(spark, folder, stratum, levels)
+        if most <= block:
             return manifest
-        most = -(-most // BLOCK)
+        most = -(-most // block)
         roots = manifest.log(stratum - 1).where("not last").select("tree", F.col("block").alias("index"), F.expr("substring(nodes, -32, 32)").alias("leaf"))
-        nodes = roots.join(counts.select("tree", F.expr(f"(n + {BLOCK**stratum - 1}) div {BLOCK**stratum}").alias("n")), "tree")
+        nodes = roots.join(counts.select("tree", F.expr(f"(n + {block**stratum - 1}) div {block**stratum}").alias("n")), "tree")
 
 
-def _paths_of(nodes: bytes, n: int, last: bool) -> list[bytes]:
+def _paths_of(nodes: bytes, n: int, top: int) -> list[bytes]:
     """Packed paths of a run's nodes to its root."""
-    top = height(n) if last else LEVELS
     levels = levels_of(nodes, n, top)
     return [pack([siblings(level, i // ARITY**m) for m, level in enumerate(levels)]) for i in range(n)]
 
 
-def _hand_down(batches):
+def _hand_down(levels: int):
     """Segments with their root's path to a path for each node of the run."""
-    for batch in batches:
-        for r in batch.to_pylist():
-            paths = [p + (r["path"] or b"") for p in _paths_of(r["nodes"], r["n_leaves"], r["last"])]
-            begin = r["block"] * BLOCK
-            yield pa.RecordBatch.from_pydict({"tree": [r["tree"]] * len(paths), "block": list(range(begin, begin + len(paths))), "path": paths})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                paths = [p + (r["path"] or b"") for p in _paths_of(r["nodes"], r["n_leaves"], _top(r["n_leaves"], r["last"], levels))]
+                begin = r["block"] * ARITY**levels
+                yield pa.RecordBatch.from_pydict({"tree": [r["tree"]] * len(paths), "block": list(range(begin, begin + len(paths))), "path": paths})
+
+    return run
 
 
 def block_paths(manifest: Manifest, above: DataFrame | None) -> DataFrame:
@@ -249,30 +258,33 @@ def block_paths(manifest: Manifest, above: DataFrame | None) -> DataFrame:
         ends = ends.join(above, "tree", "left") if above is not None else ends.withColumn("path", F.lit(b""))
         down = down.unionByName(ends.select("tree", "block", "path"))
         if s:
-            down = stored(log.join(down, ["tree", "block"], "left").mapInArrow(_hand_down, schema), "merkle-paths")
+            down = stored(log.join(down, ["tree", "block"], "left").mapInArrow(_hand_down(manifest.levels), schema), "merkle-paths")
     return down
 
 
-_PROVEN = "tree string, doc_id {id}, leaf string, proof_sha256 string, folded_root string, length int"
+_PROVEN = "tree string, doc_id {id}, leaf string, proof_sha256 string, folded_root string"
 
 
-def _prove(key: tuple, leaves: pa.Table, logs: pa.Table) -> pa.Table:
+def _prover(levels: int):
     """Paths and folded roots of the leaves of one run of stratum 0."""
-    leaves, log = leaves.sort_by("index"), logs.to_pylist()[0]
-    n, last = log["n_leaves"], log["last"]
-    top = height(n) if last else LEVELS
-    levels = [[("".join(a), "".join(b)) for a, b in (siblings(level, j) for j in range(len(level)))] for level in levels_of(log["nodes"], n, top)]
-    rest = unpack(log["path"] or b"")
-    tail = "".join(a + b for a, b in rest)
-    proofs, folded, names = [], [], [x.hex() for x in leaves.column("leaf").to_pylist()]
-    for i, (own, other) in enumerate(zip(names, leaves.column("other").to_pylist(), strict=True)):
-        path = [level[i // ARITY**m] for m, level in enumerate(levels)]
-        proofs.append(hashlib.sha256(("".join(a + b for a, b in path) + tail).encode()).hexdigest())
-        folded.append(fold(other.hex() if other is not None else own, path + rest))
-    return pa.table({"tree": leaves.column("tree"), "doc_id": leaves.column("doc_id"), "leaf": names, "proof_sha256": proofs, "folded_root": folded, "length": pa.array([top + len(rest)] * n, pa.int32())})
-
-
-def merkle_manifest(docs: DataFrame, tampered: Column | None = None, tampered_text: Column | None = None) -> tuple[DataFrame, Manifest, Manifest]:
+
+    def run(key: tuple, leaves: pa.Table, logs: pa.Table) -> pa.Table:
+        leaves, log = leaves.sort_by("index"), logs.to_pylist()[0]
+        n, top = log["n_leaves"], _top(log["n_leaves"], log["last"], levels)
+        steps = [[("".join(a), "".join(b)) for a, b in (siblings(level, j) for j in range(len(level)))] for level in levels_of(log["nodes"], n, top)]
+        rest = unpack(log["path"] or b"")
+        tail = "".join(a + b for a, b in rest)
+        proofs, folded, names = [], [], [x.hex() for x in leaves.column("leaf").to_pylist()]
+        for i, (own, other) in enumerate(zip(names, leaves.column("other").to_pylist(), strict=True)):
+            path = [step[i // ARITY**m] for m, step in enumerate(steps)]
+            proofs.append(hashlib.sha256(("".join(a + b for a, b in path) + tail).encode()).hexdigest())
+            folded.append(fold(other.hex() if other is not None else own, path + rest))
+        return pa.table({"tree": leaves.column("tree"), "doc_id": leaves.column("doc_id"), "leaf": names, "proof_sha256": proofs, "folded_root": folded})
+
+    return run
+
+
+def merkle_manifest(docs: DataFrame, tampered: Column | None = None, tampered_text: Column | None = None, levels: int = LEVELS) -> tuple[DataFrame, Manifest, Manifest]:
     """(rows, the sources' log, the log over them).  A row per document: doc_id, leaf, subroot, root, proof_sha256 (digest of
     the siblings from leaf to root), folded_root (from the leaf, where ``tampered`` is true that of ``tampered_text``, and
     the original siblings) and verified."""
@@ -281,18 +293,18 @@ def merkle_manifest(docs: DataFrame, tampered: Column | None = None, tampered_te
     leaves = stored(leaves_of(docs, F.lit(False) if tampered is None else F.coalesce(tampered, F.lit(False)), F.col("text") if tampered_text is None else tampered_text), "merkle-leaves")
     leaves = stored(numbered(leaves, ["doc_id", "leaf"], "merkle-order", 100 * leaves.count()), "merkle-numbered")
     counts = stored(leaves.groupBy("tree").agg(F.count("*").alias("n")), "merkle-trees")
-    low = build(leaves, counts, "merkle-log")
+    low = build(leaves, counts, "merkle-log", levels)
     subroots = stored(low.roots(), "merkle-subroots")
     # The sources' roots are the leaves of one more tree.
     trees = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("root").alias("leaf"))
     trees = stored(numbered(trees, ["name"], "merkle-sources", 100 * subroots.count()), "merkle-tops")
-    high = build(trees, stored(trees.groupBy("tree").agg(F.count("*").alias("n")), "merkle-tops-count"), "merkle-top-log")
+    high = build(trees, stored(trees.groupBy("tree").agg(F.count("*").alias("n")), "merkle-tops-count"), "merkle-top-log", levels)
     root = high.roots().select(F.lower(F.hex("root")).alias("root")).first()  # a row, or none
-    runs = high.log(0).join(block_paths(high, None), ["tree", "block"], "left").mapInArrow(_hand_down, "tree string, block bigint, path binary")
+    runs = high.log(0).join(block_paths(high, None), ["tree", "block"], "left").mapInArrow(_hand_down(levels), "tree string, block bigint, path binary")
     above = stored(trees.join(runs.select(F.col("block").alias("index"), "path"), "index").select(F.col("name").alias("tree"), "path"), "merkle-source-paths")
     logs = low.log(0).join(block_paths(low, above), ["tree", "block"], "left")
     schema = _PROVEN.format(id=leaves.schema["doc_id"].dataType.simpleString())
-    proven = leaves.withColumn("block", F.expr(f"index div {BLOCK}")).groupBy("tree", "block").cogroup(logs.groupBy("tree", "block")).applyInArrow(_prove, schema)
+    proven = leaves.withColumn("block", F.expr(f"index div {ARITY**levels}")).groupBy("tree", "block").cogroup(logs.groupBy("tree", "block")).applyInArrow(_prover(levels), schema)
     out = proven.join(subroots.select("tree", F.lower(F.hex("root")).alias("subroot")), "tree").withColumn("root", F.lit(root.root if root else None).cast("string"))
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")), low, high
 
@@ -301,12 +313,12 @@ def proof(manifest: Manifest, tree: str, index: int) -> list[tuple[str, str]]:
     """The siblings (left and right) of one leaf up to its tree's root: a run of the log is read for each stratum."""
     out = []
     for s in range(manifest.strata):
-        block, inside = divmod(index, BLOCK)
+        block, inside = divmod(index, ARITY**manifest.levels)
         rows = manifest.log(s).where((F.col("tree") == tree) & (F.col("block") == block)).collect()  # one run
         if not rows:
             raise KeyError(f"no leaf {index} in the tree {tree!r}")
         r = rows[0]
-        out += unpack(_paths_of(bytes(r.nodes), r.n_leaves, r.last)[inside])
+        out += unpack(_paths_of(bytes(r.nodes), r.n_leaves, _top(r.n_leaves, r.last, manifest.levels))[inside])
         if r.last:
             break
         index = block

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -42,6 +43,9 @@ SPACE = "▁"
 
 _NONE = np.iinfo(np.int32).max
 
+#: Stands for a space that was taken away; no character of UTF-8.
+_SEEN = "\ud800"
+
 codecs.register_error("each-byte", lambda e: ("�", e.start + 1))
 
 
@@ -356,20 +360,27 @@ class Codec:
             sym, bounds = out, begin[bounds]
         return sym.tolist(), bounds.tolist()
 
-    def raw_of(self, ids: list[int]) -> bytes:
-        """What pieces stand for, as bytes."""
-        return b"".join(map(self.model.raw.__getitem__, ids))
-
     def text_of(self, raw: bytes) -> str:
-        """Text of the bytes of all pieces of a text: the space that was put in front is taken away."""
+        """Text of the bytes of an encoded text's pieces: the space that was put in front is taken away."""
         text = raw.decode("utf-8", "each-byte")
         if self.model.dummy_prefix and text.startswith(SPACE):
             text = text[1:]
         return text.replace(SPACE, " ")
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids.  The space in front is taken away only where the first piece that is more than a control has it."""
-        return self.text_of(self.raw_of(ids))
+        """The text of any ids.  Bytes that follow each other are read together; of what isn't UTF-8 each byte becomes U+FFFD.
+        A space in front of the first piece that gives text is taken away."""
+        m, out = self.model, []
+        for is_byte, run in itertools.groupby(ids, lambda i: m.kinds[i] == 6):
+            if is_byte:
+                out.append(b"".join(map(m.raw.__getitem__, run)).decode("utf-8", "each-byte"))
+                continue
+            for i in run:
+                piece = m.raw[i].decode()
+                if m.dummy_prefix and not any(out) and piece.startswith(SPACE):
+                    piece = piece[1:] or None  # the space of a text that begins with one was seen, although nothing is left
+                out.append(piece.replace(SPACE, " ") if piece is not None else _SEEN)
+        return "".join(out).replace(_SEEN, "")
 
     def _words(self, text: str) -> list[str]:
         if not text:
