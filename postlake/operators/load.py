@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..functions import parse, text
 from ..sources.files import scratch
 from .contract import keep_last
 from .scd import scd2_dimension
+from .store import RANGED, Store, Version
 
 OPTIONAL = {"skills": "array<string>", "work_mode": "string", "employment_type": "string", "salary_period": "string"}
 
@@ -42,9 +45,12 @@ def upsert_location(dim: DataFrame, governorates: DataFrame, rows: DataFrame) ->
     return append_new(dim, new.withColumn("location_key", surrogate_key(F.col("location_city"), F.col("location_gov"))), ["location_city", "location_gov"]), govs
 
 
-def upsert_skill(dim: DataFrame, rows: DataFrame) -> DataFrame:
-    """Unseen skills without a category; case doesn't matter."""
-    new = rows.select(F.explode("skills").alias("skill_name")).groupBy(F.lower("skill_name").alias("_low")).agg(F.min("skill_name").alias("skill_name"))
+def upsert_skill(dim: DataFrame, rows: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Unseen skills without a category; case doesn't matter.  Of several spellings that come at once, the first along
+    ``order`` (and in the list) stays, else the least."""
+    named = rows.select(F.posexplode("skills").alias("_place", "skill_name"), *(order or []))
+    spelling = F.min_by("skill_name", F.struct(*order, "_place")) if order else F.min("skill_name")
+    new = named.groupBy(F.lower("skill_name").alias("_low")).agg(spelling.alias("skill_name"))
     known = dim.select(F.lower("skill_name").alias("_low"))
     return dim.unionByName(new.join(known, "_low", "left_anti").select("skill_name"), allowMissingColumns=True)
 
@@ -81,16 +87,45 @@ def replace_by_key(old: DataFrame, new: DataFrame, touched: DataFrame, keys: lis
 
 
 def dedupe_last_wins(rows: DataFrame) -> DataFrame:
-    return keep_last(rows.where(F.length("job_hash") > 0), ["job_hash"], ["_file", "_ordinal"])
+    """The last row of each posting in each file; rows without a hash are left out."""
+    return keep_last(rows.where(F.length("job_hash") > 0), ["job_hash", "_file"], ["_ordinal"])
 
 
-def skills_of(df: DataFrame, names: list[str]) -> Column:
-    """Skills of standardised rows: those listed in an array or between | signs, where an empty list is none; where the
-    column is missing, those of ``names`` that the title names."""
-    detected = text.detect_skills_in_title(F.col("title_clean"), names)
+def listed_skills(df: DataFrame) -> Column:
+    """Skills that standardised rows list, in an array or between | signs: an empty list is none; null where the column is
+    missing."""
     if df.schema["skills"].dataType.typeName() != "string":
-        return F.coalesce("skills", detected)
-    return F.when(F.col("skills").isNull(), detected).otherwise(text.split_skills(F.col("skills")))
+        return F.col("skills")
+    return F.when(F.col("skills").isNotNull(), text.split_skills(F.col("skills")))
+
+
+def _runs_of(n: int) -> Column:
+    """(_n, _gram) of all runs of n words of a title, or of -n characters if n is negative."""
+    count = F.size("_words") - n + 1 if n > 0 else F.length("_title") + n + 1
+    run = (lambda i: F.array_join(F.slice("_words", i, n), " ")) if n > 0 else (lambda i: F.substring(F.col("_title"), i, F.lit(-n)))
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.struct(F.lit(n).alias("_n"), run(i).alias("_gram")))
+    return F.when(count > 0, runs).otherwise(F.array().cast("array<struct<_n:int,_gram:string>>"))
+
+
+def detect_skills(titles: DataFrame, dim: DataFrame) -> DataFrame:
+    """(title, skills) of distinct titles that name a skill of the dimension, with no more of either than one join apart.
+
+    A name is found where it isn't within a longer run of a-z and 0-9, so its words are whole words of the title: titles'
+    runs of as many words as names have are joined with the names' words.  Names without such a word (of other scripts,
+    or signs) are found as runs of as many characters.  What joins is then looked for with its borders and signs."""
+    words = lambda c: F.regexp_extract_all(c, F.lit("[a-z0-9]+"), F.lit(0))
+    names = dim.select("skill_name", F.lower("skill_name").alias("_low")).where("_low <> ''").withColumn("_words", words(F.col("_low")))
+    names = names.withColumn("_n", F.when(F.size("_words") > 0, F.size("_words")).otherwise(-F.length("_low")))
+    names = names.withColumn("_gram", F.when(F.col("_n") > 0, F.array_join("_words", " ")).otherwise(F.col("_low")))
+    names = names.withColumn("_pattern", F.concat(F.lit("(?<![a-z0-9])"), F.regexp_replace("_low", r"([^a-z0-9 ])", r"\\$1"), F.lit("(?![a-z0-9])")))
+    sizes = [r[0] for r in names.select("_n").distinct().collect()]  # how many words (or characters) names have: as many numbers as the longest has
+    low = F.lower(F.coalesce("title", F.lit("")))
+    texts = titles.select("title").distinct().withColumn("_title", low).withColumn("_words", words(low))
+    if not sizes:
+        return texts.select("title", F.array().cast("array<string>").alias("skills")).limit(0)
+    grams = F.concat(*[_runs_of(n) for n in sizes])
+    found = texts.select("title", "_title", F.explode(F.array_distinct(grams)).alias("g")).select("title", "_title", "g.*").join(names.select("_n", "_gram", "skill_name", "_pattern"), ["_n", "_gram"])
+    return found.where(F.expr("_title RLIKE _pattern")).groupBy("title").agg(F.collect_set("skill_name").alias("skills"))
 
 
 def skill_links(skills: DataFrame, dim: DataFrame) -> DataFrame:
@@ -123,44 +158,114 @@ def _kept(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def load(gold: dict[str, DataFrame], silver: DataFrame, load_date: Column, loaded_at: Column, reload: bool = False) -> dict[str, DataFrame]:
-    """One load of standardised rows with _file and _ordinal (typed, or strings as CSV files have them); files in the load
-    log are skipped unless ``reload``."""
+def new_rows(silver: DataFrame, log: DataFrame, reload: bool) -> DataFrame:
+    """Rows of files that the log doesn't name, with the defaults of a load.  Rows without a hash stay, with a null one."""
     rows = require_columns(silver)
     if not reload:
-        rows = rows.join(gold["etl_load_log"].select(F.col("file_path").alias("_file")), "_file", "left_anti")
-    rows = rows.where(F.length("job_hash") > 0).withColumns({
-        "company_clean": parse.clean_str(F.col("company_clean"), "Unknown"), "company_raw": F.coalesce(parse.clean_str(F.col("company_raw")), parse.clean_str(F.col("company_clean"), "Unknown")),
+        rows = rows.join(log.select(F.col("file_path").alias("_file")), "_file", "left_anti")
+    company, title = parse.clean_str(F.col("company_clean"), "Unknown"), parse.clean_str(F.col("title_clean"))
+    return rows.withColumns({
+        "job_hash": parse.clean_str(F.col("job_hash")), "company_clean": company, "company_raw": F.coalesce(parse.clean_str(F.col("company_raw")), company),
         "location_city": parse.clean_str(F.col("location_city"), "Unknown"), "location_gov": parse.clean_str(F.col("location_gov"), "Egypt"),
-        "title_clean": F.coalesce(parse.clean_str(F.col("title_clean")), F.col("title_raw")),
+        "title_clean": F.coalesce(title, parse.clean_str(F.col("title_raw"))), "_listed": listed_skills(rows),
+        "_posted": parse.date_of(F.col("posted_at")), "_scraped": parse.date_of(F.col("scraped_at")), "_source": text.normalize_source(F.col("source")),
     })
-    company, versioned = scd2_dimension(rows, "company_clean", "company_raw", ["_file", "_ordinal"], load_date, gold["dim_company"])
-    last = dedupe_last_wins(versioned)
-    last = _kept(last.withColumn("skills", skills_of(last, [n for n, *_ in ref.SKILLS])).withColumn("job_key", surrogate_key(F.col("job_hash"))), "load-last-rows")
-    locations, governorates = upsert_location(gold["dim_location"], gold["ref_governorate"], last)
-    skills = upsert_skill(gold["dim_skill"], last)
-    posted, scraped = parse.date_of(F.col("posted_at")), parse.date_of(F.col("scraped_at"))
+
+
+@dataclass
+class Incoming:
+    """What the files of one load come to, whatever they meet: the dimensions after them, a row per posting (``facts``, with
+    the kept columns of the first file that has it and the others of the last), its skills, the rows of a posting and file
+    (``per_file``: job_hash, _file, _first), and rows per file."""
+
+    dims: dict[str, DataFrame]
+    facts: DataFrame
+    skills: DataFrame
+    per_file: DataFrame
+    in_file: DataFrame
+
+
+def fold_files(gold: dict[str, DataFrame], silver: DataFrame, load_date: Column, loaded_at: Column, reload: bool = False, files: DataFrame | None = None) -> Incoming:
+    """The ordered fold over the files of a load.
+
+    Files count in the order of their names, rows in that of the file.  All rows with a hash feed the dimensions.  Of a
+    posting's rows in one file the last counts.  ``files`` (_file) names files that may have no rows."""
+    rows = _kept(new_rows(silver, gold["etl_load_log"], reload), "load-rows")
+    in_file = rows.groupBy(F.col("_file").alias("file_path")).agg(F.count("*").alias("rows_in_file"))
+    if files is not None:
+        named = files.select(F.col("_file").alias("file_path")).distinct()
+        if not reload:
+            named = named.join(gold["etl_load_log"].select("file_path"), "file_path", "left_anti")
+        in_file = named.join(in_file, "file_path", "full_outer").na.fill(0, ["rows_in_file"])
+    usable = rows.where("job_hash is not null")
+    company, versioned = scd2_dimension(usable.select("company_clean", "company_raw", "_file", "_ordinal"), "company_clean", "company_raw", ["_file", "_ordinal"], load_date, gold["dim_company"])
+    locations, governorates = upsert_location(gold["dim_location"], gold["ref_governorate"], usable)
+    skills = upsert_skill(gold["dim_skill"], usable.select("_file", "_ordinal", F.col("_listed").alias("skills")), ["_file", "_ordinal"])
+    skills = _kept(skills, "load-skills")
+    dims = {
+        "ref_governorate": governorates, "dim_location": locations, "dim_company": company, "dim_skill": skills,
+        "dim_source": upsert_source(gold["dim_source"], usable), "dim_date": upsert_date(gold["dim_date"], usable.select("_posted", "_scraped")),
+    }
+    per_file = dedupe_last_wins(usable)
+    rest = [c for c in per_file.columns if c != "job_hash"]
+    last = per_file.groupBy("job_hash").agg(F.max_by(F.struct(*rest), "_file").alias("_row"), F.min_by("job_id", "_file").alias("_first_id"), F.min("_file").alias("_first"))
+    last = last.select("job_hash", "_first_id", "_first", "_row.*").join(versioned.select("company_clean", "_file", "_ordinal", "version"), ["company_clean", "_file", "_ordinal"])
+    last = _kept(last.withColumn("job_key", surrogate_key(F.col("job_hash"))), "load-last-rows")
+    named = detect_skills(last.where("_listed is null").select(F.col("title_clean").alias("title")), gold["dim_skill"])
+    listed = last.where("_listed is not null").select("job_key", F.col("_listed").alias("skills"))
+    listed = listed.unionByName(last.where("_listed is null").select("job_key", F.col("title_clean").alias("title")).join(named, "title").select("job_key", "skills"))
     fact = last.select(
-        "job_key", "job_hash", F.col("job_id").alias("source_job_id"), text.normalize_source(F.col("source")).alias("source_name"), "company_clean", F.col("version").alias("company_version"),
-        surrogate_key(F.col("location_city"), F.col("location_gov")).alias("location_key"), text.categorize(F.col("title_clean")).alias("category_name"), posted.alias("posted_date"), scraped.alias("scraped_date"),
+        "job_key", "job_hash", parse.clean_str(F.col("_first_id")).alias("source_job_id"), F.col("_source").alias("source_name"), "company_clean", F.col("version").alias("company_version"),
+        surrogate_key(F.col("location_city"), F.col("location_gov")).alias("location_key"), text.categorize(F.col("title_clean")).alias("category_name"), F.col("_posted").alias("posted_date"), F.col("_scraped").alias("scraped_date"),
         "title_raw", "title_clean", parse.to_num(F.col("salary_min")).cast("decimal(12,2)").alias("salary_min"), parse.to_num(F.col("salary_max")).cast("decimal(12,2)").alias("salary_max"),
         parse.clean_str(F.col("salary_currency")).alias("salary_currency"), parse.clean_str(F.col("salary_period")).alias("salary_period"),
         parse.to_int(F.col("experience_years_min")).cast("short").alias("experience_years_min"), parse.to_int(F.col("experience_years_max")).cast("short").alias("experience_years_max"), parse.to_bool(F.col("is_remote")).alias("is_remote"),
         parse.clean_str(F.col("work_mode")).alias("work_mode"), parse.clean_str(F.col("employment_type")).alias("employment_type"), "job_url", "run_id", loaded_at.alias("first_seen_at"), loaded_at.alias("last_loaded_at"),
     )
-    merged = _kept(upsert_fact(gold["fact_job_postings"], fact), "load-merged-rows")
-    links = skill_links(last, skills)
-    changes = merged.where("_change <> 'kept'").select("job_hash", "_change")
-    log = rows.groupBy(F.col("_file").alias("file_path")).agg(F.count("*").alias("rows_in_file"))
-    per_file = last.select(F.col("_file").alias("file_path"), "job_hash").join(changes, "job_hash").groupBy("file_path").agg(F.count_if(F.col("_change") == "inserted").alias("rows_inserted"), F.count_if(F.col("_change") == "updated").alias("rows_updated"))
-    log = log.join(per_file, "file_path", "left").na.fill(0, ["rows_inserted", "rows_updated"]).withColumn("loaded_at", loaded_at)
+    firsts = usable.groupBy("job_hash").agg(F.min("_file").alias("_first"))
+    per_file = usable.select("job_hash", "_file").distinct().join(firsts, "job_hash").withColumn("_first", F.col("_first") == F.col("_file"))
+    return Incoming(dims, fact, listed, per_file, in_file)
+
+
+def log_rows(incoming: Incoming, changes: DataFrame, loaded_at: Column) -> DataFrame:
+    """A row per file, also of files without a usable row.  ``changes`` has job_hash and _change: a new posting is inserted by
+    the first of its files and updated by the others."""
+    inserts = (F.col("_change") == "inserted") & F.col("_first")
+    counts = incoming.per_file.join(changes, "job_hash").groupBy(F.col("_file").alias("file_path")).agg(F.count_if(inserts).alias("rows_inserted"), F.count_if(~inserts).alias("rows_updated"))
+    return incoming.in_file.join(counts, "file_path", "left").na.fill(0, ["rows_inserted", "rows_updated"]).withColumn("loaded_at", loaded_at)
+
+
+def _met(incoming: Incoming, fact: DataFrame, bridge: DataFrame, log: DataFrame, loaded_at: Column) -> dict[str, DataFrame]:
+    """Facts, links and log after a load, of the old rows that are given."""
+    merged = _kept(upsert_fact(fact, incoming.facts), "load-merged-rows")
+    links = skill_links(incoming.skills, incoming.dims["dim_skill"])
+    new_log = log_rows(incoming, merged.where("_change <> 'kept'").select("job_hash", "_change"), loaded_at)
     return {
-        **gold, "ref_governorate": governorates, "dim_source": upsert_source(gold["dim_source"], last), "dim_location": locations, "dim_company": company, "dim_skill": skills,
-        "dim_date": upsert_date(gold["dim_date"], last.select(posted.alias("a"), scraped.alias("b"))), "fact_job_postings": merged.drop("_change"),
-        "bridge_job_skill": replace_by_key(gold["bridge_job_skill"], links, last, ["job_key"]), "etl_load_log": replace_by_key(gold["etl_load_log"], log, log, ["file_path"]),
+        "fact_job_postings": merged.drop("_change"), "bridge_job_skill": replace_by_key(bridge, links, incoming.facts, ["job_key"]), "etl_load_log": replace_by_key(log, new_log, new_log, ["file_path"]),
     }
 
 
+def load(gold: dict[str, DataFrame], silver: DataFrame, load_date: Column, loaded_at: Column, reload: bool = False, files: DataFrame | None = None) -> dict[str, DataFrame]:
+    """One load of standardised rows with _file and _ordinal (typed, or strings as CSV files have them); files in the load
+    log are skipped unless ``reload``.  A load of several files gives what loads of one file after the other give."""
+    incoming = fold_files(gold, silver, load_date, loaded_at, reload, files)
+    return {**gold, **incoming.dims, **_met(incoming, gold["fact_job_postings"], gold["bridge_job_skill"], gold["etl_load_log"], loaded_at)}
+
+
+def load_into(store: Store, silver: DataFrame, load_date: Column, loaded_at: Column, reload: bool = False, files: DataFrame | None = None) -> Version:
+    """The same as a commit to a store, which is begun with the seeds if it is empty.  Only ranges of facts and links that
+    have a posting of the load are read and written; everything is committed at once or not at all."""
+    base = store.version()
+    if not base.number:
+        base = store.commit(base, empty_gold(store.spark))
+    gold = store.tables(base)
+    incoming = fold_files(gold, silver, load_date, loaded_at, reload, files)
+    ranges = {t: store.touched(base, t, incoming.facts) for t in RANGED}
+    old = {t: store.table(base, t, ranges[t]) for t in RANGED}
+    after = _met(incoming, old["fact_job_postings"], old["bridge_job_skill"], gold["etl_load_log"], loaded_at)
+    return store.commit(base, {**incoming.dims, **after}, ranges)
+
+
 def save(gold: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Writes the tables as one version (a folder that isn't there yet) and reads them back, so that a load starts from
     files and not from the plans of earlier loads."""

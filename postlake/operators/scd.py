@@ -5,14 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import scratch
 
-def _numbered(rows: DataFrame, key: str, tracked: str, order: list[str], part: Column, base: Column) -> DataFrame:
+
+def in_blocks(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Rows with ``_part``: blocks of about equal numbers of rows, which never fall along key and order, so that a frequent
+    key has many.  The blocks are ranges that Spark samples; they are written, as a second sample may differ."""
+    placed = rows.repartitionByRange(key, *order).withColumn("_part", F.spark_partition_id())
+    placed.write.parquet(path := scratch(rows.sparkSession, "version-blocks"))
+    return rows.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+def _numbered(rows: DataFrame, key: str, tracked: str, order: list[str], part: Column | None, base: Column) -> DataFrame:
     """Rows with ``version`` (from the key's base on), ``_changed`` (1 where a version opens) and ``_last`` (the key's last
-    version).  ``part`` never falls along ``order``: windows run over the rows of a key and a part, and then over one row
-    per key and part, so that the rows of a frequent key are not one task's."""
+    version).
+
+    A segmented scan: the rows of a key and a part are summed up as (first value, last value, changes between), these are
+    scanned in the order of the parts, and each part begins with what those before it come to.  ``part`` never falls
+    along ``order``; without it rows are dealt into blocks, so that no task has more than a block, whatever a key's share."""
+    marked = in_blocks(rows, key, order) if part is None else rows.withColumn("_part", part)
     inside = Window.partitionBy(key, "_part").orderBy(*order)
     changed = (F.row_number().over(inside) > 1) & ~F.col(tracked).eqNullSafe(F.lag(tracked).over(inside))
-    marked = rows.withColumn("_part", part).withColumn("_inner", changed.cast("int")).withColumn("_begins", F.row_number().over(inside) == 1)
+    marked = marked.withColumn("_inner", changed.cast("int")).withColumn("_begins", F.row_number().over(inside) == 1)
     at = F.struct(*order)
     parts = marked.groupBy(key, "_part").agg(
         F.min_by(tracked, at).alias("_first"), F.max_by(tracked, at).alias("_end"), F.sum("_inner").alias("_within"), F.max(base).alias("_base"),
@@ -29,8 +43,8 @@ def _numbered(rows: DataFrame, key: str, tracked: str, order: list[str], part: C
 
 def versions(rows: DataFrame, key: str, tracked: str, order: list[str], part: Column | None = None) -> DataFrame:
     """Rows with ``version``, counted from 1 per key: a row whose tracked value differs from the one before opens the next.
-    ``part`` (else the first column of ``order``) must not fall along ``order``, such as the day of a time."""
-    return _numbered(rows, key, tracked, order, F.col(order[0]) if part is None else part, F.lit(0)).drop("_changed", "_last")
+    ``part`` (else blocks of rows) must not fall along ``order``, such as the day of a time."""
+    return _numbered(rows, key, tracked, order, part, F.lit(0)).drop("_changed", "_last")
 
 
 def scd2_dimension(
@@ -38,13 +52,12 @@ def scd2_dimension(
 ) -> tuple[DataFrame, DataFrame]:
     """(dimension, rows with their version).  ``current`` has key, tracked, valid_from, valid_to, is_current, version of earlier
     loads.  Versions that this load closes and opens get ``load_date``.  ``part`` is as in ``versions``."""
-    part = F.col(order[0]) if part is None else part
-    incoming = rows.select(key, tracked, F.struct(*order).alias("_at"), part.alias("_of"), F.lit(1).alias("_new"), F.lit(0).alias("_base"), F.lit(None).cast("date").alias("_from"))
+    incoming = rows.select(key, tracked, F.struct(*order).alias("_at"), (F.lit(0) if part is None else part).alias("_of"), F.lit(1).alias("_new"), F.lit(0).alias("_base"), F.lit(None).cast("date").alias("_from"))
     if current is not None:
         none = lambda c: F.lit(None).cast(incoming.schema[c].dataType).alias(c)
         last = current.where("is_current").select(key, tracked, none("_at"), none("_of"), F.lit(0).alias("_new"), F.col("version").alias("_base"), F.col("valid_from").alias("_from"))
         incoming = incoming.unionByName(last)
-    marked = _numbered(incoming, key, tracked, ["_new", "_at"], F.struct("_new", "_of"), F.col("_base"))
+    marked = _numbered(incoming, key, tracked, ["_new", "_at"], None if part is None else F.struct("_new", "_of"), F.col("_base"))
     ends = F.col("version") < F.col("_last")
     dim = marked.where("_changed = 1").select(
         key, tracked, F.coalesce("_from", load_date).alias("valid_from"), F.when(ends, load_date).alias("valid_to"), (~ends).alias("is_current"), "version",

@@ -51,6 +51,12 @@ def scan_silver_csv(spark: SparkSession, root: str, needed: tuple[str, ...] = ()
     return df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_ordinal", F.monotonically_increasing_id()).na.fill("", names)
 
 
+def file_names(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
+    """_file of all files under a folder, also of those without rows; contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    return files.select(F.col("path").alias("_file"))
+
+
 def new_files_only(rows: DataFrame, log: DataFrame, reload: bool = False) -> DataFrame:
     """Rows of files that the log doesn't name."""
     return rows if reload else rows.join(log.select(F.col("file_path").alias("_file")).distinct(), "_file", "left_anti")
