@@ -3,6 +3,8 @@ staging and intermediate models, and the load of standardised rows."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from . import reference as ref
 from .catalog import M, MART_SQL, POSTINGS, _clean_sql, _noise_sql, _rules_sql, _skill_sql, _table, _VERSIONS, job_skills, plain, postings, query, star_schema
 from .functions import sql, text
 from .operators import clean, contract, load, quality, scd
+from .operators.store import Store
 from .plans import marts, models, serving
 from .sources import files, pages
 from .streaming import incremental
@@ -526,20 +529,32 @@ def _silver(s: SparkSession, d: str) -> DataFrame:
     return _table(s, d, "orders").select(*[c.alias(n) for n, c in made.items()], F.concat(F.lit("f"), (k % 4).cast("string")).alias("_file"), k.alias("_ordinal"))
 
 
-_SILVER = f"""s0 AS (SELECT *, {_texts(*_TITLES_OF)}[o_orderkey % 4 + 1] AS title, 'C' || CAST(o_custkey % 40 AS VARCHAR) AS company, 'T' || CAST(o_orderkey % 5 AS VARCHAR) AS city, o_orderkey % 4 AS f FROM orders WHERE o_orderkey % 50 <> 0),
-    s1 AS (SELECT *, md5(lower(title) || '|' || lower(company) || '|' || lower(city)) AS job_hash, CASE WHEN o_orderkey % 11 = 0 THEN company WHEN o_totalprice > 300000 THEN upper(company || ' inc') ELSE company END AS raw FROM s0),
-    runs AS (SELECT CASE WHEN f < 2 THEN 1 ELSE 2 END AS run, * FROM s1 UNION ALL SELECT 3, * FROM s1),
-    changes AS (SELECT *, CASE WHEN lag(raw) OVER w IS DISTINCT FROM raw THEN 1 ELSE 0 END AS opens FROM runs WINDOW w AS (PARTITION BY company ORDER BY run, f, o_orderkey)),
-    versioned AS (SELECT *, sum(opens) OVER (PARTITION BY company ORDER BY run, f, o_orderkey) AS version FROM changes),
-    firsts AS (SELECT job_hash, CAST(o_orderkey AS VARCHAR) AS source_job_id FROM (SELECT *, min(run) OVER (PARTITION BY job_hash) AS r1 FROM runs) WHERE run = r1 QUALIFY row_number() OVER (PARTITION BY job_hash ORDER BY f DESC, o_orderkey DESC) = 1),
-    last AS (SELECT * FROM versioned WHERE run = 3 QUALIFY row_number() OVER (PARTITION BY job_hash ORDER BY f DESC, o_orderkey DESC) = 1)"""
+def _silver_sql(steps: str) -> str:
+    """The load file by file: ``steps`` numbers the files' loads (step, f), in the order in which they happen."""
+    return f"""s0 AS (SELECT *, {_texts(*_TITLES_OF)}[o_orderkey % 4 + 1] AS title, 'C' || CAST(o_custkey % 40 AS VARCHAR) AS company, 'T' || CAST(o_orderkey % 5 AS VARCHAR) AS city, o_orderkey % 4 AS f FROM orders),
+    s1 AS (SELECT *, md5(lower(title) || '|' || lower(company) || '|' || lower(city)) AS job_hash, CASE WHEN o_orderkey % 11 = 0 THEN company WHEN o_totalprice > 300000 THEN upper(company || ' inc') ELSE company END AS raw,
+        CASE o_orderkey % 3 WHEN 0 THEN [] WHEN 1 THEN ['Python', 'SQL', 'Rust'] ELSE ['rust', 'Excel'] END AS named, CASE WHEN o_orderkey % 2 = 0 THEN 'Cairo' ELSE 'Atlantis' END AS gov FROM s0 WHERE o_orderkey % 50 <> 0),
+    steps AS ({steps}),
+    runs AS (SELECT step, s1.* FROM s1 JOIN steps USING (f)),
+    changes AS (SELECT *, CASE WHEN lag(raw) OVER w IS DISTINCT FROM raw THEN 1 ELSE 0 END AS opens FROM runs WINDOW w AS (PARTITION BY company ORDER BY step, o_orderkey)),
+    versioned AS (SELECT *, sum(opens) OVER (PARTITION BY company ORDER BY step, o_orderkey) AS version FROM changes),
+    in_step AS (SELECT *, row_number() OVER (PARTITION BY job_hash ORDER BY step) AS nth FROM (SELECT * FROM versioned QUALIFY row_number() OVER (PARTITION BY job_hash, step ORDER BY o_orderkey DESC) = 1)),
+    firsts AS (SELECT job_hash, CAST(o_orderkey AS VARCHAR) AS source_job_id, step AS first_step FROM in_step WHERE nth = 1),
+    last AS (SELECT * FROM in_step QUALIFY step = max(step) OVER (PARTITION BY job_hash)),
+    spelling AS (SELECT lower(x) AS low, arg_min(x, (step, o_orderkey)) AS name FROM (SELECT step, o_orderkey, unnest(named) AS x FROM runs) GROUP BY 1)"""
+
 
+_EACH = "SELECT step, f FROM (SELECT f, unnest([f + 1, f + 5]) AS step FROM (SELECT unnest([0, 1, 2, 3]) AS f))"
+_ONCE = "SELECT f + 1 AS step, f FROM (SELECT unnest([0, 1, 2, 3]) AS f)"
+_SEED_SKILLS = "(VALUES " + ", ".join(f"('{n}')" for n, *_ in ref.SKILLS) + ") seeds(skill_name)"
 
-@query(f"""WITH {_SILVER} SELECT job_hash, source_job_id, title AS title_clean, company AS company_clean, CAST(version AS INT) AS company_version, raw AS company_raw, city, CASE WHEN o_orderkey % 2 = 0 THEN 'Cairo' ELSE 'Atlantis' END AS governorate,
+
+@query(f"""WITH {_silver_sql(_EACH)} SELECT job_hash, source_job_id, title AS title_clean, company AS company_clean, CAST(version AS INT) AS company_version, raw AS company_raw, city, gov AS governorate,
     CASE WHEN o_orderkey % 2 = 0 THEN 'Greater Cairo' ELSE 'Unknown' END AS region, ['Data Engineering', 'QA & Testing', 'Other', 'Other'][o_orderkey % 4 + 1] AS category_name, 'src' AS source_name, CAST(CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 1000 END AS DECIMAL(12,2)) AS salary_min,
-    CAST(3 AS SMALLINT) AS experience_years_min, o_orderkey % 2 = 0 AS is_remote, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS posted_date, CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'Python|Rust|SQL' ELSE 'Excel|Rust' END AS skills FROM last JOIN firsts USING (job_hash)""")
+    CAST(3 AS SMALLINT) AS experience_years_min, o_orderkey % 2 = 0 AS is_remote, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS posted_date,
+    array_to_string(list_sort(list_transform(named, lambda x: CASE WHEN lower(x) = 'rust' THEN rust ELSE x END)), '|') AS skills FROM last JOIN firsts USING (job_hash), (SELECT name AS rust FROM spelling WHERE low = 'rust')""")
 def load_job(s, d):
-    """Two loads of files, the second with new ones only, and a reload of all: facts with their dimensions and skills."""
+    """Two loads of two files each, the second given all four, and a reload of all: facts with their dimensions and skills."""
     gold = loaded(s, d)
     fact = models.stg_job_postings(gold["fact_job_postings"])
     skills = models.stg_skill(gold["dim_skill"]).join(gold["bridge_job_skill"], "skill_name").groupBy("job_key").agg(F.array_join(F.array_sort(F.collect_list("skill_name")), "|").alias("skills"))
@@ -550,18 +565,62 @@ def load_job(s, d):
     )
 
 
+def _files_of(s: SparkSession) -> DataFrame:
+    """The files of a load; the last has no rows."""
+    return s.createDataFrame([(f"f{k}",) for k in range(5)], "_file string")
+
+
 def loaded(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Three loads, each committed to a store."""
     silver = _silver(s, d)
     silver.write.parquet(path := files.scratch(s, "silver"))
     silver = s.read.schema(silver.schema).parquet(path)
-    gold = load.empty_gold(s)
+    gold = Store(s, files.scratch(s, "gold"), bits=3)
     for run, (part, reload) in enumerate(((silver.where("_file < 'f2'"), False), (silver, False), (silver, True))):
         at = F.lit(f"2024-03-0{run + 1} 00:00:00").cast("timestamp")
-        gold = load.save(load.load(gold, part, at.cast("date"), at, reload), f"{files.scratch(s, 'gold')}/v={run}")
-    return gold
+        load.load_into(gold, part, at.cast("date"), at, reload, _files_of(s).where("_file < 'f2'") if run == 0 else _files_of(s))
+    return gold.tables()
 
 
-@query(f"""WITH {_SILVER}, n AS (SELECT f, count(*) AS n FROM s1 GROUP BY f), r AS (SELECT f, count(*) AS u FROM last GROUP BY f) SELECT 'f' || CAST(f AS VARCHAR) AS file_path, n AS rows_in_file, CAST(0 AS BIGINT) AS rows_inserted, coalesce(u, 0) AS rows_updated FROM n LEFT JOIN r USING (f)""")
+@query(f"""WITH {_silver_sql(_EACH)}, n AS (SELECT f, count(*) AS n FROM s0 GROUP BY f), u AS (SELECT f, count(*) AS u FROM in_step WHERE step > 4 GROUP BY f)
+    SELECT 'f' || CAST(f AS VARCHAR) AS file_path, n AS rows_in_file, CAST(0 AS BIGINT) AS rows_inserted, coalesce(u, 0) AS rows_updated FROM n LEFT JOIN u USING (f) UNION ALL SELECT 'f4', 0, 0, 0""")
 def load_log(s, d):
-    """The log after the reload: every file's last load inserted nothing."""
+    """The log after the reload: every file's last load inserted nothing; rows without a hash count, and a file without rows has
+    a line."""
     return loaded(s, d)["etl_load_log"].select("file_path", "rows_in_file", "rows_inserted", "rows_updated")
+
+
+@query(f"""WITH {_silver_sql(_ONCE)}, n AS (SELECT f, count(*) AS n FROM s0 GROUP BY f), u AS (SELECT f, count(*) FILTER (nth = 1) AS i, count(*) FILTER (nth > 1) AS u FROM in_step GROUP BY f),
+    days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS x FROM s1 UNION SELECT DATE '2024-01-02')
+    SELECT 'fact' AS part, job_hash AS name, source_job_id || '/' || CAST(o_orderkey AS VARCHAR) || '/' || CAST(version AS VARCHAR) AS detail FROM (SELECT * FROM last JOIN firsts USING (job_hash))
+    UNION ALL SELECT DISTINCT 'location', city || '/' || gov, '' FROM s1 UNION ALL SELECT 'date', CAST(x AS VARCHAR), CAST(year(x) * 10000 + month(x) * 100 + day(x) AS VARCHAR) FROM days
+    UNION ALL SELECT 'company', company, CAST(version AS VARCHAR) || '/' || any_value(raw) FROM versioned GROUP BY company, version
+    UNION ALL SELECT 'skill', skill_name, '' FROM {_SEED_SKILLS} UNION ALL SELECT 'skill', name, '' FROM spelling WHERE low NOT IN (SELECT lower(skill_name) FROM {_SEED_SKILLS})
+    UNION ALL SELECT 'log', 'f' || CAST(f AS VARCHAR), CAST(n AS VARCHAR) || '/' || CAST(coalesce(i, 0) AS VARCHAR) || '/' || CAST(coalesce(u, 0) AS VARCHAR) FROM n LEFT JOIN u USING (f) UNION ALL SELECT 'log', 'f4', '0/0/0'""")
+def load_batch_equals_single_loads(s, d):
+    """One load of five files, against SQL that loads them one by one: facts (first id, last run id and company version),
+    dimensions of all rows, and the log."""
+    at = F.lit("2024-03-01 00:00:00").cast("timestamp")
+    silver = _silver(s, d).withColumn("run_id", F.col("job_id"))
+    gold = load.load(load.empty_gold(s), silver, at.cast("date"), at, files=_files_of(s))
+    part = lambda name, df, key, detail: df.select(F.lit(name).alias("part"), key.alias("name"), detail.alias("detail"))
+    slashed = lambda *c: F.concat_ws("/", *[F.col(x).cast("string") for x in c])
+    parts = [
+        part("fact", gold["fact_job_postings"], F.col("job_hash"), slashed("source_job_id", "run_id", "company_version")), part("location", gold["dim_location"], slashed("location_city", "location_gov"), F.lit("")),
+        part("date", gold["dim_date"], F.col("full_date").cast("string"), F.col("date_key").cast("string")), part("company", gold["dim_company"], F.col("company_clean"), slashed("version", "company_raw")),
+        part("skill", gold["dim_skill"], F.col("skill_name"), F.lit("")), part("log", gold["etl_load_log"], F.col("file_path"), slashed("rows_in_file", "rows_inserted", "rows_updated")),
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query(r"""WITH names AS (SELECT DISTINCT lower(p_type) AS name FROM part UNION SELECT DISTINCT lower(p_name) FROM part UNION SELECT DISTINCT lower(split_part(p_name, ' ', 1)) FROM part UNION SELECT 'c++' UNION SELECT 'مهندس'),
+    titles AS (SELECT c_custkey, lower(c_name || ' ' || title) AS title FROM (SELECT p_partkey AS c_custkey, p_name AS c_name, p_type || CASE p_partkey % 4 WHEN 0 THEN '/C++' WHEN 1 THEN '2' WHEN 2 THEN ' مهندسون' ELSE '' END AS title FROM part))
+    SELECT c_custkey AS p_partkey, name AS skill FROM titles JOIN names ON regexp_matches(title, '(^|[^a-z0-9])' || regexp_replace(name, '([!-/:-@\[-`{-~])', '\\\1', 'g') || '($|[^a-z0-9])')""")
+def detect_dimension_skills(s, d):
+    """Names of a dimension (of several words, with signs, of another script) in titles, by a join."""
+    part = _table(s, d, "part")
+    names = part.select(F.col("p_type").alias("skill_name")).union(part.select("p_name")).union(part.select(F.split_part("p_name", F.lit(" "), F.lit(1)))).union(s.createDataFrame([("C++",), ("مهندس",)], "skill_name string"))
+    names = names.select(F.lower("skill_name").alias("skill_name")).distinct()
+    end = F.when(F.col("p_partkey") % 4 == 0, "/C++").when(F.col("p_partkey") % 4 == 1, "2").when(F.col("p_partkey") % 4 == 2, " مهندسون").otherwise("")
+    titles = part.select("p_partkey", F.concat("p_name", F.lit(" "), "p_type", end).alias("title"))
+    return titles.join(load.detect_skills(titles, names), "title").select("p_partkey", F.explode("skills").alias("skill"))

@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,22 +105,30 @@ class Store:
         """The next version: ``changes`` replace their tables or, of tables named in ``ranges``, those ranges (which then
         hold the given rows alone).  Raises if another run has committed since ``base``."""
         commit, new = uuid.uuid4().hex, Version(base.number + 1, dict(base.schemas), dict(base.whole), dict(base.bits), {t: dict(p) for t, p in base.ranges.items()})
+        folder = lambda name: f"{self.root}/tables/{name}/commit={commit}"
+
+        def write(name: str) -> None:
+            df = changes[name]
+            if name not in RANGED:
+                df.write.parquet(folder(name))
+                return
+            placed = df.withColumn("_range", range_of(F.col(RANGED[name]), new.bits[name]))
+            placed.repartition("_range").sortWithinPartitions("_range", RANGED[name]).write.partitionBy("_range").parquet(folder(name))
+
         for name, df in changes.items():
-            folder = f"{self.root}/tables/{name}/commit={commit}"
             new.schemas[name] = base.schemas.get(name) or df.schema.json()
-            if name not in RANGED:
-                df.write.parquet(folder)
+            if name in RANGED:
+                new.bits.setdefault(name, self.first_bits)
+            else:
                 new.whole[name] = commit
-                continue
-            bits = new.bits.setdefault(name, self.first_bits)
-            placed = df.withColumn("_range", range_of(F.col(RANGED[name]), bits))
-            placed.repartition("_range").sortWithinPartitions("_range", RANGED[name]).write.partitionBy("_range").parquet(folder)
-            written = {int(n.removeprefix("_range=")) for n in self._names(folder) if n.startswith("_range=")}
-            replaced = set(ranges[name]) if ranges and name in ranges else set(new.ranges.get(name, {}))
-            if ranges and name in ranges and written - replaced:
+        with ThreadPoolExecutor(4) as pool:  # tables are written side by side: most are small
+            list(pool.map(inheritable_thread_target(self.spark)(write), changes))
+        for name in RANGED.keys() & changes.keys():
+            written = {int(n.removeprefix("_range=")) for n in self._names(folder(name)) if n.startswith("_range=")}
+            replaced = set(ranges[name]) if ranges and name in ranges else set(new.ranges.get(name, {})) | written
+            if written - replaced:
                 raise ValueError(f"{name}: rows outside of the ranges to be replaced")
-            kept = {r: c for r, c in new.ranges.get(name, {}).items() if r not in replaced}
-            new.ranges[name] = {**kept, **{r: commit for r in written}}
+            new.ranges[name] = {**{r: c for r, c in new.ranges.get(name, {}).items() if r not in replaced}, **{r: commit for r in written}}
         self._publish(new)
         return new
 
@@ -131,7 +141,7 @@ class Store:
         stream.close()
         context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self._conf) if final.toUri().getScheme() else self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._conf)
         none = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.NONE
-        options = self.spark._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = none
         try:
             context.rename(partial, final, options)
