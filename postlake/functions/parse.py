@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import reference as ref
-from .text import first_match, strip
+from .text import bound, first_match, strip
 
 
 def western_digits(c: Column) -> Column:
@@ -77,8 +77,7 @@ def to_bool(c: Column) -> Column:
 
 
 def clean_str(c: Column, default: str | None = None) -> Column:
-    s = strip(c.cast("string"))
-    return F.when(F.coalesce(F.lower(s), F.lit("")).isin("", "nan"), F.lit(default)).otherwise(s)
+    return bound(strip(c.cast("string")), lambda s: F.when(F.coalesce(F.lower(s), F.lit("")).isin("", "nan"), F.lit(default)).otherwise(s))
 
 
 def date_of(c: Column) -> Column:

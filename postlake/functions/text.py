@@ -17,6 +17,11 @@ from .. import reference as ref
 SPACE = r"[\s\p{Z}]"
 
 
+def bound(c: Column, f) -> Column:
+    """f of the column's value, which is made once however often f uses it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
@@ -24,8 +29,7 @@ def strip(c: Column) -> Column:
 
 def blank_to(c: Column, value: str) -> Column:
     """Stripped; null and blank become the value."""
-    s = strip(c)
-    return F.when(F.coalesce(s, F.lit("")) == "", F.lit(value)).otherwise(s)
+    return bound(strip(c), lambda s: F.when(F.coalesce(s, F.lit("")) == "", F.lit(value)).otherwise(s))
 
 
 class _Text(HTMLParser):
@@ -51,10 +55,26 @@ def _strip_html(html: pd.Series) -> pd.Series:
     return html.map(_html_text)
 
 
+#: A tag without quotes or references, of an element whose content is read as markup.
+_PLAIN_TAG = r"(?i)</?(?!(?:script|style|title|textarea|xmp|iframe|noembed|noframes|noscript|plaintext)[\s/>])[a-z][a-z0-9]*(?:[\s/][^<>&\"']*)?>"
+
+#: References that are decoded without a parser, & last as it may stand before the others' names.
+_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
+
+
 def strip_html(c: Column) -> Column:
-    """Text of a fragment with both < and >, other strings as they are.  Only fragments are parsed."""
-    fragment = c.contains("<") & c.contains(">")
-    return F.when(fragment, _strip_html(F.when(fragment, c))).otherwise(c)
+    """Text of a fragment with both < and >, other strings as they are.  Fragments that have only plain tags and the most
+    common references are handled in place; others are parsed."""
+
+    def in_place(x: Column) -> Column:
+        def decoded(bare: Column) -> Column:
+            out = functools.reduce(lambda t, r: F.replace(t, F.lit(r[0]), F.lit(r[1])), _REFERENCES, bare)
+            return F.when(~F.regexp_replace(bare, "&(?:lt|gt|quot|amp);", "").rlike("[<>&]"), out)
+
+        return F.when(x.contains("<") & x.contains(">"), bound(F.regexp_replace(x, _PLAIN_TAG, ""), decoded)).otherwise(x)
+
+    easy = bound(c, in_place)
+    return F.coalesce(easy, _strip_html(F.when(easy.isNull(), c)))
 
 
 def clean_text(c: Column, html: bool = True) -> Column:
@@ -66,10 +86,15 @@ def clean_text(c: Column, html: bool = True) -> Column:
 
 def strip_title_noise(c: Column, html: bool = True) -> Column:
     """Without what brackets enclose (first to last) and without advertising words, then cleaned."""
-    t = F.regexp_replace(F.regexp_replace(c, r"\([^\n]*\)", ""), r"\[[^\n]*\]", "")
-    for word in ref.TITLE_NOISE:
-        t = F.regexp_replace(t, f"(?i){word}", "")
-    return clean_text(t, html)
+
+    def noise(x: Column) -> Column:
+        # One after the other: what is left of a removed word may be another.
+        without = functools.reduce(lambda t, word: F.regexp_replace(t, f"(?i){word}", ""), ref.TITLE_NOISE, x)
+        return F.when(x.rlike("(?i)" + "|".join(ref.TITLE_NOISE)), without).otherwise(x)
+
+    t = bound(c, lambda x: F.when(x.contains("("), F.regexp_replace(x, r"\([^\n]*\)", "")).otherwise(x))
+    t = bound(t, lambda x: F.when(x.contains("["), F.regexp_replace(x, r"\[[^\n]*\]", "")).otherwise(x))
+    return clean_text(bound(t, noise), html)
 
 
 def company_clean(c: Column, html: bool = True) -> Column:
@@ -80,11 +105,6 @@ def job_hash(title: Column, company: Column, city: Column) -> Column:
     return F.md5(F.concat_ws("|", *[F.lower(strip(F.coalesce(c, F.lit("")))) for c in (title, company, city)]))
 
 
-def bound(c: Column, f) -> Column:
-    """f of the column's value, which is made once however often f uses it."""
-    return F.get(F.transform(F.array(c), f), F.lit(0))
-
-
 def first_match(c: Column, rules, default: Column) -> Column:
     """The name of the first rule of which a word occurs in the string."""
 
@@ -102,17 +122,42 @@ def joined_lower(*texts: Column) -> Column:
     return F.lower(F.concat_ws(" ", *[F.when(F.coalesce(strip(t), F.lit("")) != "", t) for t in texts]))
 
 
-def normalize_location(c: Column) -> Column:
-    """struct(city, governorate)."""
-    pair = lambda city, gov: F.struct(F.lit(city).alias("city"), F.lit(gov).alias("governorate"))
+def automaton(words: list[str]) -> str:
+    """One pattern for many words, as a tree of their characters: the longest that begins at a place."""
+    tree: dict = {}
+    for w in words:
+        node = tree
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
 
-    def choose(low: Column) -> Column:
-        out = F
-        for word, city, gov in ref.LOCATIONS:
-            out = out.when(low.contains(word), pair(city, gov))
-        return out.otherwise(pair("Unknown", "Egypt"))
+    def pattern(node: dict) -> str:
+        branches = [(re.escape(ch) if not ch.isalnum() else ch) + pattern(child) for ch, child in node.items() if ch]
+        if not branches:
+            return ""
+        one = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+        return f"(?:{one})?" if "" in node else one
+
+    return pattern(tree)
 
-    return bound(F.lower(c), choose)
+
+def hits(x: Column, words: list[str]) -> Column:
+    """The longest of the words at each place of a string where one begins.  One pass, whatever the number of words."""
+    return F.regexp_extract_all(x, F.lit(f"(?=({automaton(words)}))"), F.lit(1))
+
+
+def _literal_map(of: dict[str, object]) -> Column:
+    return F.create_map(*[F.lit(v) if not isinstance(v, list) else F.array(*map(F.lit, v)) for pair in of.items() for v in pair])
+
+
+def normalize_location(c: Column) -> Column:
+    """struct(city, governorate) of the first place of the list that is named."""
+    ranks = {word: k + 1 for k, (word, _, _) in reversed(list(enumerate(ref.LOCATIONS)))}
+    # The word that is found at a place stands for those it begins with, too.
+    least = {w: min(r for v, r in ranks.items() if w.startswith(v)) for w in ranks}
+    places = F.array(*[F.struct(F.lit(city).alias("city"), F.lit(gov).alias("governorate")) for _, city, gov in (*ref.LOCATIONS, ("", "Unknown", "Egypt"))])
+    found = F.transform(hits(F.lower(c), list(ranks)), lambda w: F.element_at(_literal_map(least), w))
+    return F.element_at(places, F.coalesce(F.array_min(found), F.lit(len(ref.LOCATIONS) + 1)))
 
 
 def word_pattern(word: str, open_ended: bool = False) -> str:
@@ -132,8 +177,27 @@ def _named(blob: Column, names: list[tuple[str, tuple[str, ...], str]]) -> Colum
 
 
 def extract_skills(*texts: Column) -> Column:
-    """Skills named in the texts, in the lexicon's order."""
-    return _named(joined_lower(*texts), [(name, words, skill_pattern(words)) for name, _, words in ref.SKILLS])
+    """Skills named in the texts, in the lexicon's order.
+
+    One pass finds the longest word at each place that doesn't follow a-z or 0-9; a word also stands for those that it
+    begins with and whose own end is a border in it.  A word that may not be followed by a-z or 0-9 gives way to a
+    shorter one where it is."""
+    closed, opened = [], []
+    of: dict[str, list[str]] = {}
+    for name, _, words in ref.SKILLS:
+        for w in words:
+            (opened if w in ref.OPEN_ENDED else closed).append(w.lower())
+    border = lambda w, v: v == w or v in opened or not re.match("[a-z0-9]", w[len(v)])
+    for w in [*closed, *opened]:
+        of[w] = [name for name, _, words in ref.SKILLS if any(w.startswith(v.lower()) and border(w, v.lower()) for v in words)]
+    longest = sorted(of, key=len, reverse=True)
+    branches: dict[str, list[str]] = {}
+    for w in longest:
+        branches.setdefault(w[0], []).append(re.escape(w[1:]) + ("" if w in opened else "(?![a-z0-9])"))
+    pattern = "(?<![a-z0-9])(?=(" + "|".join(re.escape(first) + "(?:" + "|".join(rest) + ")" for first, rest in branches.items()) + "))"
+    found = lambda x: F.flatten(F.transform(F.regexp_extract_all(x, F.lit(pattern), F.lit(1)), lambda w: F.element_at(_literal_map(of), w)))
+    names = F.array(*[F.lit(name) for name, *_ in ref.SKILLS])
+    return bound(found(joined_lower(*texts)), lambda y: F.when(F.size(y) == 0, F.array().cast("array<string>")).otherwise(F.array_intersect(names, y)))
 
 
 def detect_skills_in_title(title: Column, names: list[str]) -> Column:
@@ -190,10 +254,13 @@ def is_tech(title: Column, industry: Column) -> Column:
 def categorize(title: Column) -> Column:
     """The category with most keywords in the title; the earlier of equals; Other if none."""
     rules = [(k, name, words) for k, (name, words) in enumerate(ref.CATEGORIES) if words]
+    words = sorted({w for _, _, ws in rules for w in ws})
+    of = {w: [v for v in words if w.startswith(v)] for w in words}
 
-    def choose(low: Column) -> Column:
-        score = lambda words: functools.reduce(lambda a, b: a + b, [low.contains(w).cast("int") for w in words])
-        best = F.array_max(F.array(*[F.struct(score(words).alias("score"), F.lit(-k).alias("rank"), F.lit(name).alias("name")) for k, name, words in rules]))
-        return bound(best, lambda x: F.when(x["score"] > 0, x["name"]).otherwise("Other"))
+    def choose(found: Column) -> Column:
+        score = lambda ws: F.size(F.array_intersect(found, F.array(*map(F.lit, ws))))
+        best = F.array_max(F.array(*[F.struct(score(ws).alias("score"), F.lit(-k).alias("rank"), F.lit(name).alias("name")) for k, name, ws in rules]))
+        return F.when(F.size(found) == 0, "Other").otherwise(best["name"])
 
-    return bound(F.lower(F.coalesce(title, F.lit(""))), choose)
+    found = F.flatten(F.transform(hits(F.lower(F.coalesce(title, F.lit(""))), words), lambda w: F.element_at(_literal_map(of), w)))
+    return bound(found, choose)

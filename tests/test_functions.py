@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from postlake import reference as ref
 from postlake.functions import parse, text
 from postlake.operators import contract
 
@@ -90,3 +91,36 @@ def test_sql_functions(spark):
     register_functions(spark)
     row = spark.sql("SELECT classify_work_mode('wfh') a, normalize_city('Maadi') b, extract_skills('Go and SQL') c, experience_min('3+ years') d, salary_numbers('1,500 - 2') e").first()
     assert (row.a, row.b, row.c, row.d, row.e) == ("remote", "Maadi", ["Go", "SQL"], 3, [1500.0, 2.0])
+
+
+def test_lexicons_in_one_pass(spark):
+    """Skills, places and categories of random texts, against a search for each word of a lexicon."""
+    import random
+    import re
+
+    rng = random.Random(8)
+    bits = [w for _, _, ws in ref.SKILLS for w in ws] + [w for w, _, _ in ref.LOCATIONS] + [w for _, ws in ref.CATEGORIES for w in ws] + ["x", "1", "/", ".", "é", "ا", "c", "java"]
+    texts = sorted({rng.choice(["", " ", "-"]).join(rng.choices(bits, k=rng.randint(0, 7))) for _ in range(1500)})
+    texts = [t.upper() if k % 5 == 0 else t for k, t in enumerate(texts)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", text.extract_skills(F.col("t")).alias("skills"), text.normalize_location(F.col("t")).alias("place"), text.categorize(F.col("t")).alias("category")).collect()
+    named = lambda w, low: re.search(r"(?<![a-z0-9])" + re.escape(w.lower()) + ("" if w in ref.OPEN_ENDED else r"(?![a-z0-9])"), low)
+    for r in got:
+        low = r.t.lower()
+        assert r.skills == [n for n, _, ws in ref.SKILLS if any(named(w, low) for w in ws)], r.t
+        assert tuple(r.place) == next(((c, g) for w, c, g in ref.LOCATIONS if w in low), ("Unknown", "Egypt")), r.t
+        scores = [(sum(w in low for w in ws), n) for n, ws in ref.CATEGORIES if ws]
+        best = max(s for s, _ in scores)
+        assert r.category == (next(n for s, n in scores if s == best) if best else "Other"), r.t
+
+
+def test_fragments_in_place_and_parsed(spark):
+    """Plain tags and common references are handled without the parser; the outcome is the parser's."""
+    import random
+
+    rng = random.Random(9)
+    bits = ["<b>", "</b>", "<br/>", "<p class=x>", '<a href="y>z">', "<script>", "</script>", "<title>", "</title>", "&amp;", "&lt;", "&amp;lt;", "&gt", "&nbsp;", "&#39;", "<", ">", "&", "a", " ", "\n", "<!-- x -->", "<!x>", "<?y>", "</ b>", "<B >", "<i\tq>", "é", "<1>", "<titles>"]
+    texts = sorted({"".join(rng.choices(bits, k=rng.randint(0, 8))) for _ in range(2000)})
+    got = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", text.strip_html(F.col("t")).alias("out")).collect()
+    for r in got:
+        assert r.out == (text._html_text(r.t) if r.t and "<" in r.t and ">" in r.t else r.t), r.t
