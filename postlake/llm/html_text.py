@@ -13,9 +13,14 @@ headings, items and cells beside it, and two of them over what lies between them
 is dropped.  If nothing is high but links, they stay.  Ties in text go to the earlier container.
 
 A class or id is a notice if it consists of words that name one and of words of layout ("left-sidebar", but neither
-"with-sidebar" nor "related-work").  Such an element is dropped, unless it holds more than half of the page's text, or
-an article or main while none lies elsewhere: then it is a wrapper.  A head ends with its end tag, with <body> or with
-the first content that no head can hold.
+"with-sidebar" nor "related-work").  Such an element is dropped at any length, as are forms, noscripts, dialogs and
+objects, unless it is a wrapper: it holds an article or main while none lies elsewhere, else the page's only h1.  Where
+no text is left without them, outermost such elements with a heading, paragraph, item or cell stay.  What names reader
+comments or consent is no wrapper, nor is a noscript, dialog or object without article, main or h1.  A head ends with
+its end tag, with <body> or with the first content that no head can hold.
+
+A tag that doesn't end within NEAR characters is looked for in the whole rest; after FAR such searches in vain what looks
+like a tag longer than NEAR / 4 is text, so that time is bounded by the page's length.
 
 Null and empty pages give an empty text.  Pages of any length and depth are read whole; unclosed elements end with their
 parents; nothing is capped.  Repeated rows each get a row, an empty table gives none.  Other columns stay; text and n_chars
@@ -28,13 +33,16 @@ import functools
 import math
 import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_SKIP = frozenset("nav footer aside form script style noscript template svg iframe select button textarea head dialog menu object canvas".split())
+_SKIP = frozenset("nav footer aside script style template svg iframe select button textarea head menu canvas".split())
+#: Dropped unless they are wrappers.
+_SOFT = frozenset("form noscript dialog object".split())
 _BLOCK = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hr html li main ol p "
     "pre section summary table tbody td tfoot th thead tr ul".split()
@@ -44,6 +52,8 @@ _NOTICE = frozenset(
     "menu nav navbar navigation navigational breadcrumb breadcrumbs footer masthead toolbar pagination pager share sharing social newsletter subscribe "
     "subscription related recommended comments comment disqus replies respond login signup widget".split()
 )
+#: Words of notices that are never wrappers.
+_NEVER = frozenset("ad ads adv advert adverts advertisement advertising cookie cookies consent gdpr popup modal newsletter subscribe subscription comments comment disqus replies respond".split())
 #: Words of layout that may stand beside those of a notice in one class or id.
 _LAYOUT = frozenset(
     "a area article articles bar block body bottom box button buttons center col column component container content desktop element entry fixed foot global group head header icon icons "
@@ -59,6 +69,8 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "t
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt td th figcaption caption".split())
 #: Link lines in a row that are a list of links inside an article.
 LINK_RUN = 3
+#: Characters within which a tag's end is looked for first, and searches of the whole rest that may fail.
+NEAR, FAR = 1024, 32
 _SPACE = re.compile(r"\s+")
 _HUMP = re.compile(r"([a-z])([A-Z])")
 
@@ -66,21 +78,29 @@ _HUMP = re.compile(r"([a-z])([A-Z])")
 @functools.lru_cache(1 << 16)
 def names_notice(name: str) -> bool:
     """Whether a class or id consists of words of notices and of layout."""
-    words = [w for w in re.split(r"[^a-z]+", _HUMP.sub(r"\1-\2", name).lower()) if w]
+    words = _words(name)
     return any(w in _NOTICE for w in words) and all(w in _NOTICE or w in _LAYOUT for w in words)
 
 
+def _words(name: str) -> list[str]:
+    return [w for w in re.split(r"[^a-z]+", _HUMP.sub(r"\1-\2", name).lower()) if w]
+
+
 class Lines(HTMLParser):
-    """Collects [container, text parts, tags, notice, block, characters in links] for each line of a page."""
+    """Collects [container, (text, notice) parts, tags, block, characters in links] for each line of a page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int, int]] = []  # tag, skipped, container, notice
+        self.stack: list[tuple[str, bool, int, int, str]] = []  # tag, skipped, container, notice, innermost block
         self.at: dict[str, list[int]] = {}  # places in the stack by tag
         self.lines: list[list] = []
         self.around: list[int] = [0]  # the container around each container; the body is 0
         self.notices: list[int] = [0]  # the notice around each notice; 0 is none
+        self.kinds: list[str] = [""]  # of each notice: its tag if that is soft, "never" if it is no wrapper, else "named"
         self.holding: set[int] = set()  # notices in which an article or main opens
+        self.headed: set[int] = set()  # notices in which an h1 opens
+        self.plain_h1 = False  # whether one opens elsewhere
+        self.failed, self.endless = 0, False
         self.open: list | None = None
         self.tags = 0
         self.link = False
@@ -91,8 +111,42 @@ class Lines(HTMLParser):
             self.tags = 0
         self.open = None
 
-    def _state(self) -> tuple[bool, int, int]:
-        return self.stack[-1][1:] if self.stack else (False, 0, 0)
+    def check_for_whole_start_tag(self, i: int) -> int:
+        """Where the tag at i ends, -1 if it doesn't, without searching the rest of the page for each of many such tags."""
+        whole = self.rawdata
+        near = NEAR if self.failed < FAR else NEAR // 4
+        if len(whole) - i <= near:
+            return super().check_for_whole_start_tag(i)
+        self.rawdata = whole[i : i + near]
+        try:
+            end = super().check_for_whole_start_tag(0)
+        finally:
+            self.rawdata = whole
+        if 0 <= end < near:
+            return i + end
+        if self.failed >= FAR:
+            return -1
+        end = super().check_for_whole_start_tag(i)
+        self.failed += end < 0
+        return end
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """A comment without an end is looked for once: none after it has one."""
+        if self.endless:
+            return -1
+        end = super().parse_comment(i, report)
+        self.endless = end < 0
+        return end
+
+    def read(self, html: str) -> None:
+        """The page in one piece.  After the last > no tag can end: what is there is text."""
+        last = html.rfind(">") + 1
+        self.feed(html[:last])
+        self.close()
+        self.handle_data(unescape(html[last:]))
+
+    def _state(self) -> tuple[bool, int, int, str]:
+        return self.stack[-1][1:] if self.stack else (False, 0, 0, "")
 
     def _cut(self, place: int) -> None:
         """Ends the elements from this place of the stack on."""
@@ -115,23 +169,25 @@ class Lines(HTMLParser):
             if tag == "br":
                 self.handle_data(" ")
             return
-        skipped, container, notice = self._state()
+        skipped, container, notice, block = self._state()
         if tag in ("article", "main") and not skipped:
             self.around.append(container)
             container = len(self.around) - 1
         elif tag == "body":
             container = 0
         skipped = skipped or tag in _SKIP or (tag == "header" and not self.at.get("article")) or self._is_hidden(tag, dict(attrs))
-        if not skipped and self._is_notice(tag, dict(attrs)):
+        if not skipped and (tag in _SOFT or self._is_notice(tag, dict(attrs))):
             self.notices.append(notice)
+            self.kinds.append("never" if self._is_never(dict(attrs)) else tag if tag in _SOFT else "named")
             notice = len(self.notices) - 1
-        elif tag in ("article", "main"):
-            at = notice
-            while at and not skipped and at not in self.holding:
-                self.holding.add(at)
+        elif tag in ("article", "main", "h1") and not skipped:
+            self.plain_h1 |= tag == "h1" and not notice
+            at, held = notice, self.headed if tag == "h1" else self.holding
+            while at and at not in held:
+                held.add(at)
                 at = self.notices[at]
         self.at.setdefault(tag, []).append(len(self.stack))
-        self.stack.append((tag, skipped, container, notice))
+        self.stack.append((tag, skipped, container, notice, tag if tag in _BLOCK else block))
 
     @staticmethod
     def _is_hidden(tag: str, attrs: dict) -> bool:
@@ -145,6 +201,11 @@ class Lines(HTMLParser):
             return False
         return any(names_notice(name) for name in (attrs.get("class") or "").split() + (attrs.get("id") or "").split())
 
+    @staticmethod
+    def _is_never(attrs: dict) -> bool:
+        names = (attrs.get("class") or "").split() + (attrs.get("id") or "").split()
+        return any(w in _NEVER for name in names if names_notice(name) for w in _words(name))
+
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in _BLOCK:
@@ -161,40 +222,42 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.stack and self.stack[-1][0] == "head" and data.strip():
             self._cut(len(self.stack) - 1)
-        skipped, container, notice = self._state()
+        skipped, container, notice, block = self._state()
         if skipped or not data:
             return
         if self.open is None:
             if not data.strip():
                 return
-            block = next((t for t, *_ in reversed(self.stack[-8:]) if t in _BLOCK), "")
-            self.open = [container, [], 0, notice, block, 0]
+            self.open = [container, [], 0, block, 0]
             self.lines.append(self.open)
-        self.open[1].append(data)
-        self.open[5] += len(data.strip()) if self.link else 0
+        self.open[1].append((data, notice))
+        self.open[4] += len(data.strip()) if self.link else 0
         self.open[2] += self.tags
         self.tags = 0
 
     def page_lines(self) -> list[tuple[int, str, int, str, bool]]:
         """Container, text, tags, block and whether most of it is links, of the lines that no notice drops."""
-        made = [(line, text) for line in self.lines if (text := _SPACE.sub(" ", "".join(line[1])).strip())]
-        held = [0] * len(self.notices)
-        for line, text in made:
-            held[line[3]] += len(text)
-        total = sum(held)
-        for k in range(len(held) - 1, 0, -1):  # a notice has a larger number than the one around it
-            held[self.notices[k]] += held[k]
+        may = [k for k in range(1, len(self.notices)) if self.kinds[k] != "never"]
 
         def left(wrappers: set[int]) -> list:
             dropped = [False]
-            for k in range(1, len(held)):
-                dropped.append(dropped[self.notices[k]] or (k not in wrappers and 2 * held[k] <= total))
-            return [(line, text) for line, text in made if not dropped[line[3]]]
+            for k in range(1, len(self.notices)):  # a notice has a larger number than the one around it
+                dropped.append(dropped[self.notices[k]] or k not in wrappers)
+            made = ((line, _SPACE.sub(" ", "".join([part for part, notice in line[1] if not dropped[notice]])).strip()) for line in self.lines)
+            return [(line, text) for line, text in made if text]
 
         kept = left(set())
-        if self.holding and not any(line[0] for line, _ in kept):
-            kept = left(self.holding)
-        return [(line[0], text, line[2], line[4], 2 * line[5] > len(text)) for line, text in kept]
+        if not any(line[0] for line, _ in kept):
+            # No article or main outside of notices.
+            if held := {k for k in may if k in self.holding}:
+                kept = left(held)
+            elif not self.plain_h1 and (headed := {k for k in may if k in self.headed}):
+                kept = left(headed)
+            elif not kept:
+                # Outermost ones that hold blocks of text.
+                full = {notice for line in self.lines if line[3] in _TEXT_BLOCKS for _, notice in line[1]}
+                kept = left({k for k in may if not self.notices[k] and self.kinds[k] in ("named", "form") and k in full})
+        return [(line[0], text, line[2], line[3], 2 * line[4] > len(text)) for line, text in kept]
 
 
 def smoothed(values: list[float], sigma: float = 2.0) -> list[float]:
@@ -228,8 +291,7 @@ def main_text(html: str | None, sigma: float = 2.0) -> str:
     if not html:
         return ""
     parser = Lines()
-    parser.feed(html)
-    parser.close()
+    parser.read(html)
     lines = parser.page_lines()
     if not lines:
         return ""

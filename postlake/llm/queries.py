@@ -16,7 +16,7 @@ from .ngram_join import similar_components
 from .pieces import piece_digests
 from .resampling import importance_resample
 from .shared import new_folder
-from .token_counts import token_counts
+from .token_counts import fill_cache, token_counts
 from .toxicity import toxicity_scores
 from .training_order import training_shards
 from .warc import read_archives, write_archives
@@ -53,8 +53,11 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of documents, from an empty cache: a run doesn't depend on the runs before it."""
-    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), new_folder(spark, "token-counts"))
+    """Token counts of documents, from a cache of this run's own: half of the contents are counted first, as an earlier run
+    would have, so that the counts of all documents come from stored ones and from misses, whatever ran before."""
+    docs, path, cache = _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), new_folder(spark, "token-counts")
+    fill_cache(docs.where(F.crc32(F.coalesce("text", F.lit(""))) % 2 == 0), path, cache)
+    return token_counts(docs, path, cache)
 
 
 def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

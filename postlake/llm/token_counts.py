@@ -9,7 +9,9 @@ words are split (its first rule keeps the matches of WORDS only), a text's count
 space; a task keeps the counts of runs that it has met and encodes each new one once.  For all other tokenizers, and with
 ``whole=True``, whole texts are encoded.
 
-Null texts count as empty: 0 bytes, 0 tokens.  Repeated rows each get a row.
+Null texts count as empty: 0 bytes, 0 tokens.  Repeated rows, and rows of one id, each get a row; equal texts share one
+count.  Texts are counted whole.  An empty table gives no rows and leaves the cache as it is.  Columns besides the id and
+the text aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -121,12 +123,10 @@ def _encode(path: str, whole: bool):
     return run
 
 
-def token_counts(
-    docs: DataFrame, tokenizer_path: str, cache_path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-    limit: int = 2048, whole: bool = False,
-) -> DataFrame:
-    """One row per document: ``id_col``, n_bytes, n_tokens, over_limit.  ``cache_path`` is a folder that stays between
-    runs; without it, the cache is in the shared folder under the tokenizer's digest."""
+def fill_cache(docs: DataFrame, tokenizer_path: str, cache_path: str | None = None, text_col: str = "text", whole: bool = False) -> DataFrame:
+    """Encodes each distinct content that has no stored count, appends the counts and returns the cache's (digest, n_tokens).
+
+    The cache is looked up by a join of digests; where it has counts, texts of misses alone go on."""
     spark = docs.sparkSession
     version = tokenizer_digest(tokenizer_path)
     cache_path = cache_path or f"{shared_dir(spark)}/token-counts-{version}"
@@ -137,10 +137,8 @@ def token_counts(
         known = spark.read.schema(schema).parquet(cache_path).where(F.col("tokenizer") == version)
         return known.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
+    misses = _keyed(docs, text_col).select("digest", "text")
     old = cache()
-    misses = keyed.select("digest", "text")
     if not old.isEmpty():
         missing = stored(misses.select("digest").distinct().join(old.select("digest"), "digest", "left_anti"), "missing-digests")
         misses = attached(misses, missing, "digest", "left_semi")  # with few misses, texts stay where they are
@@ -148,6 +146,19 @@ def token_counts(
     misses = misses.mapInArrow(_local_firsts, _MISS).repartition(tasks_for(spark, total), "digest")
     counted = misses.mapInArrow(_encode(tokenizer_path, whole), "digest binary, n_tokens bigint")
     counted.withColumn("tokenizer", F.lit(version)).write.mode("append").parquet(cache_path)
-    counts = stored(cache(), "token-counts-of-digests")  # as a table, so that AQE can split a digest that many documents have
-    rows = keyed.select(id_col, "digest", F.octet_length("text").cast("long").alias("n_bytes"))
+    return cache()
+
+
+def _keyed(docs: DataFrame, text_col: str, *columns: str) -> DataFrame:
+    return docs.select(*columns, F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
+
+
+def token_counts(
+    docs: DataFrame, tokenizer_path: str, cache_path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+    limit: int = 2048, whole: bool = False,
+) -> DataFrame:
+    """One row per document: ``id_col``, n_bytes, n_tokens, over_limit.  ``cache_path`` is a folder that stays between
+    runs; without it, the cache is in the shared folder under the tokenizer's digest."""
+    counts = stored(fill_cache(docs, tokenizer_path, cache_path, text_col, whole), "token-counts-of-digests")  # as a table, so that AQE can split a digest that many documents have
+    rows = _keyed(docs, text_col, id_col).select(id_col, "digest", F.octet_length("text").cast("long").alias("n_bytes"))
     return rows.join(counts, "digest").select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

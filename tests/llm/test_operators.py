@@ -575,3 +575,51 @@ def test_string_ids(spark):
     assert {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup.exact_groups(docs).collect()} == {("u-1", "u-2", False), ("u-2", "u-2", True), (None, None, True)}
     rows = training_order.training_shards(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), length=4).collect()
     assert {d for r in rows for d in r.doc_ids} == {"u-1", "u-2", None}
+
+
+def test_main_text_drops_notices_at_any_length():
+    """Reader comments and notices longer than the article; pages without article; comments as articles."""
+    long = "<p>" + "a long comment of a reader about it. " * 10 + "</p>"
+    body = "<h1>Title</h1><p>short</p>"
+    for notice in (f"<div class=comments>{long}{long}</div>", f"<div id=comments>{long}{long}</div>", f'<div class="cookie-notice">{long}</div>', f"<div id=comments><article>{long}</article></div>", f"<form>{long}</form>", f"<noscript>{long}</noscript>"):
+        assert html_text.main_text(f"<body><article>{body}{notice}</article></body>") == "Title\nshort"
+        assert html_text.main_text(f"<body>{body}{notice}</body>") == "Title\nshort"
+    assert html_text.main_text(f"<body><div class=comments>{long}</div></body>") == ""
+
+
+def test_main_text_in_wrappers_of_any_kind():
+    article = "<h1>Title</h1><p>The article has a paragraph of some length, and it goes on.</p><p>And another one of the same kind follows it here.</p>"
+    want = html_text.main_text(f"<body><article>{article}</article></body>")
+    assert want.count("\n") == 2
+    for a, b in (("<form id=aspnetForm>", "</form>"), ("<noscript>", "</noscript>"), ("<dialog open>", "</dialog>"), ("<object>", "</object>"), ("<div class='content-sidebar-wrap'>", "</div>"), ("<form><div class=widget>", "</div></form>")):
+        assert html_text.main_text(f"<body>{a}<article>{article}</article>{b}</body>") == want, a
+        assert html_text.main_text(f"<body>{a}{article}{b}</body>") == want, a
+    assert html_text.main_text("<body><form><label>Name</label><input><label>Word</label></form></body>") == ""
+
+
+def test_main_text_of_blocks_at_any_depth():
+    deep = "<p>" + "<b><i>" * 30 + "A paragraph that is deep in its markup, far below its block." + "</i></b>" * 30 + "</p>"
+    shallow = "<p>A paragraph of about the same length that is not deep at all.</p>"
+    assert html_text.main_text(f"<body><div class=x>{shallow * 3}{deep}</div></body>").count("\n") == 3
+
+
+def test_main_text_of_unfinished_tags_in_bounded_time():
+    import time
+
+    for page in ("<a href='" * 100_000, "<p>x</p>" + "<a href='" * 50_001 + ">", "<b " * 100_000, "<!--" * 100_000, '<a b="' * 80_001 + "</a>", "<!--" * 100_000 + ">", "</a " * 100_000):
+        began = time.time()
+        html_text.main_text(page)
+        assert time.time() - began < 30, page[:20]
+    data = "<img src='data:" + "A" * 100_000 + "'>"
+    assert html_text.main_text(f"<article><p>before</p>{data * 40}<p>after</p></article>") == "before\nafter"
+
+
+def test_second_step_looks_counts_up(spark, tmp_path):
+    """A cache that half of the contents are in: the other half is encoded, all counts are the library's."""
+    texts = [f"text number {k % 40} of some" for k in range(120)] + [None, ""]
+    docs, path, cache = table(spark, texts), public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "cache")
+    token_counts.fill_cache(docs.where("doc_id % 40 < 20"), path, cache)
+    assert spark.read.parquet(cache).count() == 21
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, path, cache).collect()}
+    assert got == dict(enumerate(token_counts.batch_counter(path)([t or "" for t in texts])))
+    assert spark.read.parquet(cache).count() == 41
