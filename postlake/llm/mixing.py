@@ -2,8 +2,10 @@
 
 Documents are grouped into cells of source, language and topic.  The cells' token weights are raked: each step scales
 them so that one marginal meets its target, until all three do.  The raked weight of a cell over its tokens is the rate
-of its documents; rates times the largest factor that keeps all of them below one (or a given share of all tokens) are
-the documents' probabilities, and a document is sampled if a number made of its id and the seed is below its probability.
+of its documents.  Rates times one factor, and at most 1, are the documents' probabilities: the factor is that at which
+the expected tokens are the ``share`` of all tokens that the caller wants.  A document is sampled if a number made of its
+id and the seed is below its probability.  Where the cap of 1 holds (mix_capped), a cell has less than its target, and
+the others have more: ``mixture`` tells by how much each value's expected share differs from the raked one.
 
 Targets are tables of a dimension's values and shares; without one, they are the marginal's own shares to the power
 ``temper``, scaled to one.  Targets that no weights of the cells that there are can meet don't converge; the weights of
@@ -87,18 +89,23 @@ def with_targets(cells: DataFrame, targets: dict[str, DataFrame] | None, temper:
 
 def rake(cells: DataFrame, sweeps: int = 60, tolerance: float = 1e-7, at_once: int = 6) -> tuple[DataFrame, bool]:
     """``cells`` has the dimensions, tokens and t_<dimension>; (the cells with weight, a share of 1; whether all marginals
-    are within ``tolerance`` of their targets)."""
+    are within ``tolerance`` of their targets).
+
+    Up to ONE_TASK_CELLS cells are raked by windows in one task.  More stay where they are: a step sums up weights per
+    value, with partial sums in each task, and joins the sums, a row per value, to the cells."""
     cells = stored(cells, "cells")
-    few = cells.count() <= ONE_TASK_CELLS
-    everything = Window.partitionBy()
-    out = (cells.coalesce(1) if few else cells).withColumn("weight", F.col("tokens") / F.sum("tokens").over(everything))
-    for _ in range(0, sweeps, at_once):
-        for _ in range(at_once):
+    totals = cells.agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens")).first()
+    few = totals.n <= ONE_TASK_CELLS
+    held = _held_by_window if few else _held_by_sums
+    out = (cells.coalesce(1) if few else cells).withColumn("weight", F.col("tokens") / F.lit(float(totals.tokens or 1)))
+    for _ in range(0, sweeps, at_once if few else 1):
+        for _ in range(at_once if few else 1):
             for d in DIMENSIONS:
-                held = F.sum("weight").over(Window.partitionBy(d))
-                out = out.withColumn("weight", F.when(held > 0, F.col("weight") * F.col(f"t_{d}") / held).otherwise(F.lit(0.0)))
-        gaps = [F.abs(F.sum("weight").over(Window.partitionBy(d)) - F.col(f"t_{d}")) for d in DIMENSIONS]
-        out = stored(out.withColumn("gap", F.greatest(*gaps)), "raked-cells")
+                out = held(out, d).withColumn("weight", F.when(F.col("held") > 0, F.col("weight") * F.col(f"t_{d}") / F.col("held")).otherwise(F.lit(0.0))).drop("held")
+        out = out.withColumn("gap", F.lit(0.0))
+        for d in DIMENSIONS:
+            out = held(out, d).withColumn("gap", F.greatest("gap", F.abs(F.col("held") - F.col(f"t_{d}")))).drop("held")
+        out = stored(out, "raked-cells")
         gap = out.agg(F.max("gap")).first()[0]
         out = out.drop("gap")
         if gap is None or gap < tolerance:
@@ -107,16 +114,27 @@ def rake(cells: DataFrame, sweeps: int = 60, tolerance: float = 1e-7, at_once: i
     return out, False
 
 
-MADE = ("mix_topic", "mix_tokens", "mix_rate", "mix_probability", "mix_sampled", "mix_converged")
+def _held_by_window(cells: DataFrame, d: str) -> DataFrame:
+    return cells.withColumn("held", F.sum("weight").over(Window.partitionBy(d)))
+
+
+def _held_by_sums(cells: DataFrame, d: str) -> DataFrame:
+    return cells.join(cells.groupBy(d).agg(F.sum("weight").alias("held")), d)
+
+
+MADE = ("mix_topic", "mix_tokens", "mix_rate", "mix_probability", "mix_capped", "mix_sampled", "mix_converged")
 
 
 def calibrated(
-    docs: DataFrame, targets: dict[str, DataFrame] | None = None, temper: float = 0.9, share: float | None = None, seed: int = 11,
+    docs: DataFrame, share: float, targets: dict[str, DataFrame] | None = None, temper: float = 0.9, seed: int = 11,
     id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None, topics: int = TOPICS, columns: list[str] | None = None,
 ) -> DataFrame:
-    """All document rows with mix_topic, mix_tokens, mix_rate, mix_probability, mix_sampled and mix_converged.  ``targets``
+    """All document rows with mix_topic, mix_tokens, mix_rate, mix_probability, mix_capped, mix_sampled and mix_converged.
+    ``share`` is the part of all tokens that is wanted, above 0 and at most 1 (at 1 nothing can be left out).  ``targets``
     has a table for source, lang or topic, with the column of that name and share.  ``columns`` names the documents' columns
     that are returned, else all are."""
+    if not 0 < share <= 1:
+        raise ValueError("share is above 0 and at most 1")
     kept = [c for c in (docs.columns if columns is None else columns) if c not in MADE]
     topic = F.col(topic_col) if topic_col else topic_of(F.col(text_col), topic_words(docs, text_col, topics))
     dimensions = {"mix_source": F.col("source"), "mix_lang": F.col("lang"), "mix_topic": topic}
@@ -133,18 +151,37 @@ def calibrated(
     if rates.count() <= ONE_TASK_CELLS:
         cell_rates = F.broadcast(cell_rates)
     out = keyed.join(cell_rates, [f"mix_{d}" for d in DIMENSIONS], "left").withColumn("mix_probability", F.least(F.lit(1.0), F.col("mix_rate") * factor))
-    out = out.withColumns({"mix_sampled": F.col("mix_draw") < F.col("mix_probability"), "mix_converged": F.lit(converged)})
+    out = out.withColumns({"mix_capped": F.col("mix_rate") * factor > 1, "mix_sampled": F.col("mix_draw") < F.col("mix_probability"), "mix_converged": F.lit(converged)})
     return out.select(*kept, *MADE)
 
 
-def _factor(rates: DataFrame, share: float | None, total: int) -> float:
-    """Without ``share``, 1 over the largest rate; else the factor whose expected tokens are that share of all."""
-    top = rates.agg(F.max("mix_rate")).first()[0] or 1.0
-    if share is None:
-        return 1.0 / top
-    low, high = 0.0, 1.0 / (rates.where("mix_rate > 0").agg(F.min("mix_rate")).first()[0] or 1.0)
-    for _ in range(40):
-        factor = (low + high) / 2
-        kept = rates.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("mix_rate") * factor))).first()[0] or 0.0
-        low, high = (factor, high) if kept < share * total else (low, factor)
+#: Factors that one pass over the cells tries, and passes.
+_TRIED, _PASSES = 64, 6
+
+
+def _factor(rates: DataFrame, share: float, total: int) -> float:
+    """The factor at which the cells' expected tokens are that share of all: each pass tries factors between the two that
+    the last one left, all of them in one aggregate."""
+    ends = rates.where("mix_rate > 0 AND tokens > 0").agg(F.min("mix_rate").alias("least"), F.max("mix_rate").alias("most")).first()
+    if not ends.least or not total:
+        return share
+    low, high = 0.0, 1.0 / ends.least
+    if share >= 1:
+        return high
+    for _ in range(_PASSES):
+        tried = [low + (high - low) * k / _TRIED for k in range(1, _TRIED)]
+        kept = rates.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("mix_rate") * f)).alias(f"k{k}") for k, f in enumerate(tried)]).first()
+        below = sum(k < share * total for k in kept)
+        low, high = ([low, *tried][below], [*tried, high][below])
     return (low + high) / 2
+
+
+def mixture(mixed: DataFrame) -> DataFrame:
+    """What a mixture comes to: for each value of source, lang and topic its raked share, the share of expected tokens (they
+    differ by what the cap of 1 shifts) and that of sampled tokens.  Of ``calibrated``'s rows with source and lang."""
+    values = F.array(*[F.struct(F.lit(d).alias("dimension"), c.cast("string").alias("value")) for d, c in (("source", F.col("source")), ("lang", F.col("lang")), ("topic", F.col("mix_topic")))])
+    tokens = F.col("mix_tokens")
+    out = mixed.select(F.explode(values).alias("v"), tokens, (tokens * F.col("mix_rate")).alias("raked"), (tokens * F.col("mix_probability")).alias("expected"), F.when(F.col("mix_sampled"), tokens).otherwise(0).alias("sampled"))
+    out = out.groupBy("v.dimension", "v.value").agg(*[F.sum(c).cast("double").alias(c) for c in ("raked", "expected", "sampled")])
+    whole = out.groupBy("dimension").agg(*[F.sum(c).alias(f"all_{c}") for c in ("raked", "expected", "sampled")])
+    return out.join(F.broadcast(whole), "dimension").select("dimension", "value", *[(F.col(c) / F.col(f"all_{c}")).alias(f"{c}_share") for c in ("raked", "expected", "sampled")])  # three rows are broadcast

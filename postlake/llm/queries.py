@@ -69,11 +69,11 @@ def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 LANGUAGES = (("en", 0.55), ("de", 0.15), ("es", 0.15), ("fr", 0.15))
 
 
-def op8_mixing(spark: SparkSession, sf_dir: str, languages: tuple[tuple[str, float], ...] = LANGUAGES, temper: float = 0.7) -> DataFrame:
-    """Documents with their sampling probabilities after raking: given shares of languages, tempered ones of sources and
-    learnt topics."""
+def op8_mixing(spark: SparkSession, sf_dir: str, languages: tuple[tuple[str, float], ...] = LANGUAGES, temper: float = 0.7, share: float = 0.6) -> DataFrame:
+    """Documents with their sampling probabilities after raking to a share of all tokens: given shares of languages, tempered
+    ones of sources and learnt topics."""
     targets = {"lang": spark.createDataFrame(list(languages), "lang string, share double")}
-    return calibrated(_table(spark, sf_dir, "documents"), targets, temper, columns=["doc_id", "source", "lang"])
+    return calibrated(_table(spark, sf_dir, "documents"), share, targets, temper, columns=["doc_id", "source", "lang"])
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -284,7 +284,7 @@ def test_mixing_against_numpy(spark):
     rng = np.random.default_rng(1)
     rows = [(k, "w " * int(rng.integers(1, 9)), f"s{rng.integers(3)}", f"l{rng.integers(2)}", f"t{rng.integers(2)}") for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic string")
-    got = mixing.calibrated(docs, temper=0.5, topic_col="topic").collect()
+    got = mixing.calibrated(docs, 0.5, temper=0.5, topic_col="topic").collect()
     for c in ("source", "lang", "topic"):
         own, raked = Counter(), Counter()
         for r in got:
@@ -294,7 +294,7 @@ def test_mixing_against_numpy(spark):
         goal = {v: (n / total) ** 0.5 for v, n in own.items()}
         for v in own:
             assert raked[v] / total == pytest.approx(goal[v] / sum(goal.values()), abs=1e-5)
-    assert max(r.mix_probability for r in got) == pytest.approx(1.0)
+    assert sum(r.mix_tokens * r.mix_probability for r in got) == pytest.approx(0.5 * sum(r.mix_tokens for r in got), rel=1e-6)
 
 
 def test_contamination_in_blocks(spark):
@@ -488,7 +488,7 @@ def test_join_of_frequent_shingles_and_string_ids(spark, monkeypatch):
     assert [(r.n_shingles, r.component_id) for r in got] == [(n, f"u-{c:03d}") for n, c in want]
 
 
-def rake_plainly(rows, goals, sweeps=500):
+def rake_plainly(rows, goals, share, sweeps=500):
     """Probabilities of (source, lang, topic, tokens) rows, by raking cells one after the other."""
     cells = Counter()
     for *cell, n in rows:
@@ -502,11 +502,17 @@ def rake_plainly(rows, goals, sweeps=500):
                 held[c[d]] += w
             weight = {c: w * goal[c[d]] / held[c[d]] if held[c[d]] > 0 else 0.0 for c, w in weight.items()}
     rate = {c: weight[c] * total / n if n else 1.0 for c, n in cells.items()}
-    top = max(rate.values())
-    return [min(1.0, rate[tuple(cell)] / top) for *cell, _ in rows]
+    low, high = 0.0, 1 / min(r for c, r in rate.items() if r > 0 and cells[c])
+    for _ in range(200):
+        factor = (low + high) / 2
+        low, high = (factor, high) if sum(n * min(1.0, rate[c] * factor) for c, n in cells.items()) < share * total else (low, factor)
+    return [min(1.0, rate[tuple(cell)] * high) for *cell, _ in rows]
 
 
-def test_all_probabilities_of_mixing_by_brute_force(spark):
+@pytest.mark.parametrize(("share", "cells"), [(0.3, 100_000), (0.9, 100_000), (0.9, 2)])
+def test_all_probabilities_of_mixing_by_brute_force(spark, monkeypatch, share, cells):
+    """Also with cells raked by sums that are joined, and with rates that the cap of 1 holds down."""
+    monkeypatch.setattr(mixing, "ONE_TASK_CELLS", cells)
     rng = np.random.default_rng(6)
     rows = [(k, "w " * int(rng.integers(0, 9)), f"s{rng.integers(3)}", ["x", "y", None][int(rng.integers(3))], f"t{rng.integers(4)}") for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic string")
@@ -522,12 +528,26 @@ def test_all_probabilities_of_mixing_by_brute_force(spark):
     goals = [{v: (n / total) ** 0.5 for v, n in own[0].items()}, langs, {v: (n / total) ** 0.5 for v, n in own[2].items()}]
     goals = [{v: g / sum(goal.values()) for v, g in goal.items()} for goal in goals]
     targets = {"lang": spark.createDataFrame(list(given.items()), "lang string, share double")}
-    got = mixing.calibrated(docs, targets, temper=0.5, topic_col="topic").orderBy("doc_id").collect()
-    assert [r.mix_probability for r in got] == pytest.approx(rake_plainly(plain, goals), abs=1e-5)
+    got = mixing.calibrated(docs, share, targets, temper=0.5, topic_col="topic").orderBy("doc_id").collect()
+    assert [r.mix_probability for r in got] == pytest.approx(rake_plainly(plain, goals, share), abs=1e-5)
     assert all(r.mix_converged for r in got)
+    assert any(r.mix_capped for r in got) == (share == 0.9) and all(r.mix_probability == 1 for r in got if r.mix_capped)
+    report = {(r.dimension, r.value): r for r in mixing.mixture(mixing.calibrated(docs, share, targets, temper=0.5, topic_col="topic")).collect()}
+    raked = {("lang", None if v == none else v): g for v, g in goals[1].items()} | {("source", v): g for v, g in goals[0].items()}
+    assert {k: r.raked_share for k, r in report.items() if k in raked} == pytest.approx(raked, abs=1e-5)
+    expected = sum(r.mix_tokens * r.mix_probability for r in got)
+    assert report["source", "s1"].expected_share == pytest.approx(sum(r.mix_tokens * r.mix_probability for r in got if r.source == "s1") / expected)
+
+
+def test_impossible_targets_and_shares(spark):
     impossible = {"source": spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, share double"), "lang": spark.createDataFrame([("x", 0.9), ("y", 0.1)], "lang string, share double")}
     two = spark.createDataFrame([(1, "w w", "a", "x"), (2, "w w", "b", "y")], "doc_id long, text string, source string, lang string")
-    assert [r.mix_converged for r in mixing.calibrated(two, impossible).collect()] == [False, False]
+    assert [r.mix_converged for r in mixing.calibrated(two, 0.5, impossible).collect()] == [False, False]
+    for share in (0, 1.5):
+        with pytest.raises(ValueError, match="share"):
+            mixing.calibrated(two, share)
+    assert all(r.mix_sampled for r in mixing.calibrated(two, 1.0).collect())
+
 
 
 def test_topics_by_brute_force(spark):

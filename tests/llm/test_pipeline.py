@@ -87,7 +87,8 @@ def test_mixing_samples_by_raked_probabilities(spark, folder):
             own[cell[d]] += n
         goal = {v: (n / sum(own.values())) ** 0.9 for v, n in own.items()}
         goals.append({v: g / sum(goal.values()) for v, g in goal.items()})
-    want = Counter((r.doc_id, r.text, r.lang, r.source) for r, p in zip(rows, rake_plainly(plain, goals), strict=True) if r.draw < p)
+    share = importlib.import_module("corpus_pipeline").MIX_SHARE
+    want = Counter((r.doc_id, r.text, r.lang, r.source) for r, p in zip(rows, rake_plainly(plain, goals, share), strict=True) if r.draw < p)
     assert rows_of(stage(spark, docs.drop("draw"), folder)) == want
 
 
