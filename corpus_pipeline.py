@@ -41,12 +41,17 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "documents")
 
 
+#: Part of the tokens that the mixture keeps.
+MIX_SHARE = 0.9
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Document rows sampled by probabilities raked to tempered shares of source, language and learnt topic.
+    """Document rows sampled by probabilities raked to tempered shares of source, language and learnt topic, so that
+    MIX_SHARE of the tokens are expected to stay.
 
     Null sources, languages and topics are a value of their own.  Texts without tokens are sampled with the rate of a
     group of average weight.  Repeated rows, and rows without an id of one group, share their draw."""
-    return calibrated(docs, columns=docs.columns).where("mix_sampled").select(*docs.columns)
+    return calibrated(docs, MIX_SHARE, columns=docs.columns).where("mix_sampled").select(*docs.columns)
 
 
 def write_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
