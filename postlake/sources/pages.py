@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_tech
@@ -196,6 +196,28 @@ def parse_listing_pages(pages: DataFrame, source: str) -> DataFrame:
     return out.withColumn("source", F.lit(source))
 
 
+def register_table_functions(spark: SparkSession) -> None:
+    """parse_listing(html, source) and extract_sections(html) as table functions of SQL, for LATERAL over a table of pages:
+
+    ``SELECT page_id, l.* FROM pages, LATERAL parse_listing(html, 'bayt') l``.  An unknown source is an error, null pages give
+    no postings and empty sections.  (Functions of whole Arrow batches can't stand in a LATERAL join; rows are sent to these
+    in Arrow batches all the same.)"""
+
+    @F.udtf(returnType="ordinal int, " + ", ".join(f"{f} string" for f in FIELDS) + ", source string", useArrow=True)
+    class Listing:
+        def eval(self, html: str, source: str) -> Iterator[tuple]:
+            for k, record in enumerate(PARSERS[source](page_of(html))):
+                yield (k, *[record.get(f, "") for f in FIELDS], source)
+
+    @F.udtf(returnType="sections string", useArrow=True)
+    class Sections:
+        def eval(self, html: str) -> Iterator[tuple]:
+            yield (sections_of(html),)
+
+    spark.udtf.register("parse_listing", Listing)
+    spark.udtf.register("extract_sections", Sections)
+
+
 def sections_of(html: str | None, limit: int = 2500) -> str:
     """Texts of the elements that follow a heading of SECTIONS beside it, up to the next heading beside it."""
     parts = []
