@@ -106,10 +106,20 @@ def _local_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield batch.filter(pa.array(keep))
 
 
+_counters: dict[tuple[str, bool], Callable[[list[str]], list[int]]] = {}
+
+
+def counter(path: str, whole: bool) -> Callable[[list[str]], list[int]]:
+    """One per tokenizer and Python worker: the file is read once, and runs met by one task are known to the next."""
+    if (path, whole) not in _counters:
+        count = batch_counter(path)
+        _counters[path, whole] = RunCounter(count) if not whole and removes_space(path) else count
+    return _counters[path, whole]
+
+
 def _encode(path: str, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = batch_counter(path)
-        count = RunCounter(count) if not whole and removes_space(path) else count
+        count = counter(path, whole)
         seen: set[bytes] = set()
         for batch in batches:
             out: dict[bytes, int] = {}
