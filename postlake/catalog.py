@@ -471,6 +471,21 @@ def quality_suite(s, d):
     ])
 
 
+@query("""SELECT 'positive' AS check_name, 'l_quantity' AS column_name, count(*) FILTER (l_quantity > 25) AS violations FROM lineitem UNION ALL SELECT 'range', 'l_tax', count(*) FILTER (l_tax < l_discount) FROM lineitem
+    UNION ALL SELECT 'accepted', 'l_returnflag', count(*) FILTER (l_returnflag NOT IN ('A', 'N')) FROM lineitem""")
+def quality_table_checks(s, d):
+    """Three checks in one scan."""
+    return quality.table_checks(_table(s, d, "lineitem"), [("positive", "l_quantity", F.col("l_quantity") > 25), ("range", "l_tax", F.col("l_tax") < F.col("l_discount")), ("accepted", "l_returnflag", ~F.col("l_returnflag").isin("A", "N"))])
+
+
+@query("SELECT count(*) AS written, count(*) FILTER (o_totalprice > 100000) AS large, count(*) FILTER (o_orderstatus = 'F') AS done, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders")
+def quality_written_with_checks(s, d):
+    """Counts taken while a table is written, beside a sum over what was written."""
+    path = file_source.scratch(s, "checked")
+    seen = quality.written_with_checks(_table(s, d, "orders"), path, [("large", "o_totalprice", F.col("o_totalprice") > 100000), ("done", "o_orderstatus", F.col("o_orderstatus") == "F")])
+    return s.read.parquet(path).agg(F.sum("o_orderkey").alias("keys")).select(F.lit(seen["rows"]).cast("long").alias("written"), *[F.lit(seen[k]).cast("long").alias(k) for k in ("large", "done")], "keys")
+
+
 @query("SELECT avg(CAST(event_type = 'click' AS INT)) AS coverage FROM events")
 def quality_coverage(s, d):
     return quality.coverage(_table(s, d, "events"), F.col("event_type") == "click")

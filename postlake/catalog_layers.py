@@ -76,6 +76,26 @@ def parse_listing_forasna(s, d):
     return pages.parse_listing_pages(df, "forasna").select("page_id", "ordinal", "title", "company", "location", "salary", "job_url")
 
 
+_BAYT_PAGE = ('<ul><li class="has-pointer-d"><h2><a href="/', '">T', '</a></h2><div class="job-company-location-wrapper"><b>C', '</b></div></li><li class="has-pointer-d"><h2><a href="/x">Second</a></h2></li></ul>')
+
+
+@query("SELECT o_orderkey AS page_id, CAST(i AS INT) AS ordinal, CASE i WHEN 0 THEN 'T' || o_orderpriority ELSE 'Second' END AS title, CASE i WHEN 0 THEN 'C' || CAST(o_custkey AS VARCHAR) ELSE '' END AS company, 'https://www.bayt.com/' || CASE i WHEN 0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'x' END AS job_url, 'bayt' AS source "
+       "FROM orders, (SELECT unnest([0, 1]) AS i)")
+def parse_listing_sql(s, d):
+    """A listing parsed by a table function in SQL."""
+    pages.register_table_functions(s)
+    a, b, c, e = _BAYT_PAGE
+    _pages(s, d, a, _key(), b, F.col("o_orderpriority"), c, F.col("o_custkey").cast("string"), e).createOrReplaceTempView("postlake_pages")
+    return s.sql("SELECT page_id, l.ordinal, l.title, l.company, l.job_url, l.source FROM postlake_pages, LATERAL parse_listing(html, 'bayt') l")
+
+
+@query("SELECT o_orderkey AS page_id, 'Do ' || o_orderpriority AS sections FROM orders")
+def extract_sections_sql(s, d):
+    pages.register_table_functions(s)
+    _pages(s, d, "<h2>Job Description</h2><p>Do ", F.col("o_orderpriority"), "</p>").createOrReplaceTempView("postlake_section_pages")
+    return s.sql("SELECT page_id, x.sections FROM postlake_section_pages, LATERAL extract_sections(html) x")
+
+
 _ROLES = ("Software", "Sales", "Data Entry")
 
 
@@ -147,12 +167,12 @@ def sink_run_report(s, d):
 
 
 @query("""SELECT src AS source, 'r' || CAST(k AS VARCHAR) AS run_id, CASE WHEN k = 4 THEN 'error' WHEN k = 3 THEN 'skipped' WHEN n > 0 THEN 'ok' ELSE 'empty' END AS status, n AS records, CASE WHEN n > 0 THEN 'out' END AS output,
-    CASE k WHEN 4 THEN 'timeout' WHEN 3 THEN 'off' ELSE '' END AS detail FROM (SELECT k, src, count(o_orderkey) AS n FROM (SELECT unnest([0, 1, 2, 3, 4]) AS k, 'src' AS src) LEFT JOIN orders ON o_orderkey % 4 = k AND k < 2 GROUP BY k, src)""")
+    CASE k WHEN 4 THEN 'timeout' WHEN 3 THEN 'off' ELSE '' END AS detail FROM (SELECT k, src, count(o_orderkey) AS n FROM (SELECT unnest([0, 1, 2, 3, 4]) AS k, 'src' AS src) LEFT JOIN orders ON o_orderkey % 2 = k GROUP BY k, src)""")
 def sink_ingestion_log(s, d):
     """A line per run: with records, without, skipped, failed; appended as JSON in two calls."""
     path = files.scratch(s, "ingestion-log")
     runs = s.createDataFrame([("src", f"r{k}", "out", "off" if k == 3 else None, "timeout" if k == 4 else None) for k in range(5)], "source string, run_id string, output string, skipped string, error string")
-    records = _table(s, d, "orders").where("o_orderkey % 4 < 2").select(F.lit("src").alias("source"), F.concat(F.lit("r"), (F.col("o_orderkey") % 4).cast("string")).alias("run_id"))
+    records = _table(s, d, "orders").select(F.lit("src").alias("source"), F.concat(F.lit("r"), (F.col("o_orderkey") % 2).cast("string")).alias("run_id"))
     for part in ("run_id < 'r2'", "run_id >= 'r2'"):
         files.append_ingestion_log(files.ingestion_log(records, runs.where(part), F.lit("2024-01-02T00:00:00")), path)
     return s.read.schema("source string, run_id string, status string, records bigint, output string, detail string").json(path)
@@ -187,10 +207,10 @@ def scan_silver_csv(s, d):
     return files.scan_silver_csv(s, root, ("job_id", "title")).select("job_id", "title", "salary_min")
 
 
-@query("SELECT o_orderpriority AS layer, 'src' || CAST(o_orderkey % 4 AS VARCHAR) AS source, count(*) AS n_rows FROM orders WHERE o_orderpriority < '3' GROUP BY 1, 2")
+@query("SELECT o_orderpriority AS layer, 'src' || CAST(o_orderkey % 4 AS VARCHAR) AS source, count(*) AS n_rows FROM orders GROUP BY 1, 2")
 def rollup_source_volumes(s, d):
     rows = _table(s, d, "orders").withColumn("source", F.concat(F.lit("src"), (F.col("o_orderkey") % 4).cast("string")))
-    return serving.source_volumes({p: rows.where(F.col("o_orderpriority") == p) for p in ("1-URGENT", "2-HIGH")})
+    return serving.source_volumes({p: rows.where(F.col("o_orderpriority") == p) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")})
 
 
 # The contract.
@@ -458,10 +478,14 @@ def int_job_skills(s, d):
 # Orders of marts and pages, as row numbers: rows alone are compared as a set.
 
 
-def _placed(df: DataFrame, n: int) -> DataFrame:
-    """Rows with their place, of a sorted table of at most n rows."""
-    rows = df.limit(n).coalesce(1)
-    return rows.withColumn("place", F.monotonically_increasing_id() + 1)
+def _placed(df: DataFrame) -> DataFrame:
+    """All rows of a sorted table with their place from 1: ranges of a sort are numbered each, and begin with the number of
+    rows in those before."""
+    df.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path := files.scratch(df.sparkSession, "placed"))
+    rows = df.sparkSession.read.parquet(path).withColumn("_range", F.shiftright("_at", 33))
+    ranges = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = ranges.select("_range", F.coalesce(F.expr("sum(_n) OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(before), "_range").withColumn("place", F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_at", "_range", "_before")  # a row per range is broadcast
 
 
 _ORDER_SQL = {
@@ -475,16 +499,16 @@ _GRAIN = {
 
 
 @query(f"WITH {POSTINGS}, " + ", ".join(f"m{k} AS ({MART_SQL[m]})" for k, m in enumerate(_ORDER_SQL)) + " "
-       + " UNION ALL ".join(f"SELECT '{m}' AS mart, grain, place FROM (SELECT {_GRAIN[m]} AS grain, row_number() OVER (ORDER BY {o}) AS place FROM m{k}) WHERE place <= 500" for k, (m, o) in enumerate(_ORDER_SQL.items())))
+       + " UNION ALL ".join(f"SELECT '{m}' AS mart, grain, place FROM (SELECT {_GRAIN[m]} AS grain, row_number() OVER (ORDER BY {o}) AS place FROM m{k})" for k, (m, o) in enumerate(_ORDER_SQL.items())))
 def mart_orders(s, d):
-    """The places of the first 500 rows of each mart in its order."""
+    """The place of each row of each mart in its order."""
     gold = star_schema(s, d)
     jobs = models.int_job_enriched(gold)
     made, out = marts.all_marts(jobs, job_skills(s, d)), None
     for name in _ORDER_SQL:
         keys = [*marts.ORDERS[name], *(["skill_category"] if name == "skill_demand" else [])]
         grain = F.expr(_GRAIN[name].replace("VARCHAR", "STRING"))
-        part = _placed(made[name].orderBy(*marts.sort_keys(keys)), 500).select(F.lit(name).alias("mart"), grain.alias("grain"), "place")
+        part = _placed(made[name].orderBy(*marts.sort_keys(keys))).select(F.lit(name).alias("mart"), grain.alias("grain"), "place")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -493,7 +517,7 @@ def mart_orders(s, d):
 def serve_other_last(s, d):
     """One value, here 1-URGENT, moved to the end."""
     counts = _table(s, d, "orders").groupBy(F.col("o_orderpriority").alias("category")).agg(F.count("*").alias("n"))
-    return _placed(serving.other_last(counts, "category", F.desc("n"), F.asc("category"), other="1-URGENT"), 100)
+    return _placed(serving.other_last(counts, "category", F.desc("n"), F.asc("category"), other="1-URGENT"))
 
 
 @query("SELECT o_orderkey, place FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 41 AS place FROM orders) WHERE place BETWEEN 1 AND 1000")
@@ -506,7 +530,7 @@ def serve_page_bounds(s, d):
         except ValueError:
             continue
         raise AssertionError("such a page is to be refused")
-    return _placed(serving.serve(orders, ["-o_totalprice", "o_orderkey"], limit=1000, skip=41), 1000).select("o_orderkey", "place")
+    return _placed(serving.serve(orders, ["-o_totalprice", "o_orderkey"], limit=1000, skip=41)).select("o_orderkey", "place")
 
 
 # The load.

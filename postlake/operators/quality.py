@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import reference as ref
@@ -68,3 +68,18 @@ def dq_suite(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:
         row = bad.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check_name"), F.lit(column).alias("column_name"), "violations")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def table_checks(df: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
+    """(check_name, column_name, violations) of conditions on single rows: all checks of a table in one scan of it."""
+    counted = df.agg(*[F.count_if(condition).alias(f"_{k}") for k, (_, _, condition) in enumerate(checks)])
+    rows = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(column).alias("column_name"), F.col(f"_{k}").alias("violations")) for k, (name, column, _) in enumerate(checks)])
+    return counted.select(F.explode(rows).alias("c")).select("c.*")
+
+
+def written_with_checks(df: DataFrame, path: str, checks: list[tuple[str, str, Column]], mode: str = "errorifexists") -> dict[str, int]:
+    """Writes a table and counts in passing: its rows and, by check name, the rows that a condition holds for.  What was
+    written isn't read again."""
+    seen = Observation("checks")
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(condition).alias(name) for name, _, condition in checks]).write.mode(mode).parquet(path)
+    return dict(seen.get)
