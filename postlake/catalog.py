@@ -546,3 +546,16 @@ def stream_drop_seen(s, d):
         fresh = s.readStream.schema("source string, job_id string").parquet(f"{root}/in")
         incremental.run_available(incremental.drop_seen_stream(fresh), f"{root}/state", lambda df, n: df.write.mode("overwrite").parquet(f"{root}/out/batch={n}"))
     return s.read.parquet(f"{root}/out").select("source", "job_id")
+
+
+@query("SELECT event_type AS source, CAST(user_id AS VARCHAR) AS job_id, event_id AS first_event FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id % 3, event_id) = 1")
+def stream_seen_table(s, d):
+    """First records of ids over three runs, with the ids of earlier runs in a table; the last run is repeated."""
+    events = _table(s, d, "events").select(F.col("event_type").alias("source"), F.col("user_id").cast("string").alias("job_id"), "event_id", (F.col("event_id") % 3).alias("run"))
+    root = file_source.scratch(s, "seen")
+    seen = incremental.SeenTable(f"{root}/ids", ["source", "job_id"], buckets=8)
+    for number in (0, 1, 2, 2):
+        fresh = seen.fresh(events.where(F.col("run") == number), number, ["event_id"])
+        fresh.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
+        seen.add(s.read.parquet(f"{root}/out/batch={number}"), number)
+    return s.read.parquet(f"{root}/out").select("source", "job_id", F.col("event_id").alias("first_event"))

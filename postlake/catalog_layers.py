@@ -213,6 +213,21 @@ def rollup_source_volumes(s, d):
     return serving.source_volumes({p: rows.where(F.col("o_orderpriority") == p) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")})
 
 
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS INT) AS _ordinal, FALSE AS _broken, o_orderpriority || ' {\"[' AS title, 'src' AS source, '2024-01-02' AS _date FROM orders")
+def scan_large_bronze(s, d):
+    """One array of all orders in one file, read in chunks of 64 kB."""
+    root = files.scratch(s, "large")
+    record = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("job_id"), F.concat("o_orderpriority", F.lit(' {"[')).alias("title")))
+    lines = _table(s, d, "orders").select(F.lit(1).alias("k"), "o_orderkey", F.concat(record, F.lit(",")).alias("value"))
+    ends = s.createDataFrame([(0, 0, "["), (2, 0, '{"job_id": "last"}]')], "k int, o_orderkey bigint, value string")
+    lines.unionByName(ends).repartition(1).sortWithinPartitions("k", "o_orderkey").select("value").write.text(f"{root}/text")
+    from_name, to = s._jvm.org.apache.hadoop.fs.Path(f"{root}/text"), s._jvm.org.apache.hadoop.fs.Path(f"{root}/raw/src/2024-01-02/all.json")
+    fs = to.getFileSystem(s._jsc.hadoopConfiguration())
+    fs.mkdirs(to.getParent())
+    fs.rename(next(f.getPath() for f in fs.listStatus(from_name) if f.getPath().getName().startswith("part-")), to)
+    return files.scan_large_bronze(s, f"{root}/raw", 1 << 16).where("job_id <> 'last'").select("job_id", "_ordinal", "_broken", "title", "source", "_date")
+
+
 # The contract.
 
 _DIRTY = ("  Dev ", "nan", "", "NaN", "QA")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import reference as ref
+from .arrays import split_arrays
 
 RECORD = T.StructType([T.StructField(c, T.StringType()) for c in ref.CONTRACT_FIELDS])
 
@@ -26,14 +27,30 @@ def scratch(spark: SparkSession, label: str) -> str:
 def scan_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Raw records of root/<source>/<date>/*.json with source, _date, _file and _ordinal; a broken file gives a row whose
     ``_broken`` is true and whose fields are null."""
-    text = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).text(root)
+    text = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).text(root, wholetext=True)
     return parse_bronze(text.select("value", F.col("_metadata.file_path").alias("_file")))
 
 
+def scan_large_bronze(spark: SparkSession, root: str, chunk_bytes: int = 32 << 20) -> DataFrame:
+    """As ``scan_bronze``, for files of any size: an array is read by as many tasks as it has chunks.  Of a broken file the
+    objects before the break are rows, beside the one whose ``_broken`` is true; an object that can't be read is a row of
+    its own whose ``_broken`` is true."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(root).select("path", "length")
+    corrupt = T.StructType([*RECORD, T.StructField("_corrupt", T.StringType())])
+    rows = split_arrays(files, chunk_bytes).withColumn("r", F.from_json("record", corrupt, {"columnNameOfCorruptRecord": "_corrupt"}))
+    rows = rows.select("_file", F.col("_ordinal").cast("int").alias("_ordinal"), (F.col("_broken") | F.col("r._corrupt").isNotNull()).alias("_broken"), *[F.col(f"r.{c}").alias(c) for c in RECORD.names])
+    return _with_places(rows)
+
+
 def parse_bronze(files: DataFrame) -> DataFrame:
     """The same for a table of whole files: value and _file."""
     parsed = files.withColumn("_records", F.from_json("value", T.ArrayType(RECORD))).withColumn("_broken", F.col("_records").isNull())
     rows = parsed.select("_file", "_broken", F.posexplode_outer("_records").alias("_ordinal", "r")).select("_file", "_ordinal", "_broken", "r.*")
+    return _with_places(rows)
+
+
+def _with_places(rows: DataFrame) -> DataFrame:
+    """Source and date from the file's folders, the source only where the record has none."""
     return rows.withColumns({"_source_dir": F.regexp_extract("_file", r"/([^/]+)/([^/]+)/[^/]+$", 1), "_date": F.regexp_extract("_file", r"/([^/]+)/([^/]+)/[^/]+$", 2)}).withColumn("source", F.coalesce("source", "_source_dir")).drop("_source_dir")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_records
-from ..operators.contract import contract_violations, to_contract
+from ..operators.contract import contract_violations, keep_first, to_contract
 from ..operators.quality import quality_gate
 from ..sources.files import parse_bronze, write_run_report
 
@@ -24,6 +24,43 @@ def drop_seen_stream(records: DataFrame) -> DataFrame:
     return records.dropDuplicates(["source", "job_id"])
 
 
+class SeenTable:
+    """Ids that earlier batches have had, as a table in buckets of their hash: what a stream remembers is on disk, and its
+    memory doesn't grow with the number of ids.
+
+    A batch is compared with the ids of the batches before it alone, and those of its buckets; its own are written under its
+    number.  So a batch that is repeated, whether or not its ids were written, gives the same rows again."""
+
+    def __init__(self, path: str, keys: list[str], buckets: int = 64) -> None:
+        self.path, self.keys, self.buckets = path, keys, buckets
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def ids(self, spark: SparkSession, number: int) -> DataFrame:
+        """The ids of the batches before that number: keys, bucket and batch."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return spark.createDataFrame([], ", ".join([*(f"{k} string" for k in self.keys), "bucket int, batch bigint"]))
+        return spark.read.parquet(self.path).where(F.col("batch") < number)
+
+    def fresh(self, rows: DataFrame, number: int, order: list[str]) -> DataFrame:
+        """The first row along ``order`` of each id that no earlier batch has had."""
+        firsts = keep_first(rows, self.keys, order).withColumn("_bucket", self._bucket())
+        old = self.ids(rows.sparkSession, number)
+        touched = [r[0] for r in firsts.select("_bucket").distinct().collect()]  # as many numbers as there are buckets
+        old = old.where(F.col("bucket").isin(touched)).select(*[F.col(k).alias(f"_seen_{k}") for k in self.keys], F.col("bucket").alias("_seen_bucket"))
+        same = F.col("_bucket") == F.col("_seen_bucket")
+        for k in self.keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_seen_{k}"))
+        return firsts.join(old, same, "left_anti").drop("_bucket")
+
+    def add(self, fresh: DataFrame, number: int) -> None:
+        """Writes a batch's new ids; a repeated batch replaces its own."""
+        ids = fresh.select(*self.keys).distinct().withColumn("bucket", self._bucket())
+        ids.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch={number}")
+
+
 def run_available(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
     """Handles what is new in one or more batches, then stops."""
     df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
