@@ -7,13 +7,14 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from postlake.llm import queries, token_counts, training_order
 from postlake.llm.decontamination import contamination
 
 CLASHING = ("rid", "id", "key", "n", "part", "label", "bucket", "kept", "target", "score", "mix_topic", "selected", "word", "block", "slot", "component_id", "contaminated")
-COUNTED = {"op5_training_order", "pipeline"}
+COUNTED = {"op5_training_order", "op13_source_divergence", "pipeline"}
 
 
 def clashing(df):
@@ -91,6 +92,13 @@ def test_values_of_edges(spark, filled):
     scores = queries.QUERIES["op10_toxicity"](spark, filled).collect()
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in scores)
     assert len({r.score for r in scores if r.doc_id in (3, 4)}) == 1 and len({r.score for r in scores if r.doc_id == 2}) == 1
+    leaves = queries.QUERIES["op11_merkle_manifest"](spark, filled).collect()
+    assert len({r.leaf for r in leaves}) == 9 and len({r.root for r in leaves}) == 1 and all(r.verified for r in leaves)  # one row is there twice, no text has a line end
+    assert Counter(r.doc_id for r in leaves) == Counter(i for i, _ in texts) and len({r.subroot for r in leaves}) == 3
+    pieces = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    ids = [(i, pieces.encode(t, add_eos=True)) for i, t in texts]
+    assert run("op12_sentencepiece", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == Counter((i, len(x), digest(" ".join(map(str, x))), digest(pieces.decode(x))) for i, x in ids)
+    assert run("op13_source_divergence", "lang", "source", "part", "item", "value", "rank") == Counter([("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)])
 
 
 def test_benchmark_items_without_id(spark, filled, tmp_path):
