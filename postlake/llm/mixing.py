@@ -14,7 +14,7 @@ the last sweep are then used and mix_converged is false in every row.
 The topic is a column, if one is named, else learnt: words of at least seven letters that are in 0.05 to 20 % of the
 documents are ranked by residual IDF, which is high for words that occur often where they occur at all, and a text's topic
 is the first of the ``topics`` best that it contains.  Counts are made over all whole texts; documents are then read once
-more, for their tokens and topics.
+more for their tokens and topics, twice if texts are returned.
 
 Missing values of the three dimensions are a value of their own.  Null and empty texts have no tokens and no topic; texts of
 any length are counted whole.  A cell without tokens keeps the rate 1 (before the common factor), as does a value that the
@@ -140,7 +140,9 @@ def calibrated(
     dimensions = {"mix_source": F.col("source"), "mix_lang": F.col("lang"), "mix_topic": topic}
     made = [F.coalesce(c.cast("string"), F.lit(_NONE)).alias(n) for n, c in dimensions.items()]
     draw = uniform(F.coalesce(F.col(id_col).cast("string"), F.lit("")), seed=seed).alias("mix_draw")
-    keyed = stored(docs.select(*[F.col(c) for c in kept], *made, tokens_of(F.col(text_col)).alias("mix_tokens"), draw), "tokens-and-topics")
+    keyed = docs.select(*[F.col(c) for c in kept], *made, tokens_of(F.col(text_col)).alias("mix_tokens"), draw)
+    if text_col not in kept:
+        keyed = stored(keyed, "tokens-and-topics")  # with texts, making tokens and topics twice is less than a copy of all texts
     cells = keyed.groupBy(*[F.col(f"mix_{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("mix_tokens").alias("tokens"))
     raked, converged = rake(with_targets(stored(cells, "token-cells"), targets, temper))
     total = raked.agg(F.sum("tokens")).first()[0] or 0
