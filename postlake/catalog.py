@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from . import reference as ref
 from .functions import parse, text
 from .operators import contract, load, quality, scd
-from .plans import marts, models, serving
+from .plans import lattice, marts, models, serving
 from .sources import files as file_source
 from .streaming import incremental
 
@@ -65,10 +65,14 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.int_job_enriched(star_schema(spark, sf_dir)).withColumn("title", F.col("title_clean"))
 
 
-def job_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+def skill_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     bridge = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("job_key"), "l_partkey").distinct()
     part = _table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("skill_name"), F.col("p_type").alias("skill_category"))
-    return bridge.join(part, bridge.l_partkey == part.p_partkey).join(postings(spark, sf_dir).select("job_key", "category_name"), "job_key")
+    return bridge.join(part, bridge.l_partkey == part.p_partkey)
+
+
+def job_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skill_links(spark, sf_dir).join(postings(spark, sf_dir).select("job_key", "category_name"), "job_key")
 
 
 _TITLE_LIST = "[" + ", ".join("'" + t + "'" for t in ref.TITLES) + "]"
@@ -127,6 +131,12 @@ def _add_marts() -> None:
         make = getattr(marts, mart)
         of = job_skills if mart == "skill_demand" else postings
         query(f"WITH {POSTINGS} {sql}", f"mart_{mart}")(lambda s, d, make=make, of=of: plain(make(of(s, d))))
+        query(f"WITH {POSTINGS} {sql}", f"lattice_{mart}")(lambda s, d, mart=mart: plain(lattice.ROLL_UPS[mart](_lattice(s, d, lattice.NEEDS[mart]))))
+
+
+def _lattice(spark: SparkSession, sf_dir: str, grains: tuple[str, ...]) -> DataFrame:
+    """The base of the postings with those grains."""
+    return lattice.base(postings(spark, sf_dir), skill_links(spark, sf_dir) if "skill" in grains else None, grains)
 
 
 _add_marts()

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import reference as ref
-from .catalog import M, MART_SQL, POSTINGS, _clean_sql, _noise_sql, _rules_sql, _skill_sql, _table, _VERSIONS, job_skills, plain, postings, query, star_schema
+from .catalog import M, MART_SQL, POSTINGS, _clean_sql, _noise_sql, _rules_sql, _skill_sql, _table, _VERSIONS, job_skills, plain, postings, query, skill_links, star_schema
 from .functions import sql, text
 from .operators import clean, contract, load, quality, scd
 from .operators.store import Store
-from .plans import marts, models, serving
+from .plans import lattice, marts, models, serving
 from .sources import files, pages
 from .streaming import incremental
 
@@ -528,6 +528,32 @@ def mart_orders(s, d):
     return out
 
 
+_TALL = {m: (*("postings_with_salary" if m == "salary_intelligence" else "postings", "hiring_companies" if m in ("in_demand_roles", "geographic_distribution", "hiring_trends") else "NULL"), "NULL" if m in ("work_mode_breakdown", "skill_demand") else "avg_salary_mid") for m in _ORDER_SQL}
+_TALL_SQL = f"WITH {POSTINGS}, " + ", ".join(f"m{k} AS ({MART_SQL[m]})" for k, m in enumerate(_ORDER_SQL)) + " " + " UNION ALL ".join(
+    f"SELECT '{m}' AS mart, {_GRAIN[m]} AS grain, CAST({n} AS BIGINT) AS n, CAST({c} AS BIGINT) AS companies, CAST({a} AS DOUBLE) AS mean FROM m{k}" for k, (m, (n, c, a)) in enumerate(_TALL.items()))
+
+
+def _tall(made: dict) -> DataFrame:
+    """The rows of all marts with what most of them count."""
+    parts = [made[m].select(F.lit(m).alias("mart"), *[F.expr(e).cast(kind).alias(c) for e, kind, c in ((_GRAIN[m].replace("VARCHAR", "STRING"), "string", "grain"), (n, "bigint", "n"), (k, "bigint", "companies"), (a, "double", "mean"))]) for m, (n, k, a) in _TALL.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query(_TALL_SQL)
+def lattice_all_marts(s, d):
+    """All marts of one stored base: one scan of the postings."""
+    return _tall(lattice.all_marts(lattice.kept(lattice.base(postings(s, d), skill_links(s, d)))))
+
+
+@query(_TALL_SQL)
+def lattice_merged_marts(s, d):
+    """All marts of two bases, of the postings before 1995 and of the others, merged."""
+    jobs, links = postings(s, d), skill_links(s, d)
+    early = F.coalesce(F.col("posted_date") < "1995-01-01", F.lit(False))
+    bases = [lattice.kept(lattice.base(jobs.where(part), links)) for part in (early, ~early)]
+    return _tall(lattice.all_marts(lattice.kept(lattice.merged(*bases))))
+
+
 @query("SELECT o_orderpriority AS category, row_number() OVER (ORDER BY o_orderpriority = '1-URGENT', n DESC, o_orderpriority) AS place, n FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1)")
 def serve_other_last(s, d):
     """One value, here 1-URGENT, moved to the end."""

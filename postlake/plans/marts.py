@@ -25,20 +25,24 @@ def _mode(c: str) -> Column:
 
 
 def in_demand_roles(jobs: DataFrame) -> DataFrame:
-    out = jobs.groupBy("category_name").agg(F.count("*").alias("postings"), F.count_distinct("company_name").alias("hiring_companies"), _mean("salary_mid").alias("avg_salary_mid"), _remote().alias("remote_postings"))
+    return ranked_roles(jobs.groupBy("category_name").agg(F.count("*").alias("postings"), F.count_distinct("company_name").alias("hiring_companies"), _mean("salary_mid").alias("avg_salary_mid"), _remote().alias("remote_postings")))
+
+
+def ranked_roles(out: DataFrame) -> DataFrame:
     return out.withColumns({
         "demand_share_pct": share(F.col("postings"), F.sum("postings").over(Window.partitionBy())), "postings_per_company": ratio(F.col("postings"), F.col("hiring_companies")),
         "demand_rank": F.rank().over(Window.orderBy(F.desc("postings"))),
     })
 
 
-def medians(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(keys, median) of the non-null numbers of each group, as doubles, found by counting.
+def medians(df: DataFrame, keys: list[str], value: str, times: str | None = None) -> DataFrame:
+    """(keys, median) of the non-null numbers of each group, as doubles, found by counting.  ``times`` names the column that
+    tells how often a row's number occurs, once without it.
 
     Rows are counted per group and number.  Numbers lie in ranges (an eighth of a doubling each); the ranges' counts tell
     in which the middle positions are, and running sums inside of these tell at which numbers.  Whatever the size of a
     group, no task has more than a range's distinct numbers, and nothing is buffered."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg((F.sum(times) if times else F.count("*")).alias("_n"))
     v = F.col("_v").cast("double")
     counts = counts.withColumn("_range", (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 8)).cast("int"))
     group, inside = Window.partitionBy(*keys), Window.partitionBy(*keys, "_range")
@@ -62,7 +66,13 @@ def salary_intelligence(jobs: DataFrame) -> DataFrame:
         F.count("*").alias("postings_with_salary"), F.round(F.min("salary_min"), 0).alias("salary_floor"), _mean("salary_min").alias("avg_salary_min"), _mean("salary_mid").alias("avg_salary_mid"),
         _mean("salary_max").alias("avg_salary_max"), F.round(F.max("salary_max"), 0).alias("salary_ceiling"), F.max("salary_currency").alias("currency"),
     )
-    middle = medians(paid, keys, "salary_mid").select(*[F.col(k).alias(f"_m{k}") for k in keys], F.bround("median", 0).alias("median_salary_mid"))
+    return with_medians(out, medians(paid, keys, "salary_mid"))
+
+
+def with_medians(out: DataFrame, middle: DataFrame) -> DataFrame:
+    """The mart of salaries with the medians of its groups before the currency, its last column."""
+    keys = out.columns[:3]
+    middle = middle.select(*[F.col(k).alias(f"_m{k}") for k in keys], F.bround("median", 0).alias("median_salary_mid"))
     same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m{k}")) for k in keys])
     columns = [*out.columns[:-1], "median_salary_mid", "currency"]
     return out.join(middle, same).select(*columns)
@@ -70,7 +80,10 @@ def salary_intelligence(jobs: DataFrame) -> DataFrame:
 
 def skill_demand(job_skills: DataFrame) -> DataFrame:
     """All rows of a skill share a rank; the next skill's rank counts these rows."""
-    out = job_skills.groupBy("skill_name", "skill_category", "category_name").agg(F.count_distinct("job_key").alias("postings"))
+    return ranked_skills(job_skills.groupBy("skill_name", "skill_category", "category_name").agg(F.count_distinct("job_key").alias("postings")))
+
+
+def ranked_skills(out: DataFrame) -> DataFrame:
     out = out.withColumn("total_postings", F.sum("postings").over(Window.partitionBy("skill_name")))
     return out.withColumn("overall_skill_rank", F.rank().over(Window.orderBy(F.desc("total_postings"), "skill_name")))
 
@@ -80,6 +93,10 @@ def company_insights(jobs: DataFrame) -> DataFrame:
         F.count("*").alias("postings"), F.count_distinct("category_name").alias("distinct_categories"), F.count_distinct("governorate").alias("distinct_governorates"), _mean("salary_mid").alias("avg_salary_mid"),
         _remote().alias("remote_postings"), _mode("category_name").alias("top_category"), _mode("governorate").alias("top_governorate"),
     )
+    return ranked_companies(out)
+
+
+def ranked_companies(out: DataFrame) -> DataFrame:
     # A rank needs only how many companies have more postings: count these per number of postings, not per company.
     levels = out.groupBy("postings").agg(F.count("*").alias("n"))
     ranks = levels.select("postings", (F.coalesce(F.sum("n").over(Window.orderBy(F.desc("postings")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1).cast("int").alias("hiring_rank"))
@@ -87,8 +104,11 @@ def company_insights(jobs: DataFrame) -> DataFrame:
 
 
 def geographic_distribution(jobs: DataFrame) -> DataFrame:
-    out = jobs.groupBy("region", "governorate").agg(
-        F.count("*").alias("postings"), F.count_distinct("city").alias("cities"), F.count_distinct("company_name").alias("hiring_companies"), _mean("salary_mid").alias("avg_salary_mid"), _remote().alias("remote_postings"))
+    return shared_places(jobs.groupBy("region", "governorate").agg(
+        F.count("*").alias("postings"), F.count_distinct("city").alias("cities"), F.count_distinct("company_name").alias("hiring_companies"), _mean("salary_mid").alias("avg_salary_mid"), _remote().alias("remote_postings")))
+
+
+def shared_places(out: DataFrame) -> DataFrame:
     return out.withColumn("postings_share_pct", share(F.col("postings"), F.sum("postings").over(Window.partitionBy())))
 
 
@@ -100,7 +120,10 @@ def hiring_trends(jobs: DataFrame) -> DataFrame:
 def work_mode_breakdown(jobs: DataFrame) -> DataFrame:
     """Both facets in one pass over the postings."""
     facets = F.array(*[F.struct(F.lit(f).alias("facet"), F.col(f).alias("value")) for f in ("work_mode", "employment_type")])
-    out = jobs.select(F.explode(facets).alias("f")).groupBy("f.facet", "f.value").agg(F.count("*").alias("postings"))
+    return shared_facets(jobs.select(F.explode(facets).alias("f")).groupBy("f.facet", "f.value").agg(F.count("*").alias("postings")))
+
+
+def shared_facets(out: DataFrame) -> DataFrame:
     return out.withColumn("share_pct", share(F.col("postings"), F.sum("postings").over(Window.partitionBy("facet"))))
 
 
