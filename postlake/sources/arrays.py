@@ -127,7 +127,9 @@ def split_arrays(files: DataFrame, chunk_bytes: int = 32 << 20, ahead: int = 1 <
     files = files.select(F.col("path").alias("_file"), F.col("length").cast("long").alias("length"))
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(chunk_bytes).cast("long")))
     chunks = files.select("_file", starts.alias("at"), "length").select("_file", "at", F.least(F.lit(chunk_bytes), F.col("length") - F.col("at")).cast("long").alias("size"))
-    spread = lambda df: df.repartition("_file", "at")
+    # Chunks are rows of some bytes that stand for much: without a number, Spark would put thousands of them into one task.
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = lambda df: df.repartition(tasks, "_file", "at")
     states = spread(chunks).mapInArrow(_summaries, _SUMMARY).groupBy("_file").applyInArrow(_compose, _STATES)
     records = spread(states).drop("broken").mapInArrow(_records(ahead), _RECORDS)
     broken = states.where("broken").select("_file").distinct().select("_file", F.lit(None).cast("long").alias("_ordinal"), F.lit(True).alias("_broken"), F.lit(None).cast("string").alias("record"))
