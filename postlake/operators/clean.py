@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import parse, text
 
 
-def clean_records(raw: DataFrame, html: bool = True) -> DataFrame:
-    """The 24 standardised columns and clean_error: null, or why the record can't be used."""
+def clean_records(raw: DataFrame, html: bool = True, also: tuple[str, ...] = ()) -> DataFrame:
+    """The 24 standardised columns and clean_error: null, or why the record can't be used.  ``also`` names columns that stay."""
     c = F.col
     title = text.strip_title_noise(c("title"), html)
     staged = raw.withColumns({
@@ -25,7 +25,7 @@ def clean_records(raw: DataFrame, html: bool = True) -> DataFrame:
         c("location").alias("location_raw"), c("_place.city").alias("location_city"), c("_place.governorate").alias("location_gov"), c("_salary.min").alias("salary_min"), c("_salary.max").alias("salary_max"),
         c("_salary.currency").alias("salary_currency"), c("_salary.period").alias("salary_period"), c("_years.min").alias("experience_years_min"), c("_years.max").alias("experience_years_max"),
         "skills", "work_mode", "employment_type", "source", "job_url", "scraped_at", c("_posted.value").alias("posted_at"), "run_id", text.is_remote(c("work_mode")).alias("is_remote"),
-        error.alias("clean_error"), *extra,
+        error.alias("clean_error"), *extra, *also,
     )
 
 
