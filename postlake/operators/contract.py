@@ -6,29 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import reference as ref
-from ..functions.text import is_tech, strip
+from ..functions.text import bound, is_tech, strip
 
 
 def as_str(c: Column) -> Column:
     """Stripped string; null and NaN are empty."""
-    s = strip(c.cast("string"))
-    return F.coalesce(F.when(F.lower(s) != "nan", s), F.lit(""))
+    return bound(strip(c.cast("string")), lambda s: F.coalesce(F.when(F.lower(s) != "nan", s), F.lit("")))
 
 
 def job_id(title: Column, company: Column, location: Column) -> Column:
     return F.md5(F.concat_ws("-", title, company, location))
 
 
-def to_contract(df: DataFrame) -> DataFrame:
+def to_contract(df: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """The 13 fields, as strings, in their order; blank title, company and location become N/A.  Missing columns are
-    blank; without a job_id column the id is made of title, company and location."""
+    blank; without a job_id column the id is made of title, company and location.  ``also`` names columns that stay."""
     have = {c: as_str(F.col(c)) if c in df.columns else F.lit("") for c in ref.CONTRACT_FIELDS}
     for c in ("title", "company", "location"):
-        have[c] = F.when(have[c] == "", "N/A").otherwise(have[c])
+        have[c] = bound(have[c], lambda s: F.when(s == "", "N/A").otherwise(s))
     if "job_id" not in df.columns:
         have["job_id"] = job_id(have["title"], have["company"], have["location"])
     extra = [c for c in ("_file", "_ordinal") if c in df.columns]
-    return df.select(*[have[c].alias(c) for c in ref.CONTRACT_FIELDS], *extra)
+    return df.select(*[have[c].alias(c) for c in ref.CONTRACT_FIELDS], *extra, *also)
 
 
 def format_salary(low: Column, high: Column, currency: Column, interval: Column) -> Column:

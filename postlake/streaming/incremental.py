@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean_records
 from ..operators.contract import contract_violations, keep_first, to_contract
-from ..operators.quality import quality_gate
+from ..operators.quality import validation_errors
 from ..sources.files import parse_bronze, write_run_report
 
 
@@ -66,17 +66,39 @@ def run_available(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
     df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def checked_batch(raw: DataFrame, as_of) -> DataFrame:
+    """Each raw record once, standardised, with clean_error (what breaks the contract, or can't be read; null if nothing) and
+    validation_errors (joined by |, '' if none; null where there is a clean_error).  A broken file is one record.  Records
+    that broke the contract have its fields alone, broken files their source."""
+    records = to_contract(raw.withColumn("_given_source", F.col("source")), ("_broken", "_given_source"))
+    breach = F.array_join(contract_violations(records), "|")
+    why = F.when(F.col("_broken"), "the file isn't an array of records").when(breach != "", breach)
+    cleaned = clean_records(records.withColumn("_why", why), also=("_broken", "_given_source", "_why"))
+
+    def held(c: str):
+        if c == "clean_error":
+            return F.coalesce("_why", c)
+        if c == "source":
+            return F.when(F.col("_broken"), F.col("_given_source")).otherwise(F.col(c))
+        if c == "_file":
+            return F.col(c)
+        return F.when(~F.col("_broken") if c in records.columns else F.col("_why").isNull(), F.col(c))
+
+    names = [c for c in cleaned.columns if c not in ("_broken", "_given_source", "_why")]
+    checked = cleaned.select(*[held(c).alias(c) for c in names])
+    return checked.withColumn("validation_errors", F.when(F.col("clean_error").isNull(), F.array_join(validation_errors(as_of), "|")))
+
+
+def outcomes(checked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(valid, quarantined, rejected) of checked records."""
+    usable = checked.where("clean_error is null").drop("clean_error")
+    return usable.where("validation_errors = ''").drop("validation_errors"), usable.where("validation_errors <> ''"), checked.where("clean_error is not null").drop("validation_errors")
+
+
 def clean_batch(raw: DataFrame, as_of) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(valid, quarantined, rejected) of raw records.  Each record is in one of the three; a broken file is one rejected
     record.  Rejected ones have clean_error: what breaks the contract, or can't be read."""
-    broken = raw.where("_broken").select("source", "_file", F.lit("the file isn't an array of records").alias("clean_error"))
-    records = to_contract(raw.where("not _broken"))
-    records = records.withColumn("_violations", F.array_join(contract_violations(records), "|"))
-    breaches = records.where("_violations <> ''").select("*", F.col("_violations").alias("clean_error")).drop("_violations")
-    cleaned = clean_records(records.where("_violations = ''").drop("_violations"))
-    valid, failed = quality_gate(cleaned.where("clean_error is null").drop("clean_error"), as_of)
-    rejected = cleaned.where("clean_error is not null").unionByName(breaches, allowMissingColumns=True).unionByName(broken, allowMissingColumns=True)
-    return valid, failed, rejected.select(*cleaned.columns)
+    return outcomes(checked_batch(raw, as_of))
 
 
 def incremental_clean(spark: SparkSession, raw: str, silver: str, quarantine: str, rejects: str, checkpoint: str, as_of, report: str | None = None) -> None:
@@ -84,13 +106,13 @@ def incremental_clean(spark: SparkSession, raw: str, silver: str, quarantine: st
     batch replaces itself."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        batch.persist()
-        parts = clean_batch(batch, as_of)
+        checked = checked_batch(batch, as_of).persist()  # cleaned once, written thrice
+        parts = outcomes(checked)
         for df, root in zip(parts, (silver, quarantine, rejects), strict=True):
             df.write.mode("overwrite").parquet(f"{root}/batch={number}")
         if report:
             valid, failed, rejected = (df.select("_file", F.lit(k == 0).alias("is_valid")) for k, df in enumerate(parts))
             write_run_report(valid.unionByName(failed).unionByName(rejected), f"{report}/batch={number}")
-        batch.unpersist()
+        checked.unpersist()
 
     run_available(stream_bronze(spark, raw), checkpoint, handle)
