@@ -42,6 +42,9 @@ PART = 8 << 20
 #: Rows of counts that a task holds before it passes them on.
 HELD = 1_000_000
 
+#: Rows of counts in a batch that a task passes on.
+BATCH = 20_000
+
 #: Rows of kept counts in a shard, about, and cells of a matrix that are held at once.
 SHARD, CELLS = 500_000, 2_000_000
 
@@ -86,15 +89,23 @@ def count_terms(lang: pa.Array, source: pa.Array, text: pa.Array) -> pa.Table:
 
 def _merged(parts: list[pa.Table]) -> pa.Table:
     """Counts of several tables added up."""
-    both = pa.concat_tables(parts).combine_chunks()
+    both = pa.concat_tables(parts)
+    parts.clear()  # the caller's: no more than one copy is held
     coded = {c: pc.dictionary_encode(both.column(c)).combine_chunks() for c in ("lang", "source", "term")}
     table = pa.table({**{c: a.indices for c, a in coded.items()}, "n": both.column("n"), "docs": both.column("docs")})
+    del both
     out = table.group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
     return pa.table({**{c: a.dictionary.take(out.column(c)) for c, a in coded.items()}, "n": out.column("n_sum"), "docs": out.column("docs_sum")})
 
 
 def _counter(limit: int):
-    """Batches of lang, source and text to counts; a task adds up what it has, and passes it on when that is much."""
+    """Batches of lang, source and text to counts; a task adds up what it has, and passes it on when that is much, in batches
+    of which the executor holds one at a time outside its heap."""
+
+    def passed(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for a in range(0, table.num_rows, BATCH):
+            yield from table.slice(a, BATCH).combine_chunks().cast(_SCHEMA).to_batches()
+        pa.default_memory_pool().release_unused()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -106,12 +117,13 @@ def _counter(limit: int):
                 rows += part.num_rows
                 if rows > limit:
                     held = [_merged(held)]
+                    pa.default_memory_pool().release_unused()
                     rows = held[0].num_rows
                 if rows > limit // 2 and len(held) == 1:  # adding up didn't help much
-                    yield from held[0].cast(_SCHEMA).to_batches()
+                    yield from passed(held[0])
                     held, rows = [], 0
         if held:
-            yield from _merged(held).cast(_SCHEMA).to_batches()
+            yield from passed(_merged(held))
 
     return run
 
